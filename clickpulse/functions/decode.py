@@ -16,6 +16,18 @@ from clickpulse.schemas import CLICK_TYPED_DDL, CLICK_WIRE_SCHEMA, TRANSACTION_D
 CLICK_FIELDS = ("timestamp", "page", "userId", "duration", "trafficSource")
 
 
+def _fields(df: DataFrame, parsed: Column, keep: tuple[str, ...]) -> DataFrame:
+    """Expand a parsed struct into columns, parsing each record once.
+
+    The fields come out of a generator (``inline`` over a one-element
+    array). A filter on them (``window()`` adds ``isnotnull(timestamp)``)
+    then stays above the parse instead of being pushed below it with a
+    second copy of ``from_json``. A null struct still yields one row of
+    nulls, so no record is lost.
+    """
+    return df.select(*keep, F.inline(F.array(parsed)))
+
+
 def value_as_string(value: Column | str = "value") -> Column:
     """Binary record value -> UTF-8 text."""
     c = F.col(value) if isinstance(value, str) else value
@@ -32,14 +44,12 @@ def parse_clicks(df: DataFrame, pattern: str = CLICK_TIME_PATTERN, value_col: st
     timestamp instead of an error (``try_to_timestamp`` under ANSI mode).
     ``keep`` lists input columns carried through (e.g. ``offset``).
     """
-    text = value_as_string(value_col)
-    parsed = F.from_json(text, CLICK_WIRE_SCHEMA).alias("click")
-    out = df.select(*keep, parsed).select(
+    parsed = F.from_json(value_as_string(value_col), CLICK_WIRE_SCHEMA)
+    return _fields(df, parsed, keep).select(
         *keep,
-        F.try_to_timestamp(F.col("click.timestamp"), F.lit(pattern)).alias("timestamp"),
-        *[F.col(f"click.{f}").alias(f) for f in CLICK_FIELDS[1:]],
+        F.try_to_timestamp(F.col("timestamp"), F.lit(pattern)).alias("timestamp"),
+        *CLICK_FIELDS[1:],
     )
-    return out
 
 
 def parse_clicks_strict(df: DataFrame, pattern: str = CLICK_TIME_PATTERN, value_col: str = "value",
@@ -53,8 +63,8 @@ def parse_clicks_strict(df: DataFrame, pattern: str = CLICK_TIME_PATTERN, value_
         value_as_string(value_col),
         CLICK_TYPED_DDL,
         {"mode": "FAILFAST", "timestampFormat": pattern},
-    ).alias("click")
-    return df.select(*keep, parsed).select(*keep, *[F.col(f"click.{f}").alias(f) for f in CLICK_FIELDS])
+    )
+    return _fields(df, parsed, keep)
 
 
 def parse_transactions(df: DataFrame, value_col: str = "value", keep: tuple[str, ...] = (),

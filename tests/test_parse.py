@@ -1,0 +1,110 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickpulse.config import CLICK_TIME_PATTERN_12H
+from clickpulse.functions.decode import parse_clicks, parse_clicks_strict, parse_transactions
+from clickpulse.functions.encode import click_json, page_stats_json, transaction_csv
+from tests.helpers import click, records, ts
+
+GOOD = '{"timestamp":"01-01-1970 12:00:00:150","page":"/shop","userId":2013000001,"duration":17,"trafficSource":"google.com"}'
+
+# value -> (timestamp, page, userId, duration, trafficSource), FIXTURES.md §1
+BROKEN = [
+    ("not json", (None, None, None, None, None)),
+    ("", (None, None, None, None, None)),
+    (None, (None, None, None, None, None)),
+    ("{}", (None, None, None, None, None)),
+    ('{"page":"/x","extra":1}', (None, "/x", None, None, None)),
+    ('{"timestamp":"1970-01-01","page":"/bad","userId":null,"duration":1.50,"trafficSource":{"a":1}}',
+     (None, "/bad", None, "1.5", '{"a":1}')),
+    ('[{"page":"/arr1"},{"page":"/arr2"}]', (None, None, None, None, None)),
+    ('{"Page":"/case"}', (None, None, None, None, None)),
+    ('{"page":"/trunc","userId":1', (None, None, None, None, None)),
+]
+
+
+def test_good_click_parses(spark):
+    row = parse_clicks(records(spark, [GOOD])).collect()[0]
+    assert row.timestamp == ts("1970-01-01 12:00:00.150")
+    assert (row.page, row.userId, row.duration, row.trafficSource) == ("/shop", "2013000001", "17", "google.com")
+
+
+def test_broken_lines_become_nulls_not_errors(spark):
+    df = parse_clicks(records(spark, [v for v, _ in BROKEN]), keep=("offset",))
+    got = {r.offset: (r.timestamp, r.page, r.userId, r.duration, r.trafficSource) for r in df.collect()}
+    assert len(got) == len(BROKEN)  # one output row per input record
+    for i, (_, expected) in enumerate(BROKEN):
+        assert got[i] == expected, BROKEN[i][0]
+
+
+def test_parse_schema(spark):
+    df = parse_clicks(records(spark, [GOOD]))
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("timestamp", "timestamp"), ("page", "string"), ("userId", "string"),
+        ("duration", "string"), ("trafficSource", "string")]
+
+
+def test_twelve_hour_clock_loses_half_the_day(spark):
+    """Writer uses hh without AM/PM: 00:xx is written 12:xx, 15:00 as 03:00."""
+    src = spark.createDataFrame([(ts("2024-01-01 00:30:00"),), (ts("2024-01-01 15:00:00"),)], "t timestamp")
+    wire = src.select(click_json("t", F.lit("/p"), F.lit(1), F.lit(2), F.lit("vk.com"),
+                                 CLICK_TIME_PATTERN_12H).cast("binary").alias("value"))
+    back = [r.timestamp for r in parse_clicks(wire).collect()]
+    assert back == [ts("2024-01-01 12:30:00"), ts("2024-01-01 03:00:00")]
+    # read with the 12-hour pattern it is still ambiguous: 15:00 comes back as 03:00
+    back12 = [r.timestamp for r in parse_clicks(wire, CLICK_TIME_PATTERN_12H).collect()]
+    assert back12[1] == ts("2024-01-01 03:00:00")
+
+
+def test_round_trip_24h(spark):
+    src = spark.createDataFrame([(ts("2024-01-01 15:04:05.678"), "/p", 3, 4, "vk.com")],
+                                "t timestamp, p string, u long, d long, s string")
+    wire = src.select(click_json("t", "p", "u", "d", "s").cast("binary").alias("value"))
+    r = parse_clicks(wire).collect()[0]
+    assert r.timestamp == ts("2024-01-01 15:04:05.678") and r.userId == "3" and r.duration == "4"
+
+
+def test_strict_decode_types_and_failfast(spark):
+    ok = parse_clicks_strict(records(spark, [GOOD])).collect()[0]
+    assert ok.userId == 2013000001 and ok.duration == 17
+    assert ok.timestamp == ts("1970-01-01 12:00:00.150")
+    with pytest.raises(Exception):
+        parse_clicks_strict(records(spark, [GOOD, "not json"])).collect()
+
+
+def test_strict_decode_accepts_unknown_keys(spark):
+    """Known gap to a strict object mapper: unknown keys are ignored."""
+    r = parse_clicks_strict(records(spark, [click("01-01-1970 00:00:00:000")[:-1] + ',"x":1}'])).collect()[0]
+    assert r.page == "/shop"
+
+
+def test_transactions_csv(spark):
+    lines = ["1, 500, 2000-01-01 01:00:00", "x, 1, 2000-01-01 01:00:00", "2,3"]
+    rows = parse_transactions(records(spark, lines), keep=("offset",)).orderBy("offset").collect()
+    assert [(r.account_id, r.amount, r.log_ts) for r in rows] == [
+        (1, 500, ts("2000-01-01 01:00:00")), (None, 1, ts("2000-01-01 01:00:00")), (2, 3, None)]
+
+
+def test_transaction_encode_round_trip(spark):
+    src = spark.createDataFrame([(4, 999, ts("2000-01-01 01:05:17"))], "a long, m int, t timestamp")
+    wire = src.select(transaction_csv("a", "m", "t").alias("value"))
+    assert wire.collect()[0].value == "4, 999, 2000-01-01 01:05:17"
+    r = parse_transactions(wire.select(F.col("value").cast("binary").alias("value"))).collect()[0]
+    assert (r.account_id, r.amount, r.log_ts) == (4, 999, ts("2000-01-01 01:05:17"))
+
+
+def test_page_stats_json_format(spark):
+    src = spark.createDataFrame([(ts("2024-01-01 01:03:45"), ts("2024-01-01 01:04:00"), "/click", 1)],
+                                "s timestamp, e timestamp, p string, c long")
+    text = src.select(page_stats_json("s", "e", "p", "c").alias("v")).collect()[0].v
+    assert text == ('{"windowStart":"01-01-2024 01:03:45:000","windowEnd":"01-01-2024 01:04:00:000",'
+                    '"page":"/click","count":1}')
+
+
+def test_json_keeps_null_fields(spark):
+    src = spark.createDataFrame([(dt.datetime(2024, 1, 1), None, 1, 2, "vk.com")],
+                                "t timestamp, p string, u long, d long, s string")
+    text = src.select(click_json("t", "p", "u", "d", "s").alias("v")).collect()[0].v
+    assert '"page":null' in text
