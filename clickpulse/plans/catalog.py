@@ -53,8 +53,7 @@ RECORDS_PER_BATCH = 100  # offsets per micro-batch in the partial speed view
 HOUR_WINDOW_SECONDS = 3600
 REPORT_DATE = "2022-08-27"
 REPORT_TOP_N = 10  # the replay has 20 (page, source) groups; 10 makes the cut bite
-STAGE_RECORDS_PER_FILE = 2500
-STAGE_FILES_PER_TRIGGER = 2
+STREAM_MICRO_BATCHES = 4  # replayed streams are cut into about this many micro-batches
 STREAM_TIMEOUT_S = 900
 
 
@@ -93,15 +92,17 @@ def _spend_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_spend(tx, policy="last", order_col="offset")
 
 
-def _stage(spark: SparkSession, records: DataFrame, name: str) -> str:
+def _stage(spark: SparkSession, records: DataFrame, name: str) -> tuple[str, int]:
     """Write replayed records as files a file-stream source can replay.
 
-    ``maxRecordsPerFile`` splits each task's output without a shuffle, so
-    the stream sees several files and runs several micro-batches.
+    Returns the folder and a files-per-trigger cap that cuts the replay into
+    about ``STREAM_MICRO_BATCHES`` micro-batches (each grows with the data,
+    as a fixed trigger interval over a faster topic would).
     """
     path = fresh_dir(spark, f"{name}-input")
-    records.write.option("maxRecordsPerFile", STAGE_RECORDS_PER_FILE).parquet(path)
-    return path
+    records.write.parquet(path)
+    n_files = len(spark.read.parquet(path).inputFiles())
+    return path, max(1, -(-n_files // STREAM_MICRO_BATCHES))
 
 
 def _await(queries) -> None:
@@ -205,10 +206,10 @@ def stream_final_counts(spark, sf_dir):
 
 
 def _run_partials_stream(spark, sf_dir) -> LayerConfig:
-    stage = _stage(spark, click_records(_events(spark, sf_dir)), "speed")
+    stage, per_trigger = _stage(spark, click_records(_events(spark, sf_dir)), "speed")
     cfg = LayerConfig(speed_path=fresh_dir(spark, "speed-view"), raw_path=fresh_dir(spark, "raw-clicks"),
                       speed_mode="partials", max_speed_files=None)
-    source = read_record_files(spark, stage, max_files_per_trigger=STAGE_FILES_PER_TRIGGER)
+    source = read_record_files(spark, stage, max_files_per_trigger=per_trigger)
     _await(start_speed_layer(source, cfg, fresh_dir(spark, "speed-ckpt"), available_now=True))
     return cfg
 
@@ -230,9 +231,9 @@ def raw_landing(spark, sf_dir):
 
 
 def page_visits_stream(spark, sf_dir):
-    stage = _stage(spark, click_records(_events(spark, sf_dir)), "visits")
+    stage, per_trigger = _stage(spark, click_records(_events(spark, sf_dir)), "visits")
     out = fresh_dir(spark, "visits")
-    _await([start_page_visits(read_record_files(spark, stage, STAGE_FILES_PER_TRIGGER),
+    _await([start_page_visits(read_record_files(spark, stage, per_trigger),
                               fresh_dir(spark, "visits-ckpt"), fmt="parquet", path=out, available_now=True)])
     return spark.read.parquet(out).drop("batch_id")
 
@@ -247,9 +248,9 @@ def page_stats_stream(spark, sf_dir):
 
 
 def spend_stream_report(spark, sf_dir):
-    stage = _stage(spark, transaction_records(_events(spark, sf_dir)), "spend")
+    stage, per_trigger = _stage(spark, transaction_records(_events(spark, sf_dir)), "spend")
     out = fresh_dir(spark, "spend-report")
-    _await([start_spend_report(read_record_files(spark, stage, STAGE_FILES_PER_TRIGGER),
+    _await([start_spend_report(read_record_files(spark, stage, per_trigger),
                                fresh_dir(spark, "spend-ckpt"), fmt="parquet", path=out, available_now=True)])
     return read_spend_table(spark, out)
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from clickpulse.config import CLICK_TIME_PATTERN, DEFAULT_TOPIC
 from clickpulse.functions.encode import click_json, transaction_csv
+from clickpulse.sources.tables import spread_if_under_split
 
 # The generator's traffic sources and its first user id.
 TRAFFIC_SOURCES = ("google.com", "yandex.ru", "youtube.com", "vk.com")
@@ -29,7 +30,7 @@ ACCOUNTS = 5
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread_if_under_split(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def traffic_source(user_id: Column) -> Column:
