@@ -51,8 +51,10 @@ class LayerConfig:
     raw_format: str = "parquet"
     raw_options: dict = field(default_factory=dict)
     raw_path: str | None = None
-    # Upper bound of files per speed-view write; None lets AQE decide.
-    max_speed_files: int | None = 10
+    # Upper bound of files per speed-view write (the original job used 10).
+    # None lets AQE size the output partitions, so a large micro-batch is
+    # not squeezed into a few tasks.
+    max_speed_files: int | None = None
     partition_overwrite_mode: str = "dynamic"
 
     @property

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.config import CLICK_TIME_PATTERN, CLICK_TIME_PATTERN_12H, TRANSACTION_TIME_PATTERN
@@ -57,3 +57,11 @@ def transaction_csv(account_id: Column | str, amount: Column | str, log_ts: Colu
         _col(amount).cast("string"),
         F.date_format(_col(log_ts), pattern),
     )
+
+
+def clicks_to_records(clicks: DataFrame, pattern: str = CLICK_TIME_PATTERN) -> DataFrame:
+    """Typed clicks -> Kafka key/value rows with JSON values (click topic sink)."""
+    return clicks.select(
+        F.lit(None).cast("binary").alias("key"),
+        click_json("timestamp", "page", "userId", "duration", "trafficSource", pattern).cast("binary").alias("value"),
+    )

@@ -21,3 +21,8 @@ def report_view(spark: SparkSession, report_base: str, report_date: str | dt.dat
 def speed_view(spark: SparkSession, speed_path: str, n: int = TOP_ROWS) -> DataFrame:
     """Newest windows of the speed view, partial rows summed first."""
     return latest_windows(reaggregate_speed(read_speed_view(spark, speed_path)), n)
+
+
+def preview(df: DataFrame, n: int = TOP_ROWS) -> None:
+    """Print the first ``n`` rows untruncated (the jobs' driver preview)."""
+    df.show(n, truncate=False)
