@@ -36,8 +36,16 @@ from clickpulse.streaming.spend import start_spend_report
 from clickpulse.streaming.speed import start_speed_layer
 
 
-def _session(name: str) -> SparkSession:
-    return SparkSession.builder.appName(name).getOrCreate()
+STREAMING_JOBS = {"speed", "visits", "stats", "spend"}
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _session(name: str, streaming: bool = False) -> SparkSession:
+    spark = SparkSession.builder.appName(name).getOrCreate()
+    if streaming and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
+        # window state off the JVM heap; a new checkpoint records the choice
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    return spark
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -60,6 +68,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--raw-path")
     s.add_argument("--max-speed-files", type=int)
     s.add_argument("--max-offsets-per-trigger", type=int)
+    s.add_argument("--min-partitions", type=int)
 
     b = sub.add_parser("batch", help="speed view -> all-time report partitioned by date")
     b.add_argument("--speed-path", required=True)
@@ -110,7 +119,7 @@ def _options(pairs: list[str]) -> dict:
 
 def main(argv: list[str] | None = None) -> None:
     a = _parser().parse_args(argv)
-    spark = _session(f"clickpulse-{a.job}")
+    spark = _session(f"clickpulse-{a.job}", a.job in STREAMING_JOBS)
     if a.job == "speed":
         cfg = LayerConfig(topic=a.topic, kafka_bootstrap_servers=a.bootstrap, speed_path=a.speed_path,
                           streaming_checkpoint=a.checkpoint, window_seconds=a.window_seconds,
@@ -118,7 +127,8 @@ def main(argv: list[str] | None = None) -> None:
                           time_pattern=a.time_pattern, speed_mode=a.mode, raw_format=a.raw_format,
                           raw_options={} if a.raw_path else _options(a.raw_option), raw_path=a.raw_path,
                           max_speed_files=a.max_speed_files)
-        src = read_kafka(spark, a.bootstrap, a.topic, max_offsets_per_trigger=a.max_offsets_per_trigger)
+        src = read_kafka(spark, a.bootstrap, a.topic, max_offsets_per_trigger=a.max_offsets_per_trigger,
+                         min_partitions=a.min_partitions)
         start_speed_layer(src, cfg, a.checkpoint)
         spark.streams.awaitAnyTermination()
     elif a.job == "batch":

@@ -16,19 +16,28 @@ from clickpulse.schemas import KAFKA_RECORD_SCHEMA
 
 def kafka_source_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
                          starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
+                         min_partitions: int | None = None, fail_on_data_loss: bool = True,
                          extra: dict | None = None) -> dict:
+    """Options of Spark's Kafka source.
+
+    ``min_partitions`` splits large topic partitions into several Spark
+    tasks, so a hot key (all its records land in one topic partition) is
+    read by many tasks. ``fail_on_data_loss`` stays on: offsets that expired
+    before they were read fail the query instead of silently losing rows.
+    A restart resumes at the checkpoint's offsets, not at ``startingOffsets``.
+    """
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        # A restart from a checkpoint resumes at its offsets; without one a
-        # lost topic partition must not kill the query.
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if group_id:
         opts["kafka.group.id"] = group_id
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     opts.update(extra or {})
     return opts
 
