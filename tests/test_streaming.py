@@ -121,3 +121,24 @@ def test_kafka_options_and_record_shape(spark):
     assert opts["maxOffsetsPerTrigger"] == "100"
     df = to_records(spark.createDataFrame([("x", 1)], "value string, k long"), key="k")
     assert df.dtypes == [("key", "binary"), ("value", "binary")]
+
+
+def test_parquet_sink_appends(spark, workdir):
+    from clickpulse.streaming.speed import start_parquet_sink
+    src = f"{workdir}/in"
+    records(spark, [click("01-01-2024 00:00:01:000"), click("01-01-2024 00:00:02:000")]).write.parquet(src)
+    q = start_parquet_sink(parse_clicks(read_record_files(spark, src)), f"{workdir}/out", f"{workdir}/ckpt",
+                           available_now=True)
+    assert q.awaitTermination(120)
+    assert spark.read.parquet(f"{workdir}/out").count() == 2
+
+
+def test_spend_report_reader_on_file_table(spark, workdir):
+    from clickpulse.operators.spend import spend_by_account
+    from clickpulse.sources.tables import jdbc_options, read_spend_report
+    spark.createDataFrame([(1, None, 10), (1, None, 5)], "account_id long, log_ts timestamp, amount long") \
+        .write.parquet(f"{workdir}/t")
+    got = spend_by_account(read_spend_report(spark, "parquet", f"{workdir}/t")).collect()
+    assert [(r.metric, r.value) for r in got] == [("1", 15)]
+    opts = jdbc_options("jdbc:x://h/db", user="u", password="p")
+    assert opts["dbtable"] == "spend_report" and opts["user"] == "u"
