@@ -38,9 +38,13 @@ def start_spend_report(records: DataFrame, checkpoint: str, fmt: str = "jdbc", p
 
 
 def read_spend_table(spark: SparkSession, path: str, fmt: str = "parquet", policy: str = "last") -> DataFrame:
-    """Resolve the per-batch folders: one row per key, later batch/offset wins."""
+    """Resolve the per-batch folders: one row per key, the greatest offset wins.
+
+    All records of one account share a topic partition (the account is the
+    record key), so offset order is the order they arrived in, whichever
+    micro-batch carried them.
+    """
     rows = spark.read.format(fmt).load(path)
     if policy == "last":
-        ordered = rows.withColumn("_order", F.struct("batch_id", "offset"))
-        return dedupe_spend(ordered, "last", order_col="_order")
+        return dedupe_spend(rows, "last", order_col="offset")
     return dedupe_spend(rows, "error")

@@ -142,3 +142,15 @@ def test_spend_report_reader_on_file_table(spark, workdir):
     assert [(r.metric, r.value) for r in got] == [("1", 15)]
     opts = jdbc_options("jdbc:x://h/db", user="u", password="p")
     assert opts["dbtable"] == "spend_report" and opts["user"] == "u"
+
+
+def test_spend_stream_greatest_offset_wins_whatever_the_batch(spark, workdir):
+    """A later micro-batch may carry an earlier offset; the offset decides."""
+    src = f"{workdir}/in"
+    records(spark, ["1, 50, 2000-01-01 01:00:00"], start_offset=5, keys=[1]).coalesce(1) \
+        .write.mode("append").parquet(src)
+    records(spark, ["1, 10, 2000-01-01 01:00:00"], start_offset=1, keys=[1]).coalesce(1) \
+        .write.mode("append").parquet(src)
+    _wait([start_spend_report(read_record_files(spark, src, 1), f"{workdir}/ckpt", fmt="parquet",
+                              path=f"{workdir}/spend", available_now=True)])
+    assert [(r.account_id, r.amount) for r in read_spend_table(spark, f"{workdir}/spend").collect()] == [(1, 50)]
