@@ -20,6 +20,10 @@ CLICK_TIME_PATTERN = "dd-MM-yyyy HH:mm:ss:SSS"
 CLICK_TIME_PATTERN_12H = "dd-MM-yyyy hh:mm:ss:SSS"
 TRANSACTION_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
 SPEND_BAND_RED_FROM = 80
+# Value domains of the click and transaction producers.
+TRAFFIC_SOURCES = ("google.com", "yandex.ru", "youtube.com", "vk.com")
+FIRST_USER_ID = 2013000000
+ACCOUNTS = 5
 
 
 @dataclass(frozen=True)

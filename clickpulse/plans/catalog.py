@@ -17,7 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.config import (
+    ACCOUNTS,
     CLICK_TIME_PATTERN,
+    FIRST_USER_ID,
+    TRAFFIC_SOURCES,
     DEFAULT_WATERMARK_SECONDS,
     DEFAULT_WINDOW_SECONDS,
     PAGE_STATS_WINDOW_SECONDS,
@@ -130,7 +133,7 @@ def permissive_parse(spark, sf_dir):
 
     def corrupt(text):
         iso = click_json(event_time(F.col("ts")), F.concat(F.lit("/"), F.col("event_type")),
-                         F.lit(2013000000) + F.col("user_id"), F.floor(F.col("value")),
+                         F.lit(FIRST_USER_ID) + F.col("user_id"), F.floor(F.col("value")),
                          traffic_source(F.col("user_id")), "yyyy-MM-dd HH:mm:ss.SSS")
         return (F.when(F.col("event_type") == "error", F.regexp_replace(text, r"\}$", ""))
                 .when(F.col("event_type") == "signup", iso)
@@ -257,14 +260,16 @@ def spend_stream_report(spark, sf_dir):
 
 # ------------------------------------------------------------------ oracle SQL
 
-_CLICKS_CTE = """clicks AS (
+_N_SOURCES = len(TRAFFIC_SOURCES)
+_SOURCE_CASE = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(TRAFFIC_SOURCES))
+
+_CLICKS_CTE = f"""clicks AS (
   SELECT event_id AS "offset", event_type,
          date_trunc('milliseconds', ts) AS "timestamp",
          '/' || event_type AS page,
-         CAST(2013000000 + user_id AS VARCHAR) AS userId,
+         CAST({FIRST_USER_ID} + user_id AS VARCHAR) AS userId,
          CAST(CAST(floor("value") AS BIGINT) AS VARCHAR) AS duration,
-         CASE ((user_id % 4) + 4) % 4 WHEN 0 THEN 'google.com' WHEN 1 THEN 'yandex.ru'
-              WHEN 2 THEN 'youtube.com' ELSE 'vk.com' END AS trafficSource
+         CASE ((user_id % {_N_SOURCES}) + {_N_SOURCES}) % {_N_SOURCES} {_SOURCE_CASE} END AS trafficSource
   FROM events)"""
 
 
@@ -297,8 +302,8 @@ SELECT "timestamp", page, userId, duration, trafficSource FROM clicks"""
 
 _SPEED_SQL = f"WITH {_CLICKS_CTE}\n{_window_counts_sql(DEFAULT_WINDOW_SECONDS)}"
 
-_SPEND_CTE = """tx AS (
-  SELECT event_id AS "offset", ((user_id % 5) + 5) % 5 + 1 AS account_id,
+_SPEND_CTE = f"""tx AS (
+  SELECT event_id AS "offset", ((user_id % {ACCOUNTS}) + {ACCOUNTS}) % {ACCOUNTS} + 1 AS account_id,
          CAST(floor("value") AS BIGINT) AS amount, date_trunc('second', ts) AS log_ts
   FROM events),
 spend AS (

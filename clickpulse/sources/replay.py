@@ -19,15 +19,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.config import CLICK_TIME_PATTERN, DEFAULT_TOPIC
+from clickpulse.config import ACCOUNTS, CLICK_TIME_PATTERN, DEFAULT_TOPIC, FIRST_USER_ID, TRAFFIC_SOURCES
 from clickpulse.functions.encode import click_json, transaction_csv
 from clickpulse.sources.tables import spread_if_under_split
 
-# The generator's traffic sources and its first user id.
-TRAFFIC_SOURCES = ("google.com", "yandex.ru", "youtube.com", "vk.com")
-FIRST_USER_ID = 2013000000
-ACCOUNTS = 5
-
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_if_under_split(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
