@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from clickpulse.config import (
     ACCOUNTS,
     CLICK_TIME_PATTERN,
+    CLICK_TIME_PATTERN_12H,
     FIRST_USER_ID,
     TRAFFIC_SOURCES,
     DEFAULT_WATERMARK_SECONDS,
@@ -31,7 +32,7 @@ from clickpulse.functions.decode import parse_clicks, parse_clicks_strict, parse
 from clickpulse.functions.encode import click_json, page_stats_json
 from clickpulse.operators.ordering import latest_windows, top_report
 from clickpulse.operators.spend import dedupe_spend, spend_by_account
-from clickpulse.operators.totals import all_time_totals
+from clickpulse.operators.totals import all_time_totals, with_report_date
 from clickpulse.operators.visits import page_visits
 from clickpulse.operators.windows import page_stats, reaggregate_speed, window_counts
 from clickpulse.plans.batch import build_report, run_batch_layer
@@ -55,6 +56,7 @@ from clickpulse.streaming.speed import start_speed_layer
 RECORDS_PER_BATCH = 100  # offsets per micro-batch in the partial speed view
 HOUR_WINDOW_SECONDS = 3600
 REPORT_DATE = "2022-08-27"
+PREVIOUS_REPORT_DATE = "2022-08-26"
 REPORT_TOP_N = 10  # the replay has 20 (page, source) groups; 10 makes the cut bite
 STREAM_MICRO_BATCHES = 4  # replayed streams are cut into about this many micro-batches
 STREAM_TIMEOUT_S = 900
@@ -173,6 +175,39 @@ def report_top(spark, sf_dir):
     return top_report(batch_report(spark, sf_dir), REPORT_TOP_N)
 
 
+def _two_reports(spark, sf_dir, mode: str) -> DataFrame:
+    """Write the report for two dates, one after the other, then read all."""
+    base = fresh_dir(spark, f"report-{mode}")
+    totals = all_time_totals(_partials(spark, sf_dir))
+    for d in (PREVIOUS_REPORT_DATE, REPORT_DATE):
+        write_report(with_report_date(totals, d), base, overwrite_mode=mode)
+    return read_report(spark, base)
+
+
+def report_history(spark, sf_dir):
+    """Dynamic overwrite: the earlier date survives the later write."""
+    return _two_reports(spark, sf_dir, "dynamic")
+
+
+def report_static_overwrite(spark, sf_dir):
+    """Static overwrite: the later write replaces every date."""
+    return _two_reports(spark, sf_dir, "static")
+
+
+def speed_counts_12h_wire(spark, sf_dir):
+    """Clicks written with the producer's 12-hour pattern, read by the speed
+    layer's 24-hour pattern: 00:xx reads as 12:xx, 13:00-23:59 as 01-11."""
+    records = click_records(_events(spark, sf_dir), CLICK_TIME_PATTERN_12H)
+    return flatten_window(window_counts(parse_clicks(records, CLICK_TIME_PATTERN), DEFAULT_WINDOW_SECONDS))
+
+
+def page_visits_12h_wire(spark, sf_dir):
+    """Written and read with the 12-hour pattern and no AM/PM marker: every
+    time folds into the first half of its day."""
+    records = click_records(_events(spark, sf_dir), CLICK_TIME_PATTERN_12H)
+    return page_visits(parse_clicks_strict(records, CLICK_TIME_PATTERN_12H))
+
+
 def page_stats_15s(spark, sf_dir):
     return page_stats(_strict_clicks(spark, sf_dir), PAGE_STATS_WINDOW_SECONDS)
 
@@ -262,10 +297,17 @@ def spend_stream_report(spark, sf_dir):
 
 _N_SOURCES = len(TRAFFIC_SOURCES)
 _SOURCE_CASE = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(TRAFFIC_SOURCES))
+_TS_MS = "date_trunc('milliseconds', ts)"
+# 12-hour text read back: with the 24-hour pattern the clock hour 12 stays
+# 12 and 13-23 lose 12 hours; with the 12-hour pattern every time is AM.
+_HH_OF_HH12 = f"{_TS_MS} + to_hours(CASE WHEN hour(ts) = 0 THEN 12 WHEN hour(ts) > 12 THEN -12 ELSE 0 END)"
+_AM_FOLD = f"{_TS_MS} - to_hours(CASE WHEN hour(ts) >= 12 THEN 12 ELSE 0 END)"
 
-_CLICKS_CTE = f"""clicks AS (
+
+def _clicks_cte(time_expr: str = _TS_MS) -> str:
+    return f"""clicks AS (
   SELECT event_id AS "offset", event_type,
-         date_trunc('milliseconds', ts) AS "timestamp",
+         {time_expr} AS "timestamp",
          '/' || event_type AS page,
          CAST({FIRST_USER_ID} + user_id AS VARCHAR) AS userId,
          CAST(CAST(floor("value") AS BIGINT) AS VARCHAR) AS duration,
@@ -273,6 +315,9 @@ _CLICKS_CTE = f"""clicks AS (
   FROM events)"""
 
 
+_CLICKS_CTE = _clicks_cte()
+
+
 def _bucket(seconds: int, col: str = '"timestamp"') -> str:
     return f"time_bucket(INTERVAL '{seconds} seconds', {col}, TIMESTAMP '1970-01-01 00:00:00')"
 
@@ -345,6 +390,14 @@ SELECT page, trafficSource, sum_count, DATE '{REPORT_DATE}' AS report_date FROM
     "report_top": f"""WITH totals AS ({_TOTALS_SQL})
 SELECT page, trafficSource, sum_count, DATE '{REPORT_DATE}' AS report_date FROM totals
 ORDER BY sum_count DESC, page NULLS FIRST, trafficSource NULLS FIRST LIMIT {REPORT_TOP_N}""",
+    "report_history": f"""WITH totals AS ({_TOTALS_SQL})
+SELECT page, trafficSource, sum_count, DATE '{PREVIOUS_REPORT_DATE}' AS report_date FROM totals
+UNION ALL
+SELECT page, trafficSource, sum_count, DATE '{REPORT_DATE}' AS report_date FROM totals""",
+    "report_static_overwrite": f"""WITH totals AS ({_TOTALS_SQL})
+SELECT page, trafficSource, sum_count, DATE '{REPORT_DATE}' AS report_date FROM totals""",
+    "speed_counts_12h_wire": f"WITH {_clicks_cte(_HH_OF_HH12)}\n{_window_counts_sql(DEFAULT_WINDOW_SECONDS)}",
+    "page_visits_12h_wire": f'WITH {_clicks_cte(_AM_FOLD)}\nSELECT "timestamp", page FROM clicks',
     "page_stats_15s": f"WITH {_CLICKS_CTE}\n{_stats_sql(PAGE_STATS_WINDOW_SECONDS)}",
     "page_stats_json": _stats_json_sql(),
     "page_visits": _VISITS_SQL,
@@ -376,6 +429,10 @@ CATALOG: tuple[CatalogQuery, ...] = (
     CatalogQuery("all_time_totals", all_time_totals_q, SQL["all_time_totals"], ("A2", "P14")),
     CatalogQuery("batch_report", batch_report, SQL["batch_report"], ("K3", "P5", "S4", "R3")),
     CatalogQuery("report_top", report_top, SQL["report_top"], ("O1", "O3", "F2")),
+    CatalogQuery("report_history", report_history, SQL["report_history"], ("K3", "R3")),
+    CatalogQuery("report_static_overwrite", report_static_overwrite, SQL["report_static_overwrite"], ("K3",)),
+    CatalogQuery("speed_counts_12h_wire", speed_counts_12h_wire, SQL["speed_counts_12h_wire"], ("P4", "A1")),
+    CatalogQuery("page_visits_12h_wire", page_visits_12h_wire, SQL["page_visits_12h_wire"], ("P7", "P6")),
     CatalogQuery("page_stats_15s", page_stats_15s, SQL["page_stats_15s"], ("W2", "P11", "A3", "P7")),
     CatalogQuery("page_stats_json", page_stats_json_q, SQL["page_stats_json"], ("P8",)),
     CatalogQuery("page_visits", page_visits_q, SQL["page_visits"], ("P6", "P7")),
