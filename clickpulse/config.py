@@ -44,7 +44,8 @@ class LayerConfig:
     kafka_bootstrap_servers: str = "localhost:29092"
     speed_path: str = "out/speed.parquet"
     batch_path: str = "out/batch"
-    streaming_checkpoint: str = "tmp/streaming-checkpoint"
+    # None: a stable folder below spark.checkpoint.dir (see session.stable_dir)
+    streaming_checkpoint: str | None = None
     window_seconds: int = DEFAULT_WINDOW_SECONDS
     watermark_seconds: int = DEFAULT_WATERMARK_SECONDS
     trigger_seconds: int = DEFAULT_TRIGGER_SECONDS

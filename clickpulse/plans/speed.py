@@ -34,14 +34,17 @@ def land_raw(batch: DataFrame, batch_id: int, cfg: LayerConfig) -> None:
 
 
 def speed_batch(batch: DataFrame, batch_id: int, cfg: LayerConfig, land: bool = True) -> None:
-    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    land = land and bool(cfg.raw_path or cfg.raw_options)
+    if land:  # two writes read the batch: read and parse the source once
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if land:
             land_raw(batch, batch_id, cfg)
         counts = window_counts(batch, cfg.window_seconds)
         write_speed_batch(counts, cfg.speed_path, batch_id, cfg.max_speed_files)
     finally:
-        batch.unpersist()
+        if land:
+            batch.unpersist()
 
 
 def speed_batch_writer(cfg: LayerConfig, land: bool = True) -> Callable[[DataFrame, int], None]:

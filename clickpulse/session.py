@@ -58,3 +58,9 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the shared root for one run of one job."""
     return f"{shared_root(spark)}/clickpulse/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stable_dir(spark: SparkSession, name: str) -> str:
+    """A fixed folder below the shared root (a restarted query finds its
+    checkpoint there again)."""
+    return f"{shared_root(spark)}/clickpulse/{name}"

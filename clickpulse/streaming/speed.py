@@ -21,12 +21,15 @@ from clickpulse.config import LayerConfig
 from clickpulse.functions.decode import parse_clicks
 from clickpulse.operators.windows import window_counts
 from clickpulse.plans.speed import land_raw, speed_batch_writer
+from clickpulse.session import stable_dir
 from clickpulse.streaming.triggers import require_checkpoint, with_trigger
 
 
 def start_speed_layer(records: DataFrame, cfg: LayerConfig, checkpoint: str | None = None,
                       available_now: bool = False, query_name: str | None = None) -> list[StreamingQuery]:
-    checkpoint = require_checkpoint(checkpoint or cfg.streaming_checkpoint).rstrip("/")
+    checkpoint = (checkpoint or cfg.streaming_checkpoint
+                  or stable_dir(records.sparkSession, f"checkpoints/speed-{cfg.topic}")).rstrip("/")
+    require_checkpoint(checkpoint)
     clicks = parse_clicks(records, cfg.time_pattern)
     if cfg.speed_mode == "partials":
         w = (clicks.writeStream.foreachBatch(speed_batch_writer(cfg))
