@@ -11,11 +11,14 @@ becomes Kafka-shaped records so the real decode path runs on it:
 
 ``offset`` is the event id, so ``offset // n`` names the micro-batch a Kafka
 source capped at ``n`` offsets per trigger would put the record in.
-Everything is a projection: no shuffle, the work grows with the table.
+The mapping is a projection; the work grows with the table. Only a table
+with fewer input splits than task slots is first dealt over the slots.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,11 +44,11 @@ def event_time(ts: Column) -> Column:
 
 
 def click_records(events: DataFrame, pattern: str = CLICK_TIME_PATTERN, topic: str = DEFAULT_TOPIC,
-                  value_override: Column | None = None) -> DataFrame:
+                  value_override: Callable[[Column], Column] | None = None) -> DataFrame:
     """Events -> Kafka-shaped click records (JSON value).
 
-    ``value_override`` may replace the JSON text for some rows (used to
-    inject malformed records that the permissive parser must survive).
+    ``value_override`` maps the JSON text column to the value actually sent
+    (used to inject malformed records the permissive parser must survive).
     """
     ts = event_time(F.col("ts"))
     text = click_json(
@@ -57,7 +60,7 @@ def click_records(events: DataFrame, pattern: str = CLICK_TIME_PATTERN, topic: s
         pattern,
     )
     if value_override is not None:
-        text = value_override(text) if callable(value_override) else value_override
+        text = value_override(text)
     return events.select(
         F.lit(None).cast("binary").alias("key"),
         text.cast("binary").alias("value"),
@@ -86,6 +89,7 @@ def transaction_records(events: DataFrame, topic: str = "transactions") -> DataF
 
 
 def micro_batch_id(offset: Column | str = "offset", records_per_batch: int = 100) -> Column:
-    """Micro-batch a record lands in when each trigger takes ``n`` offsets."""
+    """Micro-batch a record lands in when each trigger takes ``n`` offsets
+    (exact for offsets below 2**53)."""
     c = F.col(offset) if isinstance(offset, str) else offset
     return F.floor(c / F.lit(records_per_batch)).cast("long")
