@@ -50,3 +50,19 @@ def test_top_k_not_global_sort(spark):
     by_name = {q.name: q for q in CATALOG}
     plan = executed(by_name["latest_windows"].build(spark, SF_SMALL))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_spread_only_for_under_split_tables(spark, workdir):
+    from clickpulse.sources.replay import read_events as read
+    single = executed(read(spark, SF_SMALL))  # one file, one row group
+    assert "RoundRobinPartitioning" in single
+    slots = spark.sparkContext.defaultParallelism
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(slots * 2) \
+        .write.parquet(f"{workdir}/many/events.parquet")
+    # force one split per file so the scan has more splits than slots
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        many = executed(read(spark, f"{workdir}/many"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert "RoundRobinPartitioning" not in many and "Exchange" not in many
