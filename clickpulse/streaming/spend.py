@@ -1,9 +1,14 @@
 """Transactions topic -> spend_report table.
 
 Each micro-batch is parsed (CSV), de-duplicated on the primary key and
-written. A JDBC table receives appends (the database enforces the key);
-a file table receives one folder per batch id and ``read_spend_table``
-resolves keys across batches with the same policy.
+written.
+
+* JDBC table: Spark's JDBC writer appends, so the policy applies inside a
+  micro-batch and the table's own primary key rejects a key that an earlier
+  batch already wrote (the ``error`` behaviour across batches).
+* File table: one folder per batch id (a retry overwrites it) and
+  ``read_spend_table`` resolves keys across batches, so ``last`` holds
+  across the whole stream.
 """
 
 from __future__ import annotations
