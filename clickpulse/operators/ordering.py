@@ -14,15 +14,20 @@ from clickpulse.config import TOP_ROWS
 
 
 def latest_windows(speed: DataFrame, n: int = TOP_ROWS, flatten: bool = True) -> DataFrame:
-    """The ``n`` newest windows (start, then end, descending), tie-broken by keys."""
+    """The ``n`` newest windows (start, then end, descending), tie-broken by keys.
+
+    On a speed view with partial rows, a ``batch_id`` column (if present)
+    breaks the remaining ties.
+    """
+    extra = [F.col("batch_id").asc_nulls_first()] if "batch_id" in speed.columns else []
     ordered = speed.orderBy(
         F.col("window.start").desc(), F.col("window.end").desc(),
-        F.col("page").asc_nulls_first(), F.col("trafficSource").asc_nulls_first(),
+        F.col("page").asc_nulls_first(), F.col("trafficSource").asc_nulls_first(), *extra,
     ).limit(n)
     if flatten:
+        rest = [c for c in ordered.columns if c != "window"]
         ordered = ordered.select(
-            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-            "page", "trafficSource", "count",
+            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *rest,
         )
     return ordered
 

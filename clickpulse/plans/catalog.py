@@ -161,6 +161,11 @@ def latest_windows_q(spark, sf_dir):
     return latest_windows(reaggregate_speed(_partials(spark, sf_dir)), 30)
 
 
+def latest_partials(spark, sf_dir):
+    """The newest stored speed-view rows as they are, one per micro-batch."""
+    return latest_windows(_partials(spark, sf_dir), 30)
+
+
 def all_time_totals_q(spark, sf_dir):
     return all_time_totals(_partials(spark, sf_dir))
 
@@ -384,6 +389,10 @@ FROM clicks""",
     "latest_windows": f"""WITH {_CLICKS_CTE}, counts AS ({_window_counts_sql(DEFAULT_WINDOW_SECONDS)})
 SELECT * FROM counts
 ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST LIMIT 30""",
+    "latest_partials": f"""WITH {_CLICKS_CTE}, partials AS (
+{_window_counts_sql(DEFAULT_WINDOW_SECONDS, f'CAST(floor("offset" / {RECORDS_PER_BATCH}.0) AS BIGINT) AS batch_id, ')})
+SELECT * FROM partials
+ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST, batch_id LIMIT 30""",
     "all_time_totals": _TOTALS_SQL,
     "batch_report": f"""WITH totals AS ({_TOTALS_SQL})
 SELECT page, trafficSource, sum_count, DATE '{REPORT_DATE}' AS report_date FROM totals""",
@@ -426,6 +435,7 @@ CATALOG: tuple[CatalogQuery, ...] = (
     CatalogQuery("speed_window_counts_1h", speed_window_counts_1h, SQL["speed_window_counts_1h"], ("A1", "W1")),
     CatalogQuery("speed_partials", speed_partials, SQL["speed_partials"], ("A1", "W7", "K2")),
     CatalogQuery("latest_windows", latest_windows_q, SQL["latest_windows"], ("O2", "O3")),
+    CatalogQuery("latest_partials", latest_partials, SQL["latest_partials"], ("O2", "O3", "S3")),
     CatalogQuery("all_time_totals", all_time_totals_q, SQL["all_time_totals"], ("A2", "P14")),
     CatalogQuery("batch_report", batch_report, SQL["batch_report"], ("K3", "P5", "S4", "R3")),
     CatalogQuery("report_top", report_top, SQL["report_top"], ("O1", "O3", "F2")),

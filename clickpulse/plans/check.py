@@ -18,9 +18,11 @@ def report_view(spark: SparkSession, report_base: str, report_date: str | dt.dat
     return top_report(read_report(spark, report_base, report_date, fmt=fmt), n)
 
 
-def speed_view(spark: SparkSession, speed_path: str, n: int = TOP_ROWS) -> DataFrame:
-    """Newest windows of the speed view, partial rows summed first."""
-    return latest_windows(reaggregate_speed(read_speed_view(spark, speed_path)), n)
+def speed_view(spark: SparkSession, speed_path: str, n: int = TOP_ROWS, reaggregate: bool = True) -> DataFrame:
+    """Newest windows of the speed view; partial rows summed first unless
+    ``reaggregate`` is off (then the rows show as stored, one per batch)."""
+    view = read_speed_view(spark, speed_path)
+    return latest_windows(reaggregate_speed(view) if reaggregate else view, n)
 
 
 def preview(df: DataFrame, n: int = TOP_ROWS) -> None:
