@@ -64,3 +64,13 @@ def stable_dir(spark: SparkSession, name: str) -> str:
     """A fixed folder below the shared root (a restarted query finds its
     checkpoint there again)."""
     return f"{shared_root(spark)}/clickpulse/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to a fresh folder below the shared root and read it
+    back: later actions reuse the written rows instead of recomputing the
+    lineage, and the rows survive the loss of an executor."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
