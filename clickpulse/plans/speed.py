@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from clickpulse.config import LayerConfig
 from clickpulse.operators.windows import window_counts
-from clickpulse.sources.sinks import append_rows, write_keyed, write_speed_batch
+from clickpulse.sources.sinks import append_rows, write_batch_folder, write_speed_batch
 
 FILE_FORMATS = frozenset({"parquet", "orc", "json", "csv", "avro"})
 
@@ -28,7 +28,7 @@ def land_raw(batch: DataFrame, batch_id: int, cfg: LayerConfig) -> None:
     if not (cfg.raw_path or cfg.raw_options):
         return  # landing switched off
     if cfg.raw_format in FILE_FORMATS:
-        write_keyed(batch, cfg.raw_path, (), batch_id, fmt=cfg.raw_format)
+        write_batch_folder(batch, cfg.raw_path, batch_id, fmt=cfg.raw_format)
     else:
         append_rows(batch, cfg.raw_format, cfg.raw_path, cfg.raw_options)
 

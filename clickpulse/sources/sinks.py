@@ -47,12 +47,13 @@ def write_report(report: DataFrame, base: str, fmt: str = "orc", overwrite_mode:
      .partitionBy("report_date").format(fmt).save(base))
 
 
-def write_keyed(df: DataFrame, path: str, key: tuple[str, ...], batch_id: int, fmt: str = "parquet") -> str:
-    """Write one micro-batch of a keyed table to its own ``batch_id`` folder.
+def write_batch_folder(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> str:
+    """Write one micro-batch of a file table to its own ``batch_id`` folder.
 
-    File tables cannot upsert in place; readers resolve keys across
-    batches (last batch, then last offset wins). Keyed stores (JDBC,
-    wide-column) take ``append_rows`` with their upsert semantics instead.
+    A retried batch overwrites its folder instead of adding a second copy.
+    File tables cannot upsert in place, so readers of keyed tables resolve
+    keys across batches; keyed stores (JDBC, wide-column) take
+    ``append_rows`` and their own key semantics instead.
     """
     target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
     df.write.mode("overwrite").format(fmt).save(target)

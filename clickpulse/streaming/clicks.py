@@ -15,7 +15,7 @@ from clickpulse.functions.decode import parse_clicks_strict
 from clickpulse.functions.encode import page_stats_json
 from clickpulse.operators.visits import page_visits
 from clickpulse.operators.windows import page_stats
-from clickpulse.sources.sinks import append_rows, write_keyed
+from clickpulse.sources.sinks import append_rows, write_batch_folder
 from clickpulse.streaming.triggers import require_checkpoint, with_trigger
 
 
@@ -36,7 +36,7 @@ def start_page_visits(records: DataFrame, checkpoint: str, fmt: str = "parquet",
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if path and fmt in ("parquet", "orc", "json", "csv"):
-            write_keyed(batch, path, (), batch_id, fmt=fmt)
+            write_batch_folder(batch, path, batch_id, fmt=fmt)
         else:
             append_rows(batch, fmt, path, options)
 

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickpulse.functions.decode import parse_transactions
 from clickpulse.operators.spend import dedupe_spend
-from clickpulse.sources.sinks import append_rows, write_keyed
+from clickpulse.sources.sinks import append_rows, write_batch_folder
 from clickpulse.streaming.triggers import require_checkpoint, with_trigger
 
 
@@ -34,7 +34,7 @@ def start_spend_report(records: DataFrame, checkpoint: str, fmt: str = "jdbc", p
             resolved = dedupe_spend(batch, policy, order_col="offset", keep_order=True)
             if policy == "error":
                 resolved = resolved.withColumn("offset", F.lit(None).cast("long"))
-            write_keyed(resolved, path, ("account_id", "log_ts"), batch_id, fmt=fmt)
+            write_batch_folder(resolved, path, batch_id, fmt=fmt)
         else:
             append_rows(dedupe_spend(batch, policy, order_col="offset"), fmt, None, options)
 
