@@ -271,7 +271,7 @@ def speed_stream_totals(spark, sf_dir):
 
 def raw_landing(spark, sf_dir):
     cfg = _run_partials_stream(spark, sf_dir)
-    return spark.read.parquet(cfg.raw_path).drop("batch_id")
+    return spark.read.parquet(cfg.raw_path).drop("run", "batch_id")
 
 
 def page_visits_stream(spark, sf_dir):
@@ -279,7 +279,7 @@ def page_visits_stream(spark, sf_dir):
     out = fresh_dir(spark, "visits")
     _await([start_page_visits(read_record_files(spark, stage, per_trigger),
                               fresh_dir(spark, "visits-ckpt"), fmt="parquet", path=out, available_now=True)])
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(out).drop("run", "batch_id")
 
 
 def page_stats_stream(spark, sf_dir):

@@ -19,7 +19,7 @@ from clickpulse.sources.sinks import append_rows, write_batch_folder, write_spee
 FILE_FORMATS = frozenset({"parquet", "orc", "json", "csv", "avro"})
 
 
-def land_raw(batch: DataFrame, batch_id: int, cfg: LayerConfig) -> None:
+def land_raw(batch: DataFrame, batch_id: int, cfg: LayerConfig, run: str | None = None) -> None:
     """Raw parsed clicks to the raw table.
 
     File tables get one folder per batch id (a retry overwrites it); a
@@ -28,27 +28,29 @@ def land_raw(batch: DataFrame, batch_id: int, cfg: LayerConfig) -> None:
     if not (cfg.raw_path or cfg.raw_options):
         return  # landing switched off
     if cfg.raw_format in FILE_FORMATS:
-        write_batch_folder(batch, cfg.raw_path, batch_id, fmt=cfg.raw_format)
+        write_batch_folder(batch, cfg.raw_path, batch_id, fmt=cfg.raw_format, run=run)
     else:
         append_rows(batch, cfg.raw_format, cfg.raw_path, cfg.raw_options)
 
 
-def speed_batch(batch: DataFrame, batch_id: int, cfg: LayerConfig, land: bool = True) -> None:
+def speed_batch(batch: DataFrame, batch_id: int, cfg: LayerConfig, land: bool = True,
+                run: str | None = None) -> None:
     land = land and bool(cfg.raw_path or cfg.raw_options)
     if land:  # two writes read the batch: read and parse the source once
         batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if land:
-            land_raw(batch, batch_id, cfg)
+            land_raw(batch, batch_id, cfg, run)
         counts = window_counts(batch, cfg.window_seconds)
-        write_speed_batch(counts, cfg.speed_path, batch_id, cfg.max_speed_files)
+        write_speed_batch(counts, cfg.speed_path, batch_id, cfg.max_speed_files, run)
     finally:
         if land:
             batch.unpersist()
 
 
-def speed_batch_writer(cfg: LayerConfig, land: bool = True) -> Callable[[DataFrame, int], None]:
-    def run(batch: DataFrame, batch_id: int) -> None:
-        speed_batch(batch, batch_id, cfg, land)
+def speed_batch_writer(cfg: LayerConfig, land: bool = True, tag=None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` callback; ``tag`` (a ``RunTag``) names the run folder."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        speed_batch(batch, batch_id, cfg, land, tag.get() if tag is not None else None)
 
-    return run
+    return write

@@ -23,14 +23,23 @@ def append_rows(df: DataFrame, fmt: str = "parquet", path: str | None = None, op
         w.save()
 
 
-def write_speed_batch(counts: DataFrame, speed_path: str, batch_id: int, max_files: int | None = None) -> str:
-    """Write one micro-batch's window counts to ``<speed_path>/batch_id=<n>``.
+def batch_folder(path: str, batch_id: int, run: str | None = None) -> str:
+    """``<path>[/run=<query id>]/batch_id=<n>``: one folder per micro-batch."""
+    base = path.rstrip("/")
+    if run:
+        base = f"{base}/run={run}"
+    return f"{base}/batch_id={int(batch_id)}"
+
+
+def write_speed_batch(counts: DataFrame, speed_path: str, batch_id: int, max_files: int | None = None,
+                      run: str | None = None) -> str:
+    """Write one micro-batch's window counts to its own batch folder.
 
     Overwriting the batch's own folder makes a retried batch replace its
     earlier attempt instead of adding a second copy.
     """
     out = counts.coalesce(max_files) if max_files else counts
-    target = f"{speed_path.rstrip('/')}/batch_id={int(batch_id)}"
+    target = batch_folder(speed_path, batch_id, run)
     out.write.mode("overwrite").parquet(target)
     return target
 
@@ -47,7 +56,8 @@ def write_report(report: DataFrame, base: str, fmt: str = "orc", overwrite_mode:
      .partitionBy("report_date").format(fmt).save(base))
 
 
-def write_batch_folder(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> str:
+def write_batch_folder(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
+                       run: str | None = None) -> str:
     """Write one micro-batch of a file table to its own ``batch_id`` folder.
 
     A retried batch overwrites its folder instead of adding a second copy.
@@ -55,7 +65,7 @@ def write_batch_folder(df: DataFrame, path: str, batch_id: int, fmt: str = "parq
     keys across batches; keyed stores (JDBC, wide-column) take
     ``append_rows`` and their own key semantics instead.
     """
-    target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
+    target = batch_folder(path, batch_id, run)
     df.write.mode("overwrite").format(fmt).save(target)
     return target
 

@@ -16,7 +16,7 @@ from clickpulse.functions.encode import page_stats_json
 from clickpulse.operators.visits import page_visits
 from clickpulse.operators.windows import page_stats
 from clickpulse.sources.sinks import append_rows, write_batch_folder
-from clickpulse.streaming.triggers import require_checkpoint, with_trigger
+from clickpulse.streaming.triggers import RunTag, require_checkpoint, with_trigger
 
 
 def visit_stream(records: DataFrame, pattern: str = CLICK_TIME_PATTERN) -> DataFrame:
@@ -33,15 +33,16 @@ def start_page_visits(records: DataFrame, checkpoint: str, fmt: str = "parquet",
     (e.g. keyspace ``example``, table ``clickevent``) get appends.
     """
     visits = visit_stream(records, pattern)
+    tag = RunTag()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if path and fmt in ("parquet", "orc", "json", "csv"):
-            write_batch_folder(batch, path, batch_id, fmt=fmt)
+            write_batch_folder(batch, path, batch_id, fmt=fmt, run=tag.get())
         else:
             append_rows(batch, fmt, path, options)
 
     w = visits.writeStream.foreachBatch(write).option("checkpointLocation", require_checkpoint(checkpoint))
-    return with_trigger(w, trigger_seconds, available_now).start()
+    return tag.bind(with_trigger(w, trigger_seconds, available_now).start())
 
 
 def stats_stream(records: DataFrame, pattern: str = CLICK_TIME_PATTERN,

@@ -4,7 +4,7 @@ Input: a streaming frame of Kafka-shaped records (``value`` holds click
 JSON). Modes (see ``LayerConfig.speed_mode``):
 
 * ``partials`` — one query; ``foreachBatch`` lands raw clicks and writes the
-  batch's window counts to ``batch_id=<n>``. No row is dropped; a window cut
+  batch's window counts to ``run=<query id>/batch_id=<n>``. No row is dropped; a window cut
   across micro-batches is stored once per batch and summed by readers.
 * ``final`` — watermark + window on the streaming frame, append mode to a
   Parquet file sink: each window once, after the watermark passes its end;
@@ -22,7 +22,7 @@ from clickpulse.functions.decode import parse_clicks
 from clickpulse.operators.windows import window_counts
 from clickpulse.plans.speed import land_raw, speed_batch_writer
 from clickpulse.session import stable_dir
-from clickpulse.streaming.triggers import require_checkpoint, with_trigger
+from clickpulse.streaming.triggers import RunTag, require_checkpoint, with_trigger
 
 
 def start_speed_layer(records: DataFrame, cfg: LayerConfig, checkpoint: str | None = None,
@@ -32,11 +32,12 @@ def start_speed_layer(records: DataFrame, cfg: LayerConfig, checkpoint: str | No
     require_checkpoint(checkpoint)
     clicks = parse_clicks(records, cfg.time_pattern)
     if cfg.speed_mode == "partials":
-        w = (clicks.writeStream.foreachBatch(speed_batch_writer(cfg))
+        tag = RunTag()
+        w = (clicks.writeStream.foreachBatch(speed_batch_writer(cfg, tag=tag))
              .option("checkpointLocation", f"{checkpoint}/speed"))
         if query_name:
             w = w.queryName(query_name)
-        return [with_trigger(w, cfg.trigger_seconds, available_now).start()]
+        return [tag.bind(with_trigger(w, cfg.trigger_seconds, available_now).start())]
 
     queries = []
     counts = window_counts(clicks, cfg.window_seconds, cfg.watermark_seconds)
@@ -47,9 +48,10 @@ def start_speed_layer(records: DataFrame, cfg: LayerConfig, checkpoint: str | No
         w = w.queryName(query_name)
     queries.append(with_trigger(w, cfg.trigger_seconds, available_now).start())
     if cfg.raw_path or cfg.raw_options:
-        raw = (clicks.writeStream.foreachBatch(lambda b, i: land_raw(b, i, cfg))
+        raw_tag = RunTag()
+        raw = (clicks.writeStream.foreachBatch(lambda b, i: land_raw(b, i, cfg, raw_tag.get()))
                .option("checkpointLocation", f"{checkpoint}/raw"))
-        queries.append(with_trigger(raw, cfg.trigger_seconds, available_now).start())
+        queries.append(raw_tag.bind(with_trigger(raw, cfg.trigger_seconds, available_now).start()))
     return queries
 
 

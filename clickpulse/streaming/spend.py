@@ -6,7 +6,7 @@ written.
 * JDBC table: Spark's JDBC writer appends, so the policy applies inside a
   micro-batch and the table's own primary key rejects a key that an earlier
   batch already wrote (the ``error`` behaviour across batches).
-* File table: one folder per batch id (a retry overwrites it) and
+* File table: one folder per run and batch id (a retry overwrites it) and
   ``read_spend_table`` resolves keys across batches, so ``last`` holds
   across the whole stream.
 """
@@ -20,13 +20,14 @@ from pyspark.sql.streaming import StreamingQuery
 from clickpulse.functions.decode import parse_transactions
 from clickpulse.operators.spend import dedupe_spend
 from clickpulse.sources.sinks import append_rows, write_batch_folder
-from clickpulse.streaming.triggers import require_checkpoint, with_trigger
+from clickpulse.streaming.triggers import RunTag, require_checkpoint, with_trigger
 
 
 def start_spend_report(records: DataFrame, checkpoint: str, fmt: str = "jdbc", path: str | None = None,
                        options: dict | None = None, policy: str = "last", trigger_seconds: int | None = None,
                        available_now: bool = False) -> StreamingQuery:
     tx = parse_transactions(records, keep=("offset",))
+    tag = RunTag()
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if path:
@@ -34,12 +35,12 @@ def start_spend_report(records: DataFrame, checkpoint: str, fmt: str = "jdbc", p
             resolved = dedupe_spend(batch, policy, order_col="offset", keep_order=True)
             if policy == "error":
                 resolved = resolved.withColumn("offset", F.lit(None).cast("long"))
-            write_batch_folder(resolved, path, batch_id, fmt=fmt)
+            write_batch_folder(resolved, path, batch_id, fmt=fmt, run=tag.get())
         else:
             append_rows(dedupe_spend(batch, policy, order_col="offset"), fmt, None, options)
 
     w = tx.writeStream.foreachBatch(write).option("checkpointLocation", require_checkpoint(checkpoint))
-    return with_trigger(w, trigger_seconds, available_now).start()
+    return tag.bind(with_trigger(w, trigger_seconds, available_now).start())
 
 
 def read_spend_table(spark: SparkSession, path: str, fmt: str = "parquet", policy: str = "last") -> DataFrame:

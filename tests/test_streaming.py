@@ -80,7 +80,7 @@ def test_page_visits_stream(spark, workdir):
                              available_now=True)])
     visits = spark.read.parquet(f"{workdir}/visits")
     assert visits.count() == rec.count()
-    assert set(visits.columns) == {"timestamp", "page", "batch_id"}
+    assert set(visits.columns) == {"timestamp", "page", "run", "batch_id"}
 
 
 def test_page_stats_stream_json(spark, workdir):
@@ -154,3 +154,19 @@ def test_spend_stream_greatest_offset_wins_whatever_the_batch(spark, workdir):
     _wait([start_spend_report(read_record_files(spark, src, 1), f"{workdir}/ckpt", fmt="parquet",
                               path=f"{workdir}/spend", available_now=True)])
     assert [(r.account_id, r.amount) for r in read_spend_table(spark, f"{workdir}/spend").collect()] == [(1, 50)]
+
+
+def test_new_checkpoint_does_not_overwrite_earlier_run(spark, workdir):
+    """A query on a fresh checkpoint counts batches from 0 again; its output
+    lands in its own run folder, so the earlier run's rows stay."""
+    src = f"{workdir}/in"
+    records(spark, [click("01-01-2024 00:00:01:000")]).write.parquet(src)
+    cfg = LayerConfig(speed_path=f"{workdir}/speed")
+    for ckpt in ("ckpt-a", "ckpt-b"):
+        _wait(start_speed_layer(read_record_files(spark, src), cfg, f"{workdir}/{ckpt}", available_now=True))
+    view = read_speed_view(spark, cfg.speed_path)
+    assert view.select("run").distinct().count() == 2
+    assert view.agg(F.sum("count")).first()[0] == 2
+    # restarting from an existing checkpoint finds nothing new and adds nothing
+    _wait(start_speed_layer(read_record_files(spark, src), cfg, f"{workdir}/ckpt-a", available_now=True))
+    assert read_speed_view(spark, cfg.speed_path).agg(F.sum("count")).first()[0] == 2
