@@ -77,6 +77,8 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--overwrite-mode", choices=["dynamic", "static"], default="dynamic")
     b.add_argument("--format", default="orc")
     b.add_argument("--show", type=int, default=TOP_ROWS)
+    b.add_argument("--incremental", action="store_true",
+                   help="previous report + speed batches written since (partials layout)")
 
     c = sub.add_parser("check", help="print the read-back views of both layers")
     c.add_argument("--speed-path", required=True)
@@ -132,7 +134,8 @@ def main(argv: list[str] | None = None) -> None:
         start_speed_layer(src, cfg, a.checkpoint)
         spark.streams.awaitAnyTermination()
     elif a.job == "batch":
-        out = run_batch_layer(spark, a.speed_path, a.report_path, a.report_date, a.overwrite_mode, a.format)
+        out = run_batch_layer(spark, a.speed_path, a.report_path, a.report_date, a.overwrite_mode, a.format,
+                              incremental=a.incremental)
         preview(out.orderBy(out.sum_count.desc()), a.show)
     elif a.job == "check":
         preview(report_view(spark, a.report_path, a.report_date, a.rows), a.rows)

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 
@@ -92,3 +93,55 @@ def test_batch_layer_end_to_end(spark, speed, workdir):
 def test_default_report_date_is_today(spark, speed):
     d = with_report_date(all_time_totals(speed)).select("report_date").first()[0]
     assert d == spark.sql("select date_format(current_date(), 'yyyy-MM-dd')").first()[0]
+
+
+def test_incremental_report_equals_full(spark, workdir):
+    from clickpulse.config import LayerConfig
+    from clickpulse.plans.speed import speed_batch
+
+    cdl = "timestamp timestamp, page string, trafficSource string"
+
+    def clicks(rows):
+        return spark.createDataFrame([(ts(t), p, s) for t, p, s in rows], cdl)
+
+    cfg = LayerConfig(speed_path=f"{workdir}/speed")
+    speed_batch(clicks([("2024-01-01 00:00:01", "/a", "g"), ("2024-01-01 00:00:02", "/b", "g")]), 0, cfg, run="r1")
+    speed_batch(clicks([("2024-01-01 00:00:05", "/a", "g")]), 1, cfg, run="r1")
+    base = f"{workdir}/report"
+    first = run_batch_layer(spark, cfg.speed_path, base, "2024-01-01", incremental=True)
+    assert sorted((r.page, r.sum_count) for r in first.collect()) == [("/a", 2), ("/b", 1)]
+
+    # more batches of the same run, a new run, and a retried (rewritten) old batch
+    speed_batch(clicks([("2024-01-01 00:00:09", "/a", "y")]), 2, cfg, run="r1")
+    speed_batch(clicks([("2024-01-02 00:00:09", "/b", "g")] * 3), 0, cfg, run="r2")
+    speed_batch(clicks([("2024-01-01 00:00:05", "/a", "g")]), 1, cfg, run="r1")
+    inc = run_batch_layer(spark, cfg.speed_path, base, "2024-01-02", incremental=True)
+    full = run_batch_layer(spark, cfg.speed_path, f"{workdir}/full", "2024-01-02")
+    key = lambda r: (r.page, r.trafficSource, r.sum_count)
+    assert sorted(map(key, inc.collect())) == sorted(map(key, full.collect())) == [
+        ("/a", "g", 2), ("/a", "y", 1), ("/b", "g", 4)]
+    # the earlier date is kept and unchanged
+    assert sorted((r.page, r.sum_count) for r in read_report(spark, base, "2024-01-01").collect()) == [
+        ("/a", 2), ("/b", 1)]
+
+
+def test_incremental_reads_only_new_batches(spark, workdir):
+    from clickpulse.config import LayerConfig
+    from clickpulse.plans.batch import incremental_totals
+    from clickpulse.plans.speed import speed_batch
+    from clickpulse.sources.tables import read_speed_view
+
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=1)
+    one = spark.createDataFrame([(ts("2024-01-01 00:00:01"), "/a", "g")],
+                                "timestamp timestamp, page string, trafficSource string")
+    for b in range(4):
+        speed_batch(one, b, cfg, run="r1")
+    base = f"{workdir}/report"
+    run_batch_layer(spark, cfg.speed_path, base, "2024-01-01", incremental=True)
+    speed_batch(one, 4, cfg, run="r1")
+    totals, state = incremental_totals(spark, read_speed_view(spark, cfg.speed_path), base, "2024-01-02")
+    plan = totals._jdf.queryExecution().executedPlan().toString()
+    # only the new batch folder is read from the speed view
+    assert re.search(r"PartitionFilters: \[[^\]]*\(batch_id#\d+ > 3\)", plan)
+    assert totals.collect()[0].sum_count == 5
+    assert [(r.run, r.through) for r in state.collect()] == [("r1", 4)]
