@@ -2,7 +2,7 @@
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Each query is materialised with the ``noop`` sink (full computation, no
-driver collect); the reported time per query is the best of ``BENCH_RUNS``.
+driver collect); the reported time per query is the best of ``BENCH_RUNS`` (default 3).
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus != "*" else 8)),
                           app="clickpulse-bench")
