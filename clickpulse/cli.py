@@ -29,7 +29,7 @@ from clickpulse.config import (
 )
 from clickpulse.plans.batch import run_batch_layer
 from clickpulse.plans.check import preview, report_view, speed_view
-from clickpulse.sources.kafka import read_kafka
+from clickpulse.sources.kafka import read_kafka, read_record_files
 from clickpulse.sources.tables import jdbc_options
 from clickpulse.streaming.clicks import start_page_stats, start_page_visits
 from clickpulse.streaming.spend import start_spend_report
@@ -37,6 +37,9 @@ from clickpulse.streaming.speed import start_speed_layer
 
 
 STREAMING_JOBS = {"speed", "visits", "stats", "spend"}
+# Tables of the raw-click and page-visit sinks.
+RAW_SINK_OPTIONS = ["keyspace=public", "table=click"]
+VISITS_SINK_OPTIONS = ["keyspace=example", "table=clickevent"]
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -63,8 +66,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--mode", choices=["partials", "final"], default="partials")
     s.add_argument("--time-pattern", default=CLICK_TIME_PATTERN)
     s.add_argument("--raw-format", default="org.apache.spark.sql.cassandra")
-    s.add_argument("--raw-option", action="append", default=["keyspace=public", "table=click"],
-                   help="key=value option of the raw sink (repeatable)")
+    s.add_argument("--raw-option", action="append",
+                   help="key=value option of the raw sink (repeatable; default keyspace=public, table=click)")
     s.add_argument("--raw-path")
     s.add_argument("--max-speed-files", type=int)
     s.add_argument("--max-offsets-per-trigger", type=int)
@@ -92,7 +95,8 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("--group-id", default=DEFAULT_GROUP_ID)
     v.add_argument("--checkpoint", required=True)
     v.add_argument("--format", default="org.apache.spark.sql.cassandra")
-    v.add_argument("--option", action="append", default=["keyspace=example", "table=clickevent"])
+    v.add_argument("--option", action="append",
+                   help="key=value option of the visits sink (repeatable; default keyspace=example, table=clickevent)")
     v.add_argument("--path")
     v.add_argument("--time-pattern", default=CLICK_TIME_PATTERN)
 
@@ -102,6 +106,7 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--bootstrap.servers", dest="bootstrap", default="localhost:9092")
     st.add_argument("--group-id", default=DEFAULT_GROUP_ID)
     st.add_argument("--checkpoint", required=True)
+    st.add_argument("--path", help="Parquet files instead of the output topic")
 
     sp = sub.add_parser("spend", help="transactions topic -> spend_report table")
     sp.add_argument("--topic", default="transactions")
@@ -112,9 +117,30 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--jdbc-password")
     sp.add_argument("--path", help="file table instead of JDBC")
     sp.add_argument("--policy", choices=["last", "error"], default="last")
+
+    for streaming in (s, v, st, sp):
+        streaming.add_argument("--source-path",
+                               help="replay Kafka-shaped records from Parquet files instead of the topic")
+        streaming.add_argument("--max-files-per-trigger", type=int)
+        streaming.add_argument("--available-now", action="store_true",
+                               help="process what is there, then stop")
     return p
 
 
+def _source(spark: SparkSession, a, topic: str, **kafka_options):
+    if a.source_path:
+        return read_record_files(spark, a.source_path, a.max_files_per_trigger)
+    return read_kafka(spark, a.bootstrap, topic, **kafka_options)
+
+
+def _wait(spark: SparkSession, queries, available_now: bool) -> None:
+    if available_now:
+        for q in queries:
+            q.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()
+
+
 def _options(pairs: list[str]) -> dict:
     return dict(p.split("=", 1) for p in pairs)
 
@@ -127,12 +153,12 @@ def main(argv: list[str] | None = None) -> None:
                           streaming_checkpoint=a.checkpoint, window_seconds=a.window_seconds,
                           watermark_seconds=a.watermark_seconds, trigger_seconds=a.trigger_seconds,
                           time_pattern=a.time_pattern, speed_mode=a.mode, raw_format=a.raw_format,
-                          raw_options={} if a.raw_path else _options(a.raw_option), raw_path=a.raw_path,
+                          raw_options={} if a.raw_path else _options(a.raw_option or RAW_SINK_OPTIONS),
+                          raw_path=a.raw_path,
                           max_speed_files=a.max_speed_files)
-        src = read_kafka(spark, a.bootstrap, a.topic, max_offsets_per_trigger=a.max_offsets_per_trigger,
-                         min_partitions=a.min_partitions)
-        start_speed_layer(src, cfg, a.checkpoint)
-        spark.streams.awaitAnyTermination()
+        src = _source(spark, a, a.topic, max_offsets_per_trigger=a.max_offsets_per_trigger,
+                      min_partitions=a.min_partitions)
+        _wait(spark, start_speed_layer(src, cfg, a.checkpoint, available_now=a.available_now), a.available_now)
     elif a.job == "batch":
         out = run_batch_layer(spark, a.speed_path, a.report_path, a.report_date, a.overwrite_mode, a.format,
                               incremental=a.incremental)
@@ -141,22 +167,25 @@ def main(argv: list[str] | None = None) -> None:
         preview(report_view(spark, a.report_path, a.report_date, a.rows), a.rows)
         preview(speed_view(spark, a.speed_path, a.rows), a.rows)
     elif a.job == "visits":
-        src = read_kafka(spark, a.bootstrap, a.input_topic, group_id=a.group_id)
-        start_page_visits(src, a.checkpoint, fmt=a.format, path=a.path, options=_options(a.option),
-                          pattern=a.time_pattern)
-        spark.streams.awaitAnyTermination()
+        src = _source(spark, a, a.input_topic, group_id=a.group_id)
+        q = start_page_visits(src, a.checkpoint, fmt=a.format, path=a.path,
+                              options=_options(a.option or VISITS_SINK_OPTIONS),
+                              pattern=a.time_pattern, available_now=a.available_now)
+        _wait(spark, [q], a.available_now)
     elif a.job == "stats":
-        src = read_kafka(spark, a.bootstrap, a.input_topic, group_id=a.group_id)
-        start_page_stats(src, a.checkpoint, bootstrap_servers=a.bootstrap, topic=a.output_topic)
-        spark.streams.awaitAnyTermination()
+        src = _source(spark, a, a.input_topic, group_id=a.group_id)
+        q = start_page_stats(src, a.checkpoint, bootstrap_servers=a.bootstrap, topic=a.output_topic,
+                             path=a.path, available_now=a.available_now)
+        _wait(spark, [q], a.available_now)
     elif a.job == "spend":
-        src = read_kafka(spark, a.bootstrap, a.topic)
+        src = _source(spark, a, a.topic)
         if a.path:
-            start_spend_report(src, a.checkpoint, fmt="parquet", path=a.path, policy=a.policy)
+            q = start_spend_report(src, a.checkpoint, fmt="parquet", path=a.path, policy=a.policy,
+                                   available_now=a.available_now)
         else:
-            start_spend_report(src, a.checkpoint, fmt="jdbc", policy=a.policy,
-                               options=jdbc_options(a.jdbc_url, user=a.jdbc_user, password=a.jdbc_password))
-        spark.streams.awaitAnyTermination()
+            q = start_spend_report(src, a.checkpoint, fmt="jdbc", policy=a.policy, available_now=a.available_now,
+                                   options=jdbc_options(a.jdbc_url, user=a.jdbc_user, password=a.jdbc_password))
+        _wait(spark, [q], a.available_now)
 
 
 if __name__ == "__main__":

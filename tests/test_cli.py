@@ -22,3 +22,32 @@ def test_click_records_round_trip(spark):
     back = parse_clicks_strict(clicks_to_records(typed)).collect()[0]
     assert (back.timestamp, back.page, back.userId, back.duration) == (ts("2024-01-01 15:00:00.250"), "/jobs",
                                                                       2013000004, 17)
+
+
+def test_streaming_jobs_from_files(spark, workdir):
+    from clickpulse.sources.replay import click_records, read_events, transaction_records
+    from clickpulse.sources.tables import read_speed_view
+    from clickpulse.streaming.spend import read_spend_table
+    from tests.conftest import SF_SMALL
+
+    had_provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    events = read_events(spark, SF_SMALL)
+    click_records(events).write.parquet(f"{workdir}/clicks")
+    transaction_records(events).write.parquet(f"{workdir}/tx")
+    main(["speed", "--source-path", f"{workdir}/clicks", "--available-now", "--speed-path", f"{workdir}/speed",
+          "--checkpoint", f"{workdir}/ck1", "--raw-format", "parquet", "--raw-path", f"{workdir}/raw"])
+    assert read_speed_view(spark, f"{workdir}/speed").groupBy().sum("count").first()[0] == 1000
+    assert spark.read.parquet(f"{workdir}/raw").count() == 1000
+    main(["spend", "--source-path", f"{workdir}/tx", "--available-now", "--checkpoint", f"{workdir}/ck2",
+          "--path", f"{workdir}/spend"])
+    assert read_spend_table(spark, f"{workdir}/spend").count() > 0
+    main(["batch", "--speed-path", f"{workdir}/speed", "--report-path", f"{workdir}/report",
+          "--report-date", "2024-02-01", "--incremental"])
+    if had_provider is None:  # the streaming jobs chose RocksDB for this session
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_sink_option_defaults():
+    from clickpulse.cli import _parser
+    a = _parser().parse_args(["speed", "--speed-path", "s", "--checkpoint", "c", "--raw-option", "table=x"])
+    assert a.raw_option == ["table=x"]
