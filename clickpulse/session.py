@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL_ROOTS: dict[int, str] = {}  # sessions without a SparkContext (local only)
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "clickpulse") -> SparkSession:
     """A local session for tests and the bench (clusters bring their own)."""
@@ -41,17 +43,19 @@ def shared_root(spark: SparkSession) -> str:
         try:
             base = spark.sparkContext.getCheckpointDir()
         except Exception:  # Spark Connect has no SparkContext
-            base = None
+            base = _LOCAL_ROOTS.get(id(spark))
     if not base:
         master = spark.conf.get("spark.master", "")
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local runs only; spark.checkpoint.dir cannot be set on a running
+        # session, so the folder is registered as the context's checkpoint dir
         base = tempfile.mkdtemp(prefix="clickpulse-")
-        spark.conf.set("spark.checkpoint.dir", base)
         try:
             spark.sparkContext.setCheckpointDir(base)
+            base = spark.sparkContext.getCheckpointDir() or base
         except Exception:
-            pass
+            _LOCAL_ROOTS[id(spark)] = base
     return base.rstrip("/")
 
 

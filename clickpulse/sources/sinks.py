@@ -7,7 +7,6 @@ None of them funnels data through one task: file counts are bounded with
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def append_rows(df: DataFrame, fmt: str = "parquet", path: str | None = None, options: dict | None = None) -> None:
@@ -68,7 +67,3 @@ def write_batch_folder(df: DataFrame, path: str, batch_id: int, fmt: str = "parq
     target = batch_folder(path, batch_id, run)
     df.write.mode("overwrite").format(fmt).save(target)
     return target
-
-
-def with_batch_id(df: DataFrame, batch_id: int) -> DataFrame:
-    return df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))

@@ -30,7 +30,8 @@ def spread_if_under_split(df: DataFrame) -> DataFrame:
 
 
 def read_speed_view(spark: SparkSession, path: str) -> DataFrame:
-    """The speed view as written (Parquet; ``batch_id`` folders in partials mode).
+    """The speed view as written: Parquet, with ``run`` / ``batch_id``
+    partition columns in partials mode.
 
     Its real schema is checked against the window-count row.
     """
