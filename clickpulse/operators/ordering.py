@@ -32,6 +32,27 @@ def latest_windows(speed: DataFrame, n: int = TOP_ROWS, flatten: bool = True) ->
     return ordered
 
 
+def newest_window_rows(speed: DataFrame, n: int = TOP_ROWS) -> DataFrame:
+    """Only the rows of the ``n`` newest windows of a stored speed view.
+
+    The ``n`` newest result rows (stored or re-aggregated) can only come
+    from the ``n`` newest distinct window starts, since every window gives
+    at least one row. Those starts are found from the ``window.start``
+    column alone (a distinct with a partial phase, then a top ``n``; at most
+    ``n`` values reach the driver), and the view is filtered on the oldest
+    of them as a literal. That literal reaches the Parquet scan as a pushed
+    filter, so row groups of older micro-batches are skipped by their
+    statistics and only recent rows are shuffled and re-aggregated, instead
+    of the whole history. With fewer than ``n`` windows nothing is cut.
+    """
+    start = F.col("window.start")
+    bounds = (speed.where(start.isNotNull()).select(F.unix_micros(start).alias("us")).distinct()
+              .orderBy(F.col("us").desc()).limit(n).collect())
+    if len(bounds) < n:
+        return speed
+    return speed.where(start >= F.timestamp_micros(F.lit(bounds[-1].us)))
+
+
 def top_report(report: DataFrame, n: int = TOP_ROWS) -> DataFrame:
     """The ``n`` largest ``sum_count`` rows, tie-broken by page and source."""
     return report.orderBy(

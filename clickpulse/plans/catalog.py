@@ -36,6 +36,7 @@ from clickpulse.operators.totals import all_time_totals, with_report_date
 from clickpulse.operators.visits import page_visits
 from clickpulse.operators.windows import page_stats, reaggregate_speed, window_counts
 from clickpulse.plans.batch import build_report, run_batch_layer
+from clickpulse.plans.check import speed_view
 from clickpulse.session import fresh_dir, materialize
 from clickpulse.sources.kafka import read_record_files
 from clickpulse.sources.replay import (
@@ -166,6 +167,14 @@ def latest_partials(spark, sf_dir):
     return latest_windows(_partials(spark, sf_dir), 30)
 
 
+def check_speed_view(spark, sf_dir):
+    """The check job on a stored speed view: only the rows of the newest
+    windows are read back and summed (filter pushed into the scan)."""
+    path = fresh_dir(spark, "stored-speed")
+    _partials(spark, sf_dir).write.parquet(path)
+    return speed_view(spark, path, 30)
+
+
 def all_time_totals_q(spark, sf_dir):
     return all_time_totals(_partials(spark, sf_dir))
 
@@ -394,6 +403,9 @@ ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NUL
 {_window_counts_sql(DEFAULT_WINDOW_SECONDS, f'CAST(floor("offset" / {RECORDS_PER_BATCH}.0) AS BIGINT) AS batch_id, ')})
 SELECT * FROM partials
 ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST, batch_id LIMIT 30""",
+    "check_speed_view": f"""WITH {_CLICKS_CTE}, counts AS ({_window_counts_sql(DEFAULT_WINDOW_SECONDS)})
+SELECT * FROM counts
+ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST LIMIT 30""",
     "all_time_totals": _TOTALS_SQL,
     "batch_report": f"""WITH totals AS ({_TOTALS_SQL})
 SELECT page, trafficSource, sum_count, DATE '{REPORT_DATE}' AS report_date FROM totals""",
@@ -437,6 +449,7 @@ CATALOG: tuple[CatalogQuery, ...] = (
     CatalogQuery("speed_partials", speed_partials, SQL["speed_partials"], ("A1", "W7", "K2")),
     CatalogQuery("latest_windows", latest_windows_q, SQL["latest_windows"], ("O2", "O3")),
     CatalogQuery("latest_partials", latest_partials, SQL["latest_partials"], ("O2", "O3", "S3")),
+    CatalogQuery("check_speed_view", check_speed_view, SQL["check_speed_view"], ("S3", "O2", "O3")),
     CatalogQuery("all_time_totals", all_time_totals_q, SQL["all_time_totals"], ("A2", "P14")),
     CatalogQuery("batch_report", batch_report, SQL["batch_report"], ("K3", "P5", "S4", "R3")),
     CatalogQuery("report_top", report_top, SQL["report_top"], ("O1", "O3", "F2")),

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse.config import TOP_ROWS
-from clickpulse.operators.ordering import latest_windows, top_report
+from clickpulse.operators.ordering import latest_windows, newest_window_rows, top_report
 from clickpulse.operators.windows import reaggregate_speed
 from clickpulse.sources.tables import read_report, read_speed_view
 
@@ -20,8 +20,12 @@ def report_view(spark: SparkSession, report_base: str, report_date: str | dt.dat
 
 def speed_view(spark: SparkSession, speed_path: str, n: int = TOP_ROWS, reaggregate: bool = True) -> DataFrame:
     """Newest windows of the speed view; partial rows summed first unless
-    ``reaggregate`` is off (then the rows show as stored, one per batch)."""
-    view = read_speed_view(spark, speed_path)
+    ``reaggregate`` is off (then the rows show as stored, one per batch).
+
+    Only the rows of the ``n`` newest windows are read and summed
+    (``newest_window_rows``), not the whole history.
+    """
+    view = newest_window_rows(read_speed_view(spark, speed_path), n)
     return latest_windows(reaggregate_speed(view) if reaggregate else view, n)
 
 

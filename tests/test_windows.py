@@ -67,3 +67,44 @@ def test_latest_windows_order_and_ties(spark):
                         ("2024-01-01 00:00:21", "/z", "g"), ("2024-01-01 00:00:11", "/c", "y")])
     got = [(r.window_start.second, r.page) for r in latest_windows(window_counts(df, 10), 3).collect()]
     assert got == [(20, "/z"), (10, "/c"), (0, "/a")]
+
+
+def _stored_partials(spark, workdir):
+    """Three micro-batches; window [00:10, 00:20) is cut across two of them."""
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=1)
+    batches = [
+        [("2024-01-01 00:00:01", "/a", "g"), ("2024-01-01 00:00:02", "/b", "g"), ("2024-01-01 00:00:11", "/a", "g")],
+        [("2024-01-01 00:00:12", "/a", "g"), ("2024-01-01 00:00:15", "/c", "y"), ("2024-01-01 00:00:21", "/a", "g")],
+        [("2024-01-01 00:00:31", "/b", None), ("2024-01-01 00:00:33", None, "g")],
+    ]
+    for i, rows in enumerate(batches):
+        speed_batch(clicks(spark, rows), i, cfg, land=False)
+    return cfg.speed_path
+
+
+def _rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_check_view_reads_only_newest_windows(spark, workdir):
+    """Pruned read == full re-aggregation, for every n (cut inside a window,
+    at its edge, and more than there are windows)."""
+    from clickpulse.plans.check import speed_view
+
+    path = _stored_partials(spark, workdir)
+    view = read_speed_view(spark, path)
+    for n in range(1, 9):
+        for reagg in (True, False):
+            full = latest_windows(reaggregate_speed(view) if reagg else view, n)
+            assert _rows(speed_view(spark, path, n, reaggregate=reagg)) == _rows(full), (n, reagg)
+
+
+def test_newest_window_filter_reaches_scan(spark, workdir):
+    from clickpulse.operators.ordering import newest_window_rows
+
+    path = _stored_partials(spark, workdir)
+    pruned = newest_window_rows(read_speed_view(spark, path), 2)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("PushedFilters"):].split("]")[0]
+    assert "window.start" in scan and "GreaterThanOrEqual" in scan
+    assert sorted(r.window.start.second for r in pruned.collect()) == [20, 30, 30]
