@@ -41,10 +41,17 @@ STREAMING_JOBS = {"speed", "visits", "stats", "spend"}
 RAW_SINK_OPTIONS = ["keyspace=public", "table=click"]
 VISITS_SINK_OPTIONS = ["keyspace=example", "table=clickevent"]
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+INITIAL_PARTITIONS_KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def _session(name: str, streaming: bool = False) -> SparkSession:
     spark = SparkSession.builder.appName(name).getOrCreate()
+    if not spark.sparkContext.getConf().contains(INITIAL_PARTITIONS_KEY):
+        # a large shuffle starts with about three partitions per core, so no
+        # reducer gets more than its share; AQE merges small ones back up to
+        # its advisory size, so a tiny aggregate still ends in a few tasks
+        spark.conf.set(INITIAL_PARTITIONS_KEY, str(max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                                       3 * spark.sparkContext.defaultParallelism)))
     if streaming and not spark.conf.get("spark.sql.streaming.stateStore.providerClass", None):
         # window state off the JVM heap; a new checkpoint records the choice
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)

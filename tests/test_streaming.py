@@ -170,3 +170,32 @@ def test_new_checkpoint_does_not_overwrite_earlier_run(spark, workdir):
     # restarting from an existing checkpoint finds nothing new and adds nothing
     _wait(start_speed_layer(read_record_files(spark, src), cfg, f"{workdir}/ckpt-a", available_now=True))
     assert read_speed_view(spark, cfg.speed_path).agg(F.sum("count")).first()[0] == 2
+
+
+def test_restart_and_rerun_batch_count_each_click_once(spark, workdir):
+    """The driver dies after a micro-batch wrote its output but before Spark
+    committed it; the query restarts from its checkpoint, re-runs that batch
+    (same id, same offsets), then takes new input. Every click is counted
+    and landed exactly once."""
+    import glob
+    import os
+
+    rec = click_records(read_events(spark, SF_SMALL))
+    src, ckpt = f"{workdir}/in", f"{workdir}/ckpt"
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", raw_path=f"{workdir}/raw")
+    rec.where("offset < 500").write.option("maxRecordsPerFile", 300).parquet(src)
+    _wait(start_speed_layer(read_record_files(spark, src, 1), cfg, ckpt, available_now=True))
+    last = max(int(os.path.basename(p)) for p in glob.glob(f"{ckpt}/speed/commits/[0-9]*"))
+    lost = glob.glob(f"{ckpt}/speed/commits/{last}") + glob.glob(f"{ckpt}/speed/commits/.{last}.crc")
+    assert last >= 1 and f"{ckpt}/speed/commits/{last}" in lost
+    for p in lost:
+        os.remove(p)  # the crash: batch `last` wrote its folders, its commit is lost
+    rec.where("offset >= 500").write.mode("append").option("maxRecordsPerFile", 300).parquet(src)
+    _wait(start_speed_layer(read_record_files(spark, src, 1), cfg, ckpt, available_now=True))
+
+    view = read_speed_view(spark, cfg.speed_path)
+    assert view.select("run").distinct().count() == 1  # the restart wrote into the same run
+    key = ["window", "page", "trafficSource", "count"]
+    assert sorted(reaggregate_speed(view).select(key).collect()) == \
+        sorted(window_counts(parse_clicks(rec), 10).select(key).collect())
+    assert spark.read.parquet(cfg.raw_path).count() == rec.count()
