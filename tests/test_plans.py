@@ -66,3 +66,19 @@ def test_spread_only_for_under_split_tables(spark, workdir):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert "RoundRobinPartitioning" not in many and "Exchange" not in many
+
+
+@pytest.mark.parametrize("q", [q for q in CATALOG if q.name not in STREAMING], ids=lambda q: q.name)
+def test_every_shuffle_is_pre_aggregated(spark, q):
+    """A key holding a third of all rows must cross a shuffle as one partial
+    row per task: every hash exchange sits on a partial aggregate. The only
+    other exchange allowed is the round-robin spread of an under-split scan."""
+    lines = [line.strip() for line in executed(q.build(spark, SF_SMALL)).split("\n")]
+    for i, line in enumerate(lines):
+        if "Exchange" not in line:
+            continue
+        child = lines[i + 1]
+        if "hashpartitioning" in line:
+            assert "Aggregate" in child and "partial_" in child, (line, child)
+        else:
+            assert "RoundRobinPartitioning" in line and "FileScan" in child, (line, child)
