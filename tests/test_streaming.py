@@ -57,12 +57,18 @@ def test_final_mode_emits_closed_windows_and_drops_late_rows(spark, workdir):
         q.processAllAvailable()
         dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
                       if p.get("stateOperators"))
+        plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
     finally:
         q.stop()
     out = read_speed_view(spark, cfg.speed_path)
     got = sorted((r.window.start.strftime("%H:%M:%S"), r["count"]) for r in out.collect())
     assert got == [("00:00:00", 1), ("00:05:00", 1)]
     assert dropped == 1
+    # the state store is fed by per-task partial counts, not by raw rows
+    lines = [line.strip() for line in plan.split("\n")]
+    exchange = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    assert "partial_count" in lines[exchange + 1]
+    assert any("StateStoreRestore" in line for line in lines[:exchange])
 
 
 def test_console_sink_runs(spark, workdir):
