@@ -37,20 +37,28 @@ def newest_window_rows(speed: DataFrame, n: int = TOP_ROWS) -> DataFrame:
 
     The ``n`` newest result rows (stored or re-aggregated) can only come
     from the ``n`` newest distinct window starts, since every window gives
-    at least one row. Those starts are found from the ``window.start``
-    column alone (a distinct with a partial phase, then a top ``n``; at most
-    ``n`` values reach the driver), and the view is filtered on the oldest
-    of them as a literal. That literal reaches the Parquet scan as a pushed
-    filter, so row groups of older micro-batches are skipped by their
-    statistics and only recent rows are shuffled and re-aggregated, instead
-    of the whole history. With fewer than ``n`` windows nothing is cut.
+    at least one row. So any bound with at least ``n`` distinct starts at or
+    above it is an exact cut. One scan of ``window.start`` (partial max, no
+    shuffle) gives the newest start; the bound then steps back ``n - 1``
+    window widths, doubling until the range holds ``n`` distinct starts. Each probe
+    and the final filter carry the bound as a literal, which reaches the
+    Parquet scan as a pushed filter: row groups of older micro-batches are
+    skipped by their statistics, and only the newest windows' rows are
+    shuffled and re-aggregated, instead of the whole history. With fewer
+    than ``n`` windows nothing is cut.
     """
-    start = F.col("window.start")
-    bounds = (speed.where(start.isNotNull()).select(F.unix_micros(start).alias("us")).distinct()
-              .orderBy(F.col("us").desc()).limit(n).collect())
-    if len(bounds) < n:
+    start = F.unix_micros(F.col("window.start"))
+    top = speed.agg(F.max(start).alias("hi"), F.min(start).alias("lo"),
+                    F.max(F.unix_micros(F.col("window.end")) - start).alias("width")).first()
+    if top.hi is None:
         return speed
-    return speed.where(start >= F.timestamp_micros(F.lit(bounds[-1].us)))
+    step = max(int(top.width or 0) * (n - 1), 1)  # exact on a gap-free grid of windows
+    while top.hi - step > top.lo:
+        recent = speed.where(F.col("window.start") >= F.timestamp_micros(F.lit(top.hi - step)))
+        if recent.select("window.start").distinct().limit(n).count() >= n:
+            return recent
+        step *= 2
+    return speed
 
 
 def top_report(report: DataFrame, n: int = TOP_ROWS) -> DataFrame:
