@@ -100,6 +100,8 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--report-path", required=True)
     c.add_argument("--report-date", required=True)
     c.add_argument("--rows", type=int, default=TOP_ROWS)
+    c.add_argument("--as-stored", action="store_true",
+                   help="speed view rows as stored, one per micro-batch (no re-aggregation)")
 
     v = sub.add_parser("visits", help="Kafka clicks -> (timestamp, page) table")
     v.add_argument("--input-topic", default=DEFAULT_TOPIC)
@@ -177,7 +179,7 @@ def main(argv: list[str] | None = None) -> None:
         preview(out.orderBy(out.sum_count.desc()), a.show)
     elif a.job == "check":
         preview(report_view(spark, a.report_path, a.report_date, a.rows), a.rows)
-        preview(speed_view(spark, a.speed_path, a.rows), a.rows)
+        preview(speed_view(spark, a.speed_path, a.rows, reaggregate=not a.as_stored), a.rows)
     elif a.job == "visits":
         src = _source(spark, a, a.input_topic, group_id=a.group_id)
         q = start_page_visits(src, a.checkpoint, fmt=a.format, path=a.path,

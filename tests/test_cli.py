@@ -15,6 +15,9 @@ def test_batch_and_check_jobs(spark, workdir, capsys):
           "--report-date", "2022-08-27"])
     out = capsys.readouterr().out
     assert "sum_count" in out and "2022-08-27" in out and "window_start" in out
+    main(["check", "--speed-path", f"{workdir}/speed", "--report-path", f"{workdir}/report",
+          "--report-date", "2022-08-27", "--as-stored"])
+    assert "window_start" in capsys.readouterr().out
 
 
 def test_click_records_round_trip(spark):
