@@ -248,3 +248,14 @@ def test_without_written_keeps_conflicts(spark):
                                   (3, ts("2000-01-01 02:00:00"), 7)], ddl)
     got = sorted((r.account_id, r.amount) for r in without_written(rows, table).collect())
     assert got == [(2, 6), (3, 7)]  # the unchanged row is dropped; a changed amount still meets the key
+
+
+def test_without_written_reads_only_the_batch_range(spark, workdir):
+    from clickpulse.streaming.spend import without_written
+    ddl = "account_id long, log_ts timestamp, amount long"
+    spark.createDataFrame([(1, ts("1999-01-01 00:00:00"), 7)], ddl).write.parquet(f"{workdir}/t")
+    rows = spark.createDataFrame([(1, ts("2000-01-01 01:00:00"), 10), (2, ts("2000-01-01 02:00:00"), 6)], ddl)
+    plan = without_written(rows, spark.read.parquet(f"{workdir}/t"))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):].split("]")[0]
+    assert "GreaterThanOrEqual(log_ts,2000-01-01 01:00:00.0)" in pushed
+    assert "LessThanOrEqual(log_ts," in pushed  # the plan text truncates its literal
