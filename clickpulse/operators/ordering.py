@@ -38,9 +38,11 @@ def newest_window_rows(speed: DataFrame, n: int = TOP_ROWS) -> DataFrame:
     The ``n`` newest result rows (stored or re-aggregated) can only come
     from the ``n`` newest distinct window starts, since every window gives
     at least one row. So any bound with at least ``n`` distinct starts at or
-    above it is an exact cut. One scan of ``window.start`` (partial max, no
-    shuffle) gives the newest start; the bound then steps back ``n - 1``
-    window widths, doubling until the range holds ``n`` distinct starts. Each probe
+    above it is an exact cut. One scan of the window column (partial
+    min / max and a distinct-count sketch; no rows shuffled) gives the newest
+    start and the mean spacing of distinct starts; the bound steps back about
+    ``2 n`` spacings (at least ``n - 1`` window widths), doubling until the
+    range holds ``n`` distinct starts: usually one probe. Each probe
     and the final filter carry the bound as a literal, which reaches the
     Parquet scan as a pushed filter: row groups of older micro-batches are
     skipped by their statistics, and only the newest windows' rows are
@@ -49,10 +51,12 @@ def newest_window_rows(speed: DataFrame, n: int = TOP_ROWS) -> DataFrame:
     """
     start = F.unix_micros(F.col("window.start"))
     top = speed.agg(F.max(start).alias("hi"), F.min(start).alias("lo"),
-                    F.max(F.unix_micros(F.col("window.end")) - start).alias("width")).first()
+                    F.max(F.unix_micros(F.col("window.end")) - start).alias("width"),
+                    F.approx_count_distinct(start).alias("starts")).first()
     if top.hi is None:
         return speed
-    step = max(int(top.width or 0) * (n - 1), 1)  # exact on a gap-free grid of windows
+    spacing = (top.hi - top.lo) // max(int(top.starts or 1), 1)
+    step = max(2 * n * spacing, int(top.width or 0) * (n - 1), 1)
     while top.hi - step > top.lo:
         recent = speed.where(F.col("window.start") >= F.timestamp_micros(F.lit(top.hi - step)))
         if recent.select("window.start").distinct().limit(n).count() >= n:
