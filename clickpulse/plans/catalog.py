@@ -175,6 +175,14 @@ def check_speed_view(spark, sf_dir):
     return speed_view(spark, path, 30)
 
 
+def check_stored_rows(spark, sf_dir):
+    """The check job's view of the stored rows as they are (one per
+    micro-batch and window), newest first; only the newest windows are read."""
+    path = fresh_dir(spark, "stored-speed")
+    _partials(spark, sf_dir).write.parquet(path)
+    return speed_view(spark, path, 30, reaggregate=False)
+
+
 def all_time_totals_q(spark, sf_dir):
     return all_time_totals(_partials(spark, sf_dir))
 
@@ -406,6 +414,10 @@ ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NUL
     "check_speed_view": f"""WITH {_CLICKS_CTE}, counts AS ({_window_counts_sql(DEFAULT_WINDOW_SECONDS)})
 SELECT * FROM counts
 ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST LIMIT 30""",
+    "check_stored_rows": f"""WITH {_CLICKS_CTE}, partials AS (
+{_window_counts_sql(DEFAULT_WINDOW_SECONDS, f'CAST(floor("offset" / {RECORDS_PER_BATCH}.0) AS BIGINT) AS batch_id, ')})
+SELECT * FROM partials
+ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST, batch_id LIMIT 30""",
     "all_time_totals": _TOTALS_SQL,
     "batch_report": f"""WITH totals AS ({_TOTALS_SQL})
 SELECT page, trafficSource, sum_count, DATE '{REPORT_DATE}' AS report_date FROM totals""",
@@ -450,6 +462,7 @@ CATALOG: tuple[CatalogQuery, ...] = (
     CatalogQuery("latest_windows", latest_windows_q, SQL["latest_windows"], ("O2", "O3")),
     CatalogQuery("latest_partials", latest_partials, SQL["latest_partials"], ("O2", "O3", "S3")),
     CatalogQuery("check_speed_view", check_speed_view, SQL["check_speed_view"], ("S3", "O2", "O3")),
+    CatalogQuery("check_stored_rows", check_stored_rows, SQL["check_stored_rows"], ("S3", "O2", "O3")),
     CatalogQuery("all_time_totals", all_time_totals_q, SQL["all_time_totals"], ("A2", "P14")),
     CatalogQuery("batch_report", batch_report, SQL["batch_report"], ("K3", "P5", "S4", "R3")),
     CatalogQuery("report_top", report_top, SQL["report_top"], ("O1", "O3", "F2")),
