@@ -46,8 +46,9 @@ def newest_window_rows(speed: DataFrame, n: int = TOP_ROWS) -> DataFrame:
     and the final filter carry the bound as a literal, which reaches the
     Parquet scan as a pushed filter: row groups of older micro-batches are
     skipped by their statistics, and only the newest windows' rows are
-    shuffled and re-aggregated, instead of the whole history. With fewer
-    than ``n`` windows nothing is cut.
+    shuffled and re-aggregated, instead of the whole history. A view whose
+    first step already reaches its oldest window (about ``2 n`` windows or
+    fewer) is read whole.
     """
     start = F.unix_micros(F.col("window.start"))
     top = speed.agg(F.max(start).alias("hi"), F.min(start).alias("lo"),
