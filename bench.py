@@ -47,28 +47,41 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus != "*" else 8)),
                           app="clickpulse-bench")
-    # warm-up: JIT and file listing caches, not timed
-    for name in names:
+    def run(name: str) -> None:
         BY_NAME[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-    times: dict[str, float] = {}
+    # a failing query is reported (time null, its error) instead of ending the bench
+    errors: dict[str, str] = {}
+    for name in names:  # warm-up: JIT and file listing caches, not timed
+        try:
+            run(name)
+        except Exception as e:  # noqa: BLE001
+            errors[name] = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"[:300]
+
+    times: dict[str, float | None] = {}
     for name in names:
+        if name in errors:
+            times[name] = None
+            continue
         best = float("inf")
         for _ in range(runs):
             t0 = time.perf_counter()
-            BY_NAME[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            run(name)
             best = min(best, time.perf_counter() - t0)
         times[name] = round(best, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    out = {
         "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "runs": runs,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
