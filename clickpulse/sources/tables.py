@@ -67,8 +67,33 @@ def jdbc_options(url: str, table: str = "spend_report", user: str | None = None,
     return opts
 
 
+def jdbc_range_options(options: dict, column: str, lower, upper, num_partitions: int) -> dict:
+    """Options that split a JDBC read into ``num_partitions`` ranges of
+    ``column`` (one query and one task each) instead of one query read by one
+    task. The bounds only shape the ranges; rows outside them still go to the
+    first and last range."""
+    return {**options, "partitionColumn": column, "lowerBound": str(lower), "upperBound": str(upper),
+            "numPartitions": str(num_partitions)}
+
+
 def read_spend_report(spark: SparkSession, fmt: str = "jdbc", path: str | None = None,
-                      options: dict | None = None) -> DataFrame:
-    """The spend table: a relational table over JDBC, or files in tests."""
-    reader = spark.read.format(fmt).options(**(options or {}))
+                      options: dict | None = None, num_partitions: int | None = None,
+                      range_column: str = "log_ts") -> DataFrame:
+    """The spend table: a relational table over JDBC, or files in tests.
+
+    With ``num_partitions`` a JDBC read is split into ranges of
+    ``range_column`` (default the event time, which spreads evenly even when
+    one account holds a large share of the rows); its bounds come from one
+    ``min`` / ``max`` query answered by the database.
+    """
+    opts = dict(options or {})
+    if fmt == "jdbc" and num_partitions and num_partitions > 1:
+        table = opts["dbtable"]
+        probe = {k: v for k, v in opts.items() if k != "dbtable"}
+        lo, hi = (spark.read.format("jdbc").options(**probe)
+                  .option("query", f"SELECT min({range_column}) AS lo, max({range_column}) AS hi FROM {table}")
+                  .load().first())
+        if lo is not None:
+            opts = jdbc_range_options(opts, range_column, lo, hi, num_partitions)
+    reader = spark.read.format(fmt).options(**opts)
     return reader.load(path) if path else reader.load()

@@ -150,6 +150,15 @@ def test_spend_report_reader_on_file_table(spark, workdir):
     assert opts["dbtable"] == "spend_report" and opts["user"] == "u"
 
 
+def test_jdbc_range_options():
+    from clickpulse.sources.tables import jdbc_options, jdbc_range_options
+    opts = jdbc_range_options(jdbc_options("jdbc:x://h/db"), "log_ts", ts("2000-01-01 01:00:00"),
+                              ts("2000-02-01 00:00:00"), 16)
+    assert (opts["partitionColumn"], opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == \
+        ("log_ts", "2000-01-01 01:00:00", "2000-02-01 00:00:00", "16")
+    assert opts["dbtable"] == "spend_report"
+
+
 def test_spend_stream_greatest_offset_wins_whatever_the_batch(spark, workdir):
     """A later micro-batch may carry an earlier offset; the offset decides."""
     src = f"{workdir}/in"
