@@ -6,6 +6,7 @@
     python -m clickpulse.cli visits --input-topic input --bootstrap.servers localhost:9092 ...
     python -m clickpulse.cli stats  --input-topic input --output-topic stats ...
     python -m clickpulse.cli spend  --topic transactions --jdbc-url jdbc:<driver>://host/db ...
+    python -m clickpulse.cli dashboard --jdbc-url jdbc:<driver>://host/db [--partitions 16]
 
 The session comes from ``spark-submit`` (master, memory, checkpoint dir).
 """
@@ -27,12 +28,13 @@ from clickpulse.config import (
     TOP_ROWS,
     LayerConfig,
 )
+from clickpulse.operators.spend import spend_by_account
 from clickpulse.plans.batch import run_batch_layer
 from clickpulse.plans.check import preview, report_view, speed_view
 from clickpulse.sources.kafka import read_kafka, read_record_files
-from clickpulse.sources.tables import jdbc_options
+from clickpulse.sources.tables import jdbc_options, read_spend_report
 from clickpulse.streaming.clicks import start_page_stats, start_page_visits
-from clickpulse.streaming.spend import start_spend_report
+from clickpulse.streaming.spend import read_spend_table, start_spend_report
 from clickpulse.streaming.speed import start_speed_layer
 
 
@@ -132,6 +134,14 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--path", help="file table instead of JDBC")
     sp.add_argument("--policy", choices=["last", "error"], default="last")
 
+    d = sub.add_parser("dashboard", help="spend per account from the spend_report table (the dashboard query)")
+    d.add_argument("--jdbc-url")
+    d.add_argument("--jdbc-user")
+    d.add_argument("--jdbc-password")
+    d.add_argument("--partitions", type=int, help="split the JDBC read into this many log_ts ranges")
+    d.add_argument("--path", help="file table written by the spend job instead of JDBC")
+    d.add_argument("--policy", choices=["last", "error"], default="last")
+
     for streaming in (s, v, st, sp):
         streaming.add_argument("--source-path",
                                help="replay Kafka-shaped records from Parquet files instead of the topic")
@@ -200,6 +210,14 @@ def main(argv: list[str] | None = None) -> None:
             q = start_spend_report(src, a.checkpoint, fmt="jdbc", policy=a.policy, available_now=a.available_now,
                                    options=jdbc_options(a.jdbc_url, user=a.jdbc_user, password=a.jdbc_password))
         _wait(spark, [q], a.available_now)
+    elif a.job == "dashboard":
+        if a.path:
+            table = read_spend_table(spark, a.path, policy=a.policy)
+        else:
+            table = read_spend_report(spark, options=jdbc_options(a.jdbc_url, user=a.jdbc_user,
+                                                                  password=a.jdbc_password),
+                                      num_partitions=a.partitions)
+        preview(spend_by_account(table, with_time=True).orderBy("metric"))
 
 
 if __name__ == "__main__":

@@ -27,7 +27,7 @@ def test_click_records_round_trip(spark):
                                                                       2013000004, 17)
 
 
-def test_streaming_jobs_from_files(spark, workdir):
+def test_streaming_jobs_from_files(spark, workdir, capsys):
     from clickpulse.sources.replay import click_records, read_events, transaction_records
     from clickpulse.sources.tables import read_speed_view
     from clickpulse.streaming.spend import read_spend_table
@@ -44,6 +44,10 @@ def test_streaming_jobs_from_files(spark, workdir):
     main(["spend", "--source-path", f"{workdir}/tx", "--available-now", "--checkpoint", f"{workdir}/ck2",
           "--path", f"{workdir}/spend"])
     assert read_spend_table(spark, f"{workdir}/spend").count() > 0
+    capsys.readouterr()
+    main(["dashboard", "--path", f"{workdir}/spend"])
+    out = capsys.readouterr().out
+    assert all(word in out for word in ("metric", "value", "band", "time"))
     main(["batch", "--speed-path", f"{workdir}/speed", "--report-path", f"{workdir}/report",
           "--report-date", "2024-02-01", "--incremental"])
     if had_provider is None:  # the streaming jobs chose RocksDB for this session
