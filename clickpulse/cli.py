@@ -123,6 +123,8 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--group-id", default=DEFAULT_GROUP_ID)
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--path", help="Parquet files instead of the output topic")
+    st.add_argument("--processing-time", action="store_true",
+                    help="window on the micro-batch time instead of the event time")
 
     sp = sub.add_parser("spend", help="transactions topic -> spend_report table")
     sp.add_argument("--topic", default="transactions")
@@ -199,7 +201,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "stats":
         src = _source(spark, a, a.input_topic, group_id=a.group_id)
         q = start_page_stats(src, a.checkpoint, bootstrap_servers=a.bootstrap, topic=a.output_topic,
-                             path=a.path, available_now=a.available_now)
+                             path=a.path, available_now=a.available_now, processing_time=a.processing_time)
         _wait(spark, [q], a.available_now)
     elif a.job == "spend":
         src = _source(spark, a, a.topic)

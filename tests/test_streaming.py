@@ -268,3 +268,24 @@ def test_without_written_reads_only_the_batch_range(spark, workdir):
     pushed = plan[plan.index("PushedFilters"):].split("]")[0]
     assert "GreaterThanOrEqual(log_ts,2000-01-01 01:00:00.0)" in pushed
     assert "LessThanOrEqual(log_ts," in pushed  # the plan text truncates its literal
+
+
+def test_processing_time_windows(spark, workdir):
+    """Without the event-time switch, statistics window on the time of the
+    micro-batch: an old event lands in the window of 'now'."""
+    import datetime as dt
+
+    from clickpulse.functions.decode import parse_clicks_strict
+    from clickpulse.operators.windows import page_stats
+    from clickpulse.streaming.clicks import with_processing_time
+
+    clicks = parse_clicks_strict(records(spark, [click("01-01-2024 00:00:01:000"), click("01-01-2024 00:00:02:000")]))
+    before = dt.datetime.now()
+    (row,) = page_stats(with_processing_time(clicks), 15).collect()
+    assert row["count"] == 2 and row.windowEnd > before - dt.timedelta(seconds=1)
+    assert (row.windowEnd - row.windowStart) == dt.timedelta(seconds=15)
+    # the streaming job accepts it (watermark on the batch time, append mode)
+    src = f"{workdir}/in"
+    records(spark, [click("01-01-2024 00:00:01:000")]).write.parquet(src)
+    _wait([start_page_stats(read_record_files(spark, src), f"{workdir}/ckpt", path=f"{workdir}/stats",
+                            available_now=True, processing_time=True)])
