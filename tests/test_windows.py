@@ -131,3 +131,41 @@ def test_speed_view_times_carry_statistics(spark, workdir):
                if meta.row_group(0).column(i).path_in_schema == "window.start")
     assert col.physical_type == "INT64" and col.statistics.has_min_max
     assert (col.statistics.min.second, col.statistics.max.second) == (0, 30)
+
+
+def test_speed_file_cap_and_report_file_cap(spark, workdir):
+    """R1: at most ``max_speed_files`` files per micro-batch folder; the report
+    writer takes its own cap."""
+    import glob
+
+    from clickpulse.operators.totals import all_time_totals, with_report_date
+    from clickpulse.sources.sinks import write_report
+
+    rows = [(f"2024-01-01 00:{m:02d}:01", f"/p{m % 6}", "g") for m in range(60)]
+    batch = clicks(spark, rows).repartition(8)
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=2)
+    speed_batch(batch, 0, cfg, land=False)
+    assert 1 <= len(glob.glob(f"{workdir}/speed/batch_id=0/*.parquet")) <= 2
+    report = with_report_date(all_time_totals(read_speed_view(spark, cfg.speed_path)).repartition(4), "2024-01-02")
+    write_report(report, f"{workdir}/report", max_files=1)
+    assert len(glob.glob(f"{workdir}/report/report_date=2024-01-02/*.orc")) == 1
+
+
+def test_two_sinks_read_the_batch_once(spark, workdir):
+    """R2: raw landing and window counts share one evaluation of the
+    micro-batch (persisted), instead of reading and parsing it twice."""
+    from pyspark.sql.types import StringType
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def tap(page):  # test-only probe: counts evaluations of each row
+        seen.add(1)
+        return page
+
+    probe = F.udf(tap, StringType())
+    rows = [(f"2024-01-01 00:00:{s:02d}", "/a", "g") for s in range(20)]
+    batch = clicks(spark, rows).withColumn("page", probe("page"))
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", raw_path=f"{workdir}/raw")
+    speed_batch(batch, 0, cfg)
+    assert spark.read.parquet(f"{workdir}/raw").count() == 20
+    assert seen.value == 20
