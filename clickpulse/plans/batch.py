@@ -9,7 +9,10 @@ Two ways to the same totals:
   picked by a filter on the ``run`` / ``batch_id`` partition columns, so
   only their folders are listed and read. The cost follows the new data,
   not the whole history. Needs the ``partials`` layout
-  (``run=<id>/batch_id=<n>``); other layouts fall back to full.
+  (``run=<id>/batch_id=<n>``); other layouts fall back to full. The newest
+  batch per run is taken from the speed layer's completion markers, read
+  before the view is listed, so a batch whose files are still being
+  committed is not counted half (it waits for the next report).
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql.utils import AnalysisException
 
 from clickpulse.operators.totals import all_time_totals, with_report_date
 from clickpulse.operators.windows import SPEED_KEYS
+from clickpulse.plans.speed import DONE_DIR
 from clickpulse.sources.sinks import write_report
 from clickpulse.sources.tables import read_report, read_speed_view
 
@@ -48,17 +52,32 @@ def _previous_state(spark: SparkSession, report_base: str, report_date: str) ->
     return latest.isoformat(), {r.run: r.through for r in rows}
 
 
+def committed_batches(spark: SparkSession, speed_path: str) -> dict | None:
+    """Newest fully written batch id per streaming run, from the completion
+    markers (``None`` when the view has none, e.g. written without them)."""
+    try:
+        done = spark.read.parquet(f"{speed_path.rstrip('/')}/{DONE_DIR}")
+    except AnalysisException:
+        return None
+    if "run" not in done.columns:
+        return None
+    return {r.run: r.through for r in done.groupBy("run").agg(F.max("batch_id").alias("through")).collect()}
+
+
 def incremental_totals(spark: SparkSession, speed: DataFrame, report_base: str, report_date: str,
-                       fmt: str = "orc") -> tuple[DataFrame, DataFrame]:
+                       fmt: str = "orc", snapshot: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """(totals, state) for ``report_date`` from the previous report and the
     speed batches it has not covered yet.
 
     The per-run snapshot (one row per streaming run, i.e. per checkpoint)
     fixes the upper batch id, so batches landing during the job wait for the
-    next report instead of being half counted.
+    next report instead of being half counted. Pass the snapshot from
+    ``committed_batches``, taken before ``speed`` was listed; without it the
+    newest batch ids of ``speed`` itself are used.
     """
-    snapshot = {r.run: r.through for r in
-                speed.groupBy("run").agg(F.max("batch_id").alias("through")).collect()}
+    if snapshot is None:
+        snapshot = {r.run: r.through for r in
+                    speed.groupBy("run").agg(F.max("batch_id").alias("through")).collect()}
     prev_date, covered = _previous_state(spark, report_base, report_date)
     picks = [(F.col("run") == F.lit(run)) & (F.col("batch_id") > F.lit(covered.get(run, -1)))
              & (F.col("batch_id") <= F.lit(through)) for run, through in snapshot.items()]
@@ -77,12 +96,14 @@ def run_batch_layer(spark: SparkSession, speed_path: str, report_base: str,
                     report_date: str | dt.date | None = None, overwrite_mode: str = "dynamic",
                     fmt: str = "orc", max_files: int | None = None, incremental: bool = False) -> DataFrame:
     """Read the speed view, write the report, return that date's rows read back."""
+    # markers first: every batch they name is fully written before the view is listed
+    snapshot = committed_batches(spark, speed_path) if incremental else None
     speed = read_speed_view(spark, speed_path)
     state = None
     if incremental and {"run", "batch_id"} <= set(speed.columns):
         day = (report_date if isinstance(report_date, str) else
                (report_date or dt.date.today()).isoformat())
-        totals, state = incremental_totals(spark, speed, report_base, day, fmt)
+        totals, state = incremental_totals(spark, speed, report_base, day, fmt, snapshot)
         report, report_date = with_report_date(totals, day), day
     else:
         report = build_report(speed, report_date)

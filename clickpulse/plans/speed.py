@@ -10,13 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickpulse.config import LayerConfig
 from clickpulse.operators.windows import window_counts
-from clickpulse.sources.sinks import append_rows, write_batch_folder, write_speed_batch
+from clickpulse.sources.sinks import append_rows, batch_folder, write_batch_folder, write_speed_batch
 
 FILE_FORMATS = frozenset({"parquet", "orc", "json", "csv", "avro"})
+DONE_DIR = "_batches"  # completion markers; the leading underscore hides them from view reads
 
 
 def land_raw(batch: DataFrame, batch_id: int, cfg: LayerConfig, run: str | None = None) -> None:
@@ -33,6 +35,19 @@ def land_raw(batch: DataFrame, batch_id: int, cfg: LayerConfig, run: str | None
         append_rows(batch, cfg.raw_format, cfg.raw_path, cfg.raw_options)
 
 
+def mark_done(spark: SparkSession, speed_path: str, batch_id: int, run: str | None = None) -> None:
+    """Record that a micro-batch's window counts are fully written.
+
+    One row in ``<speed_path>/_batches/[run=<id>/]batch_id=<n>``, written
+    after the batch's own folder. A reader that takes only new batches (the
+    incremental batch layer) counts a batch only once its marker exists, so
+    a batch whose files are still being committed is left for the next run
+    instead of being counted half.
+    """
+    (spark.range(1).select(F.lit(int(batch_id)).alias("done"))
+     .write.mode("overwrite").parquet(batch_folder(f"{speed_path.rstrip('/')}/{DONE_DIR}", batch_id, run)))
+
+
 def speed_batch(batch: DataFrame, batch_id: int, cfg: LayerConfig, land: bool = True,
                 run: str | None = None) -> None:
     land = land and bool(cfg.raw_path or cfg.raw_options)
@@ -43,6 +58,7 @@ def speed_batch(batch: DataFrame, batch_id: int, cfg: LayerConfig, land: bool =
             land_raw(batch, batch_id, cfg, run)
         counts = window_counts(batch, cfg.window_seconds)
         write_speed_batch(counts, cfg.speed_path, batch_id, cfg.max_speed_files, run)
+        mark_done(batch.sparkSession, cfg.speed_path, batch_id, run)
     finally:
         if land:
             batch.unpersist()

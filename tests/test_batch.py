@@ -145,3 +145,25 @@ def test_incremental_reads_only_new_batches(spark, workdir):
     assert re.search(r"PartitionFilters: \[[^\]]*\(batch_id#\d+ > 3\)", plan)
     assert totals.collect()[0].sum_count == 5
     assert [(r.run, r.through) for r in state.collect()] == [("r1", 4)]
+
+
+def test_incremental_skips_a_batch_still_being_written(spark, workdir):
+    """A batch folder without its completion marker (files still being
+    committed when the report lists the view) is left for the next report,
+    not counted half and then skipped for good."""
+    from clickpulse.config import LayerConfig
+    from clickpulse.operators.windows import window_counts
+    from clickpulse.plans.speed import mark_done, speed_batch
+    from clickpulse.sources.sinks import write_speed_batch
+
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=1)
+    one = spark.createDataFrame([(ts("2024-01-01 00:00:01"), "/a", "g")],
+                                "timestamp timestamp, page string, trafficSource string")
+    speed_batch(one, 0, cfg, run="r1")
+    write_speed_batch(window_counts(one, 10), cfg.speed_path, 1, 1, "r1")  # in flight: no marker yet
+    base = f"{workdir}/report"
+    first = run_batch_layer(spark, cfg.speed_path, base, "2024-01-01", incremental=True)
+    assert [r.sum_count for r in first.collect()] == [1]
+    mark_done(spark, cfg.speed_path, 1, "r1")  # the batch's commit finished
+    second = run_batch_layer(spark, cfg.speed_path, base, "2024-01-02", incremental=True)
+    assert [r.sum_count for r in second.collect()] == [2]
