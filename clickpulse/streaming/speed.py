@@ -41,6 +41,10 @@ def start_speed_layer(records: DataFrame, cfg: LayerConfig, checkpoint: str | No
 
     queries = []
     counts = window_counts(clicks, cfg.window_seconds, cfg.watermark_seconds)
+    if cfg.max_speed_files:
+        # after the state store: the stateful work keeps all its partitions,
+        # only the closed windows are shuffled into at most this many files
+        counts = counts.repartition(cfg.max_speed_files)
     w = (counts.writeStream.format("parquet").outputMode("append")
          .option("path", cfg.speed_path)
          .option("checkpointLocation", f"{checkpoint}/speed"))

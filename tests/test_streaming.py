@@ -289,3 +289,25 @@ def test_processing_time_windows(spark, workdir):
     records(spark, [click("01-01-2024 00:00:01:000")]).write.parquet(src)
     _wait([start_page_stats(read_record_files(spark, src), f"{workdir}/ckpt", path=f"{workdir}/stats",
                             available_now=True, processing_time=True)])
+
+
+def test_final_mode_file_cap(spark, workdir):
+    """Final mode with a file cap: each trigger writes at most that many
+    files, while the state store keeps all its partitions."""
+    import glob
+
+    src = f"{workdir}/in"
+    lines = [click(f"01-01-2024 00:{m:02d}:01:000", page=f"/p{m % 6}") for m in range(30)]
+    records(spark, lines).coalesce(1).write.parquet(src)
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", speed_mode="final", max_speed_files=1)
+    (q,) = start_speed_layer(read_record_files(spark, src), cfg, f"{workdir}/ckpt", available_now=True)
+    _wait([q])
+    plan = q._jsq.streamingQuery().lastExecution().executedPlan().toString()
+    out = read_speed_view(spark, cfg.speed_path)
+    # newest event 00:29:01, watermark 60 s behind: windows ending by 00:28:01 are closed
+    assert out.count() == 28
+    batches = max(1, len([p for p in q.recentProgress if p["numInputRows"] or p.get("stateOperators")]))
+    assert len(glob.glob(f"{workdir}/speed/*.parquet")) <= batches
+    top = [line.strip() for line in plan.split("\n")[:2]]
+    # the repartition sits on the aggregate's output, above the stateful work
+    assert "REPARTITION_BY_NUM" in top[0] and "HashAggregate" in top[1]
