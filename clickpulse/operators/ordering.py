@@ -32,38 +32,58 @@ def latest_windows(speed: DataFrame, n: int = TOP_ROWS, flatten: bool = True) ->
     return ordered
 
 
-def newest_window_rows(speed: DataFrame, n: int = TOP_ROWS) -> DataFrame:
-    """Only the rows of the ``n`` newest windows of a stored speed view.
+def _newest_bound(df: DataFrame, n: int) -> int | None:
+    """A window start (epoch micros) with at least ``n`` distinct starts of
+    ``df`` at or above it, or ``None`` when no such cut is worth making.
 
-    The ``n`` newest result rows (stored or re-aggregated) can only come
-    from the ``n`` newest distinct window starts, since every window gives
-    at least one row. So any bound with at least ``n`` distinct starts at or
-    above it is an exact cut. One scan of the window column (partial
-    min / max and a distinct-count sketch; no rows shuffled) gives the newest
-    start and the mean spacing of distinct starts; the bound steps back about
-    ``2 n`` spacings (at least ``n - 1`` window widths), doubling until the
-    range holds ``n`` distinct starts: usually one probe. Each probe
-    and the final filter carry the bound as a literal, which reaches the
-    Parquet scan as a pushed filter: row groups of older micro-batches are
-    skipped by their statistics, and only the newest windows' rows are
-    shuffled and re-aggregated, instead of the whole history. A view whose
-    first step already reaches its oldest window (about ``2 n`` windows or
-    fewer) is read whole.
+    One scan of the window column (partial min / max and a distinct-count
+    sketch; no rows shuffled) gives the newest start and the mean spacing of
+    distinct starts; the bound steps back about ``2 n`` spacings (at least
+    ``n - 1`` window widths), doubling until an exact distinct count over the
+    range reaches ``n``: usually one probe. Each probe carries the bound as a
+    literal, which reaches the Parquet scan as a pushed filter.
     """
     start = F.unix_micros(F.col("window.start"))
-    top = speed.agg(F.max(start).alias("hi"), F.min(start).alias("lo"),
-                    F.max(F.unix_micros(F.col("window.end")) - start).alias("width"),
-                    F.approx_count_distinct(start).alias("starts")).first()
+    top = df.agg(F.max(start).alias("hi"), F.min(start).alias("lo"),
+                 F.max(F.unix_micros(F.col("window.end")) - start).alias("width"),
+                 F.approx_count_distinct(start).alias("starts")).first()
     if top.hi is None:
-        return speed
+        return None
     spacing = (top.hi - top.lo) // max(int(top.starts or 1), 1)
     step = max(2 * n * spacing, int(top.width or 0) * (n - 1), 1)
     while top.hi - step > top.lo:
-        recent = speed.where(F.col("window.start") >= F.timestamp_micros(F.lit(top.hi - step)))
-        if recent.select("window.start").distinct().limit(n).count() >= n:
-            return recent
+        bound = top.hi - step
+        probe = df.where(F.col("window.start") >= F.timestamp_micros(F.lit(bound)))
+        if probe.select("window.start").distinct().limit(n).count() >= n:
+            return bound
         step *= 2
-    return speed
+    return None
+
+
+def newest_window_rows(speed: DataFrame, n: int = TOP_ROWS, recent: DataFrame | None = None) -> DataFrame:
+    """Only the rows of the ``n`` newest windows of a stored speed view.
+
+    The ``n`` newest result rows (stored or re-aggregated) can only come
+    from the ``n`` newest distinct window starts, since every window gives
+    at least one row. So any bound with at least ``n`` distinct starts at or
+    above it is an exact cut (``_newest_bound`` finds one). The view is
+    filtered on it as a literal pushed into the Parquet scan: row groups of
+    older micro-batches are skipped by their statistics, and only the newest
+    windows' rows are shuffled and re-aggregated, instead of the whole
+    history. A view of about ``2 n`` windows or fewer is read whole.
+
+    ``recent`` (a part of ``speed``, e.g. its newest micro-batch folders
+    chosen by partition filters) is searched first: a bound with ``n``
+    distinct starts of the part above it has at least as many in the whole
+    view, so only the part is scanned. The whole view is searched only when
+    the part holds too few windows.
+    """
+    bound = _newest_bound(recent, n) if recent is not None else None
+    if bound is None:
+        bound = _newest_bound(speed, n)
+    if bound is None:
+        return speed
+    return speed.where(F.col("window.start") >= F.timestamp_micros(F.lit(bound)))
 
 
 def top_report(report: DataFrame, n: int = TOP_ROWS) -> DataFrame:

@@ -3,29 +3,50 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickpulse.config import TOP_ROWS
 from clickpulse.operators.ordering import latest_windows, newest_window_rows, top_report
 from clickpulse.operators.windows import reaggregate_speed
+from clickpulse.plans.batch import committed_batches
 from clickpulse.sources.tables import read_report, read_speed_view
 
 
+RECENT_BATCHES = 200  # newest micro-batches per run that usually hold the newest windows
+
+
 def report_view(spark: SparkSession, report_base: str, report_date: str | dt.date,
                 n: int = TOP_ROWS, fmt: str = "orc") -> DataFrame:
     """Largest totals of one report date."""
     return top_report(read_report(spark, report_base, report_date, fmt=fmt), n)
 
 
-def speed_view(spark: SparkSession, speed_path: str, n: int = TOP_ROWS, reaggregate: bool = True) -> DataFrame:
+def _newest_batches(spark: SparkSession, speed_path: str, view: DataFrame, batches: int) -> DataFrame | None:
+    """The view's newest ``batches`` micro-batch folders of each streaming
+    run (from the completion markers), selected by partition filters."""
+    newest = committed_batches(spark, speed_path)
+    if not newest or not {"run", "batch_id"} <= set(view.columns):
+        return None
+    picks = [(F.col("run") == F.lit(run)) & (F.col("batch_id") > F.lit(through - batches))
+             for run, through in newest.items()]
+    return view.where(reduce(lambda a, b: a | b, picks))
+
+
+def speed_view(spark: SparkSession, speed_path: str, n: int = TOP_ROWS, reaggregate: bool = True,
+               recent_batches: int = RECENT_BATCHES) -> DataFrame:
     """Newest windows of the speed view; partial rows summed first unless
     ``reaggregate`` is off (then the rows show as stored, one per batch).
 
     Only the rows of the ``n`` newest windows are read and summed
-    (``newest_window_rows``), not the whole history.
+    (``newest_window_rows``), not the whole history; the cut comes from the
+    newest ``recent_batches`` folders of each run when they hold enough
+    windows.
     """
-    view = newest_window_rows(read_speed_view(spark, speed_path), n)
+    view = read_speed_view(spark, speed_path)
+    view = newest_window_rows(view, n, _newest_batches(spark, speed_path, view, recent_batches))
     return latest_windows(reaggregate_speed(view) if reaggregate else view, n)
 
 

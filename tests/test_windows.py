@@ -169,3 +169,25 @@ def test_two_sinks_read_the_batch_once(spark, workdir):
     speed_batch(batch, 0, cfg)
     assert spark.read.parquet(f"{workdir}/raw").count() == 20
     assert seen.value == 20
+
+
+def test_check_view_cut_from_newest_batches(spark, workdir):
+    """With completion markers, the cut comes from the newest micro-batch
+    folders of each run; it equals the full re-aggregation whether those
+    folders hold enough windows or not (then the whole-view search runs)."""
+    from clickpulse.plans.check import speed_view
+
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=1)
+    for b in range(6):  # run r1: one window per batch, a late click in batch 5
+        rows = [(f"2024-01-01 00:00:{10 * b + 1:02d}", "/a", "g")]
+        if b == 5:
+            rows.append(("2024-01-01 00:00:12", "/b", "y"))
+        speed_batch(clicks(spark, rows), b, cfg, land=False, run="r1")
+    speed_batch(clicks(spark, [("2023-12-31 23:59:59", "/c", "g")]), 0, cfg, land=False, run="r0")
+    view = read_speed_view(spark, cfg.speed_path)
+    for n in (1, 2, 3, 5, 8):
+        for recent in (1, 2, 4, 50):
+            for reagg in (True, False):
+                full = latest_windows(reaggregate_speed(view) if reagg else view, n)
+                got = speed_view(spark, cfg.speed_path, n, reaggregate=reagg, recent_batches=recent)
+                assert _rows(got) == _rows(full), (n, recent, reagg)
