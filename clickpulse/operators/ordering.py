@@ -32,9 +32,11 @@ def latest_windows(speed: DataFrame, n: int = TOP_ROWS, flatten: bool = True) ->
     return ordered
 
 
-def _newest_bound(df: DataFrame, n: int) -> int | None:
+def _newest_bound(df: DataFrame, n: int, whole: bool = False) -> int | None:
     """A window start (epoch micros) with at least ``n`` distinct starts of
     ``df`` at or above it, or ``None`` when no such cut is worth making.
+    ``whole`` also accepts ``df``'s oldest start (checked exactly) when the
+    search reaches it: a cut for a larger view that ``df`` is part of.
 
     One scan of the window column (partial min / max and a distinct-count
     sketch; no rows shuffled) gives the newest start and the mean spacing of
@@ -57,6 +59,8 @@ def _newest_bound(df: DataFrame, n: int) -> int | None:
         if probe.select("window.start").distinct().limit(n).count() >= n:
             return bound
         step *= 2
+    if whole and df.where(start.isNotNull()).select("window.start").distinct().limit(n).count() >= n:
+        return top.lo
     return None
 
 
@@ -78,7 +82,7 @@ def newest_window_rows(speed: DataFrame, n: int = TOP_ROWS, recent: DataFrame |
     view, so only the part is scanned. The whole view is searched only when
     the part holds too few windows.
     """
-    bound = _newest_bound(recent, n) if recent is not None else None
+    bound = _newest_bound(recent, n, whole=True) if recent is not None else None
     if bound is None:
         bound = _newest_bound(speed, n)
     if bound is None:
