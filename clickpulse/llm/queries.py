@@ -7,12 +7,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
 from clickpulse.llm.common import read_table
+from clickpulse.llm.fingerprints import fingerprint_report
+from clickpulse.llm.licenses import scan_licenses
 from clickpulse.llm.mixing import MIXING_SQL, mix_report
+from clickpulse.llm.neardup import near_duplicate_report
 from clickpulse.llm.secrets import SECRETS_SQL, secret_report
+from clickpulse.llm.tokenbin import token_report
 from clickpulse.llm.topk import TOPK_SQL, top_k_report
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_report(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(read_table(spark, sf_dir, "documents"))
+
+
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read_table(spark, sf_dir, "documents"))
 
@@ -26,6 +51,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scans": op2_license_scans,
+    "op3_token_binary": op3_token_binary,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_minhash_dedup": op5_minhash_dedup,
     "op8_secret_scans": op8_secret_scans,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
