@@ -14,6 +14,9 @@ from clickpulse.llm.fingerprints import fingerprint_report
 from clickpulse.llm.licenses import scan_licenses
 from clickpulse.llm.mixing import MIXING_SQL, mix_report
 from clickpulse.llm.neardup import near_duplicate_report
+from clickpulse.llm.packing import pack_texts
+from clickpulse.llm.quality import quality_report
+from clickpulse.llm.rollups import ROLLUP_SQL, rollup_report
 from clickpulse.llm.secrets import SECRETS_SQL, secret_report
 from clickpulse.llm.tokenbin import token_report
 from clickpulse.llm.topk import TOPK_SQL, top_k_report
@@ -22,6 +25,10 @@ from clickpulse.llm.topk import TOPK_SQL, top_k_report
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +45,14 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(read_table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup_report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(read_table(spark, sf_dir, "documents"))
 
@@ -51,16 +66,20 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_license_scans": op2_license_scans,
     "op3_token_binary": op3_token_binary,
     "op4_fingerprints": op4_fingerprints,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_token_counts": op7_token_counts,
     "op8_secret_scans": op8_secret_scans,
     "op9_mixing": op9_mixing,
     "op10_topk": op10_topk,
 }
 
 SQL: dict[str, str] = {
+    "op7_token_counts": ROLLUP_SQL,
     "op8_secret_scans": SECRETS_SQL,
     "op9_mixing": MIXING_SQL,
     "op10_topk": TOPK_SQL,

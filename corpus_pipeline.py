@@ -10,9 +10,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickpulse.llm.common import read_table, save
 from clickpulse.llm.mixing import mix_documents
+from clickpulse.llm.neardup import drop_near_duplicates
+from clickpulse.llm.packing import pack_texts
+from clickpulse.llm.quality import drop_low_quality
 from clickpulse.llm.secrets import redact
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose perplexity is beyond their language's threshold."""
+    return drop_low_quality(docs, read_table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of smallest id of each group of near copies."""
+    return drop_near_duplicates(docs)
+
+
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask every secret in the texts."""
     return redact(docs)
@@ -23,7 +36,18 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_documents(docs)
 
 
-STAGES = [("secret scans", secrets), ("mixing", mixing)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the texts, by words, into sequences of the permitted lengths."""
+    return pack_texts(docs)
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("near-dedup", near_duplicates),
+    ("secret scans", secrets),
+    ("mixing", mixing),
+    ("best-fit packing", packing),
+]
 
 #: Several stages are beyond SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
