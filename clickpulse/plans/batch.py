@@ -3,12 +3,15 @@
 Two ways to the same totals:
 
 * full (default): sum the whole speed view, as the original job does;
-* incremental: the previous report's totals plus the speed-view batches
-  written since. Each report date stores, in ``<report>/_report_state``,
-  the highest batch id it covered per streaming run; the new batches are
-  picked by a filter on the ``run`` / ``batch_id`` partition columns, so
-  only their folders are listed and read. The cost follows the new data,
-  not the whole history. Needs the ``partials`` layout
+* incremental: an earlier state plus the speed-view batches written since. A
+  state, ``<report>/_report_state/report_date=<d>``, holds the totals of a
+  report date together with the highest batch id they cover per streaming run,
+  in one write; it counts once its ``_SUCCESS`` file is there. Totals are
+  computed from states and the speed view only, never from the report, so
+  neither a full run of a date nor a run that died half-way can part totals and
+  coverage. The new batches are picked by a filter on the ``run`` /
+  ``batch_id`` partition columns, so only their folders are read. The cost
+  follows the new data, not the whole history. Needs the ``partials`` layout
   (``run=<id>/batch_id=<n>``); other layouts fall back to full. The newest
   batch per run is taken from the speed layer's completion markers, read
   before the view is listed, so a batch whose files are still being
@@ -22,7 +25,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from clickpulse.operators.totals import all_time_totals, with_report_date
 from clickpulse.operators.windows import SPEED_KEYS
@@ -31,6 +33,8 @@ from clickpulse.sources.sinks import write_report
 from clickpulse.sources.tables import read_report, read_speed_view
 
 STATE_DIR = "_report_state"  # leading underscore: hidden from report reads
+# rows of totals (run null) and of coverage (run set)
+STATE_DDL = "page string, trafficSource string, sum_count long, run string, through long"
 
 
 def build_report(speed: DataFrame, report_date: str | dt.date | None = None) -> DataFrame:
@@ -38,36 +42,44 @@ def build_report(speed: DataFrame, report_date: str | dt.date | None = None) ->
     return with_report_date(all_time_totals(speed), report_date)
 
 
-def _previous_state(spark: SparkSession, report_base: str, report_date: str) -> tuple[str | None, dict]:
-    """Latest earlier report date and its covered batch id per run."""
-    try:
-        state = spark.read.parquet(f"{report_base.rstrip('/')}/{STATE_DIR}")
-    except AnalysisException:  # no report written incrementally yet
-        return None, {}
-    earlier = state.where(F.col("report_date") < F.lit(dt.date.fromisoformat(report_date)))
-    latest = earlier.agg(F.max("report_date")).first()[0]
-    if latest is None:
-        return None, {}
-    rows = earlier.where(F.col("report_date") == F.lit(latest)).select("run", "through").collect()
-    return latest.isoformat(), {r.run: r.through for r in rows}
+def _hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a Hadoop URI."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    store, found = _hadoop_path(spark, path)
+    return store.exists(found)
+
+
+def _previous_state(spark: SparkSession, report_base: str, report_date: str) -> DataFrame | None:
+    """The newest whole state of an earlier report date."""
+    base = f"{report_base.rstrip('/')}/{STATE_DIR}"
+    if not _exists(spark, base):  # no report written incrementally yet
+        return None
+    store, root = _hadoop_path(spark, base)
+    dates = [d for f in store.listStatus(root) if (d := f.getPath().getName().removeprefix("report_date=")) < report_date
+             and _exists(spark, f"{base}/report_date={d}/_SUCCESS")]
+    return spark.read.schema(STATE_DDL).parquet(f"{base}/report_date={max(dates)}") if dates else None
 
 
 def committed_batches(spark: SparkSession, speed_path: str) -> dict | None:
     """Newest fully written batch id per streaming run, from the completion
     markers (``None`` when the view has none, e.g. written without them)."""
-    try:
-        done = spark.read.parquet(f"{speed_path.rstrip('/')}/{DONE_DIR}")
-    except AnalysisException:
+    markers = f"{speed_path.rstrip('/')}/{DONE_DIR}"
+    if not _exists(spark, markers):
         return None
+    done = spark.read.parquet(markers)
     if "run" not in done.columns:
         return None
     return {r.run: r.through for r in done.groupBy("run").agg(F.max("batch_id").alias("through")).collect()}
 
 
 def incremental_totals(spark: SparkSession, speed: DataFrame, report_base: str, report_date: str,
-                       fmt: str = "orc", snapshot: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """(totals, state) for ``report_date`` from the previous report and the
-    speed batches it has not covered yet.
+                       snapshot: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(totals, coverage) for ``report_date`` from the newest earlier state and
+    the speed batches it has not covered yet.
 
     The per-run snapshot (one row per streaming run, i.e. per checkpoint)
     fixes the upper batch id, so batches landing during the job wait for the
@@ -78,39 +90,45 @@ def incremental_totals(spark: SparkSession, speed: DataFrame, report_base: str,
     if snapshot is None:
         snapshot = {r.run: r.through for r in
                     speed.groupBy("run").agg(F.max("batch_id").alias("through")).collect()}
-    prev_date, covered = _previous_state(spark, report_base, report_date)
+    before = _previous_state(spark, report_base, report_date)
+    # one row per streaming run
+    covered = {} if before is None else {r.run: r.through for r in before.where("run IS NOT NULL").collect()}
     picks = [(F.col("run") == F.lit(run)) & (F.col("batch_id") > F.lit(covered.get(run, -1)))
              & (F.col("batch_id") <= F.lit(through)) for run, through in snapshot.items()]
     new_rows = speed.where(reduce(lambda a, b: a | b, picks, F.lit(False)))
     fresh = all_time_totals(new_rows)
-    if prev_date is not None:
-        before = read_report(spark, report_base, prev_date, fmt=fmt).select(*SPEED_KEYS, "sum_count")
-        fresh = (before.unionByName(fresh).groupBy(*SPEED_KEYS)
+    if before is not None:
+        fresh = (before.where("run IS NULL").select(*SPEED_KEYS, "sum_count").unionByName(fresh).groupBy(*SPEED_KEYS)
                  .agg(F.sum("sum_count").cast("long").alias("sum_count")))
     merged = {**covered, **{run: max(t, covered.get(run, -1)) for run, t in snapshot.items()}}
-    state = spark.createDataFrame([(run, int(t)) for run, t in sorted(merged.items())], "run string, through long")
-    return fresh, state
+    coverage = spark.createDataFrame([(run, int(t)) for run, t in sorted(merged.items())], "run string, through long")
+    return fresh, coverage
+
+
+def _write_state(spark: SparkSession, totals: DataFrame, coverage: DataFrame, report_base: str, day: str) -> DataFrame:
+    """Totals and coverage of a date in one write; returns the written totals."""
+    path = f"{report_base.rstrip('/')}/{STATE_DIR}/report_date={day}"
+    state = totals.unionByName(coverage, allowMissingColumns=True)
+    state.select(*spark.createDataFrame([], STATE_DDL).columns).write.mode("overwrite").parquet(path)
+    return spark.read.schema(STATE_DDL).parquet(path).where("run IS NULL").select(*SPEED_KEYS, "sum_count")
 
 
 def run_batch_layer(spark: SparkSession, speed_path: str, report_base: str,
                     report_date: str | dt.date | None = None, overwrite_mode: str = "dynamic",
                     fmt: str = "orc", max_files: int | None = None, incremental: bool = False) -> DataFrame:
     """Read the speed view, write the report, return that date's rows read back."""
+    if incremental and overwrite_mode == "static":
+        raise ValueError("static overwrite would delete the states that an incremental report is computed from")
     # markers first: every batch they name is fully written before the view is listed
     snapshot = committed_batches(spark, speed_path) if incremental else None
     speed = read_speed_view(spark, speed_path)
-    state = None
+    if report_date is None:  # the session's date, for both ways
+        report_date = spark.sql("SELECT current_date()").first()[0]
+    day = report_date if isinstance(report_date, str) else report_date.isoformat()
     if incremental and {"run", "batch_id"} <= set(speed.columns):
-        day = (report_date if isinstance(report_date, str) else
-               (report_date or dt.date.today()).isoformat())
-        totals, state = incremental_totals(spark, speed, report_base, day, fmt, snapshot)
-        report, report_date = with_report_date(totals, day), day
+        totals, coverage = incremental_totals(spark, speed, report_base, day, snapshot)
+        report = with_report_date(_write_state(spark, totals, coverage, report_base, day), day)
     else:
-        report = build_report(speed, report_date)
+        report = build_report(speed, day)
     write_report(report, report_base, fmt=fmt, overwrite_mode=overwrite_mode, max_files=max_files)
-    if state is not None:
-        # written after the report: a failed report write leaves the old state
-        state.write.mode("overwrite").parquet(f"{report_base.rstrip('/')}/{STATE_DIR}/report_date={report_date}")
-    if report_date is None:
-        return read_report(spark, report_base, fmt=fmt)
-    return read_report(spark, report_base, report_date, fmt=fmt)
+    return read_report(spark, report_base, day, fmt=fmt)

@@ -139,12 +139,12 @@ def test_incremental_reads_only_new_batches(spark, workdir):
     base = f"{workdir}/report"
     run_batch_layer(spark, cfg.speed_path, base, "2024-01-01", incremental=True)
     speed_batch(one, 4, cfg, run="r1")
-    totals, state = incremental_totals(spark, read_speed_view(spark, cfg.speed_path), base, "2024-01-02")
+    totals, coverage = incremental_totals(spark, read_speed_view(spark, cfg.speed_path), base, "2024-01-02")
     plan = totals._jdf.queryExecution().executedPlan().toString()
     # only the new batch folder is read from the speed view
     assert re.search(r"PartitionFilters: \[[^\]]*\(batch_id#\d+ > 3\)", plan)
     assert totals.collect()[0].sum_count == 5
-    assert [(r.run, r.through) for r in state.collect()] == [("r1", 4)]
+    assert [(r.run, r.through) for r in coverage.collect()] == [("r1", 4)]
 
 
 def test_incremental_skips_a_batch_still_being_written(spark, workdir):
@@ -167,3 +167,64 @@ def test_incremental_skips_a_batch_still_being_written(spark, workdir):
     mark_done(spark, cfg.speed_path, 1, "r1")  # the batch's commit finished
     second = run_batch_layer(spark, cfg.speed_path, base, "2024-01-02", incremental=True)
     assert [r.sum_count for r in second.collect()] == [2]
+
+
+def _speed_with(spark, workdir, sizes, first=0):
+    """Micro-batches of so many clicks each, as the speed layer writes them."""
+    from clickpulse.config import LayerConfig
+    from clickpulse.plans.speed import speed_batch
+
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=1)
+    for b, n in enumerate(sizes, first):
+        rows = spark.createDataFrame([(ts("2024-01-01 00:00:01"), "/a", "g")] * n,
+                                     "timestamp timestamp, page string, trafficSource string")
+        speed_batch(rows, b, cfg, run="r1")
+    return cfg.speed_path
+
+
+def test_full_rerun_between_incremental_runs_counts_nothing_twice(spark, workdir):
+    base = f"{workdir}/report"
+    path = _speed_with(spark, workdir, [5])
+    run_batch_layer(spark, path, base, "2024-01-01", incremental=True)
+    _speed_with(spark, workdir, [7], first=1)
+    full = run_batch_layer(spark, path, base, "2024-01-01")
+    assert [r.sum_count for r in full.collect()] == [12]
+    _speed_with(spark, workdir, [11], first=2)
+    second = run_batch_layer(spark, path, base, "2024-01-02", incremental=True)
+    assert [r.sum_count for r in second.collect()] == [23]
+
+
+@pytest.mark.parametrize("died_before", ["_write_state", "write_report"])
+def test_rerun_that_died_leaves_totals_and_coverage_together(spark, workdir, monkeypatch, died_before):
+    from clickpulse.plans import batch
+
+    base = f"{workdir}/report"
+    path = _speed_with(spark, workdir, [5])
+    run_batch_layer(spark, path, base, "2024-01-01", incremental=True)
+    _speed_with(spark, workdir, [7], first=1)
+    with monkeypatch.context() as m:
+        def die(*_, **__):
+            raise RuntimeError("lost")
+        m.setattr(batch, died_before, die)
+        with pytest.raises(RuntimeError):
+            run_batch_layer(spark, path, base, "2024-01-01", incremental=True)
+    again = run_batch_layer(spark, path, base, "2024-01-02", incremental=True)
+    assert [r.sum_count for r in again.collect()] == [12]
+
+
+def test_state_without_success_file_is_ignored(spark, workdir):
+    import os
+
+    base = f"{workdir}/report"
+    path = _speed_with(spark, workdir, [5])
+    run_batch_layer(spark, path, base, "2024-01-01", incremental=True)
+    os.remove(f"{base}/_report_state/report_date=2024-01-01/_SUCCESS")
+    _speed_with(spark, workdir, [7], first=1)
+    out = run_batch_layer(spark, path, base, "2024-01-02", incremental=True)
+    assert [r.sum_count for r in out.collect()] == [12]
+
+
+def test_incremental_static_is_rejected(spark, workdir):
+    with pytest.raises(ValueError, match="static"):
+        run_batch_layer(spark, _speed_with(spark, workdir, [1]), f"{workdir}/report", "2024-01-01", "static",
+                        incremental=True)
