@@ -26,18 +26,21 @@ from clickpulse.config import (
     DEFAULT_WATERMARK_SECONDS,
     DEFAULT_WINDOW_SECONDS,
     TOP_ROWS,
+    VISITS_GROUP_ID,
     LayerConfig,
 )
+from clickpulse.operators.ordering import top_report
 from clickpulse.operators.spend import spend_by_account
 from clickpulse.plans.batch import run_batch_layer
-from clickpulse.plans.check import preview, report_view, speed_view
-from clickpulse.sources.kafka import read_kafka, read_record_files
+from clickpulse.plans.check import RECENT_BATCHES, preview, report_view, speed_view
+from clickpulse.sources.kafka import read_kafka, read_record_files, starting_offsets
 from clickpulse.sources.tables import jdbc_options, read_spend_report
 from clickpulse.streaming.clicks import start_page_stats, start_page_visits
 from clickpulse.streaming.spend import read_spend_table, start_spend_report
 from clickpulse.streaming.speed import start_speed_layer
 
 
+WIDE_COLUMN_FORMAT = "org.apache.spark.sql.cassandra"
 STREAMING_JOBS = {"speed", "visits", "stats", "spend"}
 # Tables of the raw-click and page-visit sinks.
 RAW_SINK_OPTIONS = ["keyspace=public", "table=click"]
@@ -49,6 +52,8 @@ TIMESTAMP_TYPE_KEY = "spark.sql.parquet.outputTimestampType"
 
 def _session(name: str, streaming: bool = False) -> SparkSession:
     spark = SparkSession.builder.appName(name).getOrCreate()
+    # record times have no zone: read them alike wherever the cluster runs
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     if not spark.sparkContext.getConf().contains(INITIAL_PARTITIONS_KEY):
         # a large shuffle starts with about three partitions per core, so no
         # reducer gets more than its share; AQE merges small ones back up to
@@ -76,16 +81,13 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--window-seconds", type=int, default=DEFAULT_WINDOW_SECONDS)
     s.add_argument("--watermark-seconds", type=int, default=DEFAULT_WATERMARK_SECONDS)
-    s.add_argument("--trigger-seconds", type=int, default=DEFAULT_TRIGGER_SECONDS)
     s.add_argument("--mode", choices=["partials", "final"], default="partials")
     s.add_argument("--time-pattern", default=CLICK_TIME_PATTERN)
-    s.add_argument("--raw-format", default="org.apache.spark.sql.cassandra")
+    s.add_argument("--raw-format", help="default: Parquet with --raw-path, else the wide-column connector")
     s.add_argument("--raw-option", action="append",
                    help="key=value option of the raw sink (repeatable; default keyspace=public, table=click)")
     s.add_argument("--raw-path")
     s.add_argument("--max-speed-files", type=int)
-    s.add_argument("--max-offsets-per-trigger", type=int)
-    s.add_argument("--min-partitions", type=int)
 
     b = sub.add_parser("batch", help="speed view -> all-time report partitioned by date")
     b.add_argument("--speed-path", required=True)
@@ -102,15 +104,17 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--report-path", required=True)
     c.add_argument("--report-date", required=True)
     c.add_argument("--rows", type=int, default=TOP_ROWS)
+    c.add_argument("--recent-batches", type=int, default=RECENT_BATCHES,
+                   help="newest micro-batches per run that are searched first; the result does not depend on it")
     c.add_argument("--as-stored", action="store_true",
                    help="speed view rows as stored, one per micro-batch (no re-aggregation)")
 
     v = sub.add_parser("visits", help="Kafka clicks -> (timestamp, page) table")
     v.add_argument("--input-topic", default=DEFAULT_TOPIC)
     v.add_argument("--bootstrap.servers", dest="bootstrap", default="localhost:9092")
-    v.add_argument("--group-id", default=DEFAULT_GROUP_ID)
+    v.add_argument("--group-id", default=VISITS_GROUP_ID)
     v.add_argument("--checkpoint", required=True)
-    v.add_argument("--format", default="org.apache.spark.sql.cassandra")
+    v.add_argument("--format", help="default: Parquet with --path, else the wide-column connector")
     v.add_argument("--option", action="append",
                    help="key=value option of the visits sink (repeatable; default keyspace=example, table=clickevent)")
     v.add_argument("--path")
@@ -123,6 +127,7 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--group-id", default=DEFAULT_GROUP_ID)
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--path", help="Parquet files instead of the output topic")
+    st.add_argument("--time-pattern", default=CLICK_TIME_PATTERN)
     st.add_argument("--processing-time", action="store_true",
                     help="window on the micro-batch time instead of the event time")
 
@@ -134,7 +139,8 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--jdbc-user")
     sp.add_argument("--jdbc-password")
     sp.add_argument("--path", help="file table instead of JDBC")
-    sp.add_argument("--policy", choices=["last", "error"], default="last")
+    sp.add_argument("--policy", choices=["last", "error"],
+                    help="default: last for files, error over JDBC (an insert cannot replace a row)")
 
     d = sub.add_parser("dashboard", help="spend per account from the spend_report table (the dashboard query)")
     d.add_argument("--jdbc-url")
@@ -148,15 +154,25 @@ def _parser() -> argparse.ArgumentParser:
         streaming.add_argument("--source-path",
                                help="replay Kafka-shaped records from Parquet files instead of the topic")
         streaming.add_argument("--max-files-per-trigger", type=int)
+        streaming.add_argument("--trigger-seconds", type=int, default=DEFAULT_TRIGGER_SECONDS)
+        streaming.add_argument("--starting-offsets", help="default: latest, with --available-now earliest")
+        streaming.add_argument("--max-offsets-per-trigger", type=int)
+        streaming.add_argument("--min-partitions", type=int)
         streaming.add_argument("--available-now", action="store_true",
                                help="process what is there, then stop")
     return p
 
 
-def _source(spark: SparkSession, a, topic: str, **kafka_options):
+def _source(spark: SparkSession, a, topic: str, group_id: str | None = None):
     if a.source_path:
         return read_record_files(spark, a.source_path, a.max_files_per_trigger)
-    return read_kafka(spark, a.bootstrap, topic, **kafka_options)
+    return read_kafka(spark, a.bootstrap, topic, group_id=group_id,
+                      starting_offsets=starting_offsets(a.starting_offsets, a.available_now),
+                      max_offsets_per_trigger=a.max_offsets_per_trigger, min_partitions=a.min_partitions)
+
+
+def _format(asked: str | None, path: str | None) -> str:
+    return asked or ("parquet" if path else WIDE_COLUMN_FORMAT)
 
 
 def _wait(spark: SparkSession, queries, available_now: bool) -> None:
@@ -178,38 +194,42 @@ def main(argv: list[str] | None = None) -> None:
         cfg = LayerConfig(topic=a.topic, kafka_bootstrap_servers=a.bootstrap, speed_path=a.speed_path,
                           streaming_checkpoint=a.checkpoint, window_seconds=a.window_seconds,
                           watermark_seconds=a.watermark_seconds, trigger_seconds=a.trigger_seconds,
-                          time_pattern=a.time_pattern, speed_mode=a.mode, raw_format=a.raw_format,
+                          time_pattern=a.time_pattern, speed_mode=a.mode,
+                          raw_format=_format(a.raw_format, a.raw_path),
                           raw_options={} if a.raw_path else _options(a.raw_option or RAW_SINK_OPTIONS),
                           raw_path=a.raw_path,
                           max_speed_files=a.max_speed_files)
-        src = _source(spark, a, a.topic, max_offsets_per_trigger=a.max_offsets_per_trigger,
-                      min_partitions=a.min_partitions)
+        src = _source(spark, a, a.topic)
         _wait(spark, start_speed_layer(src, cfg, a.checkpoint, available_now=a.available_now), a.available_now)
     elif a.job == "batch":
         out = run_batch_layer(spark, a.speed_path, a.report_path, a.report_date, a.overwrite_mode, a.format,
                               incremental=a.incremental)
-        preview(out.orderBy(out.sum_count.desc()), a.show)
+        preview(top_report(out, a.show), a.show)
     elif a.job == "check":
         preview(report_view(spark, a.report_path, a.report_date, a.rows), a.rows)
-        preview(speed_view(spark, a.speed_path, a.rows, reaggregate=not a.as_stored), a.rows)
+        preview(speed_view(spark, a.speed_path, a.rows, reaggregate=not a.as_stored,
+                           recent_batches=a.recent_batches), a.rows)
     elif a.job == "visits":
         src = _source(spark, a, a.input_topic, group_id=a.group_id)
-        q = start_page_visits(src, a.checkpoint, fmt=a.format, path=a.path,
+        q = start_page_visits(src, a.checkpoint, fmt=_format(a.format, a.path), path=a.path,
+                              trigger_seconds=a.trigger_seconds,
                               options=_options(a.option or VISITS_SINK_OPTIONS),
                               pattern=a.time_pattern, available_now=a.available_now)
         _wait(spark, [q], a.available_now)
     elif a.job == "stats":
         src = _source(spark, a, a.input_topic, group_id=a.group_id)
         q = start_page_stats(src, a.checkpoint, bootstrap_servers=a.bootstrap, topic=a.output_topic,
-                             path=a.path, available_now=a.available_now, processing_time=a.processing_time)
+                             path=a.path, trigger_seconds=a.trigger_seconds, available_now=a.available_now,
+                             processing_time=a.processing_time, pattern=a.time_pattern)
         _wait(spark, [q], a.available_now)
     elif a.job == "spend":
         src = _source(spark, a, a.topic)
         if a.path:
-            q = start_spend_report(src, a.checkpoint, fmt="parquet", path=a.path, policy=a.policy,
-                                   available_now=a.available_now)
+            q = start_spend_report(src, a.checkpoint, fmt="parquet", path=a.path, policy=a.policy or "last",
+                                   trigger_seconds=a.trigger_seconds, available_now=a.available_now)
         else:
-            q = start_spend_report(src, a.checkpoint, fmt="jdbc", policy=a.policy, available_now=a.available_now,
+            q = start_spend_report(src, a.checkpoint, fmt="jdbc", policy=a.policy or "error",
+                                   trigger_seconds=a.trigger_seconds, available_now=a.available_now,
                                    options=jdbc_options(a.jdbc_url, user=a.jdbc_user, password=a.jdbc_password))
         _wait(spark, [q], a.available_now)
     elif a.job == "dashboard":

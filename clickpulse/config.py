@@ -7,6 +7,9 @@ from dataclasses import dataclass, field
 # Fixed values that must equal the original jobs' settings.
 DEFAULT_TOPIC = "input"
 DEFAULT_GROUP_ID = "click-event-count"
+# Page visits read the same topic on their own: two queries of one group would
+# each get only part of its records.
+VISITS_GROUP_ID = "click-page-visits"
 DEFAULT_WINDOW_SECONDS = 10
 DEFAULT_WATERMARK_SECONDS = 60
 DEFAULT_TRIGGER_SECONDS = 5
@@ -20,7 +23,7 @@ CLICK_TIME_PATTERN = "dd-MM-yyyy HH:mm:ss:SSS"
 CLICK_TIME_PATTERN_12H = "dd-MM-yyyy hh:mm:ss:SSS"
 TRANSACTION_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
 SPEND_BAND_RED_FROM = 80
-# Value domains of the click and transaction producers.
+# Domains of the click and transaction producers.
 TRAFFIC_SOURCES = ("google.com", "yandex.ru", "youtube.com", "vk.com")
 FIRST_USER_ID = 2013000000
 ACCOUNTS = 5
@@ -42,8 +45,7 @@ class LayerConfig:
 
     topic: str = DEFAULT_TOPIC
     kafka_bootstrap_servers: str = "localhost:29092"
-    speed_path: str = "out/speed.parquet"
-    batch_path: str = "out/batch"
+    speed_path: str | None = None  # required: a folder that the whole cluster shares
     # None: a stable folder below spark.checkpoint.dir (see session.stable_dir)
     streaming_checkpoint: str | None = None
     window_seconds: int = DEFAULT_WINDOW_SECONDS
@@ -60,24 +62,11 @@ class LayerConfig:
     # None lets AQE size the output partitions, so a large micro-batch is
     # not squeezed into a few tasks.
     max_speed_files: int | None = None
-    partition_overwrite_mode: str = "dynamic"
-
-    @property
-    def window_duration(self) -> str:
-        return f"{self.window_seconds} seconds"
-
-    @property
-    def watermark_delay(self) -> str:
-        return f"{self.watermark_seconds} seconds"
-
-    @property
-    def trigger_interval(self) -> str:
-        return f"{self.trigger_seconds} seconds"
 
     def __post_init__(self):
+        if not self.speed_path:
+            raise ValueError("speed_path is required")
         if self.speed_mode not in ("partials", "final"):
             raise ValueError(f"speed_mode must be 'partials' or 'final', got {self.speed_mode!r}")
-        if self.partition_overwrite_mode not in ("dynamic", "static"):
-            raise ValueError("partition_overwrite_mode must be 'dynamic' or 'static'")
         if self.window_seconds <= 0 or self.watermark_seconds < 0:
             raise ValueError("window must be positive and watermark non-negative")

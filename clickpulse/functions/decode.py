@@ -57,13 +57,13 @@ def parse_clicks_strict(df: DataFrame, pattern: str = CLICK_TIME_PATTERN, value_
     """Strict typed decode of click JSON (the page-visit job's decoder).
 
     ``FAILFAST`` fails the query on a malformed record instead of yielding
-    nulls. Unlike a strict object mapper, unknown keys are accepted.
+    nulls, and so do an empty and a null value. Unlike a strict object mapper,
+    unknown keys are accepted.
     """
-    parsed = F.from_json(
-        value_as_string(value_col),
-        CLICK_TYPED_DDL,
-        {"mode": "FAILFAST", "timestampFormat": pattern},
-    )
+    text = value_as_string(value_col)
+    blank = text.isNull() | (F.trim(text) == "")
+    checked = F.when(blank, F.raise_error(F.lit("click record is empty")).cast("string")).otherwise(text)
+    parsed = F.from_json(checked, CLICK_TYPED_DDL, {"mode": "FAILFAST", "timestampFormat": pattern})
     return _fields(df, parsed, keep)
 
 

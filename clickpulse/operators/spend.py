@@ -5,7 +5,8 @@ column. ``dedupe_spend`` enforces that on any frame:
 
 * ``policy="error"`` — a second row for a key fails the query (what a
   primary key does on insert);
-* ``policy="last"`` — the row with the greatest ``order_col`` wins (upsert).
+* ``policy="last"`` — the row with the greatest ``order_col`` wins (upsert); a
+  null there has no order and fails the query.
 
 Null keys or amounts fail the query. Checks use ``raise_error`` inside the
 plan, so they cost no extra pass. ``max_by`` is a declarative aggregate with
@@ -32,8 +33,8 @@ def dedupe_spend(tx: DataFrame, policy: str = "last", order_col: str = "offset",
                  keep_order: bool = False) -> DataFrame:
     """At most one row per (account_id, log_ts); columns as in the table.
 
-    ``keep_order`` also returns the winning row's ``order_col`` (policy
-    ``last``), computed in the same aggregate.
+    ``keep_order`` also returns the row's ``order_col``, computed in the same
+    aggregate.
     """
     if policy not in ("last", "error"):
         raise ValueError("policy must be 'last' or 'error'")
@@ -41,18 +42,20 @@ def dedupe_spend(tx: DataFrame, policy: str = "last", order_col: str = "offset",
         _not_null("account_id").cast("long").alias("account_id"),
         _not_null("log_ts").alias("log_ts"),
         _not_null("amount").cast("long").alias("amount"),
-        *([order_col] if policy == "last" else []),
+        *([_not_null(order_col).alias(order_col)] if policy == "last" else [order_col] if keep_order else []),
     )
     if policy == "last":
         aggs = [F.max_by("amount", order_col).alias("amount")]
         if keep_order:
             aggs.append(F.max(order_col).alias(order_col))
         return checked.groupBy(*KEY).agg(*aggs)
-    grouped = checked.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.first("amount").alias("amount"))
+    kept = [F.first(order_col).alias(order_col)] if keep_order else []
+    grouped = checked.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.first("amount").alias("amount"), *kept)
     return grouped.select(
         *KEY,
         F.when(F.col("n") > 1, F.raise_error(F.lit("spend_report: duplicate primary key (account_id, log_ts)")))
         .otherwise(F.col("amount")).alias("amount"),
+        *([order_col] if keep_order else []),
     )
 
 

@@ -19,17 +19,6 @@ CLICK_WIRE_SCHEMA = T.StructType(
 # Typed click as the strict decoder of the page-visit job sees it.
 CLICK_TYPED_DDL = "timestamp TIMESTAMP, page STRING, userId BIGINT, duration BIGINT, trafficSource STRING"
 
-# Parsed click (output of the speed-layer parse).
-CLICK_SCHEMA = T.StructType(
-    [
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("page", T.StringType()),
-        T.StructField("userId", T.StringType()),
-        T.StructField("duration", T.StringType()),
-        T.StructField("trafficSource", T.StringType()),
-    ]
-)
-
 WINDOW_TYPE = T.StructType(
     [T.StructField("start", T.TimestampType()), T.StructField("end", T.TimestampType())]
 )
@@ -53,19 +42,6 @@ REPORT_SCHEMA = T.StructType(
     ]
 )
 
-PAGE_STATS_SCHEMA = T.StructType(
-    [
-        T.StructField("windowStart", T.TimestampType()),
-        T.StructField("windowEnd", T.TimestampType()),
-        T.StructField("page", T.StringType()),
-        T.StructField("count", T.LongType()),
-    ]
-)
-
-PAGE_VISIT_SCHEMA = T.StructType(
-    [T.StructField("timestamp", T.TimestampType()), T.StructField("page", T.StringType())]
-)
-
 TRANSACTION_DDL = "account_id BIGINT, amount INT, log_ts TIMESTAMP"
 
 SPEND_REPORT_SCHEMA = T.StructType(

@@ -1,6 +1,6 @@
 """Kafka sources and sinks by name, with a file stand-in of the same shape.
 
-The Kafka connector jar is not bundled; ``read_kafka`` / ``write_kafka``
+The Kafka connector jar is not bundled; ``read_kafka`` / ``kafka_writer``
 only configure Spark's own ``kafka`` data source, so they work wherever
 the cluster provides it. Tests replay records through
 ``read_record_files`` instead, which yields the same columns.
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from clickpulse.schemas import KAFKA_RECORD_SCHEMA
 
@@ -47,6 +48,12 @@ def read_kafka(spark: SparkSession, bootstrap_servers: str, topic: str, **kw) ->
     return spark.readStream.format("kafka").options(**kafka_source_options(bootstrap_servers, topic, **kw)).load()
 
 
+def starting_offsets(asked: str | None, available_now: bool) -> str:
+    """``latest`` for a query that stays; a query that drains the topic and
+    stops would find nothing there, so it starts at ``earliest``."""
+    return asked or ("earliest" if available_now else "latest")
+
+
 def read_record_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream Kafka-shaped records from Parquet files (test stand-in)."""
     reader = spark.readStream.schema(KAFKA_RECORD_SCHEMA).format("parquet")
@@ -61,12 +68,8 @@ def to_records(df: DataFrame, value: str = "value", key: str | None = None) -> D
     return df.select(k.alias("key"), F.col(value).cast("binary").alias("value"))
 
 
-def write_kafka(df: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str, trigger_seconds: int | None = None):
-    """Stream key/value rows to a topic (JSON click / statistics sinks)."""
-    w = (df.writeStream.format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap_servers)
-         .option("topic", topic)
-         .option("checkpointLocation", checkpoint))
-    if trigger_seconds:
-        w = w.trigger(processingTime=f"{trigger_seconds} seconds")
-    return w.start()
+def kafka_writer(df: DataFrame, bootstrap_servers: str, topic: str) -> DataStreamWriter:
+    """Writer of key/value rows to a topic (JSON click / statistics sinks)."""
+    return (df.writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap_servers)
+            .option("topic", topic))

@@ -18,6 +18,8 @@ from clickpulse.functions.decode import parse_clicks_strict
 from clickpulse.functions.encode import page_stats_json
 from clickpulse.operators.visits import page_visits
 from clickpulse.operators.windows import page_stats
+from clickpulse.plans.speed import FILE_FORMATS
+from clickpulse.sources.kafka import kafka_writer
 from clickpulse.sources.sinks import append_rows, write_batch_folder
 from clickpulse.streaming.triggers import RunTag, require_checkpoint, with_trigger
 
@@ -39,7 +41,7 @@ def start_page_visits(records: DataFrame, checkpoint: str, fmt: str = "parquet",
     tag = RunTag()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if path and fmt in ("parquet", "orc", "json", "csv"):
+        if path and fmt in FILE_FORMATS:
             write_batch_folder(batch, path, batch_id, fmt=fmt, run=tag.get())
         else:
             append_rows(batch, fmt, path, options)
@@ -79,7 +81,6 @@ def start_page_stats(records: DataFrame, checkpoint: str, bootstrap_servers: str
     if path:
         w = stats.writeStream.format("parquet").option("path", path)
     else:
-        w = (stats.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
-             .option("topic", topic))
+        w = kafka_writer(stats, bootstrap_servers, topic)
     w = w.outputMode("append").option("checkpointLocation", require_checkpoint(checkpoint))
     return with_trigger(w, trigger_seconds, available_now).start()

@@ -3,10 +3,10 @@
 Each micro-batch is parsed (CSV), de-duplicated on the primary key and
 written.
 
-* JDBC table: Spark's JDBC writer appends, so the policy applies inside a
-  micro-batch and the table's own primary key rejects a key that an earlier
-  batch already wrote with another amount (the ``error`` behaviour across
-  batches). Rows already in the table unchanged are not sent again
+* JDBC table: Spark's JDBC writer appends, so only policy ``error`` is taken:
+  the table's own primary key rejects a key that an earlier batch already
+  wrote with another amount. Policy ``last`` needs a ``merge`` function of the
+  caller's database. Rows already in the table unchanged are not sent again
   (``without_written``), so a micro-batch re-run after a crash between its
   insert and its commit does not trip the key and block the query.
 * File table: one folder per run and batch id (a retry overwrites it) and
@@ -16,6 +16,8 @@ written.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,13 @@ from clickpulse.streaming.triggers import RunTag, require_checkpoint, with_trigg
 
 def start_spend_report(records: DataFrame, checkpoint: str, fmt: str = "jdbc", path: str | None = None,
                        options: dict | None = None, policy: str = "last", trigger_seconds: int | None = None,
-                       available_now: bool = False) -> StreamingQuery:
+                       available_now: bool = False,
+                       merge: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+    """``merge(rows, batch_id)`` writes a micro-batch to a keyed table in place
+    of the JDBC append. Policy ``last`` needs it there: an append cannot
+    replace a row of an earlier batch."""
+    if policy == "last" and fmt == "jdbc" and not path and merge is None:
+        raise ValueError("policy 'last' on a JDBC table needs a merge function; a JDBC append only inserts")
     tx = parse_transactions(records, keep=("offset",))
     tag = RunTag()
 
@@ -37,9 +45,9 @@ def start_spend_report(records: DataFrame, checkpoint: str, fmt: str = "jdbc", p
         if path:
             # keep the offset so later batches and readers can order rows
             resolved = dedupe_spend(batch, policy, order_col="offset", keep_order=True)
-            if policy == "error":
-                resolved = resolved.withColumn("offset", F.lit(None).cast("long"))
             write_batch_folder(resolved, path, batch_id, fmt=fmt, run=tag.get())
+        elif merge is not None:
+            merge(dedupe_spend(batch, policy, order_col="offset"), batch_id)
         else:
             rows = dedupe_spend(batch, policy, order_col="offset").persist(StorageLevel.MEMORY_AND_DISK)
             try:

@@ -58,3 +58,29 @@ def test_sink_option_defaults():
     from clickpulse.cli import _parser
     a = _parser().parse_args(["speed", "--speed-path", "s", "--checkpoint", "c", "--raw-option", "table=x"])
     assert a.raw_option == ["table=x"]
+
+
+def test_every_streaming_job_takes_rates_and_offsets():
+    from clickpulse.cli import _format, _parser
+    from clickpulse.config import DEFAULT_TRIGGER_SECONDS
+
+    need = {"speed": ["--speed-path", "s"], "visits": [], "stats": ["--time-pattern", "dd-MM-yyyy hh:mm:ss:SSS"], "spend": []}
+    for job, extra in need.items():
+        a = _parser().parse_args([job, "--checkpoint", "c", "--max-offsets-per-trigger", "9", "--min-partitions", "4",
+                                  "--starting-offsets", "earliest", *extra])
+        assert (a.trigger_seconds, a.max_offsets_per_trigger, a.min_partitions) == (DEFAULT_TRIGGER_SECONDS, 9, 4)
+    visits, stats = (_parser().parse_args([j, "--checkpoint", "c"]) for j in ("visits", "stats"))
+    assert visits.group_id != stats.group_id
+    assert _format(None, "/x") == "parquet" and _format("orc", "/x") == "orc" and "cassandra" in _format(None, None)
+
+
+def test_drained_topic_starts_at_its_beginning():
+    from clickpulse.sources.kafka import starting_offsets
+    assert starting_offsets(None, False) == "latest" and starting_offsets(None, True) == "earliest"
+    assert starting_offsets("latest", True) == "latest"
+
+
+def test_jobs_read_times_as_utc(spark):
+    from clickpulse.cli import _session
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    assert _session("zone").conf.get("spark.sql.session.timeZone") == "UTC"

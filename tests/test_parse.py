@@ -108,3 +108,9 @@ def test_json_keeps_null_fields(spark):
                                 "t timestamp, p string, u long, d long, s string")
     text = src.select(click_json("t", "p", "u", "d", "s").alias("v")).collect()[0].v
     assert '"page":null' in text
+
+
+@pytest.mark.parametrize("value", ["", "  ", None])
+def test_strict_decode_fails_on_empty_and_null(spark, value):
+    with pytest.raises(Exception, match="click record is empty"):
+        parse_clicks_strict(records(spark, [GOOD, value])).collect()

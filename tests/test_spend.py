@@ -49,3 +49,40 @@ def test_spend_by_account_band(spark):
     assert got == [("1", 80, "red"), ("2", 79, "green")]
     timed = spend_by_account(rep, with_time=True)
     assert timed.columns == ["time", "metric", "value", "band"]
+
+
+def test_null_order_fails(spark):
+    with pytest.raises(Exception, match="NULL in NOT NULL column offset"):
+        dedupe_spend(tx(spark, [(1, 10, "2000-01-01 01:00:00", None)]), "last").collect()
+
+
+def test_table_written_with_error_reads_with_last(spark, workdir, capsys):
+    """The spend job's rows keep their offsets under both policies, so the
+    dashboard's default policy reads either."""
+    from clickpulse.cli import main
+    from tests.helpers import records
+
+    records(spark, ["1, 100, 2000-01-01 01:00:00", "1, 50, 2000-01-01 02:00:00"], keys=[1, 1]).write.parquet(f"{workdir}/tx")
+    main(["spend", "--source-path", f"{workdir}/tx", "--available-now", "--checkpoint", f"{workdir}/ck",
+          "--path", f"{workdir}/spend", "--policy", "error"])
+    capsys.readouterr()
+    main(["dashboard", "--path", f"{workdir}/spend"])
+    line = next(ln for ln in capsys.readouterr().out.splitlines() if "red" in ln or "green" in ln)
+    assert "150" in line and "red" in line
+
+
+def test_last_over_jdbc_needs_a_merge(spark, workdir):
+    from clickpulse.sources.kafka import read_record_files
+    from clickpulse.streaming.spend import start_spend_report
+    from tests.helpers import records
+
+    records(spark, ["1, 100, 2000-01-01 01:00:00", "1, 50, 2000-01-01 01:00:00"], keys=[1, 1]).coalesce(1).write.parquet(
+        f"{workdir}/tx")
+    source = lambda: read_record_files(spark, f"{workdir}/tx")
+    with pytest.raises(ValueError, match="merge"):
+        start_spend_report(source(), f"{workdir}/ck", fmt="jdbc", policy="last")
+    got = []
+    q = start_spend_report(source(), f"{workdir}/ck", fmt="jdbc", policy="last", available_now=True,
+                           merge=lambda rows, _: got.extend(r.amount for r in rows.collect()))
+    q.awaitTermination()
+    assert got == [50]
