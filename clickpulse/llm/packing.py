@@ -38,7 +38,7 @@ def _open_size(length: int, left: int, sizes: Sequence[int], cost: Callable[[int
     """The size that costs least per word, for a piece and ``left`` words that
     may still join it."""
     fitting = [c for c in sizes if c >= length] or [sizes[-1]]
-    return min(fitting, key=lambda c: (cost(c) / min(c, length + left), -c))
+    return min(fitting, key=lambda c: (cost(c) / min(c, max(1, length + left)), -c))
 
 
 def _best_fit(lengths: np.ndarray, sizes: Sequence[int], cost: Callable[[int], float]) -> tuple[np.ndarray, list[int]]:

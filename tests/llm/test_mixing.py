@@ -1,0 +1,60 @@
+import math
+
+import pytest
+
+from clickpulse.llm.mixing import WEIGHTS, mix_documents, mix_report, source_targets
+
+
+def _targets(sizes, weights=WEIGHTS, most=3):
+    """Shares by weight, capped and dealt anew until none is above its cap."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, left = {}, sum(sizes.values())
+    todo = list(names)
+    while todo:
+        total = sum(weight[s] for s in todo)
+        above = [s for s in todo if left * weight[s] / total > most * sizes[s]]
+        if not above:
+            target |= {s: left * weight[s] / total for s in todo}
+            break
+        for s in above:
+            target[s] = most * sizes[s]
+            left -= target[s]
+            todo.remove(s)
+    return target
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100}, {"a": 1, "b": 50, "c": 1000, None: 3}, {"a": 0, "b": 10}, {"a": 7}, {None: 5, "z": 500, "y": 1},
+    {f"s{i}": i * i for i in range(12)}])
+def test_targets(spark, sizes):
+    rows = source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()
+    want = _targets(sizes)
+    assert {r.source for r in rows} == set(sizes)
+    for r in rows:
+        assert math.isclose(r.target, want[r.source], rel_tol=1e-9, abs_tol=1e-9)
+    assert math.isclose(sum(r.target for r in rows), sum(sizes.values()))
+
+
+def test_taken_words_come_near_the_target_and_reruns_agree(frame):
+    rows = [(i, "w " * (i % 50 + 1), ("a" if i % 3 else "b") if i % 7 else None) for i in range(3000)]
+    rows += [(9000 + i, "word", "hot") for i in range(2000)] + [(20001, None, "a"), (20002, "", "zero")]
+    docs = frame(rows, "doc_id long, text string, source string")
+    found = mix_report(docs).collect()
+    assert sorted(map(str, found)) == sorted(map(str, mix_report(docs.repartition(7)).collect()))
+    by = {}
+    for r in found:
+        assert r.taken % max(r.size, 1) == 0 and r.taken <= 3 * r.size
+        by.setdefault((r.source_size, r.target), []).append(r.taken)
+    assert len(by) == 5
+    for (_, target), taken in by.items():
+        assert abs(sum(taken) - target) <= 50
+    mixed = mix_documents(docs)
+    assert mixed.columns == docs.columns
+    copies = {}
+    for r in mixed.collect():
+        copies[r.doc_id, r.source] = copies.get((r.doc_id, r.source), 0) + 1
+    taken = sum(r.taken for r in found)
+    assert sum(n * len((t or "").split()) for (d, t, s) in rows for n in [copies.get((d, s), 0)]) == taken
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,38 @@
+import shutil
+
+from clickpulse.llm.rollups import TokenRollup, deletes, inserts, revisions
+
+DDL = "source string, lang string, tokenizer string, n_tokens long"
+
+
+def _totals(rollup):
+    return sorted((tuple(r) for r in rollup.totals().collect()), key=str)
+
+
+def test_inserts_deletes_and_revisions(spark, tmp_path):
+    rollup = TokenRollup(spark, f"{tmp_path}/r")
+    assert _totals(rollup) == [] and rollup.batches().count() == 0
+    rows = [("a", "en", "v1", 5), ("a", "en", "v1", 7), (None, None, "v1", 1), ("b", "en", "v1", 0)]
+    assert rollup.commit("one", inserts(spark.createDataFrame(rows, DDL)))
+    assert _totals(rollup) == sorted([("a", "en", "v1", 2, 12), (None, None, "v1", 1, 1), ("b", "en", "v1", 1, 0)], key=str)
+    gone = deletes(spark.createDataFrame(rows[2:], DDL))
+    new = revisions(spark.createDataFrame([("a", "en", "v1", 5, 9)], "source string, lang string, tokenizer string, old_tokens long, new_tokens long"))
+    assert rollup.commit("two", gone.unionByName(new))
+    assert _totals(rollup) == [("a", "en", "v1", 2, 16)]
+    assert not rollup.commit("two", gone) and not rollup.commit("one", gone)
+    assert _totals(rollup) == [("a", "en", "v1", 2, 16)]
+    assert rollup.commit("none", inserts(spark.createDataFrame([], DDL)))
+    assert {r.batch for r in rollup.batches().collect()} == {"one", "two", "none"}
+
+
+def test_a_commit_that_died_does_not_count(spark, tmp_path):
+    path = f"{tmp_path}/r"
+    rollup = TokenRollup(spark, path)
+    rows = inserts(spark.createDataFrame([("a", "en", "v1", 5)], DDL))
+    rollup.commit("one", rows)
+    rollup.commit("two", rows)
+    (tmp_path / "r" / "version=1" / "_SUCCESS").unlink()  # as if the second write had not ended
+    assert _totals(rollup) == [("a", "en", "v1", 1, 5)]
+    assert rollup.commit("two", rows) and _totals(rollup) == [("a", "en", "v1", 2, 10)]
+    shutil.rmtree(f"{path}/version=1")
+    assert _totals(rollup) == [("a", "en", "v1", 1, 5)]
