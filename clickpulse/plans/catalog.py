@@ -4,8 +4,10 @@ the stored ``events`` table, each with an equivalent DuckDB SQL text.
 Inputs are replayed through the wire form (JSON / CSV records, then the real
 decoders), so the parse path is always exercised. The SQL works from the
 table's columns directly. Streaming queries stage the replayed records as
-files in the shared folder, run the real streaming job with
-``availableNow`` and return what it wrote.
+files in the shared folder, one for each ``RECORDS_PER_TRIGGER`` records, run
+the real streaming job with ``availableNow``, remove the staged input and the
+checkpoint, and return what the job wrote. Queries over the stored speed view
+share one, written by the real speed layer once per session and table.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from clickpulse.config import (
     DEFAULT_WATERMARK_SECONDS,
     DEFAULT_WINDOW_SECONDS,
     FIRST_USER_ID,
+    OUT_OF_ORDERNESS_MS,
     PAGE_STATS_WINDOW_SECONDS,
     TRAFFIC_SOURCES,
     LayerConfig,
@@ -34,7 +37,7 @@ from clickpulse.operators.ordering import latest_windows, top_report
 from clickpulse.operators.spend import dedupe_spend, spend_by_account
 from clickpulse.operators.totals import all_time_totals, with_report_date
 from clickpulse.operators.visits import page_visits
-from clickpulse.operators.windows import page_stats, reaggregate_speed, window_counts
+from clickpulse.operators.windows import SPEED_KEYS, page_stats, reaggregate_speed, window_counts
 from clickpulse.plans.batch import build_report, run_batch_layer
 from clickpulse.plans.check import speed_view
 from clickpulse.session import fresh_dir, materialize
@@ -42,8 +45,9 @@ from clickpulse.sources.kafka import read_record_files
 from clickpulse.sources.replay import (
     click_records,
     event_time,
-    micro_batch_id,
     read_events,
+    remove_folder,
+    stage_micro_batches,
     traffic_source,
     transaction_records,
 )
@@ -54,13 +58,14 @@ from clickpulse.streaming.spend import read_spend_table, start_spend_report
 from clickpulse.streaming.speed import start_speed_layer
 
 # Fixed query parameters.
-RECORDS_PER_BATCH = 100  # offsets per micro-batch in the partial speed view
+# Offsets per trigger of a replayed stream, so the number of micro-batches grows
+# with the table; a batch holds as much as a trigger would take from a topic.
+RECORDS_PER_TRIGGER = 5000
+LATE_EVERY = 97  # every so many records of the watermark queries arrive last
 HOUR_WINDOW_SECONDS = 3600
 REPORT_DATE = "2022-08-27"
 PREVIOUS_REPORT_DATE = "2022-08-26"
 REPORT_TOP_N = 10  # the replay has 20 (page, source) groups; 10 makes the cut bite
-STREAM_MICRO_BATCHES = 4  # replayed streams are cut into about this many micro-batches
-STREAM_TIMEOUT_S = 900
 
 
 @dataclass(frozen=True)
@@ -86,11 +91,23 @@ def _strict_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _partials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The speed view as the partials job writes it: one row per
-    (micro-batch, window, page, source)."""
-    clicks = _clicks(spark, sf_dir, keep=("offset",)).withColumn(
-        "batch_id", micro_batch_id("offset", RECORDS_PER_BATCH))
-    return window_counts(clicks, DEFAULT_WINDOW_SECONDS, extra_keys=("batch_id",))
+    """The stored speed view: one row per (micro-batch, window, page, source)."""
+    view = read_speed_view(spark, _stored_view(spark, sf_dir))
+    return view.select(F.col("batch_id").cast("long").alias("batch_id"), "window", *SPEED_KEYS, "count")
+
+
+_STORED: dict[tuple, str] = {}
+
+
+def _stored_view(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the speed view of a table, written once per session by the
+    speed layer with its sink and completion markers."""
+    source = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/events.parquet")
+    changed = source.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(source).getModificationTime()
+    key = (spark.sparkContext.applicationId, sf_dir, changed)
+    if key not in _STORED:
+        _STORED[key] = _run_partials_stream(spark, sf_dir, land=False).speed_path
+    return _STORED[key]
 
 
 def _spend_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,26 +115,35 @@ def _spend_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_spend(tx, policy="last", order_col="offset")
 
 
-def _stage(spark: SparkSession, records: DataFrame, name: str) -> tuple[str, int]:
-    """Write replayed records as files a file-stream source can replay.
+def _per_trigger(offset: str = "offset") -> F.Column:
+    return F.expr(f"{offset} div {RECORDS_PER_TRIGGER}")
 
-    Returns the folder and a files-per-trigger cap that cuts the replay into
-    about ``STREAM_MICRO_BATCHES`` micro-batches (each grows with the data,
-    as a fixed trigger interval over a faster topic would).
-    """
-    path = fresh_dir(spark, f"{name}-input")
-    records.write.parquet(path)
-    n_files = len(spark.read.parquet(path).inputFiles())
-    return path, max(1, -(-n_files // STREAM_MICRO_BATCHES))
 
+def _late() -> F.Column:
+    return F.col("offset") % LATE_EVERY == 0
 
-def _await(queries) -> None:
-    for q in queries:
-        if not q.awaitTermination(STREAM_TIMEOUT_S):
-            q.stop()
-            raise TimeoutError(f"streaming query {q.name or q.id} did not finish")
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
+
+def _replay(spark: SparkSession, records: DataFrame, name: str, batch: F.Column,
+            start: Callable[[DataFrame, str], list]) -> None:
+    """Stage the records as micro-batches, run the queries that ``start``
+    makes from (source, checkpoint) to their end, and remove input and
+    checkpoint."""
+    stage, checkpoint = fresh_dir(spark, f"{name}-input"), fresh_dir(spark, f"{name}-checkpoint")
+    files = stage_micro_batches(records, batch, stage)
+    _await(start(read_record_files(spark, files, max_files_per_trigger=1), checkpoint))
+    for path in (stage, checkpoint):
+        remove_folder(spark, path)
+
+
+def _await(queries: list) -> None:
+    """Wait for every query; when one fails, the others are stopped."""
+    try:
+        for q in queries:
+            q.awaitTermination()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
 
 
 # -------------------------------------------------------------- batch queries
@@ -170,17 +196,14 @@ def latest_partials(spark, sf_dir):
 def check_speed_view(spark, sf_dir):
     """The check job on a stored speed view: only the rows of the newest
     windows are read back and summed (filter pushed into the scan)."""
-    path = fresh_dir(spark, "stored-speed")
-    _partials(spark, sf_dir).write.parquet(path)
-    return speed_view(spark, path, 30)
+    return speed_view(spark, _stored_view(spark, sf_dir), 30)
 
 
 def check_stored_rows(spark, sf_dir):
     """The check job's view of the stored rows as they are (one per
     micro-batch and window), newest first; only the newest windows are read."""
-    path = fresh_dir(spark, "stored-speed")
-    _partials(spark, sf_dir).write.parquet(path)
-    return speed_view(spark, path, 30, reaggregate=False)
+    rows = speed_view(spark, _stored_view(spark, sf_dir), 30, reaggregate=False)
+    return rows.withColumn("batch_id", F.col("batch_id").cast("long")).drop("run")
 
 
 def all_time_totals_q(spark, sf_dir):
@@ -254,24 +277,31 @@ def spend_by_account_q(spark, sf_dir):
 
 # ---------------------------------------------------------- streaming queries
 
+def _on_time_then_late(events: DataFrame) -> F.Column:
+    """Micro-batches in event order, then the last record alone, then the
+    records that are late (a batch drops by the watermark that the batch before
+    the last one left, so the last record's batch puts it into force)."""
+    last = events.where(F.col("event_id") % LATE_EVERY != 0).agg(F.max("event_id")).first()[0] or 0
+    after = last // RECORDS_PER_TRIGGER + 1
+    return (F.when(_late(), F.lit(after + 1)).when(F.col("offset") == last, F.lit(after)).otherwise(_per_trigger()))
+
+
 def stream_final_counts(spark, sf_dir):
-    """Watermarked window counts in append mode: closed windows only."""
-    stage = fresh_dir(spark, "final-input")
-    click_records(_events(spark, sf_dir)).write.parquet(stage)
-    out = fresh_dir(spark, "final-speed")
+    """Watermarked window counts in append mode: closed windows only; late
+    records count while their window is open."""
+    events, out = _events(spark, sf_dir), fresh_dir(spark, "final-speed")
     cfg = LayerConfig(speed_path=out, speed_mode="final", window_seconds=DEFAULT_WINDOW_SECONDS,
                       watermark_seconds=DEFAULT_WATERMARK_SECONDS)
-    _await(start_speed_layer(read_record_files(spark, stage), cfg, fresh_dir(spark, "final-ckpt"),
-                             available_now=True))
+    _replay(spark, click_records(events), "final", _on_time_then_late(events),
+            lambda source, checkpoint: start_speed_layer(source, cfg, checkpoint, available_now=True))
     return flatten_window(read_speed_view(spark, out))
 
 
-def _run_partials_stream(spark, sf_dir) -> LayerConfig:
-    stage, per_trigger = _stage(spark, click_records(_events(spark, sf_dir)), "speed")
-    cfg = LayerConfig(speed_path=fresh_dir(spark, "speed-view"), raw_path=fresh_dir(spark, "raw-clicks"),
-                      speed_mode="partials", max_speed_files=None)
-    source = read_record_files(spark, stage, max_files_per_trigger=per_trigger)
-    _await(start_speed_layer(source, cfg, fresh_dir(spark, "speed-ckpt"), available_now=True))
+def _run_partials_stream(spark, sf_dir, land: bool = True, max_files: int | None = None) -> LayerConfig:
+    cfg = LayerConfig(speed_path=fresh_dir(spark, "speed-view"), raw_path=fresh_dir(spark, "raw-clicks") if land else None,
+                      speed_mode="partials", max_speed_files=max_files)
+    _replay(spark, click_records(_events(spark, sf_dir)), "speed", _per_trigger(),
+            lambda source, checkpoint: start_speed_layer(source, cfg, checkpoint, available_now=True))
     return cfg
 
 
@@ -286,36 +316,107 @@ def speed_stream_totals(spark, sf_dir):
         .drop("report_date")
 
 
+def speed_files_capped(spark, sf_dir):
+    """Files of each micro-batch's window counts under a cap of one, with
+    shuffle partitions that would otherwise each leave a file."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        cfg = _run_partials_stream(spark, sf_dir, land=False, max_files=1)
+    finally:
+        spark.conf.set(key, before)
+    rows = spark.read.parquet(cfg.speed_path).select("batch_id", "count", F.input_file_name().alias("file"))
+    return rows.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
+        F.countDistinct("file").alias("files"), F.sum("count").alias("clicks"))
+
+
+def report_incremental(spark, sf_dir):
+    """Three reports while the stream goes on: incremental and then full for
+    one date over the first half of the records, incremental for the next date
+    over all. Each date is read on its own."""
+    events = _events(spark, sf_dir)
+    half = events.count() // 2
+    stage, checkpoint, base = (fresh_dir(spark, f"incremental-{n}") for n in ("input", "checkpoint", "report"))
+    cfg = LayerConfig(speed_path=fresh_dir(spark, "incremental-view"), speed_mode="partials")
+
+    def run(part: DataFrame, name: str) -> None:
+        stage_micro_batches(click_records(part), _per_trigger(), f"{stage}/{name}")
+        source = read_record_files(spark, f"{stage}/*/*", max_files_per_trigger=1)
+        _await(start_speed_layer(source, cfg, checkpoint, available_now=True))
+
+    run(events.where(F.col("event_id") < half), "first")
+    run_batch_layer(spark, cfg.speed_path, base, PREVIOUS_REPORT_DATE, incremental=True)
+    run_batch_layer(spark, cfg.speed_path, base, PREVIOUS_REPORT_DATE)
+    run(events.where(F.col("event_id") >= half), "second")
+    run_batch_layer(spark, cfg.speed_path, base, REPORT_DATE, incremental=True)
+    for path in (stage, checkpoint):
+        remove_folder(spark, path)
+    return read_report(spark, base, PREVIOUS_REPORT_DATE).unionByName(read_report(spark, base, REPORT_DATE))
+
+
 def raw_landing(spark, sf_dir):
     cfg = _run_partials_stream(spark, sf_dir)
     return spark.read.parquet(cfg.raw_path).drop("run", "batch_id")
 
 
 def page_visits_stream(spark, sf_dir):
-    stage, per_trigger = _stage(spark, click_records(_events(spark, sf_dir)), "visits")
     out = fresh_dir(spark, "visits")
-    _await([start_page_visits(read_record_files(spark, stage, per_trigger),
-                              fresh_dir(spark, "visits-ckpt"), fmt="parquet", path=out, available_now=True)])
+    _replay(spark, click_records(_events(spark, sf_dir)), "visits", _per_trigger(),
+            lambda source, checkpoint: [start_page_visits(source, checkpoint, fmt="parquet", path=out, available_now=True)])
     return spark.read.parquet(out).drop("run", "batch_id")
 
 
 def page_stats_stream(spark, sf_dir):
-    stage = fresh_dir(spark, "stats-input")
-    click_records(_events(spark, sf_dir)).write.parquet(stage)
-    out = fresh_dir(spark, "stats")
-    _await([start_page_stats(read_record_files(spark, stage), fresh_dir(spark, "stats-ckpt"), path=out,
-                             available_now=True)])
+    """Closed 15 s windows; late records count while their window is open."""
+    events, out = _events(spark, sf_dir), fresh_dir(spark, "stats")
+    _replay(spark, click_records(events), "stats", _on_time_then_late(events),
+            lambda source, checkpoint: [start_page_stats(source, checkpoint, path=out, available_now=True)])
     return spark.read.parquet(out).select(F.col("value").cast("string").alias("value"))
 
 
-def spend_stream_report(spark, sf_dir):
-    stage, per_trigger = _stage(spark, transaction_records(_events(spark, sf_dir)), "spend")
-    out = fresh_dir(spark, "spend-report")
-    _await([start_spend_report(read_record_files(spark, stage, per_trigger),
-                               fresh_dir(spark, "spend-ckpt"), fmt="parquet", path=out, available_now=True)])
+def _spend_stream(spark, records: DataFrame, policy: str) -> DataFrame:
+    out = fresh_dir(spark, f"spend-{policy}")
+    _replay(spark, records, f"spend-{policy}", _per_trigger(),
+            lambda source, checkpoint: [start_spend_report(source, checkpoint, fmt="parquet", path=out, policy=policy,
+                                                           available_now=True)])
     return read_spend_table(spark, out)
 
 
+def spend_stream_report(spark, sf_dir):
+    return _spend_stream(spark, transaction_records(_events(spark, sf_dir)), "last")
+
+
+def spend_stream_report_error(spark, sf_dir):
+    """No two records of a key: written under policy ``error``, read with the
+    reader's default."""
+    return _spend_stream(spark, _single_transactions(_events(spark, sf_dir)), "error")
+
+
+def _single_transactions(events: DataFrame) -> DataFrame:
+    """Each event as the only transaction of an account of its own."""
+    return transaction_records(events, account=F.col("event_id"))
+
+
+def spend_bands(spark, sf_dir):
+    """Accounts below and above the band limit."""
+    tx = parse_transactions(_single_transactions(_events(spark, sf_dir)), keep=("offset",))
+    return spend_by_account(dedupe_spend(tx, policy="last", order_col="offset"))
+
+
+def speed_counts_odd_records(spark, sf_dir):
+    """Records whose time is null or unreadable leave the window counts; a
+    null page is a group of its own."""
+    def odd(text):
+        return (F.when(F.col("event_type") == "error", F.regexp_replace(text, r"\}$", ""))
+                .when(F.col("event_type") == "signup", F.regexp_replace(text, '"timestamp":"[^"]*",', ""))
+                .when(F.col("event_type") == "view", F.regexp_replace(text, '"page":"[^"]*",', ""))
+                .otherwise(text))
+
+    records = click_records(_events(spark, sf_dir), value_override=odd)
+    return flatten_window(window_counts(parse_clicks(records, CLICK_TIME_PATTERN), HOUR_WINDOW_SECONDS))
+
+
 # ------------------------------------------------------------------ oracle SQL
 
 _N_SOURCES = len(TRAFFIC_SOURCES)
@@ -361,6 +462,8 @@ FROM clicks WHERE "timestamp" IS NOT NULL
 GROUP BY ALL"""
 
 
+_BATCH_SQL = f'"offset" // {RECORDS_PER_TRIGGER} AS batch_id, '
+
 _TOTALS_SQL = f"""WITH {_CLICKS_CTE}
 SELECT page, trafficSource, CAST(count(*) AS BIGINT) AS sum_count
 FROM clicks WHERE "timestamp" IS NOT NULL GROUP BY ALL"""
@@ -382,9 +485,21 @@ _SPEND_ROWS_SQL = f"WITH {_SPEND_CTE}\nSELECT account_id, log_ts, amount FROM sp
 _VISITS_SQL = f'WITH {_CLICKS_CTE}\nSELECT "timestamp", page FROM clicks'
 
 
-def _stats_json_sql(filter_sql: str = "") -> str:
+def _in_time_cte(seconds: int, delay_ms: int) -> str:
+    """Without the late records whose window the on-time ones (but the last,
+    which comes in a batch of its own) have closed."""
+    return f"""on_time AS (SELECT * FROM all_clicks WHERE "offset" % {LATE_EVERY} <> 0),
+clicks AS (
+  SELECT * FROM all_clicks WHERE "offset" % {LATE_EVERY} <> 0
+    OR {_bucket(seconds)} + INTERVAL '{seconds} seconds' > (
+      SELECT max("timestamp") - INTERVAL '{delay_ms} milliseconds' FROM on_time
+      WHERE "offset" < (SELECT max("offset") FROM on_time)))"""
+
+
+def _stats_json_sql(filter_sql: str = "", late_ms: int | None = None) -> str:
     fmt = "'%d-%m-%Y %I:%M:%S:%g'"
-    return f"""WITH {_CLICKS_CTE}, stats AS ({_stats_sql(PAGE_STATS_WINDOW_SECONDS)})
+    clicks = _CLICKS_CTE if late_ms is None else f"all_{_CLICKS_CTE}, {_in_time_cte(PAGE_STATS_WINDOW_SECONDS, late_ms)}"
+    return f"""WITH {clicks}, stats AS ({_stats_sql(PAGE_STATS_WINDOW_SECONDS)})
 SELECT '{{"windowStart":"' || strftime(windowStart, {fmt}) || '","windowEnd":"' || strftime(windowEnd, {fmt})
        || '","page":"' || page || '","count":' || CAST("count" AS VARCHAR) || '}}' AS "value"
 FROM stats {filter_sql}"""
@@ -403,19 +518,19 @@ FROM clicks""",
     "speed_window_counts": _SPEED_SQL,
     "speed_window_counts_1h": f"WITH {_CLICKS_CTE}\n{_window_counts_sql(HOUR_WINDOW_SECONDS)}",
     "speed_partials": f"""WITH {_CLICKS_CTE}
-{_window_counts_sql(DEFAULT_WINDOW_SECONDS, f'CAST(floor("offset" / {RECORDS_PER_BATCH}.0) AS BIGINT) AS batch_id, ')}""",
+{_window_counts_sql(DEFAULT_WINDOW_SECONDS, _BATCH_SQL)}""",
     "latest_windows": f"""WITH {_CLICKS_CTE}, counts AS ({_window_counts_sql(DEFAULT_WINDOW_SECONDS)})
 SELECT * FROM counts
 ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST LIMIT 30""",
     "latest_partials": f"""WITH {_CLICKS_CTE}, partials AS (
-{_window_counts_sql(DEFAULT_WINDOW_SECONDS, f'CAST(floor("offset" / {RECORDS_PER_BATCH}.0) AS BIGINT) AS batch_id, ')})
+{_window_counts_sql(DEFAULT_WINDOW_SECONDS, _BATCH_SQL)})
 SELECT * FROM partials
 ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST, batch_id LIMIT 30""",
     "check_speed_view": f"""WITH {_CLICKS_CTE}, counts AS ({_window_counts_sql(DEFAULT_WINDOW_SECONDS)})
 SELECT * FROM counts
 ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST LIMIT 30""",
     "check_stored_rows": f"""WITH {_CLICKS_CTE}, partials AS (
-{_window_counts_sql(DEFAULT_WINDOW_SECONDS, f'CAST(floor("offset" / {RECORDS_PER_BATCH}.0) AS BIGINT) AS batch_id, ')})
+{_window_counts_sql(DEFAULT_WINDOW_SECONDS, _BATCH_SQL)})
 SELECT * FROM partials
 ORDER BY window_start DESC, window_end DESC, page NULLS FIRST, trafficSource NULLS FIRST, batch_id LIMIT 30""",
     "all_time_totals": _TOTALS_SQL,
@@ -440,15 +555,32 @@ SELECT page, trafficSource, sum_count, DATE '{REPORT_DATE}' AS report_date FROM
 SELECT CAST(account_id AS VARCHAR) AS metric, CAST(sum(amount) AS BIGINT) AS "value",
        CASE WHEN sum(amount) >= 80 THEN 'red' ELSE 'green' END AS band
 FROM spend GROUP BY account_id""",
-    "stream_final_counts": f"""WITH {_CLICKS_CTE}, counts AS ({_window_counts_sql(DEFAULT_WINDOW_SECONDS)})
+    "stream_final_counts": f"""WITH all_{_CLICKS_CTE}, {_in_time_cte(DEFAULT_WINDOW_SECONDS, DEFAULT_WATERMARK_SECONDS * 1000)},
+counts AS ({_window_counts_sql(DEFAULT_WINDOW_SECONDS)})
 SELECT * FROM counts
-WHERE window_end <= (SELECT max("timestamp") FROM clicks) - INTERVAL '{DEFAULT_WATERMARK_SECONDS} seconds'""",
+WHERE window_end <= (SELECT max("timestamp") FROM all_clicks) - INTERVAL '{DEFAULT_WATERMARK_SECONDS} seconds'""",
+    "speed_files_capped": f"""SELECT event_id // {RECORDS_PER_TRIGGER} AS batch_id, 1::BIGINT AS files, count(*)::BIGINT AS clicks
+FROM events GROUP BY ALL""",
+    "report_incremental": f"""WITH {_CLICKS_CTE}, halves AS (SELECT count(*) // 2 AS half FROM events)
+SELECT page, trafficSource, count(*)::BIGINT AS sum_count, DATE '{PREVIOUS_REPORT_DATE}' AS report_date
+FROM clicks, halves WHERE "offset" < half GROUP BY ALL
+UNION ALL
+SELECT page, trafficSource, count(*)::BIGINT AS sum_count, DATE '{REPORT_DATE}' AS report_date FROM clicks GROUP BY ALL""",
+    "spend_stream_report_error": f"""SELECT event_id AS account_id, date_trunc('second', ts) AS log_ts,
+       CAST(floor("value") AS BIGINT) AS amount FROM events""",
+    "spend_bands": f"""SELECT CAST(event_id AS VARCHAR) AS metric, CAST(floor("value") AS BIGINT) AS "value",
+       CASE WHEN floor("value") >= 80 THEN 'red' ELSE 'green' END AS band FROM events""",
+    "speed_counts_odd_records": f"""WITH all_{_CLICKS_CTE}, clicks AS (
+  SELECT "timestamp", CASE WHEN event_type = 'view' THEN NULL ELSE page END AS page, trafficSource
+  FROM all_clicks WHERE event_type NOT IN ('error', 'signup'))
+{_window_counts_sql(HOUR_WINDOW_SECONDS)}""",
     "speed_stream_windows": _SPEED_SQL,
     "speed_stream_totals": _TOTALS_SQL,
     "raw_landing": _RAW_SQL,
     "page_visits_stream": _VISITS_SQL,
     "page_stats_stream": _stats_json_sql(
-        """WHERE windowEnd <= (SELECT max("timestamp") FROM clicks) - INTERVAL '200 milliseconds'"""),
+        """WHERE windowEnd <= (SELECT max("timestamp") FROM all_clicks) - INTERVAL '200 milliseconds'""",
+        late_ms=OUT_OF_ORDERNESS_MS),
     "spend_stream_report": _SPEND_ROWS_SQL,
 }
 
@@ -484,6 +616,11 @@ CATALOG: tuple[CatalogQuery, ...] = (
     CatalogQuery("page_visits_stream", page_visits_stream, SQL["page_visits_stream"], ("K6", "W4", "S2")),
     CatalogQuery("page_stats_stream", page_stats_stream, SQL["page_stats_stream"], ("K7", "W2", "W4")),
     CatalogQuery("spend_stream_report", spend_stream_report, SQL["spend_stream_report"], ("K9", "S5", "A5")),
+    CatalogQuery("spend_stream_report_error", spend_stream_report_error, SQL["spend_stream_report_error"], ("K9", "A5")),
+    CatalogQuery("spend_bands", spend_bands, SQL["spend_bands"], ("P13", "A4")),
+    CatalogQuery("speed_counts_odd_records", speed_counts_odd_records, SQL["speed_counts_odd_records"], ("F1", "P2")),
+    CatalogQuery("speed_files_capped", speed_files_capped, SQL["speed_files_capped"], ("R1", "K2")),
+    CatalogQuery("report_incremental", report_incremental, SQL["report_incremental"], ("A2", "F2", "K3")),
 )
 
 BY_NAME = {q.name: q for q in CATALOG}

@@ -9,10 +9,9 @@ becomes Kafka-shaped records so the real decode path runs on it:
 * transactions: ``account_id = user_id mod 5 + 1``, ``amount = floor(value)``,
   ``log_ts = ts`` cut to the second; CSV value, key = account id.
 
-``offset`` is the event id, so ``offset // n`` names the micro-batch a Kafka
+``offset`` is the event id, so ``offset div n`` names the micro-batch a Kafka
 source capped at ``n`` offsets per trigger would put the record in.
-The mapping is a projection; the work grows with the table. Only a table
-with fewer input splits than task slots is first dealt over the slots.
+The mapping is a projection; the work grows with the table.
 """
 
 from __future__ import annotations
@@ -24,11 +23,10 @@ from pyspark.sql import functions as F
 
 from clickpulse.config import ACCOUNTS, CLICK_TIME_PATTERN, DEFAULT_TOPIC, FIRST_USER_ID, TRAFFIC_SOURCES
 from clickpulse.functions.encode import click_json, transaction_csv
-from clickpulse.sources.tables import spread_if_under_split
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_if_under_split(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
 def traffic_source(user_id: Column) -> Column:
@@ -71,12 +69,13 @@ def click_records(events: DataFrame, pattern: str = CLICK_TIME_PATTERN, topic: s
     )
 
 
-def transaction_records(events: DataFrame, topic: str = "transactions") -> DataFrame:
+def transaction_records(events: DataFrame, topic: str = "transactions", account: Column | None = None) -> DataFrame:
     """Events -> Kafka-shaped transaction records (CSV value, account key).
 
     Record time is the event time, as the producer sets it.
     """
-    account = F.pmod(F.col("user_id"), F.lit(ACCOUNTS)) + 1
+    if account is None:
+        account = F.pmod(F.col("user_id"), F.lit(ACCOUNTS)) + 1
     log_ts = F.date_trunc("second", event_time(F.col("ts")))
     return events.select(
         account.cast("string").cast("binary").alias("key"),
@@ -88,8 +87,29 @@ def transaction_records(events: DataFrame, topic: str = "transactions") -> DataF
     )
 
 
-def micro_batch_id(offset: Column | str = "offset", records_per_batch: int = 100) -> Column:
-    """Micro-batch a record lands in when each trigger takes ``n`` offsets
-    (exact for offsets below 2**53)."""
-    c = F.col(offset) if isinstance(offset, str) else offset
-    return F.floor(c / F.lit(records_per_batch)).cast("long")
+def stage_micro_batches(records: DataFrame, batch: Column, path: str) -> str:
+    """Write replayed records so that a file stream with one file per trigger
+    takes the values of ``batch`` as its micro-batches, in order.
+
+    Returns the pattern to read. Each value is one file; a file stream goes by
+    modification time, so the files' times are set in that order (one call for
+    each micro-batch to come).
+    """
+    name = "replay_batch"
+    records.withColumn(name, batch).repartition(name).write.partitionBy(name).parquet(path)
+    spark = records.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f.getPath() for f in store.listStatus(root) if f.getPath().getName().startswith(f"{name}=")]
+    folders.sort(key=lambda p: int(p.getName().split("=")[1]))
+    first = store.getFileStatus(root).getModificationTime() - 1000 * len(folders)
+    for i, folder in enumerate(folders):
+        for file in store.listStatus(folder):
+            store.setTimes(file.getPath(), first + 1000 * i, -1)
+    return f"{path}/{name}=*"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a work folder of a finished job."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)

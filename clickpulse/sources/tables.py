@@ -10,25 +10,6 @@ from pyspark.sql import functions as F
 from clickpulse.schemas import REPORT_SCHEMA, SPEED_SCHEMA, assert_schema
 
 
-def spread_if_under_split(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer input splits than task slots.
-
-    A small table stored as one file with one row group is read by a single
-    task, and every per-row step after it (JSON/CSV encode and parse) runs
-    single-threaded. Only then are rows dealt round-robin over the slots (a
-    shuffle of a small input; Spark sorts before a round-robin exchange, so
-    a retried task gets the same rows). A large table has far more splits
-    than slots and is returned unchanged: no extra shuffle at scale.
-    """
-    spark = df.sparkSession
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view, keep the scan as is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def read_speed_view(spark: SparkSession, path: str) -> DataFrame:
     """The speed view as written: Parquet, with ``run`` / ``batch_id``
     partition columns in partials mode.

@@ -9,7 +9,8 @@ from clickpulse.sources.replay import click_records, read_events
 from tests.conftest import SF_SMALL
 
 STREAMING = {"stream_final_counts", "speed_stream_windows", "speed_stream_totals", "raw_landing",
-             "page_visits_stream", "page_stats_stream", "spend_stream_report"}
+             "page_visits_stream", "page_stats_stream", "spend_stream_report", "spend_stream_report_error",
+             "speed_files_capped", "report_incremental"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
 
 
@@ -52,33 +53,13 @@ def test_top_k_not_global_sort(spark):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
-def test_spread_only_for_under_split_tables(spark, workdir):
-    from clickpulse.sources.replay import read_events as read
-    single = executed(read(spark, SF_SMALL))  # one file, one row group
-    assert "RoundRobinPartitioning" in single
-    slots = spark.sparkContext.defaultParallelism
-    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(slots * 2) \
-        .write.parquet(f"{workdir}/many/events.parquet")
-    # force one split per file so the scan has more splits than slots
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
-    try:
-        many = executed(read(spark, f"{workdir}/many"))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert "RoundRobinPartitioning" not in many and "Exchange" not in many
-
-
 @pytest.mark.parametrize("q", [q for q in CATALOG if q.name not in STREAMING], ids=lambda q: q.name)
 def test_every_shuffle_is_pre_aggregated(spark, q):
     """A key holding a third of all rows must cross a shuffle as one partial
-    row per task: every hash exchange sits on a partial aggregate. The only
-    other exchange allowed is the round-robin spread of an under-split scan."""
+    row per task: every exchange is a hash exchange on a partial aggregate."""
     lines = [line.strip() for line in executed(q.build(spark, SF_SMALL)).split("\n")]
     for i, line in enumerate(lines):
         if "Exchange" not in line:
             continue
         child = lines[i + 1]
-        if "hashpartitioning" in line:
-            assert "Aggregate" in child and "partial_" in child, (line, child)
-        else:
-            assert "RoundRobinPartitioning" in line and "FileScan" in child, (line, child)
+        assert "hashpartitioning" in line and "Aggregate" in child and "partial_" in child, (line, child)
