@@ -8,10 +8,10 @@
    others need no list. A passage that many texts share thus makes no list
    unless a text consists of little else.
 3. Lists of up to ``LIST`` classes give all their pairs. Classes on longer
-   lists, such as a large group of near copies, go by their full sets instead:
-   the same rule on all shingles with the exact bound. There a list that is
-   still long compares all its classes with a few pivots, and only classes that
-   are not yet connected to a pivot with the rest of the list.
+   lists, such as a large group of near copies, meet each other by their full
+   sets instead: the same rule on all shingles with the exact bound. There a
+   list compares its classes with a few pivots first, and then only those that
+   are not yet connected to its pivot with the rest of the list.
 4. Pairs of fitting sizes are filtered by the estimate from the union's sketch
    and verified by exact Jaccard similarity of the full sets.
 5. Links between classes and the classes' members give the components.
@@ -35,7 +35,7 @@ from clickpulse.llm.wordhash import NOT_SPACE, shingles, slices, words
 SKETCH = 64
 #: A list of up to this many classes gives all its pairs.
 LIST = 128
-PIVOTS = 4
+PIVOTS = 2
 #: Probability that a pair at the threshold shares fewer retained values than asked for.
 MISS = 1e-7
 
@@ -116,8 +116,7 @@ def _rare_first(sets: DataFrame, least: Column) -> DataFrame:
     entries = sets.select("class", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
     common = (sets.select(F.explode("sketch").alias("value")).groupBy("value")
               .agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"))
-    common = save(common, "neardup-common")
-    shared = entries.join(maybe_broadcast(common, 48), "value")
+    shared = entries.join(common, "value")
     listed = (shared.groupBy("class").agg(
         F.first("n").alias("n"), F.first("held").alias("held"),
         F.array_sort(F.collect_list(F.struct("texts", "value"))).alias("values"))
@@ -127,26 +126,17 @@ def _rare_first(sets: DataFrame, least: Column) -> DataFrame:
         "slice(values, 1, cast(size(values) - least + 1 as int))")).alias("v")).select("class", "n", "alone", "v.value")
 
 
-def _fit(percent: int, exact: bool) -> Column:
-    """Sizes of two sets that may reach ``percent``; with full sets, also what
-    is left to share without the values that only one of them holds."""
-    n, m = F.col("x.n"), F.col("y.n")
-    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    if exact:
-        most = F.least(n - F.col("x.alone"), m - F.col("y.alone"))
-        sizes = sizes & (100 * most >= percent * (n + m - most))
-    return sizes
-
-
-def _list_pairs(lists: DataFrame, percent: int, exact: bool) -> DataFrame:
+def _list_pairs(lists: DataFrame, fit: Column) -> DataFrame:
     joined = lists.alias("x").join(lists.alias("y"), (F.col("x.value") == F.col("y.value"))
-                                   & (F.col("x.class") < F.col("y.class")) & _fit(percent, exact))
+                                   & (F.col("x.class") < F.col("y.class")) & fit)
     return joined.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
 
 
 def _with_length(lists: DataFrame) -> DataFrame:
-    lengths = lists.groupBy("value").agg(F.count(F.lit(1)).alias("length"))
-    return lists.join(lengths, "value")
+    """The entries of lists of two or more, with their lists' lengths."""
+    lists = save(lists, "neardup-entries")
+    lengths = lists.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
+    return save(lists.join(lengths, "value"), "neardup-lists")
 
 
 class NearDuplicates:
@@ -200,38 +190,47 @@ class NearDuplicates:
         """(a, b): links between classes; enough of them to connect whatever
         all links connect (within long lists not every link is looked at)."""
         by_sketch = F.least(F.ceil(F.col("n") * self.percent / 100), F.lit(least_shared(self.percent, self.size)))
-        lists = save(_with_length(_rare_first(self.classes.select("class", "n", "sketch"), by_sketch)), "neardup-lists")
-        short = _list_pairs(lists.filter(F.col("length") <= self.longest), self.percent, exact=False)
-        hot = lists.filter(F.col("length") > self.longest).select("class").distinct()
+        lists = _with_length(_rare_first(self.classes.select("class", "n", "sketch"), by_sketch))
+        hot = save(lists.filter(F.col("length") > self.longest).select("class").distinct(), "neardup-hot")
         if hot.isEmpty():
-            return self._verified(short, "short")
+            return self._verified(_list_pairs(lists, self._fit(exact=False)), "sketch")
+        lists = lists.join(hot.withColumn("hot", F.lit(True)), "class", "left").filter(F.col("length") <= self.longest)
+        cold = F.col("x.hot").isNull() | F.col("y.hot").isNull()
+        pairs = _list_pairs(lists, self._fit(exact=False) & cold)
         full = save(self._texts(hot).mapInArrow(_full_sets(self.shingle), "class binary, n long, sketch array<long>"), "neardup-full")
         by_set = F.ceil(F.col("n") * self.percent / 100)
-        lists = save(_with_length(_rare_first(full, by_set)), "neardup-full-lists")
-        short = short.unionByName(_list_pairs(lists.filter(F.col("length") <= self.longest), self.percent, exact=True)).distinct()
-        long = lists.filter(F.col("length") > self.longest)
-        first = self._verified(short.unionByName(self._pivot_pairs(long)).distinct(), "first")
-        rest = self._unconnected(long, first)
-        return first.unionByName(self._verified(rest, "rest"))
-
-    def _pivot_pairs(self, long: DataFrame) -> DataFrame:
-        """Every class of a long list with the list's pivots: the classes with
-        the fewest values of their own, which near copies are closest to."""
-        few = _fewest(long, self.pivots)
-        joined = long.alias("x").join(few.alias("y"), (F.col("x.value") == F.col("y.value"))
-                                      & (F.col("x.class") != F.col("y.class")) & _fit(self.percent, exact=True))
+        lists = _with_length(_rare_first(full, by_set))
+        first = self._verified(pairs.unionByName(self._pivot_pairs(lists)).distinct(), "first")
+        return first.unionByName(self._verified(self._unconnected(lists, first), "rest"))
+
+    def _fit(self, exact: bool) -> Column:
+        """Sizes of two sets that may be alike; with full sets, also what is
+        left to share without the values that only one of them holds."""
+        n, m = F.col("x.n"), F.col("y.n")
+        sizes = 100 * F.least(n, m) >= self.percent * F.greatest(n, m)
+        if exact:
+            most = F.least(n - F.col("x.alone"), m - F.col("y.alone"))
+            sizes = sizes & (100 * most >= self.percent * (n + m - most))
+        return sizes
+
+    def _pivot_pairs(self, lists: DataFrame) -> DataFrame:
+        """Every class with the pivots of its lists: the classes with the
+        fewest values of their own, which near copies are closest to."""
+        few = _fewest(lists, self.pivots)
+        joined = lists.alias("x").join(few.alias("y"), (F.col("x.value") == F.col("y.value"))
+                                       & (F.col("x.class") != F.col("y.class")) & self._fit(exact=True))
         return joined.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
-    def _unconnected(self, long: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs of a long list of which one is not connected to the list's
-        first pivot and the other is in another component."""
+    def _unconnected(self, lists: DataFrame, links: DataFrame) -> DataFrame:
+        """Pairs of a list in different components, of which one is not
+        connected to the list's first pivot."""
         root = components(links)
-        placed = save(long.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn(
+        placed = save(lists.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn(
             "root", F.coalesce("root", "class")), "neardup-placed")
         main = placed.groupBy("value").agg(F.min_by("root", F.struct("alone", "class")).alias("main"))
         apart = placed.join(main, "value").filter(F.col("root") != F.col("main"))
         joined = apart.alias("x").join(placed.alias("y"), (F.col("x.value") == F.col("y.value"))
-                                       & (F.col("x.root") != F.col("y.root")) & _fit(self.percent, exact=True))
+                                       & (F.col("x.root") != F.col("y.root")) & self._fit(exact=True))
         return joined.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
     def report(self) -> DataFrame:
