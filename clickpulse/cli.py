@@ -2,6 +2,7 @@
 
     python -m clickpulse.cli speed  --topic input --bootstrap localhost:29092 ...
     python -m clickpulse.cli batch  --speed-path ... --report-path ... [--report-date 2022-08-27]
+    python -m clickpulse.cli compact --speed-path ... [--keep-batches 720]
     python -m clickpulse.cli check  --speed-path ... --report-path ... --report-date 2022-08-27
     python -m clickpulse.cli visits --input-topic input --bootstrap.servers localhost:9092 ...
     python -m clickpulse.cli stats  --input-topic input --output-topic stats ...
@@ -33,6 +34,7 @@ from clickpulse.operators.ordering import top_report
 from clickpulse.operators.spend import spend_by_account
 from clickpulse.plans.batch import run_batch_layer
 from clickpulse.plans.check import RECENT_BATCHES, preview, report_view, speed_view
+from clickpulse.plans.compact import KEEP_BATCHES, compact_speed
 from clickpulse.sources.kafka import read_kafka, read_record_files, starting_offsets
 from clickpulse.sources.tables import jdbc_options, read_spend_report
 from clickpulse.streaming.clicks import start_page_stats, start_page_visits
@@ -99,6 +101,10 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--incremental", action="store_true",
                    help="previous report + speed batches written since (partials layout)")
 
+    k = sub.add_parser("compact", help="merge the folders of finished micro-batches of the speed view")
+    k.add_argument("--speed-path", required=True)
+    k.add_argument("--keep-batches", type=int, default=KEEP_BATCHES)
+
     c = sub.add_parser("check", help="print the read-back views of both layers")
     c.add_argument("--speed-path", required=True)
     c.add_argument("--report-path", required=True)
@@ -205,6 +211,8 @@ def main(argv: list[str] | None = None) -> None:
         out = run_batch_layer(spark, a.speed_path, a.report_path, a.report_date, a.overwrite_mode, a.format,
                               incremental=a.incremental)
         preview(top_report(out, a.show), a.show)
+    elif a.job == "compact":
+        compact_speed(spark, a.speed_path, a.keep_batches)
     elif a.job == "check":
         preview(report_view(spark, a.report_path, a.report_date, a.rows), a.rows)
         preview(speed_view(spark, a.speed_path, a.rows, reaggregate=not a.as_stored,

@@ -30,7 +30,8 @@ from clickpulse.operators.totals import all_time_totals, with_report_date
 from clickpulse.operators.windows import SPEED_KEYS
 from clickpulse.plans.speed import DONE_DIR
 from clickpulse.sources.sinks import write_report
-from clickpulse.sources.tables import read_report, read_speed_view
+from clickpulse.sources.storage import exists, values, whole
+from clickpulse.sources.tables import compacted_through, read_report, read_speed_view
 
 STATE_DIR = "_report_state"  # leading underscore: hidden from report reads
 # rows of totals (run null) and of coverage (run set)
@@ -42,38 +43,25 @@ def build_report(speed: DataFrame, report_date: str | dt.date | None = None) ->
     return with_report_date(all_time_totals(speed), report_date)
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    """(file system, path) of a Hadoop URI."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    store, found = _hadoop_path(spark, path)
-    return store.exists(found)
-
-
 def _previous_state(spark: SparkSession, report_base: str, report_date: str) -> DataFrame | None:
     """The newest whole state of an earlier report date."""
     base = f"{report_base.rstrip('/')}/{STATE_DIR}"
-    if not _exists(spark, base):  # no report written incrementally yet
-        return None
-    store, root = _hadoop_path(spark, base)
-    dates = [d for f in store.listStatus(root) if (d := f.getPath().getName().removeprefix("report_date=")) < report_date
-             and _exists(spark, f"{base}/report_date={d}/_SUCCESS")]
+    dates = [d for d in values(spark, base, "report_date") if d < report_date and whole(spark, f"{base}/report_date={d}")]
     return spark.read.schema(STATE_DDL).parquet(f"{base}/report_date={max(dates)}") if dates else None
 
 
 def committed_batches(spark: SparkSession, speed_path: str) -> dict | None:
     """Newest fully written batch id per streaming run, from the completion
-    markers (``None`` when the view has none, e.g. written without them)."""
+    markers and from what is compacted (``None`` when the view has neither,
+    e.g. written without them)."""
+    newest = dict(compacted_through(spark, speed_path))
     markers = f"{speed_path.rstrip('/')}/{DONE_DIR}"
-    if not _exists(spark, markers):
-        return None
-    done = spark.read.parquet(markers)
-    if "run" not in done.columns:
-        return None
-    return {r.run: r.through for r in done.groupBy("run").agg(F.max("batch_id").alias("through")).collect()}
+    if exists(spark, markers):
+        done = spark.read.parquet(markers)
+        if "run" in done.columns:
+            for r in done.groupBy("run").agg(F.max("batch_id").alias("through")).collect():
+                newest[r.run] = max(r.through, newest.get(r.run, -1))
+    return newest or None
 
 
 def incremental_totals(spark: SparkSession, speed: DataFrame, report_base: str, report_date: str,

@@ -46,12 +46,12 @@ from clickpulse.sources.replay import (
     click_records,
     event_time,
     read_events,
-    remove_folder,
     stage_micro_batches,
     traffic_source,
     transaction_records,
 )
 from clickpulse.sources.sinks import write_report
+from clickpulse.sources.storage import hadoop_path, remove_folder
 from clickpulse.sources.tables import read_report, read_speed_view
 from clickpulse.streaming.clicks import start_page_stats, start_page_visits
 from clickpulse.streaming.spend import read_spend_table, start_spend_report
@@ -102,8 +102,8 @@ _STORED: dict[tuple, str] = {}
 def _stored_view(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the speed view of a table, written once per session by the
     speed layer with its sink and completion markers."""
-    source = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/events.parquet")
-    changed = source.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(source).getModificationTime()
+    store, source = hadoop_path(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+    changed = store.getFileStatus(source).getModificationTime()
     key = (spark.sparkContext.applicationId, sf_dir, changed)
     if key not in _STORED:
         _STORED[key] = _run_partials_stream(spark, sf_dir, land=False).speed_path

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from clickpulse.config import ACCOUNTS, CLICK_TIME_PATTERN, DEFAULT_TOPIC, FIRST_USER_ID, TRAFFIC_SOURCES
 from clickpulse.functions.encode import click_json, transaction_csv
+from clickpulse.sources.storage import hadoop_path
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,9 +98,7 @@ def stage_micro_batches(records: DataFrame, batch: Column, path: str) -> str:
     """
     name = "replay_batch"
     records.withColumn(name, batch).repartition(name).write.partitionBy(name).parquet(path)
-    spark = records.sparkSession
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    store, root = hadoop_path(records.sparkSession, path)
     folders = [f.getPath() for f in store.listStatus(root) if f.getPath().getName().startswith(f"{name}=")]
     folders.sort(key=lambda p: int(p.getName().split("=")[1]))
     first = store.getFileStatus(root).getModificationTime() - 1000 * len(folders)
@@ -107,9 +106,3 @@ def stage_micro_batches(records: DataFrame, batch: Column, path: str) -> str:
         for file in store.listStatus(folder):
             store.setTimes(file.getPath(), first + 1000 * i, -1)
     return f"{path}/{name}=*"
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a work folder of a finished job."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)

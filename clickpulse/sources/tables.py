@@ -3,20 +3,54 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickpulse.schemas import REPORT_SCHEMA, SPEED_SCHEMA, assert_schema
+from clickpulse.sources.storage import values, whole
+
+
+COMPACT_DIR = "_compacted"  # hidden from plain reads, like the markers
+# a segment: stored rows with their run and batch, and (count null) how far it goes per run
+SEGMENT_SCHEMA = T.StructType([T.StructField("run", T.StringType()), T.StructField("batch_id", T.IntegerType()),
+                               *SPEED_SCHEMA.fields])
+
+
+def compacted_segments(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of all whole segments of a speed view."""
+    base = f"{path.rstrip('/')}/{COMPACT_DIR}"
+    found = [p for n in values(spark, base, "segment") if whole(spark, p := f"{base}/segment={n}")]
+    return spark.read.schema(SEGMENT_SCHEMA).parquet(*found) if found else None
+
+
+def compacted_through(spark: SparkSession, path: str) -> dict[str, int]:
+    """The last compacted batch id of each streaming run."""
+    rows = compacted_segments(spark, path)
+    if rows is None:
+        return {}
+    through = rows.where("count IS NULL").groupBy("run").agg(F.max("batch_id").alias("through"))
+    return {r.run: r.through for r in through.collect()}  # one row per streaming run
 
 
 def read_speed_view(spark: SparkSession, path: str) -> DataFrame:
     """The speed view as written: Parquet, with ``run`` / ``batch_id``
-    partition columns in partials mode.
+    partition columns in partials mode, and the batches that were compacted
+    from their segments.
 
     Its real schema is checked against the window-count row.
     """
-    return assert_schema(spark.read.parquet(path), SPEED_SCHEMA)
+    through = compacted_through(spark, path)  # before the folders are listed
+    view = assert_schema(spark.read.parquet(path), SPEED_SCHEMA)
+    if not through:
+        return view
+    newer = [(F.col("run") == F.lit(run)) & (F.col("batch_id") > F.lit(last)) for run, last in through.items()]
+    rest = view.where(reduce(lambda a, b: a | b, newer, ~F.col("run").isin(list(through))))
+    old = [(F.col("run") == F.lit(run)) & (F.col("batch_id") <= F.lit(last)) for run, last in through.items()]
+    stored = compacted_segments(spark, path).where("count IS NOT NULL").where(reduce(lambda a, b: a | b, old))
+    return rest.unionByName(stored.select(*rest.columns))
 
 
 def read_report(spark: SparkSession, base: str, report_date: str | dt.date | None = None,

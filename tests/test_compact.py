@@ -1,0 +1,78 @@
+"""A compacted speed view reads as before, from a bounded number of folders."""
+
+import os
+
+from clickpulse.cli import main
+from clickpulse.config import LayerConfig
+from clickpulse.operators.totals import all_time_totals
+from clickpulse.plans.batch import committed_batches, run_batch_layer
+from clickpulse.plans.check import speed_view
+from clickpulse.plans.compact import compact_speed
+from clickpulse.plans.speed import speed_batch
+from clickpulse.sources.tables import read_speed_view
+from tests.helpers import ts
+
+
+def _batches(spark, cfg, run, numbers):
+    for b in numbers:
+        rows = [(ts(f"2024-01-01 00:{b:02d}:0{i}"), f"/p{i % 2}", "g") for i in range(b + 1 if b < 5 else 3)]
+        speed_batch(spark.createDataFrame(rows, "timestamp timestamp, page string, trafficSource string"), b, cfg, run=run)
+
+
+def _totals(spark, path):
+    return sorted(tuple(r) for r in all_time_totals(read_speed_view(spark, path)).collect())
+
+
+def _folders(path, run):
+    return sorted(int(n.split("=")[1]) for n in os.listdir(f"{path}/run={run}") if n.startswith("batch_id="))
+
+
+def test_compacted_view_equals_the_plain_one(spark, workdir):
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=1)
+    path, base = cfg.speed_path, f"{workdir}/report"
+    _batches(spark, cfg, "r1", range(8))
+    _batches(spark, cfg, "r2", range(3))
+    run_batch_layer(spark, path, base, "2024-01-01", incremental=True)
+    totals, newest = _totals(spark, path), speed_view(spark, path, 5).collect()
+    stored = sorted(map(str, speed_view(spark, path, 50, reaggregate=False).collect()))
+    assert compact_speed(spark, path, keep_batches=2) == {"r1": 5, "r2": 0}
+    assert _totals(spark, path) == totals and speed_view(spark, path, 5).collect() == newest
+    assert _folders(path, "r1") == list(range(8))  # a reader may still use them
+    assert compact_speed(spark, path, keep_batches=2) == {}
+    assert _folders(path, "r1") == [6, 7] == _folders(f"{path}/_batches", "r1") and _folders(path, "r2") == [1, 2]
+    assert _totals(spark, path) == totals and speed_view(spark, path, 5).collect() == newest
+    assert sorted(map(str, speed_view(spark, path, 50, reaggregate=False).collect())) == stored
+    assert committed_batches(spark, path) == {"r1": 7, "r2": 2}
+
+
+def test_incremental_reports_go_on_over_compactions(spark, workdir):
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=1)
+    path, base = cfg.speed_path, f"{workdir}/report"
+    _batches(spark, cfg, "r1", range(3))
+    run_batch_layer(spark, path, base, "2024-01-01", incremental=True)
+    _batches(spark, cfg, "r1", range(3, 9))
+    compact_speed(spark, path, keep_batches=1)  # beyond what the report has covered
+    main(["compact", "--speed-path", path, "--keep-batches", "1"])
+    assert _folders(path, "r1") == [8]
+    key = lambda df: sorted((r.page, r.sum_count) for r in df.collect())
+    full = key(run_batch_layer(spark, path, f"{workdir}/full", "2024-01-02"))
+    assert key(run_batch_layer(spark, path, base, "2024-01-02", incremental=True)) == full
+    _batches(spark, cfg, "r1", range(9, 11))
+    compact_speed(spark, path, keep_batches=1)
+    assert key(run_batch_layer(spark, path, base, "2024-01-03", incremental=True)) == _key_totals(spark, path)
+
+
+def _key_totals(spark, path):
+    return sorted((p, n) for p, _, n in _totals(spark, path))
+
+
+def test_a_segment_that_was_not_finished_does_not_count(spark, workdir):
+    cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=1)
+    _batches(spark, cfg, "r1", range(4))
+    totals = _totals(spark, cfg.speed_path)
+    compact_speed(spark, cfg.speed_path, keep_batches=1)
+    os.remove(f"{cfg.speed_path}/_compacted/segment=0/_SUCCESS")
+    assert _totals(spark, cfg.speed_path) == totals
+    assert compact_speed(spark, cfg.speed_path, keep_batches=1) == {"r1": 2}
+    assert _totals(spark, cfg.speed_path) == totals
+    assert compact_speed(spark, f"{workdir}/none") == {}
