@@ -110,9 +110,10 @@ def _alike(k: int, percent: int):
 
 
 def _rare_first(sets: DataFrame, least: Column) -> DataFrame:
-    """(value, class, n, alone): the list entries that a set needs. ``sets`` has
+    """(value, class, n, rarer): the list entries that a set needs. ``sets`` has
     (class, n, sketch); ``least`` is the number of values that it shares with
-    any partner. ``alone``: how many of its values no other set holds."""
+    any partner. ``rarer``: how many of its values come before this one, with
+    those that no other set holds."""
     entries = sets.select("class", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
     common = (sets.select(F.explode("sketch").alias("value")).groupBy("value")
               .agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"))
@@ -122,8 +123,9 @@ def _rare_first(sets: DataFrame, least: Column) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("texts", "value"))).alias("values"))
         .withColumn("least", least).withColumn("alone", F.col("held") - F.size("values"))
         .filter(F.size("values") >= F.col("least")))
-    return listed.select("class", "n", "alone", F.explode(F.expr(
-        "slice(values, 1, cast(size(values) - least + 1 as int))")).alias("v")).select("class", "n", "alone", "v.value")
+    return listed.select("class", "n", "alone", F.posexplode(F.expr(
+        "slice(values, 1, cast(size(values) - least + 1 as int))")).alias("at", "v")).select(
+        "class", "n", (F.col("alone") + F.col("at")).alias("rarer"), "v.value")
 
 
 def _list_pairs(lists: DataFrame, fit: Column) -> DataFrame:
@@ -204,18 +206,19 @@ class NearDuplicates:
         return first.unionByName(self._verified(self._unconnected(lists, first), "rest"))
 
     def _fit(self, exact: bool) -> Column:
-        """Sizes of two sets that may be alike; with full sets, also what is
-        left to share without the values that only one of them holds."""
+        """Sizes of two sets that may be alike; with full sets, also whether
+        enough is left to share from this value on (at the rarest value that
+        two sets share, all that they share is left)."""
         n, m = F.col("x.n"), F.col("y.n")
         sizes = 100 * F.least(n, m) >= self.percent * F.greatest(n, m)
         if exact:
-            most = F.least(n - F.col("x.alone"), m - F.col("y.alone"))
+            most = F.least(n - F.col("x.rarer"), m - F.col("y.rarer"))
             sizes = sizes & (100 * most >= self.percent * (n + m - most))
         return sizes
 
     def _pivot_pairs(self, lists: DataFrame) -> DataFrame:
-        """Every class with the pivots of its lists: the classes with the
-        fewest values of their own, which near copies are closest to."""
+        """Every class with the pivots of its lists: the classes in which the
+        fewest values are rarer, which near copies are closest to."""
         few = _fewest(lists, self.pivots)
         joined = lists.alias("x").join(few.alias("y"), (F.col("x.value") == F.col("y.value"))
                                        & (F.col("x.class") != F.col("y.class")) & self._fit(exact=True))
@@ -227,7 +230,7 @@ class NearDuplicates:
         root = components(links)
         placed = save(lists.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn(
             "root", F.coalesce("root", "class")), "neardup-placed")
-        main = placed.groupBy("value").agg(F.min_by("root", F.struct("alone", "class")).alias("main"))
+        main = placed.groupBy("value").agg(F.min_by("root", F.struct("rarer", "class")).alias("main"))
         apart = placed.join(main, "value").filter(F.col("root") != F.col("main"))
         joined = apart.alias("x").join(placed.alias("y"), (F.col("x.value") == F.col("y.value"))
                                        & (F.col("x.root") != F.col("y.root")) & self._fit(exact=True))
@@ -250,17 +253,17 @@ class NearDuplicates:
 
 
 def _fewest(long: DataFrame, count: int) -> DataFrame:
-    """(value, class, n, alone): of each list the ``count`` classes with the
-    fewest values of their own (then the smallest). Each round takes one more,
+    """(value, class, n, rarer): of each list the ``count`` classes with the
+    fewest rarer values (then the smallest). Each round takes one more,
     by a sum per list, so no list is gathered or sorted."""
-    order = F.struct("alone", "class", "n")
+    order = F.struct("rarer", "class", "n")
     found, after = None, None
     for _ in range(count):
         rows = long
         if after is not None:
             rows = long.join(after, "value").filter(order > F.col("last")).drop("last")
         after = rows.groupBy("value").agg(F.min(order).alias("last"))
-        one = after.select("value", "last.class", "last.n", "last.alone")
+        one = after.select("value", "last.class", "last.n", "last.rarer")
         found = one if found is None else found.unionByName(one)
     return save(found, "neardup-pivots")
 
