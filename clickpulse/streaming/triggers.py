@@ -46,7 +46,7 @@ class RunTag:
         self._ready.set()
         return query
 
-    def get(self, timeout: float = 600.0) -> str:
+    def get(self, timeout: float | None = None) -> str:
         if not self._ready.wait(timeout):
             raise RuntimeError("streaming query id not bound")
         return self._value
