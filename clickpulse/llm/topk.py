@@ -99,6 +99,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, row_block: int
     that occurs more than once is asked once, with its smallest vector.
     """
     queries = queries.groupBy("id").agg(F.min("terms").alias("terms"))
+    # of rows that are the same, no more than k can be among the k best
+    vectors = save(vectors.groupBy("id", "terms").agg(F.count(F.lit(1)).alias("n")).select(
+        "id", "terms", F.explode(F.array_repeat(F.lit(0), F.least("n", F.lit(k)).cast("int"))).alias("copy")).drop("copy"), "topk-rows")
     n_rows, n_queries = vectors.count(), queries.count()
     row_blocks, query_blocks = -(-n_rows // row_block) or 1, -(-n_queries // query_block) or 1
     # a row block meets every query block and the reverse; the hash deals equal
@@ -122,7 +125,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, row_block: int
 
 def top_k_report(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """Queries: the rows whose vec_id is divisible by ``every``; searched: all."""
-    rows = save(quantised(embeddings), "topk-terms")
+    rows = quantised(embeddings)
     return top_k(rows, rows.filter(F.col("id") % every == 0), k)
 
 
