@@ -111,7 +111,8 @@ def rollup_report(docs: DataFrame) -> DataFrame:
     rows = save(docs.select(
         "doc_id", "source", "lang", word_count(text).alias("runs"), _runs(text, PARTS).alias("parts"),
         _runs(text, WORDY).alias("wordy"), F.sha2(text, 256).alias("text_hash")), "rollup-counts")
-    firsts = rows.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
+    # stored, so that the join below can split the rows of a text with many copies
+    firsts = save(rows.groupBy("text_hash").agg(F.min("doc_id").alias("first_id")), "rollup-firsts")
     copy = F.col("first_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first_id"))
     rows = save(rows.join(firsts, "text_hash").withColumn("copy", copy).drop("text_hash"), "rollup-copies")
     of = lambda frame, name: frame.withColumns({"tokenizer": F.lit(name), "n_tokens": F.col(name)})
