@@ -36,6 +36,8 @@ HELD_OUT = 5
 QUANTILE = 0.99
 #: Languages with fewer held-out texts take the threshold of all languages.
 LEAST_TEXTS = 50
+#: Distinct n-grams that a task sums before it sends them on.
+HELD_GRAMS = 2_000_000
 #: Quantiles are read from counts of log-perplexity in steps of this size.
 STEP = 0.001
 
@@ -54,12 +56,34 @@ def byte_grams(texts: pa.Array, order: int = ORDER) -> tuple[np.ndarray, np.ndar
     return gram, length
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    gram = np.concatenate([g for g, _ in parts])
+    order = np.argsort(gram, kind="stable")
+    gram, count = gram[order], np.concatenate([c for _, c in parts])[order]
+    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
+    return gram[first], np.add.reduceat(count, first) if len(first) else count
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, c) of a partition, summed as far as HELD_GRAMS allow."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def rows() -> pa.RecordBatch:
+        gram, count = _summed(held)
+        return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(count)], names=["gram", "c"])
+
     for batch in batches:
         texts = batch.column("text")
-        for first, last in slices(texts, 8 << 20):
+        for first, last in slices(texts):
             gram, count = np.unique(byte_grams(texts.slice(first, last - first))[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(count.astype(np.int64))], names=["gram", "c"])
+            held.append((gram, count.astype(np.int64)))
+            if sum(len(g) for g, _ in held) > HELD_GRAMS:
+                held = [_summed(held)]
+                if len(held[0][0]) > HELD_GRAMS // 2:
+                    yield rows()
+                    held = []
+    if held:
+        yield rows()
 
 
 def _mask(n: int) -> int:
