@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from clickpulse.llm.common import save
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _is_stars(edges: DataFrame) -> bool:
+    """True if every larger end hangs under one root and no root hangs."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    met = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return met.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -21,13 +25,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     node's neighbours are gathered; each round is written to the shared folder.
     """
     pairs = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    edges, before = save(pairs, "components"), None
-    while (now := _state(edges)) != before:
-        before = now
+    edges = save(pairs, "components")
+    while not _is_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # stored, so that the joins can split the edges of a node with many neighbours
+        least = save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "components-least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = save(large, "components-large")
+        least = save(large.groupBy("u").agg(F.min("v").alias("m")), "components-least")
         small = (large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         edges = save(small, "components")

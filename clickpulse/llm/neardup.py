@@ -117,7 +117,8 @@ def _rare_first(sets: DataFrame, least: Column) -> DataFrame:
     entries = sets.select("class", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("value"))
     common = (sets.select(F.explode("sketch").alias("value")).groupBy("value")
               .agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"))
-    shared = entries.join(common, "value")
+    # stored, so that the join can split the entries of a very common value
+    shared = entries.join(save(common, "neardup-common"), "value")
     listed = (shared.groupBy("class").agg(
         F.first("n").alias("n"), F.first("held").alias("held"),
         F.array_sort(F.collect_list(F.struct("texts", "value"))).alias("values"))
@@ -138,7 +139,7 @@ def _with_length(lists: DataFrame) -> DataFrame:
     """The entries of lists of two or more, with their lists' lengths."""
     lists = save(lists, "neardup-entries")
     lengths = lists.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    return save(lists.join(lengths, "value"), "neardup-lists")
+    return save(lists.join(save(lengths, "neardup-lengths"), "value"), "neardup-lists")
 
 
 class NearDuplicates:
@@ -189,8 +190,8 @@ class NearDuplicates:
         return save(joined.mapInArrow(_alike(self.shingle, self.percent), "a binary, b binary"), f"neardup-links-{name}")
 
     def links(self) -> DataFrame:
-        """(a, b): links between classes; enough of them to connect whatever
-        all links connect (within long lists not every link is looked at)."""
+        """(a, b): pairs of classes that connect what all links connect (within
+        long lists not every link is looked at)."""
         by_sketch = F.least(F.ceil(F.col("n") * self.percent / 100), F.lit(least_shared(self.percent, self.size)))
         lists = _with_length(_rare_first(self.classes.select("class", "n", "sketch"), by_sketch))
         hot = save(lists.filter(F.col("length") > self.longest).select("class").distinct(), "neardup-hot")
@@ -203,7 +204,10 @@ class NearDuplicates:
         by_set = F.ceil(F.col("n") * self.percent / 100)
         lists = _with_length(_rare_first(full, by_set))
         first = self._verified(pairs.unionByName(self._pivot_pairs(lists)).distinct(), "first")
-        return first.unionByName(self._verified(self._unconnected(lists, first), "rest"))
+        root = save(components(first), "neardup-first-roots")
+        joined = root.select(F.col("node").alias("a"), F.col("root").alias("b"))  # as good as the links
+        rest = save(self._unconnected(lists, root), "neardup-rest")
+        return joined if rest.isEmpty() else joined.unionByName(self._verified(rest, "rest"))
 
     def _fit(self, exact: bool) -> Column:
         """Sizes of two sets that may be alike; with full sets, also whether
@@ -224,14 +228,14 @@ class NearDuplicates:
                                        & (F.col("x.class") != F.col("y.class")) & self._fit(exact=True))
         return joined.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
-    def _unconnected(self, lists: DataFrame, links: DataFrame) -> DataFrame:
+    def _unconnected(self, lists: DataFrame, root: DataFrame) -> DataFrame:
         """Pairs of a list in different components, of which one is not
         connected to the list's first pivot."""
-        root = components(links)
         placed = save(lists.join(root.withColumnRenamed("node", "class"), "class", "left").withColumn(
             "root", F.coalesce("root", "class")), "neardup-placed")
         main = placed.groupBy("value").agg(F.min_by("root", F.struct("rarer", "class")).alias("main"))
-        apart = placed.join(main, "value").filter(F.col("root") != F.col("main"))
+        apart = placed.join(save(main, "neardup-main"), "value").filter(F.col("root") != F.col("main"))
+        apart = save(apart.drop("main"), "neardup-apart")
         joined = apart.alias("x").join(placed.alias("y"), (F.col("x.value") == F.col("y.value"))
                                        & (F.col("x.root") != F.col("y.root")) & self._fit(exact=True))
         return joined.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
@@ -244,7 +248,7 @@ class NearDuplicates:
         named = self.members.filter(F.col("class").isNotNull()).join(
             root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
         named = save(named.select("doc_id", "k1", "k2", "n", "root"), "neardup-named")
-        least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+        least = save(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "neardup-least")
         grouped = named.join(least, "root").select("doc_id", "k1", "k2", "n", "component_id")
         alone = self.members.filter(F.col("class").isNull()).select("doc_id", "k1", "k2", "n", F.col("doc_id").alias("component_id"))
         return grouped.unionByName(alone).select(
