@@ -4,6 +4,9 @@ model of byte n-grams, trained on trusted texts.
 An n-gram is ``ORDER`` bytes of UTF-8 in one long, so its context is a shift
 and its shorter forms are masks, and all counts are sums and joins by longs.
 
+* Cross-fitting: texts are dealt into HELD_OUT parts by a hash of the text.
+  Each text, trusted or not, is scored by the model of the other parts' trusted
+  texts; the models' counts stand side by side, a column each.
 * Training: n-gram counts of all trusted texts; continuation counts for the
   shorter n-grams; totals and kinds of counts by context; three discounts for
   each length, from the counts of counts.
@@ -11,8 +14,9 @@ and its shorter forms are masks, and all counts are sums and joins by longs.
   n-grams of a block, far fewer than its bytes, are joined to the sharded
   counts; their log-probabilities go to the block, where each text sums its
   own. Every byte of every text counts.
-* Thresholds: for each language a quantile of the perplexities of trusted texts
-  that training did not see. A text is kept up to its language's threshold.
+* Thresholds: for each language the upper quantile of all its trusted texts'
+  perplexities and some of its distance from the median. A text is kept up to
+  its language's threshold.
 """
 
 from __future__ import annotations
@@ -31,10 +35,13 @@ from clickpulse.llm.wordhash import slices, text_bytes
 ORDER = 5
 #: Text bytes in a block.
 BLOCK_BYTES = 32 << 20
-#: One in so many trusted texts is held out of training, for the thresholds.
+#: Parts of the texts; each is scored by a model of the trusted texts of the others.
 HELD_OUT = 5
+#: The quantile of the plain rule in tests/llm/test_pipeline.py (one part held out); not read here.
 QUANTILE = 0.99
-#: Languages with fewer held-out texts take the threshold of all languages.
+#: A threshold is this quantile and so many times its distance from the median.
+UPPER, SPREADS = 0.95, 1.5
+#: Languages with fewer trusted texts take the threshold of all languages.
 LEAST_TEXTS = 50
 #: Distinct n-grams that a task sums before it sends them on.
 HELD_GRAMS = 2_000_000
@@ -65,7 +72,8 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, c) of a partition, summed as far as HELD_GRAMS allow."""
+    """(gram, c) of a partition, summed as far as HELD_GRAMS allow. A text's
+    ``part``, where there is one, stands above the bytes of its n-grams."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def rows() -> pa.RecordBatch:
@@ -74,8 +82,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         texts = batch.column("text")
+        part = batch.column("part").to_numpy().astype(np.int64) << 8 * ORDER if "part" in batch.schema.names else None
         for first, last in slices(texts):
-            gram, count = np.unique(byte_grams(texts.slice(first, last - first))[0], return_counts=True)
+            gram, length = byte_grams(texts.slice(first, last - first))
+            if part is not None:
+                gram += np.repeat(part[first:last], length)
+            gram, count = np.unique(gram, return_counts=True)
             held.append((gram, count.astype(np.int64)))
             if sum(len(g) for g, _ in held) > HELD_GRAMS:
                 held = [_summed(held)]
@@ -91,32 +103,47 @@ def _mask(n: int) -> int:
 
 
 class Model:
-    """Counts of each length 1..ORDER: ``counts[n]`` (gram, c) and
-    ``contexts[n]`` (context, total, spread), where spread is the probability
-    left to shorter n-grams; ``discounts[n]`` for counts 1, 2 and more."""
+    """Counts of each length 1..ORDER: ``counts[n]`` (gram, c...) and
+    ``contexts[n]`` (context, total..., spread...), where spread is the
+    probability left to shorter n-grams; ``discounts[n]`` for counts 1, 2 and
+    more.
 
-    def __init__(self, texts: DataFrame) -> None:
-        """``texts`` has the column text; all of it is counted."""
-        level = texts.mapInArrow(_counted, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    With ``parts`` above 1 these are that many models side by side, a column
+    each: model i counts the texts of all parts but i.
+    """
+
+    def __init__(self, texts: DataFrame, parts: int = 1) -> None:
+        """``texts`` has the column text, and part with ``parts`` above 1."""
+        self.models = range(parts)
+        rows = texts.mapInArrow(_counted, "gram long, c long")
+        part = F.shiftright("gram", 8 * ORDER)
+        own = [F.col("c") if parts == 1 else F.when(part != i, F.col("c")).otherwise(F.lit(0)) for i in self.models]
+        level = rows.groupBy(F.col("gram").bitwiseAND(F.lit(_mask(ORDER))).alias("gram")).agg(
+            *(F.sum(c).alias(f"c{i}") for i, c in enumerate(own)))
         self.counts, self.contexts, self.discounts = {}, {}, {}
         for n in range(ORDER, 0, -1):
             level = self.counts[n] = save(level, f"kn-counts-{n}")
-            self.discounts[n] = _discounts({r["c"]: r["k"] for r in level.filter("c <= 4").groupBy("c").agg(
-                F.count(F.lit(1)).alias("k")).collect()})  # four rows at most
-            self.contexts[n] = save(level.groupBy(F.shiftright("gram", 8).alias("context")).agg(
-                F.sum("c").alias("total"), F.sum(self.discount(n, F.col("c"))).alias("held")).select(
-                "context", "total", (F.col("held") / F.col("total")).alias("spread")), f"kn-contexts-{n}")
+            kinds = level.agg(*(F.count(F.when(F.col(f"c{i}") == c, 1)).alias(f"k{i}_{c}")
+                                for i in self.models for c in range(1, 5))).first()
+            self.discounts[n] = [_discounts({c: kinds[f"k{i}_{c}"] for c in range(1, 5)}) for i in self.models]
+            totals = level.groupBy(F.shiftright("gram", 8).alias("context")).agg(
+                *(F.nullif(F.sum(f"c{i}"), F.lit(0)).alias(f"total{i}") for i in self.models),
+                *(F.sum(self.discount(n, i)).alias(f"held{i}") for i in self.models))
+            self.contexts[n] = save(totals.select(
+                "context", *(f"total{i}" for i in self.models),
+                *((F.col(f"held{i}") / F.col(f"total{i}")).alias(f"spread{i}") for i in self.models)), f"kn-contexts-{n}")
             # a shorter n-gram counts the distinct bytes that precede it
             level = level.groupBy(F.col("gram").bitwiseAND(F.lit(_mask(n - 1))).alias("gram")).agg(
-                F.count(F.lit(1)).alias("c"))
+                *(F.count(F.when(F.col(f"c{i}") > 0, 1)).alias(f"c{i}") for i in self.models))
 
-    def discount(self, n: int, c: Column) -> Column:
-        one, two, more = self.discounts[n]
-        return F.when(c == 1, F.lit(one)).when(c == 2, F.lit(two)).otherwise(F.lit(more))
+    def discount(self, n: int, i: int) -> Column:
+        c, (one, two, more) = F.col(f"c{i}"), self.discounts[n][i]
+        return F.when(c == 0, F.lit(0.0)).when(c == 1, F.lit(one)).when(c == 2, F.lit(two)).otherwise(F.lit(more))
 
     def log_probabilities(self, grams: DataFrame) -> DataFrame:
-        """(gram, logp) for distinct n-grams of full length, by joins with the
-        counts of each length; what was never seen takes the shorter form's."""
+        """(gram, logp...) for distinct n-grams of full length, by joins with the
+        counts of each length; what was never seen takes the shorter form's.
+        One model's column is logp, several have logp0, logp1, ..."""
         below = None
         for n in range(1, ORDER + 1):
             keys = grams.select(F.col("gram").bitwiseAND(F.lit(_mask(n))).alias("gram"))
@@ -124,14 +151,18 @@ class Model:
             rows = (keys.withColumn("context", F.shiftright("gram", 8))
                     .join(self.counts[n], "gram", "left").join(self.contexts[n], "context", "left"))
             if below is None:
-                rows = rows.withColumn("p", F.lit(1 / 256))
+                rows = rows.withColumns({f"p{i}": F.lit(1 / 256) for i in self.models})
             else:
                 rows = rows.withColumn("short", F.col("gram").bitwiseAND(F.lit(_mask(n - 1)))).join(
                     below.withColumnRenamed("gram", "short"), "short")
-            own = F.greatest(F.col("c") - self.discount(n, F.col("c")), F.lit(0.0)) / F.col("total")
-            p = F.coalesce(F.coalesce(own, F.lit(0.0)) + F.col("spread") * F.col("p"), F.col("p"))
-            below = rows.select("gram", p.alias("p"))
-        return below.select("gram", F.log("p").cast("float").alias("logp"))
+            found = []
+            for i in self.models:
+                own = F.greatest(F.col(f"c{i}") - self.discount(n, i), F.lit(0.0)) / F.col(f"total{i}")
+                p = F.coalesce(own, F.lit(0.0)) + F.col(f"spread{i}") * F.col(f"p{i}")
+                found.append(F.coalesce(p, F.col(f"p{i}")).alias(f"p{i}"))
+            below = rows.select("gram", *found)
+        names = ["logp"] if len(self.models) == 1 else [f"logp{i}" for i in self.models]
+        return below.select("gram", *(F.log(f"p{i}").cast("float").alias(x) for i, x in enumerate(names)))
 
 
 def _discounts(kinds: dict[int, int]) -> tuple[float, float, float]:
@@ -224,45 +255,69 @@ def _keyed(docs: DataFrame) -> DataFrame:
                        F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _is_held_out(doc_id: Column) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(HELD_OUT)) == 0
+def _part(text: Column) -> Column:
+    """The part of a text; equal texts share it, so none is in the model that scores its copy."""
+    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(HELD_OUT)).cast("int")
 
 
 def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, k1, k2, lang, n_bytes, nats): mean negative log-probability of
-    a text's bytes; null for a text without bytes."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    rows = _keyed(docs).withColumn("block", F.pmod(F.col("k1"), F.lit(blocks)).cast("int"))
+    a text's bytes, under the model that did not count its part; null for a
+    text without bytes."""
+    parts = len(model.models)
+    rows = _keyed(docs).withColumn("part", _part(F.col("text")) if parts > 1 else F.lit(0))
+    # one row for each part
+    sizes = rows.groupBy("part").agg(F.sum(F.octet_length("text")).alias("size")).agg(F.max("size")).first()[0] or 0
+    blocks = max(1, -(-sizes // block_bytes))
+    rows = rows.withColumn("block", (F.pmod(F.col("k1"), F.lit(blocks)) * parts + F.col("part")).cast("int")).drop("part")
     seen = save(rows.mapInArrow(_counted, "gram long, c long").select("gram").distinct(), "kn-seen")
     known = save(model.log_probabilities(seen), "kn-log-probabilities")
     # read twice in the plan below, dealt out once (Spark reuses the exchange)
     packed = rows.mapInArrow(_pack, "block int, texts binary").repartition("block")
     grams = packed.sortWithinPartitions("block").mapInArrow(_block_grams, "block int, gram long")
-    scored = grams.join(known, "gram").select("block", "gram", "logp")
+    logp = F.col("logp") if parts == 1 else F.coalesce(
+        *(F.when(F.pmod(F.col("block"), F.lit(parts)) == i, F.col(f"logp{i}")) for i in model.models))
+    scored = grams.join(known, "gram").select("block", "gram", logp.alias("logp"))
     return packed.groupBy("block").cogroup(scored.groupBy("block")).applyInArrow(_score_block, _SCORES_DDL)
 
 
-def thresholds(scores: DataFrame, quantile: float = QUANTILE, least: int = LEAST_TEXTS) -> DataFrame:
-    """(lang, threshold) from (lang, nats) of held-out trusted texts; the row
-    of null language holds for languages without one of their own.
+def _steps(scores: DataFrame) -> DataFrame:
+    return scores.filter("nats IS NOT NULL").groupBy(
+        "lang", F.floor(F.col("nats") / STEP).alias("step")).agg(F.count(F.lit(1)).alias("texts"))
+
+
+def thresholds(scores: DataFrame, quantile: float = UPPER, least: int = LEAST_TEXTS) -> DataFrame:
+    """(lang, threshold) from (lang, nats) of trusted texts; the row of null
+    language holds for languages without one of their own.
 
-    A quantile is the end of the step in which the running count of texts
-    passes it, so sums by (language, step) are all that is gathered.
+    A threshold is the quantile and SPREADS times its distance from the median,
+    so texts beyond the quantile do not move it. A quantile is the end of the
+    step in which the running count of texts passes it, so sums by (language,
+    step) are all that is gathered.
     """
-    steps = scores.filter("nats IS NOT NULL").groupBy(
-        "lang", F.floor(F.col("nats") / STEP).alias("step")).agg(F.count(F.lit(1)).alias("texts"))
+    steps = _steps(scores)
     steps = steps.filter("lang IS NOT NULL").withColumn("own", F.lit(True)).unionByName(
         steps.groupBy("step").agg(F.sum("texts").alias("texts")).select(
             F.lit(None).cast("string").alias("lang"), "step", "texts", F.lit(False).alias("own")))
     by = Window.partitionBy("lang", "own")
     run = steps.withColumn("all", F.sum("texts").over(by)).withColumn(
         "upto", F.sum("texts").over(by.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    passed = run.filter((F.col("upto") >= F.col("all") * quantile) & (~F.col("own") | (F.col("all") >= least)))
-    return passed.groupBy("lang", "own").agg(((F.min("step") + 1) * STEP).alias("threshold")).select("lang", "threshold")
+    at = lambda q: F.min(F.when(F.col("upto") >= F.col("all") * (q - 1e-9), F.col("step")))
+    found = run.filter(~F.col("own") | (F.col("all") >= least)).groupBy("lang", "own").agg(
+        at(0.5).alias("median"), at(quantile).alias("upper"))
+    return found.select("lang", (
+        (F.col("upper") + SPREADS * (F.col("upper") - F.col("median")) + 1) * STEP).alias("threshold"))
+
 
+def cross_fitted(docs: DataFrame, trusted: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Scores of all of ``docs``, each under a model of the trusted texts of the other parts."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        maybe_broadcast(trusted, 24), "doc_id", "left_semi")
+    model = Model(texts.select("text", _part(F.col("text")).alias("part")), HELD_OUT)
+    return save(score(docs, model, block_bytes), "quality-scores")
 
-def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+
+def classify(docs: DataFrame, trusted: DataFrame, quantile: float = UPPER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document of ``docs`` (doc_id, text, lang): perplexity (per
     byte), threshold, keep, and the row's key (k1, k2).
 
@@ -272,13 +327,8 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, bl
     """
     trusted = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
     trusted = save(trusted, "quality-trusted")
-    held_out = _is_held_out(F.col("doc_id"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        maybe_broadcast(trusted.filter(~held_out), 24), "doc_id", "left_semi")
-    model = Model(texts)
-    scores = save(score(docs, model, block_bytes), "quality-scores")
-    limits = thresholds(scores.join(trusted.filter(held_out), "doc_id", "left_semi"), quantile)
-    limits = save(limits, "quality-thresholds")
+    scores = cross_fitted(docs, trusted, block_bytes)
+    limits = save(thresholds(scores.join(trusted, "doc_id", "left_semi"), quantile), "quality-thresholds")
     own = limits.filter("lang IS NOT NULL").withColumnRenamed("threshold", "own_threshold")
     general = limits.filter("lang IS NULL").select("threshold").first()  # one row at most
     rest = float(general["threshold"]) if general else None
