@@ -16,7 +16,8 @@ and its shorter forms are masks, and all counts are sums and joins by longs.
   own. Every byte of every text counts.
 * Thresholds: for each language the upper quantile of all its trusted texts'
   perplexities and some of its distance from the median. A text is kept up to
-  its language's threshold.
+  its language's threshold. What a language lacks of LEAST_TEXTS trusted texts
+  its other texts make up for, at equal shares, so none is judged by others.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ HELD_OUT = 5
 QUANTILE = 0.99
 #: A threshold is this quantile and so many times its distance from the median.
 UPPER, SPREADS = 0.95, 1.5
-#: Languages with fewer trusted texts take the threshold of all languages.
+#: Languages with fewer trusted texts make up for the missing ones by all their texts.
 LEAST_TEXTS = 50
 #: Distinct n-grams that a task sums before it sends them on.
 HELD_GRAMS = 2_000_000
@@ -286,9 +287,22 @@ def _steps(scores: DataFrame) -> DataFrame:
         "lang", F.floor(F.col("nats") / STEP).alias("step")).agg(F.count(F.lit(1)).alias("texts"))
 
 
-def thresholds(scores: DataFrame, quantile: float = UPPER, least: int = LEAST_TEXTS) -> DataFrame:
+def _filling(others: DataFrame, own: DataFrame, least: int) -> DataFrame:
+    """Rows of _steps() by which each language's texts in ``own`` come up to
+    ``least``: all its ``others``, at equal shares."""
+    have = own.groupBy("lang").agg(F.sum("texts").alias("have"))
+    steps = _steps(others).filter("lang IS NOT NULL").join(have, "lang", "left")
+    missing = F.lit(least) - F.coalesce("have", F.lit(0))
+    share = F.col("texts") / F.sum("texts").over(Window.partitionBy("lang"))
+    return steps.withColumn("texts", share * missing).filter(missing > 0).select("lang", "step", "texts")
+
+
+def thresholds(scores: DataFrame, quantile: float = UPPER, least: int = LEAST_TEXTS, others: DataFrame | None = None
+               ) -> DataFrame:
     """(lang, threshold) from (lang, nats) of trusted texts; the row of null
-    language holds for languages without one of their own.
+    language holds for languages without one of their own. With ``others``, the
+    scores of all texts, every language in them has its own: these make up for
+    what it lacks of ``least`` trusted texts.
 
     A threshold is the quantile and SPREADS times its distance from the median,
     so texts beyond the quantile do not move it. A quantile is the end of the
@@ -296,14 +310,17 @@ def thresholds(scores: DataFrame, quantile: float = UPPER, least: int = LEAST_TE
     step) are all that is gathered.
     """
     steps = _steps(scores)
-    steps = steps.filter("lang IS NOT NULL").withColumn("own", F.lit(True)).unionByName(
+    own = steps.filter("lang IS NOT NULL")
+    if others is not None:
+        own = own.unionByName(_filling(others, own, least)).groupBy("lang", "step").agg(F.sum("texts").alias("texts"))
+    steps = own.withColumn("own", F.lit(True)).unionByName(
         steps.groupBy("step").agg(F.sum("texts").alias("texts")).select(
             F.lit(None).cast("string").alias("lang"), "step", "texts", F.lit(False).alias("own")))
     by = Window.partitionBy("lang", "own")
     run = steps.withColumn("all", F.sum("texts").over(by)).withColumn(
         "upto", F.sum("texts").over(by.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     at = lambda q: F.min(F.when(F.col("upto") >= F.col("all") * (q - 1e-9), F.col("step")))
-    found = run.filter(~F.col("own") | (F.col("all") >= least)).groupBy("lang", "own").agg(
+    found = run.filter(~F.col("own") | (F.col("all") >= least - 1e-6)).groupBy("lang", "own").agg(
         at(0.5).alias("median"), at(quantile).alias("upper"))
     return found.select("lang", (
         (F.col("upper") + SPREADS * (F.col("upper") - F.col("median")) + 1) * STEP).alias("threshold"))
@@ -322,17 +339,18 @@ def classify(docs: DataFrame, trusted: DataFrame, quantile: float = UPPER, block
     byte), threshold, keep, and the row's key (k1, k2).
 
     ``trusted`` has the doc_ids of trusted documents. Null and empty texts have
-    no perplexity and are not kept; unknown languages take the threshold of
-    all; without any trusted text there is no threshold and all texts are kept.
+    no perplexity and are not kept; a null language takes the threshold of all;
+    without any trusted text there is no threshold and all texts are kept.
     """
     trusted = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
     trusted = save(trusted, "quality-trusted")
     scores = cross_fitted(docs, trusted, block_bytes)
-    limits = save(thresholds(scores.join(trusted, "doc_id", "left_semi"), quantile), "quality-thresholds")
+    limits = save(thresholds(scores.join(trusted, "doc_id", "left_semi"), quantile, others=scores), "quality-thresholds")
     own = limits.filter("lang IS NOT NULL").withColumnRenamed("threshold", "own_threshold")
     general = limits.filter("lang IS NULL").select("threshold").first()  # one row at most
     rest = float(general["threshold"]) if general else None
-    joined = scores.join(own, "lang", "left").withColumn("limit", F.coalesce("own_threshold", F.lit(rest).cast("double")))
+    limit = F.when(F.col("lang").isNull(), F.lit(rest)).otherwise(F.col("own_threshold")) if general else F.lit(None)
+    joined = scores.join(own, "lang", "left").withColumn("limit", limit.cast("double"))
     return joined.select(
         "doc_id", "lang", "n_bytes", F.exp("nats").alias("perplexity"), F.exp("limit").alias("threshold"),
         F.coalesce(F.col("nats") <= F.coalesce("limit", F.lit(math.inf)), F.lit(False)).alias("keep"), "k1", "k2")

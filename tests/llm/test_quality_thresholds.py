@@ -58,3 +58,29 @@ def test_rates_on_the_large_table(spark):
         F.avg(F.when((F.col("quality") == 1) & (F.col("toxic") == 0), 1 - F.col("keep").cast("double"))).alias("clean_gone")).collect()}
     assert set(rates) == {"de", "en", "es", "fr"}
     assert all(r.bad_kept < 0.12 and r.clean_gone < 0.03 for r in rates.values()), rates
+
+
+def test_each_language_has_its_own_threshold_at_any_size(spark, frame):
+    rng = random.Random(9)
+    parts = {"en": ["an", "the", "er"], "fr": ["ou", "ê", "le", "qu"], "es": ["ción", "ñ", "rr", "ja", "mi"]}
+    rows = [(1000 * i + n, _words(rng, p), lang) for i, (lang, p) in enumerate(parts.items()) for n in range(40)]
+    trusted = [(d,) for d, _, lang in rows if lang != "es" and d % 1000 < 30]  # fewer than LEAST_TEXTS each
+    rows += [(5000, "#%&$!?XYZQ " * 9, "en"), (5001, "#%&$!?XYZQ " * 9 + "!", "fr"), (5002, _words(rng, parts["en"]), None)]
+    docs = frame(rows, "doc_id long, text string, lang string")
+    found = classify(docs, frame(trusted, "doc_id long")).collect()
+    limits = {lang: {r.threshold for r in found if r.lang == lang} for lang in [*parts, None]}
+    assert all(len(x) == 1 for x in limits.values()) and len({min(x) for x in limits.values()}) == 4
+    gone = {r.doc_id for r in found if not r.keep}
+    assert gone >= {5000, 5001} and len(gone) <= 6 and not any(2000 <= d < 3000 for d in gone)
+    assert all(r.keep for r in found if r.lang is None)
+
+
+def test_missing_trusted_texts_are_made_up_for(spark):
+    ddl = "lang string, nats double"
+    others = [("xx", 2 + i / 100) for i in range(100)] + [("yy", 4 + i / 100) for i in range(10)] + [(None, 1.0), ("xx", None)]
+    trusted = [("en", 1 + i / 1000) for i in range(LEAST_TEXTS)] + [("xx", 2.3)] * 20
+    found = {r.lang: r.threshold for r in thresholds(spark.createDataFrame(trusted, ddl), 0.5, others=spark.createDataFrame(
+        others + trusted, ddl)).collect()}
+    assert set(found) == {"en", "xx", "yy", None}
+    # 20 texts at 2.3, and 30 dealt over the 120 of xx
+    assert abs(found["en"] - 1.025) < 0.002 and abs(found["xx"] - 2.3) < 0.002 and abs(found["yy"] - 4.04) < 0.011
