@@ -13,8 +13,10 @@ with A-Z lowered.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +40,7 @@ class Template:
     label: str
     text: str
     exact: bool = False  # a phrase whose words must stand consecutively
+    whole: bool = False  # a wording of which no word may differ
 
     @property
     def words(self) -> list[str]:
@@ -52,8 +55,8 @@ BASE_TEMPLATES = (
 )
 # Wordings of public licenses that are recognised with small changes too.
 MORE_TEMPLATES = (
-    Template("agpl", "gnu affero general public license"),
-    Template("lgpl", "gnu lesser general public license"),
+    Template("agpl", "gnu affero general public license", whole=True),
+    Template("lgpl", "gnu lesser general public license", whole=True),
     Template("apache", "licensed under the apache license version 2 0 the license you may not use this file "
                        "except in compliance with the license"),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted "
@@ -135,6 +138,12 @@ def in_order(template: Sequence[str], text: Sequence[str]) -> int:
     return best[-1]
 
 
+def may_differ(template: Template, min_cover: float) -> int:
+    """Words of a template that a text may lack, by the decimal value of ``min_cover``."""
+    n = len(template.words)
+    return 0 if template.exact or template.whole else n - math.ceil(n * Fraction(str(min_cover)))
+
+
 def places(phrase: Sequence[str], text: Sequence[str]) -> list[int]:
     n = len(phrase)
     return [i for i in range(len(text) - n + 1) if text[i:i + n] == phrase]
@@ -164,7 +173,7 @@ def verify(text: list[str], spans: list[dict], templates: Sequence[Template], mi
         step = max(1, len(phrase) // 4)
         for i in range(0, max(1, len(part) - room + step), step):
             cover = in_order(phrase, part[i:i + room]) / len(phrase)
-            if cover >= min_cover:
+            if cover >= (1.0 if t.whole else min_cover):
                 labels.add(t.label)
                 score = max(score, cover)
             if cover == 1.0:
@@ -218,8 +227,7 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, mi
     known = template_positions(docs.sparkSession, templates)
     hits = gram_hashes(keyed.select("k1", "k2", "text")).join(F.broadcast(known), "gram")  # fixed templates
     # d words that differ break up to K * d grams of a template
-    least = [len(t.words) - K + 1 if t.exact else
-             max(1, len(t.words) - K + 1 - K * int(len(t.words) * (1 - min_cover))) for t in templates]
+    least = [max(1, len(t.words) - K + 1 - K * may_differ(t, min_cover)) for t in templates]
     spans = save(voted_spans(hits, least).groupBy("k1", "k2").agg(
         F.sort_array(F.collect_list(F.struct("template", "low", "high"))).alias("spans")), "license-spans")
     longest = spans.agg(F.max(F.size("spans"))).first()[0] or 0
