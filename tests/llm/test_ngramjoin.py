@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from clickpulse.llm.ngramjoin import NGramJoin, _linked, group_counts, ngram_join_report
+from clickpulse.llm.ngramjoin import NGramJoin, linked, make_leaf, ngram_join_report
 from tests.llm.brute import jaccard, near_duplicates, shingle_set
 
 
@@ -54,22 +54,35 @@ def test_result_does_not_depend_on_leaves_and_groups(frame, families, points, to
     assert _answer(found) == _expected(families, 5, 80)
 
 
+def _leaf(sets, copies=None):
+    none = np.zeros(0, np.int64)
+    rows = [(bytes([i]), len(x), (copies or {}).get(i, 1), np.array(x), none) for i, x in sets.items()]
+    return make_leaf(rows, 16)
+
+
 def test_bound_is_never_below_the_overlap():
     rng = np.random.default_rng(1)
     for _ in range(50):
         a, b = (np.unique(rng.integers(0, 300, rng.integers(1, 200))) for _ in range(2))
-        counts = group_counts(np.array([0, len(a), len(a) + len(b)]), np.concatenate([a, b]), 16)
-        assert counts.sum() == len(a) + len(b)
-        assert np.minimum(*counts).sum() >= len(np.intersect1d(a, b))
+        boxes = [np.array(_leaf({i: x})["box"]) for i, x in enumerate((a, b))]
+        assert [x.sum() for x in boxes] == [len(a), len(b)]
+        assert np.minimum(*boxes).sum() >= len(np.intersect1d(a, b))
 
 
 def test_pair_of_leaves_counts_copies_and_names_the_least_class():
-    sets = [np.arange(0, 10), np.arange(0, 11), np.arange(50, 60)]
-    leaf = lambda at, copies: ([bytes([i]) for i in at], [len(sets[i]) for i in at], copies,
-                               np.cumsum([0] + [len(sets[i]) for i in at]), np.concatenate([sets[i] for i in at]))
-    found = _linked(leaf([2, 1], [1, 4]), leaf([0], [7]), 8, 80)
+    sets = {0: range(0, 10), 1: range(0, 11), 2: range(50, 60)}
+    found = linked(_leaf({2: sets[2], 1: sets[1]}, {1: 4}), _leaf({0: sets[0]}, {0: 7}), 8, 80)
     assert sorted((r["class"], r["root"], r["links"]) for r in found) == [(b"\0", b"\0", 4), (b"\1", b"\0", 7)]
-    assert _linked(leaf([0, 2], [1, 1]), None, 8, 80) == []
+    assert linked(_leaf({0: sets[0], 2: sets[2]}), None, 8, 80) == []
+
+
+def test_a_whole_leaf_of_points():
+    rng = np.random.default_rng(2)
+    sets = {i: np.unique(rng.integers(0, 14, 12)) for i in range(64)}
+    expected = {i: sum(j != i and 100 * len(np.intersect1d(a, b)) >= 80 * len(np.union1d(a, b)) for j, b in sets.items())
+                for i, a in sets.items()}
+    found = linked(_leaf(sets), None, 8, 80)
+    assert {r["class"][0]: r["links"] for r in found} == {i: n for i, n in expected.items() if n}
 
 
 def test_odd_rows(frame, odd_docs):
