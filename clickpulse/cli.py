@@ -7,6 +7,7 @@
     python -m clickpulse.cli visits --input-topic input --bootstrap.servers localhost:9092 ...
     python -m clickpulse.cli stats  --input-topic input --output-topic stats ...
     python -m clickpulse.cli spend  --topic transactions --jdbc-url jdbc:<driver>://host/db ...
+    python -m clickpulse.cli merge  --path ... [--keep-batches 1]
     python -m clickpulse.cli dashboard --jdbc-url jdbc:<driver>://host/db [--partitions 16]
 
 The session comes from ``spark-submit`` (master, memory, checkpoint dir).
@@ -35,6 +36,7 @@ from clickpulse.operators.spend import spend_by_account
 from clickpulse.plans.batch import run_batch_layer
 from clickpulse.plans.check import RECENT_BATCHES, preview, report_view, speed_view
 from clickpulse.plans.compact import KEEP_BATCHES, compact_speed
+from clickpulse.plans.keyed import KEEP_MERGED_BATCHES, merge_batches
 from clickpulse.sources.kafka import read_kafka, read_record_files, starting_offsets
 from clickpulse.sources.tables import jdbc_options, read_spend_report
 from clickpulse.streaming.clicks import start_page_stats, start_page_visits
@@ -148,6 +150,11 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--policy", choices=["last", "error"],
                     help="default: last for files, error over JDBC (an insert cannot replace a row)")
 
+    m = sub.add_parser("merge", help="merge the micro-batch folders of the spend file table by key range")
+    m.add_argument("--path", required=True)
+    m.add_argument("--keep-batches", type=int, default=KEEP_MERGED_BATCHES)
+    m.add_argument("--policy", choices=["last", "error"], default="last")
+
     d = sub.add_parser("dashboard", help="spend per account from the spend_report table (the dashboard query)")
     d.add_argument("--jdbc-url")
     d.add_argument("--jdbc-user")
@@ -213,6 +220,8 @@ def main(argv: list[str] | None = None) -> None:
         preview(top_report(out, a.show), a.show)
     elif a.job == "compact":
         compact_speed(spark, a.speed_path, a.keep_batches)
+    elif a.job == "merge":
+        merge_batches(spark, a.path, a.policy, a.keep_batches)
     elif a.job == "check":
         preview(report_view(spark, a.report_path, a.report_date, a.rows), a.rows)
         preview(speed_view(spark, a.speed_path, a.rows, reaggregate=not a.as_stored,

@@ -40,6 +40,7 @@ from clickpulse.operators.visits import page_visits
 from clickpulse.operators.windows import SPEED_KEYS, page_stats, reaggregate_speed, window_counts
 from clickpulse.plans.batch import build_report, run_batch_layer
 from clickpulse.plans.check import speed_view
+from clickpulse.plans.keyed import merge_batches
 from clickpulse.session import fresh_dir, materialize
 from clickpulse.sources.kafka import read_record_files
 from clickpulse.sources.replay import (
@@ -398,6 +399,28 @@ def _single_transactions(events: DataFrame) -> DataFrame:
     return transaction_records(events, account=F.col("event_id"))
 
 
+REWRITES = 3  # times that the spend table's records come, each time of fewer accounts
+
+
+def spend_merged(spark, sf_dir):
+    """Keys written again over three merges: every account, then all but the
+    last, then all but the last two, each time with other amounts. The newest
+    batch of each time stays unmerged until the next."""
+    events, out = _events(spark, sf_dir), fresh_dir(spark, "spend-merged")
+    stage, checkpoint = fresh_dir(spark, "merged-input"), fresh_dir(spark, "merged-checkpoint")
+    total = events.agg(F.max("event_id")).first()[0] + 1
+    for time in range(REWRITES):
+        part = events.withColumn("value", F.col("value") + time).where(
+            F.pmod(F.col("user_id"), F.lit(ACCOUNTS)) < ACCOUNTS - time).withColumn("event_id", F.col("event_id") + time * total)
+        stage_micro_batches(transaction_records(part), _per_trigger(), f"{stage}/{time}")
+        source = read_record_files(spark, f"{stage}/*/*", max_files_per_trigger=1)
+        _await([start_spend_report(source, checkpoint, fmt="parquet", path=out, available_now=True)])
+        merge_batches(spark, out)
+    for path in (stage, checkpoint):
+        remove_folder(spark, path)
+    return read_spend_table(spark, out)
+
+
 def spend_bands(spark, sf_dir):
     """Accounts below and above the band limit."""
     tx = parse_transactions(_single_transactions(_events(spark, sf_dir)), keep=("offset",))
@@ -568,6 +591,13 @@ UNION ALL
 SELECT page, trafficSource, count(*)::BIGINT AS sum_count, DATE '{REPORT_DATE}' AS report_date FROM clicks GROUP BY ALL""",
     "spend_stream_report_error": f"""SELECT event_id AS account_id, date_trunc('second', ts) AS log_ts,
        CAST(floor("value") AS BIGINT) AS amount FROM events""",
+    "spend_merged": f"""WITH times AS (SELECT unnest(range({REWRITES})) AS time),
+rows AS (
+  SELECT ((user_id % {ACCOUNTS}) + {ACCOUNTS}) % {ACCOUNTS} AS account, date_trunc('second', ts) AS log_ts, event_id, time,
+         CAST(floor("value" + time) AS BIGINT) AS amount
+  FROM events, times)
+SELECT account + 1 AS account_id, log_ts, arg_max(amount, (time, event_id)) AS amount
+FROM rows WHERE account < {ACCOUNTS} - time GROUP BY account, log_ts""",
     "spend_bands": f"""SELECT CAST(event_id AS VARCHAR) AS metric, CAST(floor("value") AS BIGINT) AS "value",
        CASE WHEN floor("value") >= 80 THEN 'red' ELSE 'green' END AS band FROM events""",
     "speed_counts_odd_records": f"""WITH all_{_CLICKS_CTE}, clicks AS (
@@ -617,6 +647,7 @@ CATALOG: tuple[CatalogQuery, ...] = (
     CatalogQuery("page_stats_stream", page_stats_stream, SQL["page_stats_stream"], ("K7", "W2", "W4")),
     CatalogQuery("spend_stream_report", spend_stream_report, SQL["spend_stream_report"], ("K9", "S5", "A5")),
     CatalogQuery("spend_stream_report_error", spend_stream_report_error, SQL["spend_stream_report_error"], ("K9", "A5")),
+    CatalogQuery("spend_merged", spend_merged, SQL["spend_merged"], ("K9", "A5")),
     CatalogQuery("spend_bands", spend_bands, SQL["spend_bands"], ("P13", "A4")),
     CatalogQuery("speed_counts_odd_records", speed_counts_odd_records, SQL["speed_counts_odd_records"], ("F1", "P2")),
     CatalogQuery("speed_files_capped", speed_files_capped, SQL["speed_files_capped"], ("R1", "K2")),

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickpulse.functions.decode import parse_transactions
 from clickpulse.operators.spend import KEY, dedupe_spend
+from clickpulse.plans.keyed import is_merged, read_merged
 from clickpulse.sources.sinks import append_rows, write_batch_folder
 from clickpulse.streaming.triggers import RunTag, require_checkpoint, with_trigger
 
@@ -81,11 +82,14 @@ def without_written(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 def read_spend_table(spark: SparkSession, path: str, fmt: str = "parquet", policy: str = "last") -> DataFrame:
     """Resolve the per-batch folders: one row per key, the greatest offset wins.
+    Batches that were merged (``plans.keyed``) are read from the merged files.
 
     All records of one account share a topic partition (the account is the
     record key), so offset order is the order they arrived in, whichever
     micro-batch carried them.
     """
+    if is_merged(spark, path):
+        return read_merged(spark, path, policy)
     rows = spark.read.format(fmt).load(path)
     if policy == "last":
         return dedupe_spend(rows, "last", order_col="offset")
