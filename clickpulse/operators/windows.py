@@ -35,6 +35,14 @@ def window_counts(clicks: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECOND
     )
 
 
+def window_zone(speed: DataFrame, *keys: str) -> DataFrame:
+    """``low``, ``high``: smallest and largest window start in microseconds;
+    ``starts``: how many different ones there are; per ``keys``, if given."""
+    start = F.unix_micros(F.col("window.start"))
+    return speed.groupBy(*keys).agg(F.min(start).alias("low"), F.max(start).alias("high"),
+                                    F.count_distinct(start).alias("starts"))
+
+
 def reaggregate_speed(speed: DataFrame) -> DataFrame:
     """Exact per-window counts from a speed view holding partial rows.
 

@@ -16,8 +16,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickpulse.operators.windows import window_zone
 from clickpulse.plans.batch import committed_batches
 from clickpulse.plans.speed import DONE_DIR
+from clickpulse.schemas import SPEED_SCHEMA
 from clickpulse.sources.sinks import batch_folder
 from clickpulse.sources.storage import remove_folder, values
 from clickpulse.sources.tables import COMPACT_DIR, SEGMENT_SCHEMA, compacted_through
@@ -49,8 +51,11 @@ def compact_speed(spark: SparkSession, speed_path: str, keep_batches: int = KEEP
         return {}
     picks = [(F.col("run") == F.lit(run)) & (F.col("batch_id") > F.lit(before.get(run, -1)))
              & (F.col("batch_id") <= F.lit(last)) for run, last in upto.items()]
-    rows = spark.read.parquet(speed_path).where(reduce(lambda a, b: a | b, picks)).select(*SEGMENT_SCHEMA.fieldNames())
-    ends = spark.createDataFrame(sorted(upto.items()), "run string, batch_id int")
+    rows = spark.read.parquet(speed_path).where(reduce(lambda a, b: a | b, picks))
+    rows = rows.select("run", "batch_id", *SPEED_SCHEMA.fieldNames())
+    zones = window_zone(rows, "run").select("run", "starts", F.struct(
+        F.timestamp_micros("low").alias("start"), F.timestamp_micros("high").alias("end")).alias("window"))
+    ends = spark.createDataFrame(sorted(upto.items()), "run string, batch_id int").join(zones, "run", "left")
     segment = rows.unionByName(ends, allowMissingColumns=True).select(*SEGMENT_SCHEMA.fieldNames())
     number = 1 + max(map(int, values(spark, f"{speed_path}/{COMPACT_DIR}", "segment")), default=-1)
     _sized(segment).write.parquet(f"{speed_path}/{COMPACT_DIR}/segment={number}")

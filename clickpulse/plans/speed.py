@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.config import LayerConfig
-from clickpulse.operators.windows import window_counts
+from clickpulse.operators.windows import window_counts, window_zone
+from clickpulse.schemas import SPEED_SCHEMA
 from clickpulse.sources.sinks import append_rows, batch_folder, write_batch_folder, write_speed_batch
 
 FILE_FORMATS = frozenset({"parquet", "orc", "json", "csv", "avro"})
@@ -36,7 +37,9 @@ def land_raw(batch: DataFrame, batch_id: int, cfg: LayerConfig, run: str | None
 
 
 def mark_done(spark: SparkSession, speed_path: str, batch_id: int, run: str | None = None) -> None:
-    """Record that a micro-batch's window counts are fully written.
+    """Record that a micro-batch's window counts are fully written, with the
+    zone of the batch: its smallest and largest window start (microseconds) and
+    how many different ones it has, read back from the batch's own folder.
 
     One row in ``<speed_path>/_batches/[run=<id>/]batch_id=<n>``, written
     after the batch's own folder. A reader that takes only new batches (the
@@ -44,8 +47,8 @@ def mark_done(spark: SparkSession, speed_path: str, batch_id: int, run: str | No
     a batch whose files are still being committed is left for the next run
     instead of being counted half.
     """
-    # one row, one task
-    (spark.range(0, 1, 1, 1).select(F.lit(int(batch_id)).alias("done"))
+    written = spark.read.schema(SPEED_SCHEMA).parquet(batch_folder(speed_path, batch_id, run))
+    (window_zone(written).withColumn("done", F.lit(int(batch_id))).select("done", "low", "high", "starts")  # one row
      .write.mode("overwrite").parquet(batch_folder(f"{speed_path.rstrip('/')}/{DONE_DIR}", batch_id, run)))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,16 +14,23 @@ from clickpulse.sources.storage import values, whole
 
 
 COMPACT_DIR = "_compacted"  # hidden from plain reads, like the markers
-# a segment: stored rows with their run and batch, and (count null) how far it goes per run
+# a segment: stored rows with their run and batch, and (count null) how far it goes
+# per run, with the zone of the run's rows (window: smallest and largest start)
 SEGMENT_SCHEMA = T.StructType([T.StructField("run", T.StringType()), T.StructField("batch_id", T.IntegerType()),
-                               *SPEED_SCHEMA.fields])
+                               *SPEED_SCHEMA.fields, T.StructField("starts", T.LongType())])
 
 
-def compacted_segments(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rows of all whole segments of a speed view."""
+def compacted_segments(spark: SparkSession, path: str, numbers: list[str] | None = None) -> DataFrame | None:
+    """The rows of all whole segments of a speed view, or of some."""
     base = f"{path.rstrip('/')}/{COMPACT_DIR}"
-    found = [p for n in values(spark, base, "segment") if whole(spark, p := f"{base}/segment={n}")]
-    return spark.read.schema(SEGMENT_SCHEMA).parquet(*found) if found else None
+    numbers = whole_segments(spark, path) if numbers is None else numbers
+    found = [f"{base}/segment={n}" for n in numbers]
+    return spark.read.schema(SEGMENT_SCHEMA).option("basePath", base).parquet(*found) if found else None
+
+
+def whole_segments(spark: SparkSession, path: str) -> list[str]:
+    base = f"{path.rstrip('/')}/{COMPACT_DIR}"
+    return [n for n in values(spark, base, "segment") if whole(spark, f"{base}/segment={n}")]
 
 
 def compacted_through(spark: SparkSession, path: str) -> dict[str, int]:
@@ -35,21 +42,40 @@ def compacted_through(spark: SparkSession, path: str) -> dict[str, int]:
     return {r.run: r.through for r in through.collect()}  # one row per streaming run
 
 
-def read_speed_view(spark: SparkSession, path: str) -> DataFrame:
+def _named(batches: dict[str, list[int]]) -> Column:
+    """True for rows of these batches; ids from the first on as a range."""
+    out = F.lit(False)
+    for run, ids in batches.items():
+        last = max((n for n in range(len(ids)) if sorted(ids)[n] == n), default=-1)
+        rest = [n for n in ids if n > last]
+        inside = F.col("batch_id") <= F.lit(last)
+        out = out | ((F.col("run") == F.lit(run)) & (inside | F.col("batch_id").isin(rest) if rest else inside))
+    return out
+
+
+def read_speed_view(spark: SparkSession, path: str, skip: dict[str, list[int]] | None = None,
+                    skip_segments: list[str] = ()) -> DataFrame:
     """The speed view as written: Parquet, with ``run`` / ``batch_id``
     partition columns in partials mode, and the batches that were compacted
     from their segments.
 
-    Its real schema is checked against the window-count row.
+    Its real schema is checked against the window-count row. ``skip`` names
+    batches per run, and ``skip_segments`` segments, whose rows are not wanted:
+    their files are not opened.
     """
     through = compacted_through(spark, path)  # before the folders are listed
     view = assert_schema(spark.read.parquet(path), SPEED_SCHEMA)
+    if skip:
+        view = view.where(~_named(skip))
     if not through:
         return view
     newer = [(F.col("run") == F.lit(run)) & (F.col("batch_id") > F.lit(last)) for run, last in through.items()]
     rest = view.where(reduce(lambda a, b: a | b, newer, ~F.col("run").isin(list(through))))
     old = [(F.col("run") == F.lit(run)) & (F.col("batch_id") <= F.lit(last)) for run, last in through.items()]
-    stored = compacted_segments(spark, path).where("count IS NOT NULL").where(reduce(lambda a, b: a | b, old))
+    stored = compacted_segments(spark, path, [n for n in whole_segments(spark, path) if n not in skip_segments])
+    if stored is None:
+        return rest
+    stored = stored.where("count IS NOT NULL").where(reduce(lambda a, b: a | b, old))
     return rest.unionByName(stored.select(*rest.columns))
 
 

@@ -171,23 +171,49 @@ def test_two_sinks_read_the_batch_once(spark, workdir):
     assert seen.value == 20
 
 
-def test_check_view_cut_from_newest_batches(spark, workdir):
-    """With completion markers, the cut comes from the newest micro-batch
-    folders of each run; it equals the full re-aggregation whether those
-    folders hold enough windows or not (then the whole-view search runs)."""
-    from clickpulse.plans.check import speed_view
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_check_view_opens_only_batches_above_the_cut(spark, workdir):
+    """The zones in markers and segments give the cut; results equal the full
+    re-aggregation, with old batches compacted or not, and with a batch whose
+    marker is missing."""
+    from clickpulse.plans.check import newest_cut, speed_view, view_zones
+    from clickpulse.plans.compact import compact_speed
 
     cfg = LayerConfig(speed_path=f"{workdir}/speed", max_speed_files=1)
-    for b in range(6):  # run r1: one window per batch, a late click in batch 5
-        rows = [(f"2024-01-01 00:00:{10 * b + 1:02d}", "/a", "g")]
+    for b in range(8):  # run r1: two windows per batch, a late click in batch 5
+        rows = [(f"2024-01-01 00:0{b}:01", "/a", "g"), (f"2024-01-01 00:0{b}:31", "/a", "g")]
         if b == 5:
-            rows.append(("2024-01-01 00:00:12", "/b", "y"))
+            rows.append(("2024-01-01 00:02:12", "/b", "y"))
         speed_batch(clicks(spark, rows), b, cfg, land=False, run="r1")
     speed_batch(clicks(spark, [("2023-12-31 23:59:59", "/c", "g")]), 0, cfg, land=False, run="r0")
-    view = read_speed_view(spark, cfg.speed_path)
-    for n in (1, 2, 3, 5, 8):
-        for recent in (1, 2, 4, 50):
+    speed_batch(clicks(spark, []), 8, cfg, land=False, run="r1")
+
+    def same():
+        view = read_speed_view(spark, cfg.speed_path)
+        for n in (1, 2, 3, 5, 8, 30):
             for reagg in (True, False):
                 full = latest_windows(reaggregate_speed(view) if reagg else view, n)
-                got = speed_view(spark, cfg.speed_path, n, reaggregate=reagg, recent_batches=recent)
-                assert _rows(got) == _rows(full), (n, recent, reagg)
+                assert _rows(speed_view(spark, cfg.speed_path, n, reaggregate=reagg)) == _rows(full), (n, reagg)
+
+    same()
+    zones = view_zones(spark, cfg.speed_path)
+    assert sorted((z.run, z.batch, z.starts) for z in zones) == [("r0", 0, 1), *(("r1", b, 3 if b == 5 else 2) for b in range(8))]
+    assert newest_cut(zones, 100) is None and newest_cut([], 1) is None
+    # batches 6 and 7 hold three windows and more; the older ones are left out by their folders' names
+    assert "(batch_id#" in _plan(speed_view(spark, cfg.speed_path, 3)) and "<= 5)" in _plan(speed_view(spark, cfg.speed_path, 3))
+    compact_speed(spark, cfg.speed_path, keep_batches=4)
+    compact_speed(spark, cfg.speed_path, keep_batches=4)  # folders go
+    same()
+    assert not any("_compacted" in f for f in speed_view(spark, cfg.speed_path, 2).inputFiles())
+    spark.createDataFrame([], "done int").write.mode("overwrite").parquet(f"{cfg.speed_path}/_batches/run=r1/batch_id=7")
+    same()
+
+
+def test_cut_from_zones_that_overlap():
+    from clickpulse.plans.check import Zone, newest_cut
+
+    zones = [Zone(10, 40, 3), Zone(30, 60, 3), Zone(50, 60, 2), Zone(0, 5, 2)]
+    assert [newest_cut(zones, n) for n in (1, 2, 3, 4, 5, 6, 7, 8)] == [50, 50, 30, 10, 10, 0, 0, None]
