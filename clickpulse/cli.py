@@ -7,6 +7,7 @@
     python -m clickpulse.cli visits --input-topic input --bootstrap.servers localhost:9092 ...
     python -m clickpulse.cli stats  --input-topic input --output-topic stats ...
     python -m clickpulse.cli spend  --topic transactions --jdbc-url jdbc:<driver>://host/db ...
+    python -m clickpulse.cli correct --speed-path ... --partials-path ...
     python -m clickpulse.cli merge  --path ... [--keep-batches 1]
     python -m clickpulse.cli dashboard --jdbc-url jdbc:<driver>://host/db [--partitions 16]
 
@@ -36,6 +37,7 @@ from clickpulse.operators.spend import spend_by_account
 from clickpulse.plans.batch import run_batch_layer
 from clickpulse.plans.check import preview, report_view, speed_view
 from clickpulse.plans.compact import KEEP_BATCHES, compact_speed
+from clickpulse.plans.corrections import correct_final
 from clickpulse.plans.keyed import KEEP_MERGED_BATCHES, merge_batches
 from clickpulse.sources.kafka import read_kafka, read_record_files, starting_offsets
 from clickpulse.sources.tables import jdbc_options, read_spend_report
@@ -85,7 +87,10 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--window-seconds", type=int, default=DEFAULT_WINDOW_SECONDS)
     s.add_argument("--watermark-seconds", type=int, default=DEFAULT_WATERMARK_SECONDS)
-    s.add_argument("--mode", choices=["partials", "final"], default="partials")
+    s.add_argument("--mode", choices=["partials", "final", "update"], default="partials")
+    s.add_argument("--partials-path", help="final mode: counts per micro-batch, which late rows are corrected from")
+    s.add_argument("--raw-identity", action="store_true",
+                   help="raw rows carry topic, partition and offset; a retried batch appends nothing twice")
     s.add_argument("--time-pattern", default=CLICK_TIME_PATTERN)
     s.add_argument("--raw-format", help="default: Parquet with --raw-path, else the wide-column connector")
     s.add_argument("--raw-option", action="append",
@@ -148,6 +153,10 @@ def _parser() -> argparse.ArgumentParser:
     sp.add_argument("--policy", choices=["last", "error"],
                     help="default: last for files, error over JDBC (an insert cannot replace a row)")
 
+    x = sub.add_parser("correct", help="add late rows to the windows that the final mode has emitted")
+    x.add_argument("--speed-path", required=True)
+    x.add_argument("--partials-path", required=True)
+
     m = sub.add_parser("merge", help="merge the micro-batch folders of the spend file table by key range")
     m.add_argument("--path", required=True)
     m.add_argument("--keep-batches", type=int, default=KEEP_MERGED_BATCHES)
@@ -208,7 +217,7 @@ def main(argv: list[str] | None = None) -> None:
                           time_pattern=a.time_pattern, speed_mode=a.mode,
                           raw_format=_format(a.raw_format, a.raw_path),
                           raw_options={} if a.raw_path else _options(a.raw_option or RAW_SINK_OPTIONS),
-                          raw_path=a.raw_path,
+                          raw_path=a.raw_path, raw_identity=a.raw_identity, partials_path=a.partials_path,
                           max_speed_files=a.max_speed_files)
         src = _source(spark, a, a.topic)
         _wait(spark, start_speed_layer(src, cfg, a.checkpoint, available_now=a.available_now), a.available_now)
@@ -218,6 +227,8 @@ def main(argv: list[str] | None = None) -> None:
         preview(top_report(out, a.show), a.show)
     elif a.job == "compact":
         compact_speed(spark, a.speed_path, a.keep_batches)
+    elif a.job == "correct":
+        correct_final(spark, a.speed_path, a.partials_path)
     elif a.job == "merge":
         merge_batches(spark, a.path, a.policy, a.keep_batches)
     elif a.job == "check":

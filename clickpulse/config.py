@@ -41,6 +41,8 @@ class LayerConfig:
       no row is ever dropped, readers re-aggregate.
     * ``"final"`` — a watermarked streaming aggregation in append mode: one
       row per window once the watermark passes its end, late rows dropped.
+    * ``"update"`` — the same aggregation in update mode: each micro-batch
+      stores the windows that it changed, readers take the newest.
     """
 
     topic: str = DEFAULT_TOPIC
@@ -56,6 +58,12 @@ class LayerConfig:
     # Sink of the raw parsed clicks: a data source name plus its options
     # (e.g. the wide-column connector with keyspace/table); parquet in tests.
     raw_format: str = "parquet"
+    # Raw rows carry the record's topic, partition and offset, so that a retried
+    # batch adds no second copy to a table that only takes appends.
+    raw_identity: bool = False
+    # Final mode: folder of the counts per micro-batch, which late rows are
+    # corrected from (plans.corrections).
+    partials_path: str | None = None
     raw_options: dict = field(default_factory=dict)
     raw_path: str | None = None
     # Upper bound of files per speed-view write (the original job used 10).
@@ -66,7 +74,7 @@ class LayerConfig:
     def __post_init__(self):
         if not self.speed_path:
             raise ValueError("speed_path is required")
-        if self.speed_mode not in ("partials", "final"):
-            raise ValueError(f"speed_mode must be 'partials' or 'final', got {self.speed_mode!r}")
+        if self.speed_mode not in ("partials", "final", "update"):
+            raise ValueError(f"speed_mode must be 'partials', 'final' or 'update', got {self.speed_mode!r}")
         if self.window_seconds <= 0 or self.watermark_seconds < 0:
             raise ValueError("window must be positive and watermark non-negative")

@@ -57,12 +57,16 @@ def parse_clicks_strict(df: DataFrame, pattern: str = CLICK_TIME_PATTERN, value_
     """Strict typed decode of click JSON (the page-visit job's decoder).
 
     ``FAILFAST`` fails the query on a malformed record instead of yielding
-    nulls, and so do an empty and a null value. Unlike a strict object mapper,
-    unknown keys are accepted.
+    nulls, and so do an empty and a null value, and a record with a key that a
+    click does not have. A key may be missing; its field is then null.
     """
     text = value_as_string(value_col)
     blank = text.isNull() | (F.trim(text) == "")
-    checked = F.when(blank, F.raise_error(F.lit("click record is empty")).cast("string")).otherwise(text)
+    unknown = F.array_except(F.json_object_keys(text), F.array(*map(F.lit, CLICK_FIELDS)))
+    fail = lambda message: F.raise_error(message).cast("string")
+    checked = (F.when(blank, fail(F.lit("click record is empty")))
+               .when(F.size(unknown) > 0, fail(F.concat(F.lit("click record has unknown keys: "), F.array_join(unknown, ", "))))
+               .otherwise(text))
     parsed = F.from_json(checked, CLICK_TYPED_DDL, {"mode": "FAILFAST", "timestampFormat": pattern})
     return _fields(df, parsed, keep)
 

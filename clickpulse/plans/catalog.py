@@ -12,9 +12,11 @@ share one, written by the real speed layer once per session and table.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from clickpulse.config import (
     ACCOUNTS,
     CLICK_TIME_PATTERN,
     CLICK_TIME_PATTERN_12H,
+    DEFAULT_TOPIC,
     DEFAULT_WATERMARK_SECONDS,
     DEFAULT_WINDOW_SECONDS,
     FIRST_USER_ID,
@@ -40,7 +43,9 @@ from clickpulse.operators.visits import page_visits
 from clickpulse.operators.windows import SPEED_KEYS, page_stats, reaggregate_speed, window_counts
 from clickpulse.plans.batch import build_report, run_batch_layer
 from clickpulse.plans.check import speed_view
+from clickpulse.plans.corrections import correct_final, corrected_counts
 from clickpulse.plans.keyed import merge_batches
+from clickpulse.plans.speed import land_raw, speed_batch_writer
 from clickpulse.session import fresh_dir, materialize
 from clickpulse.sources.kafka import read_record_files
 from clickpulse.sources.replay import (
@@ -51,17 +56,21 @@ from clickpulse.sources.replay import (
     traffic_source,
     transaction_records,
 )
-from clickpulse.sources.sinks import write_report
-from clickpulse.sources.storage import hadoop_path, remove_folder
+from clickpulse.sources.sinks import RECORD_KEY, write_report, write_speed_batch
+from clickpulse.sources.storage import files_below, remove_folder
 from clickpulse.sources.tables import read_report, read_speed_view
-from clickpulse.streaming.clicks import start_page_stats, start_page_visits
+from clickpulse.streaming.clicks import start_page_stats, start_page_stats_view, start_page_visits
+from clickpulse.streaming.progress import RateLog
 from clickpulse.streaming.spend import read_spend_table, start_spend_report
 from clickpulse.streaming.speed import start_speed_layer
+from clickpulse.streaming.triggers import RunTag
+from clickpulse.streaming.updates import read_update_view
 
 # Fixed query parameters.
-# Offsets per trigger of a replayed stream, so the number of micro-batches grows
-# with the table; a batch holds as much as a trigger would take from a topic.
-RECORDS_PER_TRIGGER = 5000
+# Offsets per trigger of a replayed stream: as much as a trigger would take from a
+# topic, so the number of micro-batches grows with the table. A parameter, as the
+# Kafka source's maxOffsetsPerTrigger; tests set it low to get many micro-batches.
+RECORDS_PER_TRIGGER = int(os.environ.get("CLICKPULSE_RECORDS_PER_TRIGGER", 1_000_000))
 LATE_EVERY = 97  # every so many records of the watermark queries arrive last
 HOUR_WINDOW_SECONDS = 3600
 REPORT_DATE = "2022-08-27"
@@ -97,18 +106,27 @@ def _partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.select(F.col("batch_id").cast("long").alias("batch_id"), "window", *SPEED_KEYS, "count")
 
 
-_STORED: dict[tuple, str] = {}
+_STORED: dict[tuple, tuple] = {}
 
 
 def _stored_view(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of the speed view of a table, written once per session by the
-    speed layer with its sink and completion markers."""
-    store, source = hadoop_path(spark, f"{sf_dir.rstrip('/')}/events.parquet")
-    changed = store.getFileStatus(source).getModificationTime()
-    key = (spark.sparkContext.applicationId, sf_dir, changed)
-    if key not in _STORED:
-        _STORED[key] = _run_partials_stream(spark, sf_dir, land=False).speed_path
-    return _STORED[key]
+    """Folder of the speed view of a table, written by the speed layer with its
+    sink and completion markers. It is kept for the session as long as the
+    table's files stay the same (names, lengths, times of all of them); a view
+    of files that changed is removed and written anew."""
+    files = tuple(files_below(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    table = (spark.sparkContext.applicationId, sf_dir)
+    if _STORED.get(table, (None,))[0] != files:
+        forget_stored_view(spark, sf_dir)
+        _STORED[table] = (files, _run_partials_stream(spark, sf_dir, land=False).speed_path)
+    return _STORED[table][1]
+
+
+def forget_stored_view(spark: SparkSession, sf_dir: str) -> None:
+    """Remove the kept view of a table; the next query writes it again."""
+    old = _STORED.pop((spark.sparkContext.applicationId, sf_dir), None)
+    if old is not None:
+        remove_folder(spark, old[1])
 
 
 def _spend_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,11 +298,14 @@ def spend_by_account_q(spark, sf_dir):
 
 def _on_time_then_late(events: DataFrame) -> F.Column:
     """Micro-batches in event order, then the last record alone, then the
-    records that are late (a batch drops by the watermark that the batch before
-    the last one left, so the last record's batch puts it into force)."""
+    records that are late, in batches as large as the others (a batch drops by
+    the watermark that the batch before the last one left, so the last record's
+    batch puts it into force). A late record newer than the last one on time is
+    in the last batch, so it moves the watermark for no other."""
     last = events.where(F.col("event_id") % LATE_EVERY != 0).agg(F.max("event_id")).first()[0] or 0
     after = last // RECORDS_PER_TRIGGER + 1
-    return (F.when(_late(), F.lit(after + 1)).when(F.col("offset") == last, F.lit(after)).otherwise(_per_trigger()))
+    late = F.lit(after + 1) + F.expr(f"offset div {LATE_EVERY * RECORDS_PER_TRIGGER}")
+    return (F.when(_late(), late).when(F.col("offset") == last, F.lit(after)).otherwise(_per_trigger()))
 
 
 def stream_final_counts(spark, sf_dir):
@@ -320,13 +341,11 @@ def speed_stream_totals(spark, sf_dir):
 def speed_files_capped(spark, sf_dir):
     """Files of each micro-batch's window counts under a cap of one, with
     shuffle partitions that would otherwise each leave a file."""
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        cfg = _run_partials_stream(spark, sf_dir, land=False, max_files=1)
-    finally:
-        spark.conf.set(key, before)
+    own = spark.newSession()  # the setting is no other query's
+    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    cfg = _run_partials_stream(own, sf_dir, land=False, max_files=1)
     rows = spark.read.parquet(cfg.speed_path).select("batch_id", "count", F.input_file_name().alias("file"))
     return rows.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
         F.countDistinct("file").alias("files"), F.sum("count").alias("clicks"))
@@ -356,6 +375,118 @@ def report_incremental(spark, sf_dir):
     return read_report(spark, base, PREVIOUS_REPORT_DATE).unionByName(read_report(spark, base, REPORT_DATE))
 
 
+def _run_restarted(spark, sf_dir, cfg: LayerConfig) -> None:
+    """The partials job, stopped in a micro-batch that has landed its raw rows
+    and about half of its counts but no marker, then started again from its
+    checkpoint and run to the end."""
+    events = _events(spark, sf_dir)
+    stage, checkpoint = fresh_dir(spark, "restart-input"), fresh_dir(spark, "restart-checkpoint")
+    files = stage_micro_batches(click_records(events), _per_trigger(), stage)
+    stop_at = min(1, (events.agg(F.max("event_id")).first()[0] or 0) // RECORDS_PER_TRIGGER)
+    tag = RunTag()
+    whole = speed_batch_writer(cfg, tag=tag)
+
+    def stops(batch: DataFrame, batch_id: int) -> None:
+        if batch_id < stop_at:
+            return whole(batch, batch_id)
+        land_raw(batch, batch_id, cfg, tag.get())
+        some = window_counts(batch, cfg.window_seconds).where(F.pmod(F.hash("page"), F.lit(2)) == 0)
+        write_speed_batch(some, cfg.speed_path, batch_id, run=tag.get())
+        raise InterruptedError("stopped half-way")
+
+    clicks = parse_clicks(read_record_files(spark, files, max_files_per_trigger=1), cfg.time_pattern,
+                          keep=RECORD_KEY if cfg.raw_identity else ())
+    broken = tag.bind(clicks.writeStream.foreachBatch(stops).option("checkpointLocation", f"{checkpoint}/speed")
+                      .trigger(availableNow=True).start())
+    try:
+        broken.awaitTermination()
+    except StreamingQueryException as e:
+        if "stopped half-way" not in str(e):
+            raise
+    _await(start_speed_layer(read_record_files(spark, files, max_files_per_trigger=1), cfg, checkpoint, available_now=True))
+    for path in (stage, checkpoint):
+        remove_folder(spark, path)
+
+
+def speed_restarted(spark, sf_dir):
+    """Totals of the speed view and raw rows after a restart: once each."""
+    cfg = LayerConfig(speed_path=fresh_dir(spark, "restart-view"), raw_path=fresh_dir(spark, "restart-raw"))
+    _run_restarted(spark, sf_dir, cfg)
+    none = F.lit(0).cast("long")
+    totals = all_time_totals(read_speed_view(spark, cfg.speed_path)).withColumn("raw_rows", none)
+    raw = spark.read.parquet(cfg.raw_path).groupBy(*SPEED_KEYS).agg(F.count(F.lit(1)).alias("raw_rows"))
+    both = totals.unionByName(raw.withColumn("sum_count", none))
+    return both.groupBy(*SPEED_KEYS).agg(F.sum("sum_count").alias("sum_count"), F.sum("raw_rows").alias("raw_rows"))
+
+
+# Spark's other name of its Parquet source: taken for a connector, which is given appends
+APPENDED_FORMAT = "org.apache.spark.sql.parquet"
+
+
+def raw_landing_restarted(spark, sf_dir):
+    """Raw rows of a table that only takes appends, after a restart: the batch
+    that is written again adds nothing twice."""
+    cfg = LayerConfig(speed_path=fresh_dir(spark, "identity-view"), raw_path=fresh_dir(spark, "identity-raw"),
+                      raw_format=APPENDED_FORMAT, raw_identity=True)
+    _run_restarted(spark, sf_dir, cfg)
+    return spark.read.parquet(cfg.raw_path)
+
+
+def stream_final_corrected(spark, sf_dir):
+    """Final counts, corrected once before the late records come and once
+    after: all records of every window that was emitted."""
+    events, out = _events(spark, sf_dir), fresh_dir(spark, "corrected")
+    stage, checkpoint = fresh_dir(spark, "corrected-input"), fresh_dir(spark, "corrected-checkpoint")
+    cfg = LayerConfig(speed_path=f"{out}/final", partials_path=f"{out}/partials", speed_mode="final")
+    for name, part in (("on-time", ~_late()), ("late", _late())):
+        stage_micro_batches(click_records(events).where(part), _per_trigger(), f"{stage}/{name}")
+        source = read_record_files(spark, f"{stage}/*/*", max_files_per_trigger=1)
+        _await(start_speed_layer(source, cfg, checkpoint, available_now=True))
+        correct_final(spark, cfg.speed_path, cfg.partials_path)
+    for path in (stage, checkpoint):
+        remove_folder(spark, path)
+    return flatten_window(corrected_counts(spark, cfg.speed_path))
+
+
+def speed_update_counts(spark, sf_dir):
+    """Window counts in update mode: the newest micro-batch of a window counts."""
+    cfg = LayerConfig(speed_path=fresh_dir(spark, "update-view"), speed_mode="update")
+    _replay(spark, click_records(_events(spark, sf_dir)), "update", _per_trigger(),
+            lambda source, checkpoint: start_speed_layer(source, cfg, checkpoint, available_now=True))
+    return flatten_window(read_update_view(spark, cfg.speed_path, ("window", *SPEED_KEYS)))
+
+
+def page_stats_processing_time(spark, sf_dir):
+    """Statistics by the time that each micro-batch recorded; which windows
+    there are depends on when the query runs, their sums by page do not."""
+    out = fresh_dir(spark, "processing-stats")
+    _replay(spark, click_records(_events(spark, sf_dir)), "processing", _per_trigger(),
+            lambda source, checkpoint: [start_page_stats_view(source, out, checkpoint, processing_time=True, available_now=True)])
+    view = read_update_view(spark, out, ("windowStart", "windowEnd", "page"))
+    return view.groupBy("page").agg(F.sum("count").alias("count"))
+
+
+def speed_triggered_totals(spark, sf_dir):
+    """The running job under its trigger, stopped once all is processed, with
+    the records that its progress events report."""
+    cfg = LayerConfig(speed_path=fresh_dir(spark, "triggered-view"))
+    stage, checkpoint = fresh_dir(spark, "triggered-input"), fresh_dir(spark, "triggered-checkpoint")
+    files = stage_micro_batches(click_records(_events(spark, sf_dir)), _per_trigger(), stage)
+    log = RateLog().attach(spark)
+    try:
+        [query] = start_speed_layer(read_record_files(spark, files), cfg, checkpoint)
+        try:
+            query.processAllAvailable()
+            records = log.wait(query)
+        finally:
+            query.stop()
+    finally:
+        log.detach(spark)
+    for path in (stage, checkpoint):
+        remove_folder(spark, path)
+    return all_time_totals(read_speed_view(spark, cfg.speed_path)).withColumn("records", F.lit(records).cast("long"))
+
+
 def raw_landing(spark, sf_dir):
     cfg = _run_partials_stream(spark, sf_dir)
     return spark.read.parquet(cfg.raw_path).drop("run", "batch_id")
@@ -591,6 +722,25 @@ UNION ALL
 SELECT page, trafficSource, count(*)::BIGINT AS sum_count, DATE '{REPORT_DATE}' AS report_date FROM clicks GROUP BY ALL""",
     "spend_stream_report_error": f"""SELECT event_id AS account_id, date_trunc('second', ts) AS log_ts,
        CAST(floor("value") AS BIGINT) AS amount FROM events""",
+    "speed_restarted": f"""WITH {_CLICKS_CTE}
+SELECT page, trafficSource, count(*)::BIGINT AS sum_count, count(*)::BIGINT AS raw_rows FROM clicks GROUP BY ALL""",
+    "raw_landing_restarted": f"""WITH {_CLICKS_CTE}
+SELECT "timestamp", page, userId, duration, trafficSource, '{DEFAULT_TOPIC}' AS topic, 0 AS partition, "offset" FROM clicks""",
+    "stream_final_corrected": f"""WITH {_CLICKS_CTE},
+on_time AS (SELECT max("timestamp") AS newest FROM clicks WHERE "offset" % {LATE_EVERY} <> 0),
+emitted AS (
+  SELECT max({_bucket(DEFAULT_WINDOW_SECONDS)} + INTERVAL '{DEFAULT_WINDOW_SECONDS} seconds') AS closed FROM clicks, on_time
+  WHERE {_bucket(DEFAULT_WINDOW_SECONDS)} + INTERVAL '{DEFAULT_WINDOW_SECONDS} seconds'
+        <= (SELECT max("timestamp") FROM clicks) - INTERVAL '{DEFAULT_WATERMARK_SECONDS} seconds'
+    AND ("offset" % {LATE_EVERY} <> 0 OR {_bucket(DEFAULT_WINDOW_SECONDS)} + INTERVAL '{DEFAULT_WINDOW_SECONDS} seconds'
+         > newest - INTERVAL '{DEFAULT_WATERMARK_SECONDS} seconds')),
+counts AS ({_window_counts_sql(DEFAULT_WINDOW_SECONDS)})
+SELECT counts.* FROM counts, emitted WHERE window_end <= closed""",
+    "speed_update_counts": _SPEED_SQL,
+    "page_stats_processing_time": f"""WITH {_CLICKS_CTE}
+SELECT page, count(*)::BIGINT AS "count" FROM clicks GROUP BY page""",
+    "speed_triggered_totals": f"""WITH totals AS ({_TOTALS_SQL})
+SELECT totals.*, (SELECT count(*) FROM events)::BIGINT AS records FROM totals""",
     "spend_merged": f"""WITH times AS (SELECT unnest(range({REWRITES})) AS time),
 rows AS (
   SELECT ((user_id % {ACCOUNTS}) + {ACCOUNTS}) % {ACCOUNTS} AS account, date_trunc('second', ts) AS log_ts, event_id, time,
@@ -640,13 +790,19 @@ CATALOG: tuple[CatalogQuery, ...] = (
     CatalogQuery("stream_final_counts", stream_final_counts, SQL["stream_final_counts"],
                  ("W1", "W3", "W6", "K4", "W8")),
     CatalogQuery("speed_stream_windows", speed_stream_windows, SQL["speed_stream_windows"],
-                 ("K11", "K2", "R2", "W5", "W8", "S3")),
+                 ("K11", "K2", "R2", "W8", "S3")),
     CatalogQuery("speed_stream_totals", speed_stream_totals, SQL["speed_stream_totals"], ("K11", "A2", "K3")),
     CatalogQuery("raw_landing", raw_landing, SQL["raw_landing"], ("K1", "K11")),
-    CatalogQuery("page_visits_stream", page_visits_stream, SQL["page_visits_stream"], ("K6", "W4", "S2")),
+    CatalogQuery("page_visits_stream", page_visits_stream, SQL["page_visits_stream"], ("K6", "W4")),
     CatalogQuery("page_stats_stream", page_stats_stream, SQL["page_stats_stream"], ("K7", "W2", "W4")),
     CatalogQuery("spend_stream_report", spend_stream_report, SQL["spend_stream_report"], ("K9", "S5", "A5")),
     CatalogQuery("spend_stream_report_error", spend_stream_report_error, SQL["spend_stream_report_error"], ("K9", "A5")),
+    CatalogQuery("speed_restarted", speed_restarted, SQL["speed_restarted"], ("W8", "K11", "K1", "K2")),
+    CatalogQuery("raw_landing_restarted", raw_landing_restarted, SQL["raw_landing_restarted"], ("K1", "W8")),
+    CatalogQuery("stream_final_corrected", stream_final_corrected, SQL["stream_final_corrected"], ("W3", "W7", "W6")),
+    CatalogQuery("speed_update_counts", speed_update_counts, SQL["speed_update_counts"], ("W6", "A1")),
+    CatalogQuery("page_stats_processing_time", page_stats_processing_time, SQL["page_stats_processing_time"], ("W9", "W6")),
+    CatalogQuery("speed_triggered_totals", speed_triggered_totals, SQL["speed_triggered_totals"], ("W5", "W8")),
     CatalogQuery("spend_merged", spend_merged, SQL["spend_merged"], ("K9", "A5")),
     CatalogQuery("spend_bands", spend_bands, SQL["spend_bands"], ("P13", "A4")),
     CatalogQuery("speed_counts_odd_records", speed_counts_odd_records, SQL["speed_counts_odd_records"], ("F1", "P2")),

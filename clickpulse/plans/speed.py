@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from clickpulse.config import LayerConfig
 from clickpulse.operators.windows import window_counts, window_zone
 from clickpulse.schemas import SPEED_SCHEMA
-from clickpulse.sources.sinks import append_rows, batch_folder, write_batch_folder, write_speed_batch
+from clickpulse.sources.sinks import append_new_rows, append_rows, batch_folder, write_batch_folder, write_speed_batch
 
 FILE_FORMATS = frozenset({"parquet", "orc", "json", "csv", "avro"})
 DONE_DIR = "_batches"  # completion markers; the leading underscore hides them from view reads
@@ -25,13 +25,16 @@ DONE_DIR = "_batches"  # completion markers; the leading underscore hides them f
 def land_raw(batch: DataFrame, batch_id: int, cfg: LayerConfig, run: str | None = None) -> None:
     """Raw parsed clicks to the raw table.
 
-    File tables get one folder per batch id (a retry overwrites it); a
-    connector table gets a plain append, which is at-least-once.
+    File tables get one folder per batch id (a retry overwrites it). A
+    connector table gets appends: with ``raw_identity`` only of records that it
+    does not hold, else plain ones, which are at-least-once.
     """
     if not (cfg.raw_path or cfg.raw_options):
         return  # landing switched off
     if cfg.raw_format in FILE_FORMATS:
         write_batch_folder(batch, cfg.raw_path, batch_id, fmt=cfg.raw_format, run=run)
+    elif cfg.raw_identity:
+        append_new_rows(batch, cfg.raw_format, cfg.raw_path, cfg.raw_options)
     else:
         append_rows(batch, cfg.raw_format, cfg.raw_path, cfg.raw_options)
 

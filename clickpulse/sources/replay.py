@@ -93,8 +93,8 @@ def stage_micro_batches(records: DataFrame, batch: Column, path: str) -> str:
     takes the values of ``batch`` as its micro-batches, in order.
 
     Returns the pattern to read. Each value is one file; a file stream goes by
-    modification time, so the files' times are set in that order (one call for
-    each micro-batch to come).
+    modification time, so the files' times are set in that order (two calls for
+    each micro-batch to come). A store that ignores set times is an error.
     """
     name = "replay_batch"
     records.withColumn(name, batch).repartition(name).write.partitionBy(name).parquet(path)
@@ -105,4 +105,6 @@ def stage_micro_batches(records: DataFrame, batch: Column, path: str) -> str:
     for i, folder in enumerate(folders):
         for file in store.listStatus(folder):
             store.setTimes(file.getPath(), first + 1000 * i, -1)
+            if abs(store.getFileStatus(file.getPath()).getModificationTime() - first - 1000 * i) >= 1000:
+                raise RuntimeError(f"{path} keeps no file times that are set: micro-batches would come in another order")
     return f"{path}/{name}=*"

@@ -7,6 +7,9 @@ None of them funnels data through one task: file counts are bounded with
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from clickpulse.sources.storage import exists
 
 
 def append_rows(df: DataFrame, fmt: str = "parquet", path: str | None = None, options: dict | None = None) -> None:
@@ -22,6 +25,32 @@ def append_rows(df: DataFrame, fmt: str = "parquet", path: str | None = None, op
         w.save()
 
 
+RECORD_KEY = ("topic", "partition", "offset")
+
+
+def append_new_rows(df: DataFrame, fmt: str = "parquet", path: str | None = None, options: dict | None = None) -> None:
+    """Append the rows of a micro-batch that the table does not hold yet, by
+    RECORD_KEY, so writing a batch again is a no-op.
+
+    A retried batch holds the same offsets, so only the table's rows of the
+    batch's offset range are read (a filter that the source gets); a topic
+    partition's range may hold rows of others, which the join tells apart.
+    """
+    rows = df.persist()
+    try:
+        low, high = rows.agg(F.min("offset"), F.max("offset")).first()
+        if low is None:
+            return
+        reader = df.sparkSession.read.format(fmt).options(**(options or {}))
+        if path and not exists(df.sparkSession, path):
+            return append_rows(rows, fmt, path, options)
+        table = reader.load(path) if path else reader.load()
+        held = table.where(F.col("offset").between(low, high)).select(*RECORD_KEY)
+        append_rows(rows.join(held, list(RECORD_KEY), "left_anti").select(*df.columns), fmt, path, options)
+    finally:
+        rows.unpersist()
+
+
 def batch_folder(path: str, batch_id: int, run: str | None = None) -> str:
     """``<path>[/run=<query id>]/batch_id=<n>``: one folder per micro-batch."""
     base = path.rstrip("/")

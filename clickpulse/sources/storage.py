@@ -22,6 +22,17 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in store.listStatus(found)] if store.exists(found) else []
 
 
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every file in a folder and below,
+    or of the one file."""
+    store, found = hadoop_path(spark, path)
+    listed, out = store.listFiles(found, True), []
+    while listed.hasNext():
+        f = listed.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
 def values(spark: SparkSession, path: str, key: str) -> list[str]:
     """Values ``v`` of the folders ``key=v``."""
     return [n.split("=", 1)[1] for n in names(spark, path) if n.startswith(f"{key}=")]

@@ -22,6 +22,7 @@ from clickpulse.plans.speed import FILE_FORMATS
 from clickpulse.sources.kafka import kafka_writer
 from clickpulse.sources.sinks import append_rows, write_batch_folder
 from clickpulse.streaming.triggers import RunTag, require_checkpoint, with_trigger
+from clickpulse.streaming.updates import start_update_view
 
 
 def visit_stream(records: DataFrame, pattern: str = CLICK_TIME_PATTERN) -> DataFrame:
@@ -55,6 +56,21 @@ def with_processing_time(clicks: DataFrame, time_col: str = "timestamp") -> Data
     return clicks.withColumn(time_col, F.current_timestamp())
 
 
+def start_page_stats_view(records: DataFrame, path: str, checkpoint: str, pattern: str = CLICK_TIME_PATTERN,
+                          window_seconds: int = PAGE_STATS_WINDOW_SECONDS, processing_time: bool = False,
+                          trigger_seconds: int | None = None, available_now: bool = False) -> StreamingQuery:
+    """Statistics of open windows too, as a keyed view (``streaming.updates``).
+
+    With ``processing_time`` a record takes the time that its micro-batch
+    recorded in the checkpoint; a retried batch takes the same time again.
+    """
+    clicks = parse_clicks_strict(records, pattern)
+    if processing_time:
+        clicks = with_processing_time(clicks)
+    stats = page_stats(clicks, window_seconds, watermark_ms=OUT_OF_ORDERNESS_MS)
+    return start_update_view(stats, path, checkpoint, trigger_seconds, available_now)
+
+
 def stats_stream(records: DataFrame, pattern: str = CLICK_TIME_PATTERN,
                  window_seconds: int = PAGE_STATS_WINDOW_SECONDS, json_pattern: str = CLICK_TIME_PATTERN_12H,
                  processing_time: bool = False) -> DataFrame:

@@ -3,6 +3,8 @@ import sys
 
 import pytest
 
+os.environ.setdefault("CLICKPULSE_RECORDS_PER_TRIGGER", "300")  # several micro-batches of the small tables
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from clickpulse.session import local_session  # noqa: E402

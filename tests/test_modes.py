@@ -1,0 +1,174 @@
+"""Update mode, late corrections, record identity, recorded time, rates."""
+
+import datetime as dt
+
+import pytest
+
+from clickpulse.cli import main
+from clickpulse.config import LayerConfig
+from clickpulse.functions.decode import parse_clicks_strict
+from clickpulse.operators.windows import reaggregate_speed
+from clickpulse.plans.corrections import correct_final, corrected_counts
+from clickpulse.plans.speed import land_raw, speed_batch
+from clickpulse.sources.kafka import read_record_files
+from clickpulse.sources.sinks import append_new_rows, write_batch_folder
+from clickpulse.sources.tables import read_speed_view
+from clickpulse.streaming.clicks import start_page_stats_view, with_processing_time
+from clickpulse.streaming.progress import RateLog
+from clickpulse.streaming.speed import start_speed_layer
+from clickpulse.streaming.updates import read_update_view
+from tests.helpers import click, records, ts
+
+CLICK_DDL = "timestamp timestamp, page string, trafficSource string"
+
+
+def _counts(df):
+    return sorted((r.window.start, r.page, r["count"]) for r in df.collect())
+
+
+# ------------------------------------------------------------- strict decode
+
+@pytest.mark.parametrize("value,fails", [
+    (click("01-01-2024 10:00:00:000"), None), ('{"page":"/a"}', None), ("{}", None),
+    ('{"page":"/a","extra":1}', "unknown keys: extra"), ('{"Page":"/a","page":"/b"}', "unknown keys: Page"),
+    ('{"page":"/a"', "(?i)malformed|parse"), ("[1]", "(?i)malformed|parse|cast"), ("", "empty")])
+def test_strict_decode_takes_only_the_fields_of_a_click(spark, value, fails):
+    found = parse_clicks_strict(records(spark, [value]))
+    if fails is None:
+        assert found.count() == 1 and len(found.collect()) == 1
+    else:
+        with pytest.raises(Exception, match=fails):
+            found.collect()
+
+
+# --------------------------------------------------------------- update mode
+
+def test_newest_batch_of_a_run_counts_and_runs_add_up(spark, workdir):
+    rows = lambda *r: spark.createDataFrame(r, "page string, count long")
+    write_batch_folder(rows(("/a", 1), ("/b", 1)), workdir, 0, run="x")
+    write_batch_folder(rows(("/a", 5)), workdir, 1, run="x")
+    write_batch_folder(rows(("/a", 2), (None, 7)), workdir, 0, run="y")
+    found = {r.page: r["count"] for r in read_update_view(spark, workdir, ("page",)).collect()}
+    assert found == {"/a": 7, "/b": 1, None: 7}
+
+
+def test_update_mode_job(spark, workdir):
+    for i, second in enumerate((1, 2, 31)):
+        records(spark, [click(f"01-01-2024 10:00:{second:02d}:000")], start_offset=i).coalesce(1).write.parquet(f"{workdir}/in/{i}")
+    args = ["speed", "--source-path", f"{workdir}/in/*", "--available-now", "--checkpoint", f"{workdir}/ck", "--speed-path",
+            f"{workdir}/view", "--mode", "update", "--raw-path", f"{workdir}/raw", "--max-files-per-trigger", "1"]
+    main(args)
+    assert spark.read.parquet(f"{workdir}/raw").count() == 3
+    view = read_update_view(spark, f"{workdir}/view", ("window", "page", "trafficSource"))
+    assert [(r[0].second, r[2]) for r in _counts(view)] == [(0, 2), (30, 1)]
+
+
+# --------------------------------------------------------------- corrections
+
+def _final(spark, path, rows):
+    batch = spark.createDataFrame([(ts(t), p, "g") for t, p in rows], CLICK_DDL)
+    from clickpulse.operators.windows import window_counts
+    window_counts(batch).write.mode("append").parquet(path)
+
+
+def test_corrections_are_incremental_and_signed(spark, workdir):
+    final, cfg = f"{workdir}/final", LayerConfig(speed_path=f"{workdir}/partials")
+    batch = lambda n, rows: speed_batch(spark.createDataFrame([(ts(t), p, "g") for t, p in rows], CLICK_DDL), n, cfg, run="r")
+
+    def check(closed):
+        expected = reaggregate_speed(read_speed_view(spark, cfg.speed_path)).where(f"window.end <= timestamp '{closed}'")
+        assert _counts(corrected_counts(spark, final)) == _counts(expected)
+
+    batch(0, [("2024-01-01 00:00:01", "/a"), ("2024-01-01 00:00:12", "/a"), ("2024-01-01 00:00:41", "/a")])
+    _final(spark, final, [("2024-01-01 00:00:01", "/a"), ("2024-01-01 00:00:12", "/a")])
+    assert correct_final(spark, final, cfg.speed_path) == 0
+    check("2024-01-01 00:00:20")
+    # late rows of a closed window, a late window of its own, rows of a window that closes now
+    batch(1, [("2024-01-01 00:00:02", "/a"), ("2024-01-01 00:00:03", "/z"), ("2024-01-01 00:00:22", "/late")])
+    _final(spark, final, [("2024-01-01 00:00:41", "/a")])
+    correct_final(spark, final, cfg.speed_path)
+    check("2024-01-01 00:00:50")
+    assert correct_final(spark, final, cfg.speed_path) == 2  # nothing new
+    check("2024-01-01 00:00:50")
+    # the final query was ahead of the counts per micro-batch: a negative correction, made up for later
+    _final(spark, final, [("2024-01-01 00:01:01", "/n"), ("2024-01-01 00:01:02", "/n")])
+    batch(2, [("2024-01-01 00:01:01", "/n")])
+    correct_final(spark, final, cfg.speed_path)
+    check("2024-01-01 00:01:10")
+    batch(3, [("2024-01-01 00:01:02", "/n")])
+    correct_final(spark, final, cfg.speed_path)
+    check("2024-01-01 00:01:10")
+
+
+def test_nothing_to_correct_yet(spark, workdir):
+    _final(spark, f"{workdir}/final", [("2024-01-01 00:00:01", "/a")])
+    assert correct_final(spark, f"{workdir}/final", f"{workdir}/none") is None
+    assert _counts(corrected_counts(spark, f"{workdir}/final")) == [(dt.datetime(2024, 1, 1), "/a", 1)]
+
+
+# ----------------------------------------------------------- record identity
+
+def test_a_batch_appended_twice_leaves_one_copy(spark, workdir):
+    ddl = "page string, topic string, partition int, offset long"
+    first = spark.createDataFrame([("/a", "t", 0, 1), (None, "t", 0, 2), ("/a", "t", 1, 1)], ddl)
+    second = spark.createDataFrame([("/c", "t", 0, 3), ("/a", "u", 0, 2)], ddl)
+    cfg = LayerConfig(speed_path="unused", raw_path=f"{workdir}/raw", raw_format="org.apache.spark.sql.parquet", raw_identity=True)
+    for n, batch in ((0, first), (0, first), (1, second), (1, second), (2, first.limit(0))):
+        land_raw(batch, n, cfg)
+    found = spark.read.parquet(f"{workdir}/raw")
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, first.collect() + second.collect()))
+    # half of a batch was written before the writer died
+    third = spark.createDataFrame([("/x", "t", 0, i) for i in range(4, 10)], ddl)
+    append_new_rows(third.where("offset < 7"), path=f"{workdir}/raw")
+    append_new_rows(third, path=f"{workdir}/raw")
+    assert spark.read.parquet(f"{workdir}/raw").where("page = '/x'").count() == 6
+
+
+# ------------------------------------------------------------- recorded time
+
+def test_a_retried_batch_takes_the_time_recorded_for_it(spark, workdir):
+    records(spark, [click("01-01-2024 10:00:00:000")] * 3).coalesce(1).write.parquet(f"{workdir}/in")
+    seen = []
+
+    def run(fail):
+        def write(batch, _):
+            seen.append({r.timestamp for r in batch.collect()})
+            if fail:
+                raise InterruptedError("stopped")
+        clicks = with_processing_time(parse_clicks_strict(read_record_files(spark, f"{workdir}/in")))
+        q = clicks.writeStream.foreachBatch(write).option("checkpointLocation", f"{workdir}/ck").trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    with pytest.raises(Exception, match="stopped"):
+        run(True)
+    run(False)
+    assert len(seen) == 2 and seen[0] == seen[1] and len(seen[0]) == 1
+
+
+def test_statistics_by_recorded_time(spark, workdir):
+    for i in range(2):
+        records(spark, [click("01-01-2024 10:00:00:000", page=p) for p in ("/a", "/a", "/b")]).coalesce(1).write.parquet(
+            f"{workdir}/in/{i}")
+    start_page_stats_view(read_record_files(spark, f"{workdir}/in/*", 1), f"{workdir}/out", f"{workdir}/ck",
+                          processing_time=True, available_now=True).awaitTermination()
+    view = read_update_view(spark, f"{workdir}/out", ("windowStart", "windowEnd", "page")).collect()
+    assert sum(r["count"] for r in view if r.page == "/a") == 4 and sum(r["count"] for r in view) == 6
+    assert all(r.windowEnd - r.windowStart == dt.timedelta(seconds=15) and r.windowStart.year > 2024 for r in view)
+
+
+# --------------------------------------------------------------------- rates
+
+def test_rates_of_a_triggered_query(spark, workdir):
+    for i in range(3):
+        records(spark, [click("01-01-2024 10:00:00:000")] * 10, start_offset=10 * i).coalesce(1).write.parquet(f"{workdir}/in/{i}")
+    cfg = LayerConfig(speed_path=f"{workdir}/view", trigger_seconds=1)
+    log = RateLog(keep=2).attach(spark)
+    try:
+        [query] = start_speed_layer(read_record_files(spark, f"{workdir}/in/*", 1), cfg, f"{workdir}/ck")
+        query.processAllAvailable()
+        assert log.wait(query) == 30
+        query.stop()
+    finally:
+        log.detach(spark)
+    mine = [b for b in log.batches if b.query == str(query.id)]
+    assert [b.batch_id for b in mine] == [1, 2] and all(b.rows == 10 and b.rows_per_second > 0 for b in mine)

@@ -74,10 +74,9 @@ def test_strict_decode_types_and_failfast(spark):
         parse_clicks_strict(records(spark, [GOOD, "not json"])).collect()
 
 
-def test_strict_decode_accepts_unknown_keys(spark):
-    """Known gap to a strict object mapper: unknown keys are ignored."""
-    r = parse_clicks_strict(records(spark, [click("01-01-1970 00:00:00:000")[:-1] + ',"x":1}'])).collect()[0]
-    assert r.page == "/shop"
+def test_strict_decode_fails_on_unknown_keys(spark):
+    with pytest.raises(Exception, match="unknown keys: x"):
+        parse_clicks_strict(records(spark, [click("01-01-1970 00:00:00:000")[:-1] + ',"x":1}'])).collect()
 
 
 def test_transactions_csv(spark):
