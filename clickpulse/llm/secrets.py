@@ -14,7 +14,7 @@
 from __future__ import annotations
 
 import re._parser as regex_parser
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
@@ -22,7 +22,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import free_name, row_key, save
+from clickpulse.llm.common import free_name, maybe_broadcast, row_key, save
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Alternatives that the derivation enumerates before it closes a clause; only
@@ -177,27 +177,64 @@ def candidates(index: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
             .filter(F.size("rules") > 0))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once for the row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _blocks(values: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """``body(block, number)`` of about sqrt(n) blocks of a non-empty array, so that steps that
+    grow an array one by one copy a block, never the whole."""
+    size = F.greatest(F.ceil(F.sqrt(F.size(values))).cast("int"), F.lit(1))
+    return let(size, lambda k: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(values) - 1) / k).cast("int")), lambda b: body(F.slice(values, b * k + 1, k), b)))
+
+
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """array<int>: for each element, all elements before it (and 0) taken
+    together by ``step``, an associative one such as sum or maximum."""
+    zero, none = F.lit(0), F.array().cast("array<int>")
+    total = lambda block: F.aggregate(block, zero, step)
+
+    def through(start: Column, block: Column) -> Column:
+        grow = lambda acc, x: F.struct(step(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(block, F.struct(start.alias("at"), none.alias("out")), grow, lambda acc: acc["out"])
+
+    def whole(x: Column) -> Column:
+        return let(_blocks(x, lambda block, _: total(block)), lambda totals: let(
+            F.transform(totals, lambda _, b: total(F.slice(totals, F.lit(1), b))), lambda starts: F.flatten(
+                _blocks(x, lambda block, b: through(F.get(starts, b), block)))))
+
+    return let(values, lambda x: F.when(F.size(x) > 0, whole(x)).otherwise(none))
+
+
+def _lengths(pieces: Column) -> Column:
+    return F.transform(pieces, lambda p: F.char_length(p))
+
+
 def rule_spans(text: Column, rule: Rule, number: int) -> Column:
     """array<struct<start, kind, end>> of one rule's matches in ``text``.
 
-    The pieces between the matches and the matches alternate, so a running sum
-    of their lengths gives each match its place, in code points.
+    The pieces between the matches and the matches alternate, so running sums
+    of their lengths give each match its place, in code points.
     """
     pattern = F.lit(rule.pattern)
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    kept = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    parts = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), whole.alias("hit"), kept.alias("kept"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
-
-    def step(acc: Column, part: Column) -> Column:
-        begin = acc["at"] + F.char_length(part["gap"])
-        end = begin + F.char_length(part["hit"])
-        span = F.struct(begin.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
-        more = F.when(F.char_length(part["kept"]) >= rule.least, F.concat(acc["found"], F.array(span))).otherwise(acc["found"])
-        return F.struct(F.coalesce(end, begin).alias("at"), more.alias("found"))
-
-    found = F.aggregate(parts, start, step, lambda acc: acc["found"])
+    parts = F.arrays_zip(
+        _lengths(F.regexp_extract_all(text, pattern, F.lit(0))).alias("hit"),
+        _lengths(F.regexp_extract_all(text, pattern, F.lit(rule.group))).alias("kept"),
+        _lengths(F.split(text, rule.pattern, -1)).alias("gap"))
+
+    def placed(p: Column) -> Column:
+        before = running(F.transform(p, lambda z: z["gap"] + z["hit"]), lambda x, y: x + y)
+        whole = F.transform(F.arrays_zip(p.alias("p"), before.alias("at")), lambda z: F.struct(
+            (z["at"] + z["p"]["gap"]).alias("start"), F.lit(number).alias("kind"),
+            (z["at"] + z["p"]["gap"] + z["p"]["hit"]).alias("end"), z["p"]["kept"].alias("kept")))
+        return F.transform(F.filter(whole, lambda z: z["kept"] >= rule.least),
+                           lambda z: F.struct(z["start"].alias("start"), z["kind"].alias("kind"), z["end"].alias("end")))
+
+    # what follows the last match is a gap without one
+    found = let(F.filter(parts, lambda z: z["hit"].isNotNull()), placed)
     return F.when(text.rlike(rule.pattern), found).otherwise(none)
 
 
@@ -207,14 +244,16 @@ def with_spans(docs: DataFrame, rules: Sequence[Rule] = RULES) -> tuple[DataFram
 
     ``docs`` needs doc_id and text. Null text has no spans; repeated rows each
     get theirs; other columns stay. Rows and candidates meet by a hash of
-    id and text; Spark broadcasts the candidates or shuffles both by the key.
+    id and text; the candidates are broadcast where their counted size allows,
+    so that texts stay where they are, else both are shuffled by the key.
     """
     k1, k2, spans, chosen = (free_name(docs.columns, f"secret_{c}") for c in ("k1", "k2", "spans", "rules"))
     key = row_key(F.col("doc_id"), F.col("text"))
     index = save(postings(docs.select(key[0].alias("k1"), key[1].alias("k2"), "text"), rules), "secret-postings")
-    found = candidates(index, rules).select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("rules").alias(chosen))
+    found = save(candidates(index, rules).select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("rules").alias(chosen)),
+                 "secret-candidates")
     keyed = docs.withColumns({k1: key[0], k2: key[1]})
-    joined = keyed.join(found, [k1, k2], "left")
+    joined = keyed.join(maybe_broadcast(found, 64), [k1, k2], "left")
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     each = []
     for i, rule in enumerate(rules):
@@ -242,22 +281,32 @@ def secret_report(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
         _listed(F.col(spans), rules).alias("spans"))
 
 
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """``text`` with the sorted ``spans`` masked. A place in a text is found by
+    counting from its start, so the text is cut into stretches of about sqrt(n)
+    spans first, and the pieces between the spans out of these."""
+    def stretch(some: Column, _: Column) -> Column:
+        low, high = F.get(some, F.lit(0))["from"], F.element_at(some, -1)["to"]
+        return let(F.substring(text, low + 1, high - low), lambda part: F.transform(some, lambda s: F.concat(
+            F.substring(part, s["from"] - low + 1, s["to"] - s["from"]), F.lit(mask))))
+
+    def pieces(s: Column) -> Column:
+        reached = running(F.transform(s, lambda x: x["end"]), lambda x, y: F.greatest(x, y))
+        heads = F.filter(F.transform(F.arrays_zip(s.alias("s"), reached.alias("at")), lambda z: F.struct(
+            z["at"].alias("from"), z["s"]["start"].alias("to"))), lambda z: (z["to"] > z["from"]) | (z["from"] == 0))
+        return let(heads, lambda h: F.array_join(F.flatten(_blocks(h, stretch)), ""))
+
+    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    return F.concat(let(spans, pieces), F.substring(text, end + 1, F.char_length(text)))
+
+
 def redact(docs: DataFrame, rules: Sequence[Rule] = RULES, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every span replaced by ``mask`` (spans that overlap or
     touch as one) and n_chars, where there is such a column, counted anew for
     the changed rows. Rows without secrets stay as they are."""
     found, spans = with_spans(docs, rules)
     text = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        apart = (s["start"] > acc["at"]) | (acc["at"] == 0)
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(apart, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"))
-
-    clean = F.aggregate(spans, start, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    clean = _masked(text, F.col(spans), mask)
     changed = F.size(spans) > 0
     new = {"text": F.when(changed, clean).otherwise(text)}
     out = found.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns), F.col(spans))

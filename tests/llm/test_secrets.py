@@ -76,3 +76,32 @@ def test_plan_runs_no_python(frame):
     assert docs.select(lower_ascii(F.lit("AZazİ"))).first()[0] == "azazİ"
     own = secret_report(docs, (*BASE_RULES, Rule("two", "ab", 0, 2))).collect()[0]
     assert own.spans == "assign:0:18,two:9:11"
+
+
+def test_a_long_text_full_of_secrets_takes_seconds(frame):
+    """A megabyte with 40,000 matches: spans and redaction grow with the text."""
+    import time
+
+    rng = random.Random(8)
+    words = [f"{rng.getrandbits(96):024x}" for _ in range(40_000)]
+    text = "é ".join(words) + " password=abcdef123"
+    docs = frame([(1, text), (2, "token: abcdef")])
+    start = time.monotonic()
+    found = {r.doc_id: r for r in secret_report(docs).collect()}
+    clean = {r.doc_id: r.text for r in redact(docs).collect()}
+    assert time.monotonic() - start < 40
+    assert found[1].n_hex == 40_000 and found[1].spans == _text(_spans(text))
+    assert clean[1] == "é ".join(["[secret]"] * 40_000) + " [secret]" and clean[2] == "[secret]"
+
+
+def test_redaction_matches_brute_force(frame, texts):
+    def plain(text):
+        out, at = "", 0
+        for start, _, end in _spans(text):
+            if start > at or at == 0:
+                out += text[at:start] + "[secret]"
+            at = max(at, end)
+        return text if text is None or not _spans(text) else out + text[at:]
+
+    found = sorted((r.doc_id, r.text or "", r.text is None) for r in redact(frame(texts)).collect())
+    assert found == sorted((d, plain(t) or "", t is None) for d, t in texts)
