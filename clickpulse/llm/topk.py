@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import save
@@ -25,90 +25,107 @@ ROW_BLOCK, QUERY_BLOCK = 16384, 4096
 #: Queries that share a score array (times ROW_BLOCK longs) at a time.
 STRIPE = 64
 
-_OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_OUT = pa.schema([("asked", pa.int64()), ("query_id", pa.int64()), ("asks", pa.int64()), ("vec_id", pa.int64()),
+                  ("copies", pa.int64()), ("score", pa.int64())])
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(id, terms): integer components. Vectors (or ids) that are null, and
-    vectors with a null or non-finite component, are left out."""
+    """(id, terms): integer components. Vectors that are null, and vectors with
+    a null or non-finite component, are left out; null ids stay."""
     x = F.col(vector_col)
     whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
-    return (vectors.filter(F.col(id_col).isNotNull() & x.isNotNull()).filter(whole)
+    return (vectors.filter(x.isNotNull()).filter(whole)
             .select(F.col(id_col).cast("long").alias("id"),
                     F.transform(x, lambda v: F.floor(v.cast("double") * scale)).alias("terms")))
 
 
-def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """ids and a dense (rows, dimensions) matrix; short vectors end in zeros."""
-    ids = table.column("id").combine_chunks().to_numpy(zero_copy_only=False)
+def _matrix(table: pa.Table) -> np.ndarray:
+    """A dense (rows, dimensions) matrix; short vectors end in zeros."""
     lists = table.column("terms").combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     width = int(sizes.max(initial=0))
-    out = np.zeros((len(ids), width), np.int64)
-    rows = np.repeat(np.arange(len(ids)), sizes)
+    out = np.zeros((len(sizes), width), np.int64)
+    rows = np.repeat(np.arange(len(sizes)), sizes)
     out[rows, np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
-    return ids, out
+    return out
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k highest of one score array (ids ascending; ties to the smaller)."""
-    other = ids != own
-    scores, ids = scores[other], ids[other]
-    if len(scores) > k:
-        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        above = np.flatnonzero(scores > kth)
-        at = np.concatenate([above, np.flatnonzero(scores == kth)[:k - len(above)]])
-        scores, ids = scores[at], ids[at]
-    return scores, ids
+def _best(scores: np.ndarray, copies: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest of one score array, of those with copies (the
+    first of ties)."""
+    there = np.flatnonzero(copies)
+    if len(there) <= k:
+        return there
+    scores = scores[there]
+    kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+    above = np.flatnonzero(scores > kth)
+    return there[np.concatenate([above, np.flatnonzero(scores == kth)[:k - len(above)]])]
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
 
 
 def score_block(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    """The k best rows of a row block for each query of a query block."""
-    ids, postings = _matrix(rows)
-    order = np.argsort(ids, kind="stable")
-    ids, postings = ids[order], np.ascontiguousarray(postings[order].T)
-    asked, weights = _matrix(queries)
+    """The k best rows of a row block for each query of a query block: rows of
+    one id and vector as one, with the number of them that the query may take."""
+    ids = rows.column("id").combine_chunks()
+    none = ids.is_null().to_numpy(zero_copy_only=False)
+    order = np.lexsort((_numbers(rows, "key"), ids.fill_null(0).to_numpy(zero_copy_only=False), none))  # null ids last
+    rows = rows.take(pa.array(order))
+    keys, copies, postings = _numbers(rows, "key"), _numbers(rows, "copies"), np.ascontiguousarray(_matrix(rows).T)
+    weights = _matrix(queries)
     terms = min(len(postings), weights.shape[1])
     lists = [np.flatnonzero(p) for p in postings[:terms]]
-    found = []
+    place = {key: i for i, key in enumerate(keys.tolist())}
+    who, at, best = [], [], []
+    asked = _numbers(queries, "key")
     for first in range(0, len(asked), STRIPE):
         part = weights[first:first + STRIPE]
-        scores = np.zeros((len(part), len(ids)), np.int64)
+        scores = np.zeros((len(part), len(keys)), np.int64)
         for t in range(terms):
             for q in np.flatnonzero(part[:, t]):
-                if len(lists[t]) == len(ids):
+                if len(lists[t]) == len(keys):
                     scores[q] += part[q, t] * postings[t]
                 else:
                     scores[q, lists[t]] += part[q, t] * postings[t, lists[t]]
-        for q, own in enumerate(asked[first:first + STRIPE]):
-            best, at = _best(scores[q], ids, own, k)
-            found.append((np.full(len(at), own), at, best))
-    cols = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
-    return pa.table([pa.array(c, pa.int64()) for c in cols], schema=_OUT)
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, row_block: int = ROW_BLOCK,
+        for q in range(len(part)):
+            own = place.get(int(asked[first + q]))
+            left = copies
+            if own is not None:  # its own row is none of them
+                left = copies.copy()
+                left[own] -= 1
+            found = _best(scores[q], left, k)
+            who.append(np.full(len(found), first + q))
+            at.append(np.stack([found, left[found]]))
+            best.append(scores[q][found])
+    who, at = np.concatenate(who), np.concatenate(at, axis=1)
+    return pa.table([queries.column(c).take(pa.array(who)).combine_chunks() for c in ("key", "id", "copies")]
+                    + [rows.column("id").take(pa.array(at[0])).combine_chunks(), pa.array(np.minimum(at[1], k)),
+                       pa.array(np.concatenate(best))], schema=_OUT)
+
+
+def top_k(vectors: DataFrame, asks: Column | str, k: int = 5, *, row_block: int = ROW_BLOCK,
           query_block: int = QUERY_BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k highest inner products.
+    """(query_id, rank, vec_id, score): the k highest inner products for each
+    row of ``vectors`` (id, terms; as :func:`quantised` gives) that ``asks``.
 
-    ``vectors`` and ``queries`` are (id, terms) as :func:`quantised` gives.
-    Ties go to the smaller id; a query gets all rows if there are fewer than k.
-    Rows that share the query's id are its own and take no part; a query id
-    that occurs more than once is asked once, with its smallest vector.
+    Every row but the query's own is a candidate, others of its id or with its
+    vector and rows without an id among them. Ties go to the smaller id, null
+    last; a query gets all rows if there are fewer than k. Rows that are the
+    same are scored once and counted; each of them that asks gets an answer.
     """
-    queries = queries.groupBy("id").agg(F.min("terms").alias("terms"))
-    # of rows that are the same, no more than k can be among the k best
-    vectors = save(vectors.groupBy("id", "terms").agg(F.count(F.lit(1)).alias("n")).select(
-        "id", "terms", F.explode(F.array_repeat(F.lit(0), F.least("n", F.lit(k)).cast("int"))).alias("copy")).drop("copy"), "topk-rows")
+    vectors = save(vectors.groupBy("id", "terms").agg(F.count(F.lit(1)).alias("copies"))
+                   .withColumn("key", F.monotonically_increasing_id()), "topk-rows")
+    queries = save(vectors.filter(asks), "topk-queries")
     n_rows, n_queries = vectors.count(), queries.count()
     row_blocks, query_blocks = -(-n_rows // row_block) or 1, -(-n_queries // query_block) or 1
-    # a row block meets every query block and the reverse; the hash deals equal
-    # ids apart by their terms
-    left = (vectors.withColumn("r", F.pmod(F.xxhash64("id", "terms"), F.lit(row_blocks)).cast("int"))
+    # a row block meets every query block and the reverse
+    left = (vectors.withColumn("r", F.pmod(F.xxhash64("key"), F.lit(row_blocks)).cast("int"))
             .withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
-    right = (queries.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int"))
+    right = (queries.withColumn("q", F.pmod(F.xxhash64("key"), F.lit(query_blocks)).cast("int"))
              .withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1)))))
 
     def pair(rows: pa.Table, asked: pa.Table) -> pa.Table:
@@ -117,29 +134,30 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, *, row_block: int
         return score_block(rows, asked, k)
 
     part = left.groupBy("r", "q").cogroup(right.groupBy("r", "q")).applyInArrow(
-        pair, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (part.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+        pair, "asked long, query_id long, asks long, vec_id long, copies long, score long")
+    each = part.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    best = Window.partitionBy("asked").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
+    ranked = each.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return (ranked.withColumn("answer", F.explode(F.sequence(F.lit(1).cast("long"), F.col("asks"))))
             .select("query_id", "rank", "vec_id", "score"))
 
 
 def top_k_report(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """Queries: the rows whose vec_id is divisible by ``every``; searched: all."""
-    rows = quantised(embeddings)
-    return top_k(rows, rows.filter(F.col("id") % every == 0), k)
+    return top_k(quantised(embeddings), F.col("id") % every == 0, k)
 
 
 #: DuckDB: brute force over every (query, row) pair.
 TOPK_SQL = """
 WITH terms AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
-         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
-  FROM terms q JOIN terms c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id,
+         coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+  FROM terms q JOIN terms c ON q.rid <> c.rid WHERE q.vec_id % 50 = 0)
 SELECT query_id, rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST)::INT AS rank FROM scored)
 WHERE rank <= 5
 """

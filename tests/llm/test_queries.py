@@ -71,7 +71,7 @@ def test_odd_and_empty_tables(spark, odd_dir, odd_docs, name):
 
 
 @pytest.mark.parametrize("name", ["op7_token_counts", "op9_mixing", "op8_secret_scans", "op11_ngram_join", "op12_prefix_trie",
-                                  "op13_vector_codes"])
+                                  "op13_vector_codes", "op10_topk"])
 def test_odd_tables_match_sql(spark, odd_dir, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings", "conversations"):
