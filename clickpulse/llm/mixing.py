@@ -7,7 +7,8 @@ The threshold comes from nested histograms: words by (source, top 12 hash
 bits) show the bucket in which the running sum passes the budget; only the rows
 of that bucket are summed again by the next 12 bits, and only those of that
 bucket by the hash itself. Rows are never sorted, and the filter is a
-comparison with the source's threshold.
+comparison with the source's threshold. Rows that are the same share a hash; of
+those at the threshold as many are taken as come nearest to the budget.
 """
 
 from __future__ import annotations
@@ -69,21 +70,24 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS,
 def _boundary(parts: DataFrame, order: Column, last: bool) -> DataFrame:
     """Per source, the histogram part in which the running sum passes ``left``:
     (source, part, left), ``left`` less what lies before it. ``parts`` holds
-    (source, part, words, left). On the last level ``part`` is one hash; the
-    row there is taken if that ends nearer to the budget."""
+    (source, part, words, copies, left). On the last level ``part`` is one hash
+    of equal rows, and ``take`` says how many of them end nearest to the budget."""
     run = Window.partitionBy("source").orderBy(order)
     passed = (parts.withColumn("upto", F.sum("words").over(run))
               .filter(F.col("upto") > F.col("left"))
               .withColumn("nth", F.row_number().over(run)).filter("nth = 1")
               .withColumn("left", F.col("left") - (F.col("upto") - F.col("words"))))
     if last:
-        nearer = (F.col("words") - F.col("left")) < F.col("left")
-        return passed.select("source", F.col("part"), nearer.cast("long").alias("step"))
+        each = F.col("words") / F.col("copies")
+        whole = F.floor(F.col("left") / each)
+        nearer = (whole + 1) * each - F.col("left") < F.col("left") - whole * each
+        return passed.select("source", "part", F.least(whole + nearer.cast("long"), F.col("copies")).alias("take"))
     return passed.select("source", "part", "left")
 
 
 def thresholds(sized: DataFrame, targets: DataFrame, levels: Sequence[int] = LEVELS) -> DataFrame:
-    """(source, threshold) for every source with a boundary.
+    """(source, threshold, take) for every source with a boundary: rows of a
+    hash below the threshold are taken, and ``take`` rows of that hash.
 
     ``sized`` has (source, size, hash). Each level reads only the rows of the
     boundary buckets found before; its sums are pre-aggregated by (source,
@@ -97,22 +101,40 @@ def thresholds(sized: DataFrame, targets: DataFrame, levels: Sequence[int] = LEV
         inside = rows.withColumn("prefix", F.shiftright("hash", shift) if shift < HASH_BITS else F.lit(0).cast("long"))
         shift -= bits
         parts = (inside.groupBy("source", "prefix", F.shiftright("hash", shift).alias("part"))
-                 .agg(F.sum("size").alias("words")))
+                 .agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("copies")))
         known = edge.withColumnsRenamed({"source": "edge_source", "prefix": "edge_prefix"})
         near = parts.join(known, F.col("source").eqNullSafe(F.col("edge_source"))
                           & (F.col("prefix") == F.col("edge_prefix")))
-        edge = _boundary(near.select("source", "part", "words", "left"), F.col("part"), last)
+        edge = _boundary(near.select("source", "part", "words", "copies", "left"), F.col("part"), last)
         if not last:
             edge = edge.withColumnRenamed("part", "prefix")
-    return edge.select("source", (F.col("part") + F.col("step")).alias("threshold"))
+    return edge.select("source", F.col("part").alias("threshold"), "take")
+
+
+def first_rows(rows: DataFrame, keys: Sequence[str], take: str, taken: str) -> DataFrame:
+    """``rows`` with one more column, ``taken``: whether a row is one of the
+    first ``take`` (any, but fixed) of those equal in ``keys``. They are
+    counted in the blocks they were written in, so that a key with very many
+    rows is not one task's."""
+    row, block, before = (free_name(rows.columns, f"mix_{c}") for c in ("row", "block", "before"))
+    kept = save(rows.withColumn(row, F.monotonically_increasing_id()), "mix-edge").withColumn(block, F.shiftright(row, 33))
+    counts = kept.groupBy(*keys, block).agg(F.count(F.lit(1)).alias(before))
+    earlier = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
+    names = {c: free_name(kept.columns, f"of_{c}") for c in (*keys, block)}
+    counts = save(counts.withColumnsRenamed(names), "mix-edge-blocks")
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    own = Window.partitionBy(*keys, block).orderBy(row)
+    nth = F.row_number().over(own) + F.col(before)
+    return kept.join(counts, same).withColumn(taken, nth <= F.col(take)).drop(*names.values(), row, block, before)
 
 
 def mix(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
     """``rows`` (source, size, hash, any others) with source_size, target and
     ``times``: how often the mix takes the row (0 to ``max_repeat``).
 
-    Rows of equal hash go together, so repeated rows share one fate. A source
-    without words has target 0, and its rows are not taken. ``rows`` is read
+    Of repeated rows at a threshold some are taken once more and some are not;
+    which ones is open, as they are the same. A source without words has target 0, and its rows are not taken. ``rows`` is read
     several times and should be a stored table.
     """
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -123,8 +145,17 @@ def mix(rows: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX
         F.col("source").eqNullSafe(F.col("edge_source")), "left").drop("edge_source")
     plan = save(plan.withColumnRenamed("source", "plan_source"), "mix-plan")
     joined = rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
-    below = F.coalesce(F.col("hash") < F.col("threshold"), F.lit(False))
-    return joined.withColumn("times", F.col("repeats") + below.cast("long")).drop("repeats", "threshold")
+    return _with_times(joined, "hash", "threshold", "repeats", "take", "times").drop("repeats", "threshold", "take")
+
+
+def _with_times(joined: DataFrame, hashed: str, threshold: str, repeats: str, take: str, times: str) -> DataFrame:
+    at = F.coalesce(F.col(hashed) == F.col(threshold), F.lit(False))
+    below = F.coalesce(F.col(hashed) < F.col(threshold), F.lit(False))
+    # a threshold belongs to one source
+    edge = first_rows(joined.filter(at), [c for c in ("source",) if c in joined.columns] + [hashed], take, times)
+    rest = joined.filter(~at).withColumn(times, below)
+    both = rest.unionByName(edge)
+    return both.withColumn(times, F.col(repeats) + F.col(times).cast("long"))
 
 
 def mix_report(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT) -> DataFrame:
@@ -149,18 +180,18 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat:
     narrow = save(rows, "mix-rows")
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = save(source_targets(sizes, weights, max_repeat), "mix-targets")
-    source, repeats, threshold, copy = (free_name(docs.columns, f"mix_{c}")
-                                        for c in ("source", "repeats", "threshold", "copy"))
+    source, repeats, threshold, take, hashed, times, copy = (free_name(docs.columns, f"mix_{c}") for c in (
+        "source", "repeats", "threshold", "take", "hash", "times", "copy"))
     plan = targets.select("source", "repeats").join(
         thresholds(narrow, targets).withColumnRenamed("source", "edge_source"),
         F.col("source").eqNullSafe(F.col("edge_source")), "left")
     plan = save(plan.select(F.col("source").alias(source), F.col("repeats").alias(repeats),
-                            F.col("threshold").alias(threshold)), "mix-plan")
-    joined = docs.join(plan, docs["source"].eqNullSafe(plan[source]))
-    below = F.coalesce(content_hash(docs["doc_id"], docs["text"]) < F.col(threshold), F.lit(False))
-    times = (F.col(repeats) + below.cast("long")).cast("int")
-    taken = joined.withColumn(copy, F.array_repeat(F.lit(1), times)).filter(F.size(copy) > 0)
-    return taken.select(*(docs[c] for c in docs.columns), F.explode(copy).alias(copy)).drop(copy)
+                            F.col("threshold").alias(threshold), F.col("take").alias(take)), "mix-plan")
+    hashes = docs.withColumn(hashed, content_hash(F.col("doc_id"), F.col("text")))
+    joined = hashes.join(plan, F.col("source").eqNullSafe(F.col(source)))
+    timed = _with_times(joined, hashed, threshold, repeats, take, times)
+    taken = timed.withColumn(copy, F.array_repeat(F.lit(1), F.col(times).cast("int"))).filter(F.size(copy) > 0)
+    return taken.select(*docs.columns, F.explode(copy).alias(copy)).drop(copy)
 
 
 #: DuckDB: the same sums over rows in hash order.
@@ -192,15 +223,20 @@ repeated AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size)::BIGINT, 3) ELSE 0 END AS repeats FROM targets),
 budgets AS (
   SELECT *, CASE WHEN repeats >= 3 THEN 0.0::DOUBLE ELSE target - repeats * source_size END AS budget FROM repeated),
-hashes AS (SELECT source, hash, sum(size)::BIGINT AS words FROM rows WHERE size > 0 GROUP BY source, hash),
+hashes AS (SELECT source, hash, sum(size)::BIGINT AS words, count(*) AS copies FROM rows WHERE size > 0 GROUP BY source, hash),
 runs AS (SELECT *, (sum(words) OVER (PARTITION BY source ORDER BY hash))::BIGINT AS upto FROM hashes),
+passed AS (
+  SELECT r.source, min(hash) AS threshold, arg_min(words::DOUBLE / copies, hash) AS each, arg_min(copies, hash) AS copies,
+         arg_min(budget - (upto - words), hash) AS rest
+  FROM runs r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source WHERE upto > budget GROUP BY r.source),
 edges AS (
-  SELECT r.source, arg_min(hash + CASE WHEN words - (budget - (upto - words)) < budget - (upto - words) THEN 1 ELSE 0 END,
-                           hash) AS threshold
-  FROM runs r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source WHERE upto > budget GROUP BY r.source)
-SELECT rows.doc_id, rows.size, b.source_size, b.target,
-       (rows.size * (b.repeats + CASE WHEN rows.hash < coalesce(e.threshold, 0) THEN 1 ELSE 0 END))::BIGINT AS taken,
-       (b.repeats + CASE WHEN rows.hash < coalesce(e.threshold, 0) THEN 1 ELSE 0 END)::BIGINT AS times
-FROM rows JOIN budgets b ON rows.source IS NOT DISTINCT FROM b.source
-LEFT JOIN edges e ON rows.source IS NOT DISTINCT FROM e.source
+  SELECT source, threshold, least(copies, floor(rest / each) + CASE WHEN (floor(rest / each) + 1) * each - rest
+         < rest - floor(rest / each) * each THEN 1 ELSE 0 END) AS take FROM passed),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source, hash) AS nth FROM rows),
+timed AS (
+  SELECT n.doc_id, n.size, b.source_size, b.target, (b.repeats + CASE WHEN n.hash < e.threshold
+         OR (n.hash = e.threshold AND n.nth <= e.take) THEN 1 ELSE 0 END)::BIGINT AS times
+  FROM numbered n JOIN budgets b ON n.source IS NOT DISTINCT FROM b.source
+  LEFT JOIN edges e ON n.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target, size * times AS taken, times FROM timed
 """

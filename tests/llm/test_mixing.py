@@ -58,3 +58,18 @@ def test_taken_words_come_near_the_target_and_reruns_agree(frame):
     assert sum(n * len((t or "").split()) for (d, t, s) in rows for n in [copies.get((d, s), 0)]) == taken
     plan = mixed._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeated_rows_at_the_threshold_are_taken_in_part(frame):
+    """100 equal rows of 4 words, whose source should give 933.75 words."""
+    rows = [(1, "one two three four", "a", i) for i in range(100)] + [(10 + i, "w " * 11, "b", 0) for i in range(100)]
+    docs = frame(rows, "doc_id long, text string, source string, taken int")
+    found = mix_report(docs).collect()
+    target = next(r.target for r in found if r.doc_id == 1)
+    assert math.isclose(target, 1500 * 5 / 7)
+    near = min(range(0, 1201, 4), key=lambda n: abs(n - target))
+    assert sum(r.taken for r in found if r.doc_id == 1) == near
+    mixed = [r for r in mix_documents(docs).collect() if r.doc_id == 1]
+    assert 4 * len(mixed) == near and mix_documents(docs).columns == docs.columns
+    times = [sum(r.taken == i for r in mixed) for i in range(100)]  # here a column of the documents
+    assert max(times) - min(times) == 1
