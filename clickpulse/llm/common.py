@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpulse.session import fresh_dir
+from clickpulse.sources.storage import hadoop_path
 
 #: Java and RE2 spelling of a run of characters other than ASCII white space.
 NON_SPACE = r"[^\x20\x09-\x0D]+"
@@ -27,6 +30,38 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file of the shared store."""
+    store, found = hadoop_path(spark, path)
+    stream = store.open(found)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place, whole and only if there is none of its name:
+    it is written beside and renamed, which fails where the name is taken."""
+    store, found = hadoop_path(spark, path)
+    if store.exists(found):
+        return False
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    draft = hadoop.Path(found.getParent(), f"_{uuid.uuid4().hex}")
+    stream = store.create(draft)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    none = spark._sc._gateway.new_array(hadoop.Options.Rename, 0)
+    try:
+        hadoop.FileContext.getFileContext(found.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, found, none)
+    except Py4JJavaError as e:
+        store.delete(draft, False)
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def free_name(columns: Iterable[str], base: str) -> str:
     """``base``, with underscores added until no column has that name
     (Spark compares names without case)."""

@@ -141,9 +141,11 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     this order, so that neighbours meet within a partition; the partitions'
     edge rows, two for each, meet by a join.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.desc_nulls_last("doc_id"), F.xxhash64("text")]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # rows that are the same may lie in several ranges: a number tells them apart
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                       F.monotonically_increasing_id().alias("nth"))
+    order = [F.desc_nulls_last("doc_id"), F.xxhash64("text"), F.col("nth")]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("nth")
     found = save(dealt.mapInArrow(_neighbours, _FOUND_DDL + ", part int, side string, text string"), "fingerprints")
     inner = found.filter(F.col("side").isNull()).select(*_FOUND.names)
     # one small row for each partition that has rows: the one that follows it

@@ -114,8 +114,9 @@ def template_positions(spark, templates: Sequence[Template] = TEMPLATES, k: int
 
 
 def voted_spans(hits: DataFrame, least: Sequence[int], gap: int = DIAGONAL_GAP) -> DataFrame:
-    """(k1, k2, template, low, high): word ranges on merged neighbouring
-    diagonals that got ``least[template]`` votes or more."""
+    """(k1, k2, template, low, high, drift): word ranges on merged neighbouring
+    diagonals that got ``least[template]`` votes or more, and how far apart the
+    diagonals of one are."""
     votes = (hits.groupBy("k1", "k2", "template", (F.col("pos") - F.col("tpos")).alias("diagonal"))
              .agg(F.countDistinct("tpos").alias("votes"), F.min("pos").alias("low"), F.max("pos").alias("high")))
     order = Window.partitionBy("k1", "k2", "template").orderBy("diagonal")
@@ -123,9 +124,10 @@ def voted_spans(hits: DataFrame, least: Sequence[int], gap: int = DIAGONAL_GAP)
     merged = (votes.withColumn("span", F.sum(F.coalesce(apart, F.lit(True)).cast("int")).over(
                   order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
               .groupBy("k1", "k2", "template", "span")
-              .agg(F.sum("votes").alias("votes"), F.min("low").alias("low"), F.max("high").alias("high")))
+              .agg(F.sum("votes").alias("votes"), F.min("low").alias("low"), F.max("high").alias("high"),
+                   (F.max("diagonal") - F.min("diagonal")).alias("drift")))
     need = F.element_at(F.array(*(F.lit(int(n)) for n in least)), F.col("template") + 1)
-    return merged.filter(F.col("votes") >= need).select("k1", "k2", "template", "low", "high")
+    return merged.filter(F.col("votes") >= need).select("k1", "k2", "template", "low", "high", "drift")
 
 
 def in_order(template: Sequence[str], text: Sequence[str]) -> int:
@@ -167,10 +169,12 @@ def verify(text: list[str], spans: list[dict], templates: Sequence[Template], mi
             found.update((span["template"], low + i) for i in at)
             score = max(score, 1.0 if at else 0.0)
             continue
-        # a span may hold several copies; a window of the template's length and
-        # a little more is what one copy may take
-        room = len(phrase) + DIAGONAL_GAP
-        step = max(1, len(phrase) // 4)
+        # a span may hold several copies. A copy takes the template's length and what
+        # its diagonals drift (the merged ones at most); windows begin so close that
+        # each copy lies whole in one
+        drift = max(DIAGONAL_GAP, min(span["drift"], len(phrase)))
+        step = DIAGONAL_GAP + 1
+        room = len(phrase) + drift + step - 1
         for i in range(0, max(1, len(part) - room + step), step):
             cover = in_order(phrase, part[i:i + room]) / len(phrase)
             if cover >= (1.0 if t.whole else min_cover):
@@ -229,8 +233,8 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, mi
     # d words that differ break up to K * d grams of a template
     least = [max(1, len(t.words) - K + 1 - K * may_differ(t, min_cover)) for t in templates]
     spans = save(voted_spans(hits, least).groupBy("k1", "k2").agg(
-        F.sort_array(F.collect_list(F.struct("template", "low", "high"))).alias("spans")), "license-spans")
+        F.sort_array(F.collect_list(F.struct("template", "low", "high", "drift"))).alias("spans")), "license-spans")
     longest = spans.agg(F.max(F.size("spans"))).first()[0] or 0
-    near = maybe_broadcast(spans, 32 + 24 * longest)
+    near = maybe_broadcast(spans, 32 + 32 * longest)
     joined = keyed.join(near, ["k1", "k2"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(_verified(templates, min_cover), _REPORT)

@@ -181,8 +181,10 @@ class NearDuplicates:
             F.ceil(F.size("united") * self.percent / 100))
         return rows.filter(F.col("shared") >= need).select("a", "b")
 
-    def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        pairs = save(self._estimated(pairs), f"neardup-pairs-{name}")
+    def _verified(self, pairs: DataFrame, name: str, sketched: bool = True) -> DataFrame:
+        """The pairs that are alike; those that did not come from sketches
+        (``sketched`` off) are not asked to pass a sketch's estimate either."""
+        pairs = save(self._estimated(pairs) if sketched else pairs, f"neardup-pairs-{name}")
         ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
         texts = self._texts(ends)
         side = lambda c: texts.select(F.col("class").alias(c), F.col("text").alias(f"text_{c}"))
@@ -203,11 +205,11 @@ class NearDuplicates:
         full = save(self._texts(hot).mapInArrow(_full_sets(self.shingle), "class binary, n long, sketch array<long>"), "neardup-full")
         by_set = F.ceil(F.col("n") * self.percent / 100)
         lists = _with_length(_rare_first(full, by_set))
-        first = self._verified(pairs.unionByName(self._pivot_pairs(lists)).distinct(), "first")
+        first = self._verified(pairs, "sketch").unionByName(self._verified(self._pivot_pairs(lists), "first", sketched=False))
         root = save(components(first), "neardup-first-roots")
         joined = root.select(F.col("node").alias("a"), F.col("root").alias("b"))  # as good as the links
         rest = save(self._unconnected(lists, root), "neardup-rest")
-        return joined if rest.isEmpty() else joined.unionByName(self._verified(rest, "rest"))
+        return joined if rest.isEmpty() else joined.unionByName(self._verified(rest, "rest", sketched=False))
 
     def _fit(self, exact: bool) -> Column:
         """Sizes of two sets that may be alike; with full sets, also whether
@@ -240,14 +242,18 @@ class NearDuplicates:
                                        & (F.col("x.root") != F.col("y.root")) & self._fit(exact=True))
         return joined.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
+    def named(self) -> DataFrame:
+        """(doc_id, k1, k2, n, root): the documents with words and their components."""
+        root = components(self.links())
+        named = self.members.filter(F.col("class").isNotNull()).join(
+            root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+        return save(named.select("doc_id", "k1", "k2", "n", "root"), "neardup-named")
+
     def report(self) -> DataFrame:
         """One row per document: doc_id, n_shingles, component_id, kept, and
         the row's key (k1, k2). Documents of the same set are one component;
         null ids take no part in choosing component_id."""
-        root = components(self.links())
-        named = self.members.filter(F.col("class").isNotNull()).join(
-            root.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-        named = save(named.select("doc_id", "k1", "k2", "n", "root"), "neardup-named")
+        named = self.named()
         least = save(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "neardup-least")
         grouped = named.join(least, "root").select("doc_id", "k1", "k2", "n", "component_id")
         alone = self.members.filter(F.col("class").isNull()).select("doc_id", "k1", "k2", "n", F.col("doc_id").alias("component_id"))
@@ -277,12 +283,20 @@ def near_duplicate_report(docs: DataFrame, shingle: int = 3, percent: int = 85)
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs``, all columns, without the documents of which a component holds
-    a smaller doc_id. Repeated rows of one id are one document and share its
-    fate; documents without words stay."""
-    gone = NearDuplicates(docs, shingle, percent).report().filter(~F.col("kept"))
-    k1, k2 = (free_name(docs.columns, f"neardup_{c}") for c in ("k1", "k2"))
-    gone = save(gone.select(F.col("k1").alias(k1), F.col("k2").alias(k2)).distinct(), "neardup-gone")
+    """``docs``, all columns, with one document of each component: of the
+    smallest doc_id (null last), of several texts of that id one by their
+    hashes, and of rows repeated in id and text one. Documents without words
+    stay, each row of them."""
+    k1, k2, none = (free_name(docs.columns, f"neardup_{c}") for c in ("k1", "k2", "none"))
+    named = NearDuplicates(docs, shingle, percent).named().withColumnsRenamed({"k1": k1, "k2": k2})
+    order = F.struct(F.col("doc_id").isNull().alias(none), "doc_id", k1, k2)
+    first = save(named.groupBy("root").agg(F.min(order).alias("first")).select("root", f"first.{k1}", f"first.{k2}"), "neardup-first")
+    gone = save(named.select(k1, k2).distinct().join(first, [k1, k2], "left_anti"), "neardup-gone")
+    again = save(named.groupBy(k1, k2).count().filter("count > 1").join(first, [k1, k2], "left_semi").select(k1, k2), "neardup-again")
     key = row_key(F.col("doc_id"), F.col("text"))
-    keyed = docs.withColumns({k1: key[0], k2: key[1]})
-    return keyed.join(maybe_broadcast(gone, 32), [k1, k2], "left_anti").select(*docs.columns)
+    keyed = docs.withColumns({k1: key[0], k2: key[1]}).join(maybe_broadcast(gone, 32), [k1, k2], "left_anti")
+    if again.isEmpty():
+        return keyed.select(*docs.columns)
+    again = maybe_broadcast(again, 32)
+    once = keyed.join(again, [k1, k2], "left_semi").dropDuplicates([k1, k2])
+    return keyed.join(again, [k1, k2], "left_anti").unionByName(once).select(*docs.columns)

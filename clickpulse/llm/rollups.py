@@ -3,21 +3,28 @@
 The totals by source, language and tokenizer version are additive, so a batch
 of changes is a sum of signed rows: an insert adds a document and its tokens, a
 delete takes both away, a revised count adds the difference. A commit writes
-the new totals and the ids of all batches they hold as one version, in one
-Spark write; a version counts from its ``_SUCCESS`` file on. Committing a batch
-again, or after a run that died, changes nothing twice.
+the new totals to a folder of their own and then publishes them as the next
+version: a small file, named by the version's number, that names the folder and
+the batch. It is put in place only if no file has that name, so of two writers
+that start from one version one finds it taken and starts again from the new
+one; no commit is lost. Each batch has a marker file, so committing it again, or
+after a run that died, changes nothing twice.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpulse.llm.common import save, word_count
+from clickpulse.llm.common import put_text, read_text, save, word_count
 from clickpulse.session import fresh_dir
+from clickpulse.sources.storage import exists, names, remove_folder
 
 KEYS = ("source", "lang", "tokenizer")
-_VERSION_DDL = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch string"
+_TOTALS_DDL = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
 
 def inserts(counts: DataFrame) -> DataFrame:
@@ -35,52 +42,63 @@ def revisions(counts: DataFrame, old: str = "old_tokens", new: str = "new_tokens
 
 
 class TokenRollup:
-    """The versions below ``path``, a folder that the cluster shares. One
-    writer at a time; readers take the newest whole version."""
+    """Totals below ``path``, a folder that the cluster shares and whose store
+    renames atomically. Any number of writers and readers; ``keep`` versions
+    stay for readers that opened them, older ones are removed."""
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, keep: int = 2) -> None:
+        self.spark, self.path, self.keep = spark, path.rstrip("/"), keep
 
-    def _versions(self) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.path)
-        store = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not store.exists(root):
-            return []
-        found = [f.getPath() for f in store.listStatus(root) if f.getPath().getName().startswith("version=")]
-        return sorted(int(p.getName().split("=")[1]) for p in found if store.exists(hadoop.Path(p, "_SUCCESS")))
+    def _numbers(self) -> list[int]:
+        return [int(n) for n in names(self.spark, f"{self.path}/_versions") if n.isdigit()]
 
-    def _read(self, version: int) -> DataFrame:
-        return self.spark.read.schema(_VERSION_DDL).parquet(f"{self.path}/version={version}")
+    def _newest(self) -> tuple[int, str | None, str | None]:
+        """(number, folder, batch) of the newest version; -1 if there is none."""
+        number = max(self._numbers(), default=-1)
+        if number < 0:
+            return -1, None, None
+        folder, batch = read_text(self.spark, f"{self.path}/_versions/{number}").split("\n", 1)
+        return number, folder, batch
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens; groups that all changes
         together leave without documents and tokens are gone."""
-        versions = self._versions()
-        rows = self._read(versions[-1]) if versions else self.spark.createDataFrame([], _VERSION_DDL)
-        return rows.filter("batch IS NULL").drop("batch")
+        folder = self._newest()[1]
+        reader = self.spark.read.schema(_TOTALS_DDL)
+        return reader.parquet(f"{self.path}/{folder}") if folder else self.spark.createDataFrame([], _TOTALS_DDL)
+
+    def _marker(self, batch: str) -> str:
+        return f"{self.path}/_batches/{hashlib.sha256(batch.encode()).hexdigest()}"
 
-    def batches(self) -> DataFrame:
-        """The ids of the batches that the totals hold."""
-        versions = self._versions()
-        rows = self._read(versions[-1]) if versions else self.spark.createDataFrame([], _VERSION_DDL)
-        return rows.filter("batch IS NOT NULL").select("batch")
+    def holds(self, batch: str) -> bool:
+        """Whether the totals hold a batch."""
+        return self._newest()[2] == batch or exists(self.spark, self._marker(batch))
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add signed rows; False, and no change, if the batch is in already.
         ``changes`` is summed by key before it meets the totals, so a source
         with a third of all rows is a few partial sums."""
-        versions = self._versions()
-        if not self.batches().filter(F.col("batch") == batch).isEmpty():
-            return False
         sums = changes.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        total = (self.totals().unionByName(sums).groupBy(*KEYS)
-                 .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-                 .filter("n_docs <> 0 OR n_tokens <> 0").withColumn("batch", F.lit(None).cast("string")))
-        done = self.batches().unionByName(self.spark.createDataFrame([(batch,)], "batch string"))
-        rows = total.unionByName(done.select(*(F.lit(None).cast(t).alias(c) for c, t in total.dtypes[:-1]), "batch"))
-        number = versions[-1] + 1 if versions else 0
-        rows.write.mode("overwrite").parquet(f"{self.path}/version={number}")
+        while True:
+            number, folder, last = self._newest()
+            if last is not None:  # its writer may have died before marking it
+                put_text(self.spark, self._marker(last), last)
+            if self.holds(batch):
+                return False
+            new = f"totals-{uuid.uuid4().hex}"
+            old = self.totals() if folder is None else self.spark.read.schema(_TOTALS_DDL).parquet(f"{self.path}/{folder}")
+            (old.unionByName(sums).groupBy(*KEYS)
+             .agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+             .filter("n_docs <> 0 OR n_tokens <> 0").write.parquet(f"{self.path}/{new}"))
+            if put_text(self.spark, f"{self.path}/_versions/{number + 1}", f"{new}\n{batch}"):
+                break
+            remove_folder(self.spark, f"{self.path}/{new}")  # another writer was first
+        put_text(self.spark, self._marker(batch), batch)
+        for n in self._numbers():
+            if n <= number + 1 - self.keep:
+                gone = read_text(self.spark, f"{self.path}/_versions/{n}").split("\n", 1)[0]
+                remove_folder(self.spark, f"{self.path}/{gone}")
+                remove_folder(self.spark, f"{self.path}/_versions/{n}")
         return True
 
 

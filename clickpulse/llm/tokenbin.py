@@ -201,9 +201,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
     Ascending doc_id, null first; equal ids by a hash of the text. Null texts
     are empty and hold the end id only.
     """
-    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text")]
-    dealt = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-             .repartitionByRange(*order).sortWithinPartitions(*order))
+    # rows that are the same may lie in several files: a number tells them apart
+    order = [F.asc_nulls_first("doc_id"), F.xxhash64("text"), F.col("nth")]
+    dealt = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("nth"))
+             .repartitionByRange(*order).sortWithinPartitions(*order).drop("nth"))
     parts = save(dealt.mapInArrow(_write_part(folder, tokenizer), _PART), "token-parts").filter("n_docs > 0")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
     based = parts.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))

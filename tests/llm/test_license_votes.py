@@ -19,3 +19,27 @@ def test_share_is_exact():
     for t in TEMPLATES:
         n = len(t.words)
         assert may_differ(t, MIN_COVER) == (0 if t.exact or t.whole else n - (4 * n + 4) // 5)
+
+
+def test_copies_are_found_wherever_they_begin(frame):
+    """Exact copies score 1 and copies with the allowed changes keep their
+    label, at every place in a text; so do copies with a few words more."""
+    import random
+
+    rng, rows, labels = random.Random(5), [], {}
+    notices = [t for t in TEMPLATES if len(t.words) >= 20]
+    for t in notices:
+        for at in range(26):
+            filler = [f"w{i}" for i in range(at)]
+            changed = list(t.words)
+            for i in rng.sample(range(len(changed)), may_differ(t, MIN_COVER)):
+                changed[i] = "other"
+            longer = list(t.words)
+            for i in sorted(rng.sample(range(1, len(longer)), 3), reverse=True):
+                longer.insert(i, "more")
+            for words, least in ((t.words, 1.0), (changed, MIN_COVER), (longer, 1.0)):
+                labels[len(rows)] = t.label, least
+                rows.append((len(rows), " ".join([*filler, *words, *filler[::-1], "end"])))
+    for r in scan_licenses(frame(rows)).collect():
+        label, least = labels[r.doc_id]
+        assert label in r.labels.split(",") and r.score >= least, rows[r.doc_id]

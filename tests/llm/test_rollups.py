@@ -1,5 +1,8 @@
-import shutil
+import os
+import threading
 
+from clickpulse.llm import rollups
+from clickpulse.llm.common import put_text, read_text
 from clickpulse.llm.rollups import TokenRollup, deletes, inserts, revisions
 
 DDL = "source string, lang string, tokenizer string, n_tokens long"
@@ -11,7 +14,7 @@ def _totals(rollup):
 
 def test_inserts_deletes_and_revisions(spark, tmp_path):
     rollup = TokenRollup(spark, f"{tmp_path}/r")
-    assert _totals(rollup) == [] and rollup.batches().count() == 0
+    assert _totals(rollup) == [] and not rollup.holds("one")
     rows = [("a", "en", "v1", 5), ("a", "en", "v1", 7), (None, None, "v1", 1), ("b", "en", "v1", 0)]
     assert rollup.commit("one", inserts(spark.createDataFrame(rows, DDL)))
     assert _totals(rollup) == sorted([("a", "en", "v1", 2, 12), (None, None, "v1", 1, 1), ("b", "en", "v1", 1, 0)], key=str)
@@ -22,17 +25,65 @@ def test_inserts_deletes_and_revisions(spark, tmp_path):
     assert not rollup.commit("two", gone) and not rollup.commit("one", gone)
     assert _totals(rollup) == [("a", "en", "v1", 2, 16)]
     assert rollup.commit("none", inserts(spark.createDataFrame([], DDL)))
-    assert {r.batch for r in rollup.batches().collect()} == {"one", "two", "none"}
+    assert all(rollup.holds(b) for b in ("one", "two", "none")) and not rollup.holds("three")
+    # old versions are gone, batch ids are not
+    assert sorted(n for n in os.listdir(f"{tmp_path}/r/_versions") if not n.startswith(".")) == ["1", "2"]
+    assert sum(n.startswith("totals-") for n in os.listdir(f"{tmp_path}/r")) == 2
+    assert not rollup.commit("one", gone)
 
 
-def test_a_commit_that_died_does_not_count(spark, tmp_path):
-    path = f"{tmp_path}/r"
-    rollup = TokenRollup(spark, path)
+def test_runs_that_died_change_nothing_twice(spark, tmp_path, monkeypatch):
+    rollup = TokenRollup(spark, f"{tmp_path}/r")
     rows = inserts(spark.createDataFrame([("a", "en", "v1", 5)], DDL))
     rollup.commit("one", rows)
-    rollup.commit("two", rows)
-    (tmp_path / "r" / "version=1" / "_SUCCESS").unlink()  # as if the second write had not ended
-    assert _totals(rollup) == [("a", "en", "v1", 1, 5)]
-    assert rollup.commit("two", rows) and _totals(rollup) == [("a", "en", "v1", 2, 10)]
-    shutil.rmtree(f"{path}/version=1")
-    assert _totals(rollup) == [("a", "en", "v1", 1, 5)]
+    put = rollups.put_text
+
+    def dies(at):
+        def wrapped(spark_, path, text):
+            if at in path and text.endswith("two"):
+                raise InterruptedError
+            return put(spark_, path, text)
+        monkeypatch.setattr(rollups, "put_text", wrapped)
+        try:
+            rollup.commit("two", rows)
+        except InterruptedError:
+            pass
+        monkeypatch.setattr(rollups, "put_text", put)
+
+    dies("_versions")  # totals written, not published
+    assert _totals(rollup) == [("a", "en", "v1", 1, 5)] and not rollup.holds("two")
+    dies("_batches")  # published, not marked
+    assert _totals(rollup) == [("a", "en", "v1", 2, 10)] and rollup.holds("two")
+    assert not rollup.commit("two", rows) and rollup.commit("three", rows) and not rollup.commit("two", rows)
+    assert _totals(rollup) == [("a", "en", "v1", 3, 15)]
+
+
+def test_of_two_writers_on_one_version_none_is_lost(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/r"
+    of = lambda n: inserts(spark.createDataFrame([("a", "en", "v1", n)], DDL))
+    TokenRollup(spark, path).commit("first", of(5))
+    newest, meet = TokenRollup._newest, threading.Barrier(2, timeout=60)
+    seen = threading.local()
+
+    def both_see_it(self):
+        found = newest(self)
+        if not getattr(seen, "once", False):
+            seen.once = True
+            meet.wait()  # both start from the same version
+        return found
+
+    monkeypatch.setattr(TokenRollup, "_newest", both_see_it)
+    writers = [threading.Thread(target=TokenRollup(spark, path).commit, args=(name, of(n))) for name, n in (("a", 7), ("b", 11))]
+    for w in writers:
+        w.start()
+    for w in writers:
+        w.join()
+    monkeypatch.setattr(TokenRollup, "_newest", newest)
+    assert _totals(TokenRollup(spark, path)) == [("a", "en", "v1", 3, 23)]
+    assert all(TokenRollup(spark, path).holds(b) for b in ("first", "a", "b"))
+
+
+def test_a_file_is_put_once(spark, tmp_path):
+    assert put_text(spark, f"{tmp_path}/x/1", "one") and not put_text(spark, f"{tmp_path}/x/1", "two")
+    assert read_text(spark, f"{tmp_path}/x/1") == "one"
+    assert [n for n in os.listdir(f"{tmp_path}/x") if not n.startswith(".")] == ["1"]
