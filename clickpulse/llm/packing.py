@@ -8,12 +8,15 @@ costs least for each word it can be expected to hold, given what is left to
 pack. That is tried with every permitted longest size and the cheapest packing
 stays. In the end each bin shrinks to the smallest permitted size that holds
 its contents.
+
+Lengths may be numbers of words or of token ids; :func:`pack_tokens` encodes the
+texts and writes each bin as one sequence of ids.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickpulse.llm.common import save, word_count
+from clickpulse.llm.tokenbin import END_ID, encoder
+from clickpulse.llm.wordhash import slices
 
 CAPACITIES = (512, 1024, 2048, 4096)
 #: Pieces in a shard, about.
@@ -102,9 +107,9 @@ def pieces(docs: DataFrame, longest: int) -> DataFrame:
                        F.least(F.lit(longest).cast("long"), F.col("n_words") - F.col("piece") * longest).alias("n_words"))
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("piece", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()),
+_OUT = pa.schema([("piece_id", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()),
                   ("bin_id", pa.int64()), ("capacity", pa.int64()), ("bin_offset", pa.int64())])
-_OUT_DDL = "doc_id long, piece long, first_word long, n_words long, bin_id long, capacity long, bin_offset long"
+_OUT_DDL = "piece_id long, doc_id long, piece long, first_word long, n_words long, bin_id long, capacity long, bin_offset long"
 
 
 def pack_documents(docs: DataFrame, capacities: Sequence[int] = CAPACITIES,
@@ -118,14 +123,21 @@ def pack_documents(docs: DataFrame, capacities: Sequence[int] = CAPACITIES,
     """
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                           F.coalesce(F.col("n_words"), F.lit(0)).cast("long").alias("n_words"))
-    cut = save(pieces(counted, max(capacities)), "pack-pieces")
+    cut = save(pieces(counted, max(capacities)).withColumn("piece_id", F.monotonically_increasing_id()), "pack-pieces")
+    return pack_pieces(cut, capacities, cost, shard_pieces).drop("piece_id")
+
+
+def pack_pieces(cut: DataFrame, capacities: Sequence[int] = CAPACITIES, cost: Callable[[int], float] = sequence_cost,
+                shard_pieces: int = SHARD_PIECES) -> DataFrame:
+    """``cut`` (piece_id, doc_id, piece, first_word, n_words; a stored table) with
+    bin_id, capacity and bin_offset."""
     shards = max(1, -(-cut.count() // shard_pieces))
     # by chance, not by id: a document that is repeated without end fills no shard
-    dealt = cut.withColumn("shard", F.floor(F.rand(SEED) * shards))
+    dealt = cut.select(*_OUT.names[:5]).withColumn("shard", F.floor(F.rand(SEED) * shards))
 
     def run(table: pa.Table) -> pa.Table:
         # equal input gives equal output, in whatever order the rows arrive
-        table = table.sort_by([("doc_id", "ascending"), ("piece", "ascending")])
+        table = table.sort_by([("doc_id", "ascending"), ("piece", "ascending"), ("piece_id", "ascending")])
         length = table.column("n_words").to_numpy()
         bins, size = pack(length, capacities, cost)
         order = np.argsort(bins, kind="stable")
@@ -134,7 +146,7 @@ def pack_documents(docs: DataFrame, capacities: Sequence[int] = CAPACITIES,
         offset = np.empty(len(bins), np.int64)
         offset[order] = upto - upto[first]
         shard = table.column("shard").to_numpy()
-        return pa.table([*(table.column(c) for c in _OUT.names[:4]), pa.array((shard << 32) + bins),
+        return pa.table([*(table.column(c) for c in _OUT.names[:5]), pa.array((shard << 32) + bins),
                          pa.array(size[bins].astype(np.int64)), pa.array(offset)], schema=_OUT)
 
     return dealt.groupBy("shard").applyInArrow(run, _OUT_DDL)
@@ -144,3 +156,48 @@ def pack_texts(docs: DataFrame, capacities: Sequence[int] = CAPACITIES) -> DataF
     """:func:`pack_documents` by the number of words of each text (runs of
     characters other than ASCII white space; null: none)."""
     return pack_documents(docs.select("doc_id", word_count(F.col("text")).alias("n_words")), capacities)
+
+
+def _encoded(path: str):
+    """Texts -> their ids, with the end id."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path)
+        for batch in batches:
+            texts = batch.column("text")
+            for first, last in slices(texts):
+                found = encode.encode_all(texts.slice(first, last - first).fill_null("").to_pylist())
+                ids = [np.append(np.frombuffer(f, encode.dtype), END_ID).astype(np.int32) for f in found]
+                ends = np.cumsum([0] + [len(i) for i in ids])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), lists], names=["doc_id", "ids"])
+    return run
+
+
+def pack_tokens(docs: DataFrame, tokenizer: str, capacities: Sequence[int] = CAPACITIES,
+                cost: Callable[[int], float] = sequence_cost, shard_pieces: int = SHARD_PIECES) -> DataFrame:
+    """One row per sequence: bin_id, capacity, n_tokens, ids (its tokens), and
+    of the pieces in it, in order, doc_ids, first_tokens (where in its document
+    each begins) and starts (where in the sequence).
+
+    ``docs`` has doc_id and text; each text is encoded by the byte-level BPE
+    tokenizer of the file ``tokenizer`` and ends with the end id, so null and
+    empty texts are one id. Repeated rows are packed as often as they occur.
+    Sequences are bounded by the largest capacity, so is what is gathered.
+    """
+    longest = max(capacities)
+    encoded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        _encoded(tokenizer), "doc_id long, ids array<int>")
+    size = F.size("ids")
+    parts = encoded.select("doc_id", "ids", F.explode(F.sequence(F.lit(0), F.floor((size - 1) / longest).cast("int"))).alias("piece"))
+    cut = parts.select(
+        "doc_id", F.col("piece").cast("long").alias("piece"), (F.col("piece") * longest).cast("long").alias("first_word"),
+        F.slice("ids", F.col("piece") * longest + 1, F.lit(longest)).alias("ids")).withColumn(
+        "n_words", F.size("ids").cast("long")).withColumn("piece_id", F.monotonically_increasing_id())
+    cut = save(cut, "pack-tokens")
+    placed = pack_pieces(cut, capacities, cost, shard_pieces).select("piece_id", "bin_id", "capacity", "bin_offset")
+    rows = cut.join(save(placed, "pack-bins"), "piece_id").select("bin_id", "capacity", F.struct(
+        "bin_offset", "piece_id", "doc_id", "first_word", "ids").alias("p"))
+    bins = rows.groupBy("bin_id").agg(F.first("capacity").alias("capacity"), F.array_sort(F.collect_list("p")).alias("p"))
+    ids = F.flatten(F.col("p.ids"))
+    return bins.select("bin_id", "capacity", F.size(ids).cast("long").alias("n_tokens"), F.col("p.doc_id").alias("doc_ids"),
+                       F.col("p.first_word").alias("first_tokens"), F.col("p.bin_offset").alias("starts"), ids.alias("ids"))

@@ -17,7 +17,9 @@ and its shorter forms are masks, and all counts are sums and joins by longs.
 * Thresholds: for each language the upper quantile of all its trusted texts'
   perplexities and some of its distance from the median. A text is kept up to
   its language's threshold. What a language lacks of LEAST_TEXTS trusted texts
-  its other texts make up for, at equal shares, so none is judged by others.
+  its other texts make up for, so none is judged by others: not as they are, as
+  some are bad, but by their likelier half, mirrored at their median. Bad texts
+  move that only as far as they move the median.
 """
 
 from __future__ import annotations
@@ -38,11 +40,10 @@ ORDER = 5
 BLOCK_BYTES = 32 << 20
 #: Parts of the texts; each is scored by a model of the trusted texts of the others.
 HELD_OUT = 5
-#: The quantile of the plain rule in tests/llm/test_pipeline.py (one part held out); not read here.
-QUANTILE = 0.99
 #: A threshold is this quantile and so many times its distance from the median.
 UPPER, SPREADS = 0.95, 1.5
-#: Languages with fewer trusted texts make up for the missing ones by all their texts.
+#: Languages with fewer trusted texts make up for the missing ones by the likelier
+#: half of all their texts and its mirror image.
 LEAST_TEXTS = 50
 #: Distinct n-grams that a task sums before it sends them on.
 HELD_GRAMS = 2_000_000
@@ -270,11 +271,13 @@ def score(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Data
     # one row for each part
     sizes = rows.groupBy("part").agg(F.sum(F.octet_length("text")).alias("size")).agg(F.max("size")).first()[0] or 0
     blocks = max(1, -(-sizes // block_bytes))
-    rows = rows.withColumn("block", (F.pmod(F.col("k1"), F.lit(blocks)) * parts + F.col("part")).cast("int")).drop("part")
+    # by number, not by content: a row that is repeated without end fills no block
+    number = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
+    rows = rows.withColumn("block", (number * parts + F.col("part")).cast("int")).drop("part")
     seen = save(rows.mapInArrow(_counted, "gram long, c long").select("gram").distinct(), "kn-seen")
     known = save(model.log_probabilities(seen), "kn-log-probabilities")
     # read twice in the plan below, dealt out once (Spark reuses the exchange)
-    packed = rows.mapInArrow(_pack, "block int, texts binary").repartition("block")
+    packed = rows.mapInArrow(_pack, "block int, texts binary").repartition(blocks * parts, "block")
     grams = packed.sortWithinPartitions("block").mapInArrow(_block_grams, "block int, gram long")
     logp = F.col("logp") if parts == 1 else F.coalesce(
         *(F.when(F.pmod(F.col("block"), F.lit(parts)) == i, F.col(f"logp{i}")) for i in model.models))
@@ -289,12 +292,18 @@ def _steps(scores: DataFrame) -> DataFrame:
 
 def _filling(others: DataFrame, own: DataFrame, least: int) -> DataFrame:
     """Rows of _steps() by which each language's texts in ``own`` come up to
-    ``least``: all its ``others``, at equal shares."""
+    ``least``: the steps of ``others`` up to their median and as far beyond it,
+    at equal shares."""
     have = own.groupBy("lang").agg(F.sum("texts").alias("have"))
-    steps = _steps(others).filter("lang IS NOT NULL").join(have, "lang", "left")
+    by = Window.partitionBy("lang")
+    steps = _steps(others).filter("lang IS NOT NULL").withColumn("all", F.sum("texts").over(by)).withColumn(
+        "upto", F.sum("texts").over(by.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    half = steps.withColumn("median", F.min(F.when(F.col("upto") >= 0.5 * F.col("all"), F.col("step"))).over(by)).filter("step <= median")
+    mirrored = half.unionByName(half.withColumn("step", 2 * F.col("median") - F.col("step")))
     missing = F.lit(least) - F.coalesce("have", F.lit(0))
-    share = F.col("texts") / F.sum("texts").over(Window.partitionBy("lang"))
-    return steps.withColumn("texts", share * missing).filter(missing > 0).select("lang", "step", "texts")
+    share = F.col("texts") / F.sum("texts").over(by)
+    return (mirrored.join(have, "lang", "left").withColumn("texts", share * missing).filter(missing > 0)
+            .select("lang", "step", "texts"))
 
 
 def thresholds(scores: DataFrame, quantile: float = UPPER, least: int = LEAST_TEXTS, others: DataFrame | None = None

@@ -4,15 +4,19 @@ import hashlib
 import math
 import random
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
+import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clickpulse.llm.packing import CAPACITIES
-from clickpulse.llm.quality import HELD_OUT, LEAST_TEXTS, QUANTILE, STEP
+from clickpulse.llm.quality import HELD_OUT, LEAST_TEXTS, SPREADS, STEP, UPPER, _part
+from clickpulse.llm.queries import TOKENIZER
 from clickpulse.llm.secrets import RULES
+from clickpulse.llm.tokenbin import END_ID, encoder
 from tests.llm.brute import SPACED, near_duplicates
 from tests.llm.test_mixing import _targets
 from tests.llm.test_quality import PlainModel
@@ -42,22 +46,44 @@ def tables(spark, tmp_path_factory):
     return path, rows, {d for d, q, _ in labels if q == 1 and d is not None}
 
 
-def _quality(spark, rows, trusted):
-    held = {r.id for r in spark.range(5000).filter(F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0).collect()}
-    model = PlainModel([r[1] for r in rows if r[0] in trusted - held])
-    nats = {r[0]: model.nats(r[1]) for r in rows}
+def _quantile(weighted, q):
+    """The step at which the running weight passes q of all."""
+    upto, whole = 0, sum(weighted.values())
+    for step in sorted(weighted):
+        upto += weighted[step]
+        if upto >= whole * (q - 1e-9):
+            return step
 
-    def limit(some):
-        steps = sorted(math.floor(n / STEP) for n in some)
-        return (steps[math.ceil(len(steps) * QUANTILE) - 1] + 1) * STEP
 
-    by = defaultdict(list)
-    for r in rows:
-        if r[0] in trusted & held and nats[r[0]] is not None:
-            by[r[2]].append(nats[r[0]])
-    general = limit([n for some in by.values() for n in some])
-    own = {k: limit(v) for k, v in by.items() if k is not None and len(v) >= LEAST_TEXTS}
-    return [r for r in rows if nats[r[0]] is not None and nats[r[0]] <= own.get(r[2], general)]
+def _limit(weighted):
+    median, upper = _quantile(weighted, 0.5), _quantile(weighted, UPPER)
+    return (upper + SPREADS * (upper - median) + 1) * STEP
+
+
+def _quality(spark, rows, trusted):
+    """Each text by a model of the trusted texts of the other parts; a
+    language's threshold from its trusted texts, and where these are few from
+    the likelier half of all its texts and its mirror image, too."""
+    texts = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, text string")
+    part = {r.doc_id: r.part for r in texts.select("doc_id", _part(F.col("text")).alias("part")).collect()}
+    models = [PlainModel([r[1] for r in rows if r[0] in trusted and part[r[0]] != p]) for p in range(HELD_OUT)]
+    nats = {r[0]: models[part[r[0]]].nats(r[1]) for r in rows}
+    step = lambda n: math.floor(n / STEP)
+    scored = [r for r in rows if nats[r[0]] is not None]
+    general = _limit(Counter(step(nats[r[0]]) for r in scored if r[0] in trusted))
+    own = {}
+    for lang in {r[2] for r in scored} - {None}:
+        weighted = Counter(step(nats[r[0]]) for r in scored if r[2] == lang and r[0] in trusted)
+        missing = LEAST_TEXTS - sum(weighted.values())
+        if missing > 0:
+            every = Counter(step(nats[r[0]]) for r in scored if r[2] == lang)
+            median = _quantile(every, 0.5)
+            half = {s: n for s, n in every.items() if s <= median}
+            for s, n in half.items():
+                for at in (s, 2 * median - s):
+                    weighted[at] += missing * n / (2 * sum(half.values()))
+        own[lang] = _limit(weighted)
+    return [r for r in scored if nats[r[0]] <= own.get(r[2], general)]
 
 
 def _masked(text):
@@ -118,14 +144,13 @@ def test_stages_and_run_match_the_plain_version(spark, tables):
         assert sorted(got, key=str) == sorted((tuple(r[:4]) for r in want), key=str), name
     assert len(want) != len(rows) and not any("password=" in r[1] for r in want)
     last = corpus_pipeline.run(spark, path).collect()
-    words = Counter()
+    encode = encoder(public_tokenizers.path(TOKENIZER)).whole
+    tokens, found = Counter(), Counter()
     for r in want:
-        words[r[0]] += len(SPACED.findall(r[1]))
-    found, bins = Counter(), defaultdict(list)
-    for r in last:
-        found[r.doc_id] += r.n_words
-        bins[r.bin_id].append(r)
-    assert found == words
-    for placed in bins.values():
-        used = sum(r.n_words for r in placed)
-        assert {r.capacity for r in placed} == {min(c for c in CAPACITIES if c >= used)}
+        tokens[(r[0], tuple(np.frombuffer(encode(r[1]), "<u2").tolist()) + (END_ID,))] += 1
+    for b in last:
+        assert b.n_tokens == len(b.ids) and b.capacity == min(c for c in CAPACITIES if c >= len(b.ids))
+        for doc, first, low, high in zip(b.doc_ids, b.first_tokens, b.starts, [*b.starts[1:], len(b.ids)]):
+            assert high > low and first == 0  # these texts fit one sequence each
+            found[(doc, tuple(b.ids[low:high]))] += 1
+    assert found == tokens and sum(len(b.ids) for b in last) >= 0.9 * sum(b.capacity for b in last)
