@@ -1,4 +1,4 @@
-"""The corpus pipeline: documents to packed training sequences.
+"""The corpus pipeline: documents to packed sequences of token ids.
 
 Each stage calls one operator of ``clickpulse.llm`` on all rows that the stage
 before it kept; stages are written as Parquet and read again in between.
@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from clickpulse.llm.common import read_table, save
 from clickpulse.llm.mixing import mix_documents
 from clickpulse.llm.neardup import drop_near_duplicates
-from clickpulse.llm.packing import pack_texts
+from clickpulse.llm.packing import pack_tokens
 from clickpulse.llm.quality import drop_low_quality
+from clickpulse.llm.queries import TOKENIZER
 from clickpulse.llm.secrets import redact
 
 
@@ -37,8 +38,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the texts, by words, into sequences of the permitted lengths."""
-    return pack_texts(docs)
+    """Pack the texts' token ids into sequences of the permitted lengths."""
+    import public_tokenizers
+
+    return pack_tokens(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [
