@@ -147,3 +147,5 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         last = min(max(last, first + 1), len(texts))
         yield first, last
         first = last
+    # Arrow keeps what it has freed for later; a worker beside others gives it back
+    pa.default_memory_pool().release_unused()
