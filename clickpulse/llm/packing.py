@@ -20,6 +20,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ from clickpulse.llm.wordhash import slices
 CAPACITIES = (512, 1024, 2048, 4096)
 #: Pieces in a shard, about.
 SHARD_PIECES = 20_000
+#: Token ids in a shard, about: what a task holds.
+SHARD_TOKENS = 4_000_000
 SEED = 7
 
 
@@ -158,23 +161,31 @@ def pack_texts(docs: DataFrame, capacities: Sequence[int] = CAPACITIES) -> DataF
     return pack_documents(docs.select("doc_id", word_count(F.col("text")).alias("n_words")), capacities)
 
 
-def _encoded(path: str):
-    """Texts -> their ids, with the end id."""
+def _cut(path: str, longest: int):
+    """Texts -> pieces of their ids, with the end id, as bytes of the encoder's width."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
+        width, end = encode.dtype.itemsize, np.array([END_ID], encode.dtype).tobytes()
         for batch in batches:
             texts = batch.column("text")
             for first, last in slices(texts):
-                found = encode.encode_all(texts.slice(first, last - first).fill_null("").to_pylist())
-                ids = [np.append(np.frombuffer(f, encode.dtype), END_ID).astype(np.int32) for f in found]
-                ends = np.cumsum([0] + [len(i) for i in ids])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first), lists], names=["doc_id", "ids"])
+                found = [f + end for f in encode.encode_all(texts.slice(first, last - first).fill_null("").to_pylist())]
+                n_ids = np.array([len(f) for f in found], np.int64) // width
+                count = -(-n_ids // longest)
+                row = np.repeat(np.arange(len(found)), count)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                held = np.minimum(n_ids[row] - piece * longest, longest)
+                ends = np.append(0, np.cumsum(held * width)).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(found))])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(first + row)), pa.array(piece), pa.array(piece * longest),
+                     pa.array(held), ids], names=["doc_id", "piece", "first_word", "n_words", "ids"])
     return run
 
 
 def pack_tokens(docs: DataFrame, tokenizer: str, capacities: Sequence[int] = CAPACITIES,
-                cost: Callable[[int], float] = sequence_cost, shard_pieces: int = SHARD_PIECES) -> DataFrame:
+                cost: Callable[[int], float] = sequence_cost, shard_pieces: int = SHARD_PIECES,
+                shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per sequence: bin_id, capacity, n_tokens, ids (its tokens), and
     of the pieces in it, in order, doc_ids, first_tokens (where in its document
     each begins) and starts (where in the sequence).
@@ -182,22 +193,37 @@ def pack_tokens(docs: DataFrame, tokenizer: str, capacities: Sequence[int] = CAP
     ``docs`` has doc_id and text; each text is encoded by the byte-level BPE
     tokenizer of the file ``tokenizer`` and ends with the end id, so null and
     empty texts are one id. Repeated rows are packed as often as they occur.
-    Sequences are bounded by the largest capacity, so is what is gathered.
+    The ids move once, as 16-bit numbers where the vocabulary allows it, to
+    the shard that packs them; a shard holds about ``shard_pieces`` pieces or
+    ``shard_tokens`` ids, whichever is less.
     """
-    longest = max(capacities)
-    encoded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _encoded(tokenizer), "doc_id long, ids array<int>")
-    size = F.size("ids")
-    parts = encoded.select("doc_id", "ids", F.explode(F.sequence(F.lit(0), F.floor((size - 1) / longest).cast("int"))).alias("piece"))
-    cut = parts.select(
-        "doc_id", F.col("piece").cast("long").alias("piece"), (F.col("piece") * longest).cast("long").alias("first_word"),
-        F.slice("ids", F.col("piece") * longest + 1, F.lit(longest)).alias("ids")).withColumn(
-        "n_words", F.size("ids").cast("long")).withColumn("piece_id", F.monotonically_increasing_id())
-    cut = save(cut, "pack-tokens")
-    placed = pack_pieces(cut, capacities, cost, shard_pieces).select("piece_id", "bin_id", "capacity", "bin_offset")
-    rows = cut.join(save(placed, "pack-bins"), "piece_id").select("bin_id", "capacity", F.struct(
-        "bin_offset", "piece_id", "doc_id", "first_word", "ids").alias("p"))
-    bins = rows.groupBy("bin_id").agg(F.first("capacity").alias("capacity"), F.array_sort(F.collect_list("p")).alias("p"))
-    ids = F.flatten(F.col("p.ids"))
-    return bins.select("bin_id", "capacity", F.size(ids).cast("long").alias("n_tokens"), F.col("p.doc_id").alias("doc_ids"),
-                       F.col("p.first_word").alias("first_tokens"), F.col("p.bin_offset").alias("starts"), ids.alias("ids"))
+    cut = save(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        _cut(tokenizer, max(capacities)), "doc_id long, piece long, first_word long, n_words long, ids binary").withColumn(
+        "piece_id", F.monotonically_increasing_id()), "pack-tokens")
+    total = cut.agg(F.count("*").alias("pieces"), F.coalesce(F.sum("n_words"), F.lit(0)).alias("tokens")).first()
+    shards = max(1, -(-total.pieces // shard_pieces), -(-total.tokens // shard_tokens))
+    # by the piece's number, so that a document repeated without end fills no shard
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("piece_id", F.lit(SEED)), F.lit(shards)))
+
+    def run(table: pa.Table) -> pa.Table:
+        # equal input gives equal output, in whatever order the rows arrive
+        known = pc.sort_indices(table, sort_keys=[(c, "ascending") for c in ("doc_id", "piece", "piece_id")]).to_numpy()
+        length = table.column("n_words").to_numpy()[known]
+        bins, size = pack(length, capacities, cost)
+        order = np.argsort(bins, kind="stable")
+        table, length, bins = table.take(pa.array(known[order])), length[order], bins[order]
+        first = np.flatnonzero(np.diff(bins, prepend=-1))
+        pieces_upto, upto = np.append(first, len(bins)), np.append(0, np.cumsum(length))
+        raw = b"".join(table.column("ids").to_pylist())
+        ids = np.frombuffer(raw, f"<u{len(raw) // int(upto[-1])}").astype(np.int32)
+        lists = lambda upto, values: pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), values)
+        of = lambda name: lists(pieces_upto, table.column(name).combine_chunks())
+        starts = upto[:-1] - np.repeat(upto[first], np.diff(pieces_upto))
+        shard = table.column("shard")[0].as_py()
+        return pa.table({
+            "bin_id": pa.array((shard << 32) + bins[first]), "capacity": pa.array(size[bins[first]].astype(np.int64)),
+            "n_tokens": pa.array(np.diff(upto[pieces_upto])), "doc_ids": of("doc_id"), "first_tokens": of("first_word"),
+            "starts": lists(pieces_upto, pa.array(starts)), "ids": lists(upto[pieces_upto], pa.array(ids))})
+
+    return dealt.groupBy("shard").applyInArrow(run, "bin_id long, capacity long, n_tokens long, doc_ids array<long>, "
+                                                    "first_tokens array<long>, starts array<long>, ids array<int>")

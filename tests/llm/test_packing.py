@@ -69,8 +69,10 @@ def test_sequences_hold_the_tokens_of_all_texts(frame, odd_docs):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = frame(odd_docs)
-    found = pack_tokens(docs, path, capacities=(64, 256), shard_pieces=50).collect()
-    assert sorted(map(str, found)) == sorted(map(str, pack_tokens(docs, path, capacities=(64, 256), shard_pieces=50).collect()))
+    found = pack_tokens(docs, path, capacities=(64, 256), shard_pieces=100, shard_tokens=9_000).collect()
+    again = pack_tokens(docs, path, capacities=(64, 256), shard_pieces=100, shard_tokens=9_000).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again)) and len({b.bin_id for b in found}) == len(found)
+    assert len({b.bin_id >> 32 for b in found}) > -(-sum(len(b.doc_ids) for b in found) // 100)
     texts, pieces = defaultdict(list), defaultdict(list)
     for d, t in odd_docs:
         texts[d].append([*np.frombuffer(encoder(path).whole(t or ""), "<u2").tolist(), END_ID])
