@@ -17,13 +17,15 @@ from clickpulse.llm.orchard import COMPRESSION_SQL, compression_report
 from clickpulse.llm.packing import pack_texts
 from clickpulse.llm.prefixtrie import TRIE_SQL, prefix_trie_report
 from clickpulse.llm.quality import quality_report
-from clickpulse.llm.rollups import ROLLUP_SQL, rollup_report
+from clickpulse.llm.rollups import rollup_report
 from clickpulse.llm.secrets import SECRETS_SQL, secret_report
 from clickpulse.llm.tokenbin import token_report
 from clickpulse.llm.topk import TOPK_SQL, top_k_report
 
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Tokenizer versions of the token counts.
+COUNTED = ("byte_bpe_50k", "word_bpe_49k")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,7 +55,9 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup_report(read_table(spark, sf_dir, "documents"))
+    import public_tokenizers
+
+    return rollup_report(read_table(spark, sf_dir, "documents"), {v: public_tokenizers.path(f"{v}.json") for v in COUNTED})
 
 
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +101,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
-    "op7_token_counts": ROLLUP_SQL,
     "op8_secret_scans": SECRETS_SQL,
     "op9_mixing": MIXING_SQL,
     "op10_topk": TOPK_SQL,

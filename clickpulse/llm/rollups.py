@@ -14,12 +14,19 @@ after a run that died, changes nothing twice.
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
+from collections.abc import Iterator
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from clickpulse.llm.common import put_text, read_text, save, word_count
+from clickpulse.llm.common import put_text, read_text, save
+from clickpulse.llm.tokenbin import CACHE_UNITS, encoder
+from clickpulse.llm.wordhash import slices
 from clickpulse.session import fresh_dir
 from clickpulse.sources.storage import exists, names, remove_folder
 
@@ -102,61 +109,105 @@ class TokenRollup:
         return True
 
 
-#: Runs of visible characters that hold a letter, a digit or a character beyond ASCII.
-WORDY = r"[^\x20\x09-\x0D]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F][^\x20\x09-\x0D]*"
-#: Runs of letters, digits and characters beyond ASCII.
-PARTS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+class UnitCounter:
+    """Numbers of tokens of texts, by a tokenizer that drops white space: no
+    token then crosses a space or line feed, so the numbers of the parts between
+    them, which are remembered, add up to the text's."""
 
+    def __init__(self, tokenizer: Tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.units: dict[str, int] = {}
 
-def _runs(text: Column, pattern: str) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)).cast("long")
+    def count_all(self, texts: list[str]) -> list[int]:
+        if len(self.units) > CACHE_UNITS:
+            self.units.clear()
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        new = list(set().union(*split).difference(self.units))
+        found = self.tokenizer.encode_batch(new, add_special_tokens=False)
+        self.units.update(zip(new, map(len, found)))
+        known = self.units.__getitem__
+        return [sum(map(known, parts)) for parts in split]
 
 
-def rollup_report(docs: DataFrame) -> DataFrame:
-    """The totals of all ``docs`` after five commits, two of them repeated:
+class ByteCounter:
+    """Numbers of tokens of texts, by a byte-level tokenizer."""
 
-    ``load``: every document, counted by tokenizer ``runs`` (visible runs);
-    ``parts``: every document again, by tokenizer version ``parts``;
+    def __init__(self, path: str) -> None:
+        self.encoder = encoder(path)
+
+    def count_all(self, texts: list[str]) -> list[int]:
+        width = self.encoder.dtype.itemsize
+        return [len(ids) // width for ids in self.encoder.encode_all(texts)]
+
+
+_counters: dict[str, UnitCounter | ByteCounter] = {}
+
+
+def counter(path: str) -> UnitCounter | ByteCounter:
+    """One counter for each file and worker process, kept from task to task."""
+    if path not in _counters:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        tokenizer = Tokenizer.from_file(path)
+        drops = not tokenizer.encode("a \n a", add_special_tokens=False).ids[2:]
+        _counters[path] = UnitCounter(tokenizer) if drops else ByteCounter(path)
+    return _counters[path]
+
+
+def _counted(paths: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = [counter(p) for p in paths]
+        for batch in batches:
+            texts, found = batch.column("text"), [[] for _ in counters]
+            for first, last in slices(texts):
+                own = texts.slice(first, last - first).fill_null("").to_pylist()
+                for c, numbers in zip(counters, found):
+                    numbers.extend(c.count_all(own))
+            kept = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in kept), *(pa.array(n, pa.int64()) for n in found)],
+                names=[*kept, *(f"n{i}" for i in range(len(found)))])
+    return run
+
+
+def token_numbers(docs: DataFrame, paths: list[str]) -> DataFrame:
+    """``docs`` without its ``text``, and for each tokenizer file of ``paths`` a
+    column ``n0``, ``n1``, ...: the whole text's number of tokens, special
+    tokens not added. Null and empty texts have none."""
+    kept = [f for f in docs.schema.fields if f.name != "text"]
+    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"n{i} long" for i in range(len(paths)))])
+    return docs.mapInArrow(_counted(paths), ddl)
+
+
+def rollup_report(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:
+    """The totals of all ``docs`` after a commit for each of ``tokenizers``
+    (version: file) and two more; two are repeated:
+
+    each version: every document, counted by that tokenizer;
     ``copies``: documents whose text has a smaller doc_id elsewhere go, from
-    both versions (null ids count as largest; repeated rows of one id all stay);
-    ``marks``: ``runs`` no longer counts runs of marks alone, in the documents
-    that are left.
+    all versions (null ids count as largest; repeated rows of one id all stay);
+    ``ends``: the first version counts the end of a text as a token too, in the
+    documents that are left.
 
-    Null and empty texts count as documents without tokens; sources and
-    languages may be null.
+    Null and empty texts count as documents without tokens but their end;
+    sources and languages may be null. An empty table gives no rows.
     """
-    text = F.coalesce("text", F.lit(""))
-    rows = save(docs.select(
-        "doc_id", "source", "lang", word_count(text).alias("runs"), _runs(text, PARTS).alias("parts"),
-        _runs(text, WORDY).alias("wordy"), F.sha2(text, 256).alias("text_hash")), "rollup-counts")
+    numbers = token_numbers(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        F.col("lang").cast("string").alias("lang"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_hash"), "text"),
+        list(tokenizers.values()))
+    rows = save(numbers, "rollup-counts")
     # stored, so that the join below can split the rows of a text with many copies
     firsts = save(rows.groupBy("text_hash").agg(F.min("doc_id").alias("first_id")), "rollup-firsts")
     copy = F.col("first_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first_id"))
     rows = save(rows.join(firsts, "text_hash").withColumn("copy", copy).drop("text_hash"), "rollup-copies")
-    of = lambda frame, name: frame.withColumns({"tokenizer": F.lit(name), "n_tokens": F.col(name)})
     rollup = TokenRollup(docs.sparkSession, fresh_dir(docs.sparkSession, "llm-rollup"))
+    columns = {name: f"n{i}" for i, name in enumerate(tokenizers)}
+    of = lambda frame, name: frame.withColumns({"tokenizer": F.lit(name), "n_tokens": F.col(columns[name])})
     copies, left = rows.filter("copy"), rows.filter("NOT copy")
-    batches = {
-        "load": inserts(of(rows, "runs")),
-        "parts": inserts(of(rows, "parts")),
-        "copies": deletes(of(copies, "runs")).unionByName(deletes(of(copies, "parts"))),
-        "marks": revisions(left.withColumn("tokenizer", F.lit("runs")), "runs", "wordy"),
-    }
-    for name in ("load", "parts", "copies", "copies", "marks", "load"):
+    batches = {name: inserts(of(rows, name)) for name in tokenizers}
+    batches["copies"] = reduce(DataFrame.unionByName, (deletes(of(copies, name)) for name in tokenizers))
+    revised = next(iter(tokenizers))
+    batches["ends"] = revisions(of(left, revised).withColumn("with_end", F.col("n_tokens") + 1), "n_tokens", "with_end")
+    for name in [*tokenizers, "copies", "copies", "ends", revised]:
         rollup.commit(name, batches[name])
     return rollup.totals()
-
-
-#: DuckDB: the totals counted from the documents that are left.
-ROLLUP_SQL = rf"""
-WITH rows AS (SELECT doc_id, source, lang, coalesce(text, '') AS text FROM documents),
-firsts AS (SELECT text, min(doc_id) AS first_id FROM rows GROUP BY text),
-remaining AS (SELECT rows.* FROM rows JOIN firsts USING (text)
-              WHERE first_id IS NULL OR doc_id IS NOT DISTINCT FROM first_id),
-counted AS (
-  SELECT source, lang, 'runs' AS tokenizer, len(regexp_extract_all(text, '{WORDY}')) AS n FROM remaining
-  UNION ALL
-  SELECT source, lang, 'parts', len(regexp_extract_all(text, '{PARTS}')) FROM remaining)
-SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_tokens
-FROM counted GROUP BY source, lang, tokenizer
-"""

@@ -8,7 +8,7 @@ from clickpulse.llm.queries import QUERIES, SQL
 from tests.conftest import SF_SMALL
 from tests.test_catalog import _canon
 
-OTHERS = ("op1_", "op2_", "op3_", "op4_", "op5_", "op6_", "pipeline")
+OTHERS = ("op1_", "op2_", "op3_", "op4_", "op5_", "op6_", "op7_", "pipeline")
 
 
 def test_fourteen_queries_are_registered():
@@ -70,7 +70,7 @@ def test_odd_and_empty_tables(spark, odd_dir, odd_docs, name):
     assert entry.queries()[name](spark, f"{odd_dir}/empty").count() == 0
 
 
-@pytest.mark.parametrize("name", ["op7_token_counts", "op9_mixing", "op8_secret_scans", "op11_ngram_join", "op12_prefix_trie",
+@pytest.mark.parametrize("name", ["op9_mixing", "op8_secret_scans", "op11_ngram_join", "op12_prefix_trie",
                                   "op13_vector_codes", "op10_topk"])
 def test_odd_tables_match_sql(spark, odd_dir, name):
     con = duckdb.connect()

@@ -1,9 +1,13 @@
 import os
 import threading
+from collections import defaultdict
+
+import public_tokenizers
+from tokenizers import Tokenizer
 
 from clickpulse.llm import rollups
 from clickpulse.llm.common import put_text, read_text
-from clickpulse.llm.rollups import TokenRollup, deletes, inserts, revisions
+from clickpulse.llm.rollups import TokenRollup, counter, deletes, inserts, revisions, rollup_report
 
 DDL = "source string, lang string, tokenizer string, n_tokens long"
 
@@ -87,3 +91,38 @@ def test_a_file_is_put_once(spark, tmp_path):
     assert put_text(spark, f"{tmp_path}/x/1", "one") and not put_text(spark, f"{tmp_path}/x/1", "two")
     assert read_text(spark, f"{tmp_path}/x/1") == "one"
     assert [n for n in os.listdir(f"{tmp_path}/x") if not n.startswith(".")] == ["1"]
+
+
+PATHS = {v: public_tokenizers.path(f"{v}.json") for v in ("byte_bpe_50k", "word_bpe_49k")}
+
+
+def test_counts_are_the_tokenizers():
+    odd = ["", " ", "\n\n", "a", "it's we'll  tab\there\r\n", "É é e\u0301 \u0301x ΣΑΣ İ ﬁ", "x\x1cy\x85z\u00a0w\u3000v", "日本 語 1234 ½",
+           "<|endoftext|> a<|endoftext|>b <|startoftext|>", "....!!! ?, a,b;c", "🙂🙂 👩‍👩‍👧", "no  double   spaces\n \n x", "\x00 \x0b"]
+    for path in PATHS.values():
+        plain = Tokenizer.from_file(path)
+        want = [len(plain.encode(t, add_special_tokens=False).ids) for t in odd]
+        assert counter(path).count_all(odd) == want == counter(path).count_all(odd)
+
+
+def _brute(rows):
+    """Totals counted text by text from the documents that are left."""
+    first, totals = {}, defaultdict(lambda: [0, 0])
+    for doc_id, text, _, _ in rows:
+        first.setdefault(text or "", []).append(doc_id)
+    first = {t: min((d for d in ids if d is not None), default=None) for t, ids in first.items()}
+    for end, (name, path) in zip((1, 0), PATHS.items()):
+        plain = Tokenizer.from_file(path)
+        for doc_id, text, lang, source in rows:
+            if first[text or ""] in (None, doc_id):
+                total = totals[source, lang, name]
+                total[0] += 1
+                total[1] += len(plain.encode(text or "", add_special_tokens=False).ids) + end
+    return sorted(((*k, *v) for k, v in totals.items()), key=str)
+
+
+def test_report_counts_whole_texts(spark, read, frame, odd_docs):
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in read("documents")]
+    rows += [(d, t, ("en", None, "fr")[i % 3], (None, "a", "b")[i % 3]) for i, (d, t) in enumerate(odd_docs)]
+    found = rollup_report(frame(rows, "doc_id long, text string, lang string, source string"), PATHS)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == _brute(rows)
