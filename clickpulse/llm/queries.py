@@ -25,7 +25,7 @@ from clickpulse.llm.topk import TOPK_SQL, top_k_report
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Tokenizer versions of the token counts.
-COUNTED = ("byte_bpe_50k", "word_bpe_49k")
+COUNTED = ("byte_bpe_50k", "byte_bpe_multi_50k")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return rollup_report(read_table(spark, sf_dir, "documents"), {v: public_tokenizers.path(f"{v}.json") for v in COUNTED})
+    return rollup_report(read_table(spark, sf_dir, "documents"),
+                         {v: public_tokenizers.path(f"{v}.tiktoken") for v in COUNTED}, public_tokenizers.PATTERN)
 
 
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,19 +13,19 @@ after a run that died, changes nothing twice.
 
 from __future__ import annotations
 
+import base64
 import hashlib
-import os
 import uuid
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tiktoken import Encoding
 
 from clickpulse.llm.common import put_text, read_text, save
-from clickpulse.llm.tokenbin import CACHE_UNITS, encoder
 from clickpulse.llm.wordhash import slices
 from clickpulse.session import fresh_dir
 from clickpulse.sources.storage import exists, names, remove_folder
@@ -109,59 +109,43 @@ class TokenRollup:
         return True
 
 
-class UnitCounter:
-    """Numbers of tokens of texts, by a tokenizer that drops white space: no
-    token then crosses a space or line feed, so the numbers of the parts between
-    them, which are remembered, add up to the text's."""
+#: White space of this length makes the library's pattern recurse too deep.
+LONG_BLANK = regex.compile(r"\s{1000}")
 
-    def __init__(self, tokenizer: Tokenizer) -> None:
-        self.tokenizer = tokenizer
-        self.units: dict[str, int] = {}
 
-    def count_all(self, texts: list[str]) -> list[int]:
-        if len(self.units) > CACHE_UNITS:
-            self.units.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self.units))
-        found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        self.units.update(zip(new, map(len, found)))
-        known = self.units.__getitem__
-        return [sum(map(known, parts)) for parts in split]
+class Counter:
+    """Numbers of tokens of whole texts, by the byte-level BPE ranks of the file
+    ``path`` (a token in base64 and its rank a line) over the parts that
+    ``pattern`` cuts a text into. Names of special tokens are ordinary text."""
 
+    def __init__(self, path: str, pattern: str) -> None:
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.whole = Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.part = Encoding(path, pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.pattern = regex.compile(pattern)
 
-class ByteCounter:
-    """Numbers of tokens of texts, by a byte-level tokenizer."""
+    def count(self, text: str) -> int:
+        if LONG_BLANK.search(text):
+            return sum(len(self.part.encode_ordinary(p.group())) for p in self.pattern.finditer(text))
+        return len(self.whole.encode_ordinary(text))
 
-    def __init__(self, path: str) -> None:
-        self.encoder = encoder(path)
 
-    def count_all(self, texts: list[str]) -> list[int]:
-        width = self.encoder.dtype.itemsize
-        return [len(ids) // width for ids in self.encoder.encode_all(texts)]
-
-
-_counters: dict[str, UnitCounter | ByteCounter] = {}
-
-
-def counter(path: str) -> UnitCounter | ByteCounter:
+@lru_cache(maxsize=None)
+def counter(path: str, pattern: str) -> Counter:
     """One counter for each file and worker process, kept from task to task."""
-    if path not in _counters:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        tokenizer = Tokenizer.from_file(path)
-        drops = not tokenizer.encode("a \n a", add_special_tokens=False).ids[2:]
-        _counters[path] = UnitCounter(tokenizer) if drops else ByteCounter(path)
-    return _counters[path]
+    return Counter(path, pattern)
 
 
-def _counted(paths: list[str]):
+def _counted(paths: list[str], pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = [counter(p) for p in paths]
+        counters = [counter(p, pattern) for p in paths]
         for batch in batches:
             texts, found = batch.column("text"), [[] for _ in counters]
             for first, last in slices(texts):
                 own = texts.slice(first, last - first).fill_null("").to_pylist()
                 for c, numbers in zip(counters, found):
-                    numbers.extend(c.count_all(own))
+                    numbers.extend(map(c.count, own))
             kept = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in kept), *(pa.array(n, pa.int64()) for n in found)],
@@ -169,18 +153,18 @@ def _counted(paths: list[str]):
     return run
 
 
-def token_numbers(docs: DataFrame, paths: list[str]) -> DataFrame:
+def token_numbers(docs: DataFrame, paths: list[str], pattern: str) -> DataFrame:
     """``docs`` without its ``text``, and for each tokenizer file of ``paths`` a
-    column ``n0``, ``n1``, ...: the whole text's number of tokens, special
-    tokens not added. Null and empty texts have none."""
+    column ``n0``, ``n1``, ...: the whole text's number of tokens. Null and
+    empty texts have none."""
     kept = [f for f in docs.schema.fields if f.name != "text"]
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"n{i} long" for i in range(len(paths)))])
-    return docs.mapInArrow(_counted(paths), ddl)
+    return docs.mapInArrow(_counted(paths, pattern), ddl)
 
 
-def rollup_report(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:
+def rollup_report(docs: DataFrame, tokenizers: dict[str, str], pattern: str) -> DataFrame:
     """The totals of all ``docs`` after a commit for each of ``tokenizers``
-    (version: file) and two more; two are repeated:
+    (version: file of ranks; :class:`Counter`) and two more; two are repeated:
 
     each version: every document, counted by that tokenizer;
     ``copies``: documents whose text has a smaller doc_id elsewhere go, from
@@ -194,7 +178,7 @@ def rollup_report(docs: DataFrame, tokenizers: dict[str, str]) -> DataFrame:
     numbers = token_numbers(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_hash"), "text"),
-        list(tokenizers.values()))
+        list(tokenizers.values()), pattern)
     rows = save(numbers, "rollup-counts")
     # stored, so that the join below can split the rows of a text with many copies
     firsts = save(rows.groupBy("text_hash").agg(F.min("doc_id").alias("first_id")), "rollup-firsts")

@@ -1,8 +1,11 @@
+import base64
 import os
 import threading
 from collections import defaultdict
+from functools import lru_cache
 
 import public_tokenizers
+import regex
 from tokenizers import Tokenizer
 
 from clickpulse.llm import rollups
@@ -93,16 +96,37 @@ def test_a_file_is_put_once(spark, tmp_path):
     assert [n for n in os.listdir(f"{tmp_path}/x") if not n.startswith(".")] == ["1"]
 
 
-PATHS = {v: public_tokenizers.path(f"{v}.json") for v in ("byte_bpe_50k", "word_bpe_49k")}
+PATHS = {v: public_tokenizers.path(f"{v}.tiktoken") for v in ("byte_bpe_50k", "byte_bpe_multi_50k")}
+
+
+def _plain(path):
+    """A text's tokens, counted merge by merge."""
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+    def merged(piece):
+        parts = [bytes([b]) for b in piece]
+        while pairs := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+            at = min(pairs)[1]
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return len(parts)
+
+    held = lru_cache(maxsize=None)(merged)
+    return lambda text: sum(held(p.encode()) for p in regex.findall(public_tokenizers.PATTERN, text))
 
 
 def test_counts_are_the_tokenizers():
     odd = ["", " ", "\n\n", "a", "it's we'll  tab\there\r\n", "É é e\u0301 \u0301x ΣΑΣ İ ﬁ", "x\x1cy\x85z\u00a0w\u3000v", "日本 語 1234 ½",
-           "<|endoftext|> a<|endoftext|>b <|startoftext|>", "....!!! ?, a,b;c", "🙂🙂 👩‍👩‍👧", "no  double   spaces\n \n x", "\x00 \x0b"]
+           "<|endoftext|> a<|endoftext|>b", "....!!! ?, a,b;c", "🙂🙂 👩‍👩‍👧", "no  double   spaces\n \n x", "\x00 \x0b",
+           "a" + " " * 999 + "b", "a" + " " * 1000 + "b" + "\n" * 1500]
     for path in PATHS.values():
-        plain = Tokenizer.from_file(path)
-        want = [len(plain.encode(t, add_special_tokens=False).ids) for t in odd]
-        assert counter(path).count_all(odd) == want == counter(path).count_all(odd)
+        count = counter(path, public_tokenizers.PATTERN).count
+        assert [count(t) for t in odd] == [_plain(path)(t) for t in odd]
+        assert count("a" + " " * 1_000_000 + "b") > 2 and count("ab" * 500_000) > 2
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.encode_special_tokens = True
+    count = counter(PATHS["byte_bpe_50k"], public_tokenizers.PATTERN).count
+    assert [count(t) for t in odd] == [len(library.encode(t, add_special_tokens=False).ids) for t in odd]
 
 
 def _brute(rows):
@@ -112,17 +136,17 @@ def _brute(rows):
         first.setdefault(text or "", []).append(doc_id)
     first = {t: min((d for d in ids if d is not None), default=None) for t, ids in first.items()}
     for end, (name, path) in zip((1, 0), PATHS.items()):
-        plain = Tokenizer.from_file(path)
+        plain = _plain(path)
         for doc_id, text, lang, source in rows:
             if first[text or ""] in (None, doc_id):
                 total = totals[source, lang, name]
                 total[0] += 1
-                total[1] += len(plain.encode(text or "", add_special_tokens=False).ids) + end
+                total[1] += plain(text or "") + end
     return sorted(((*k, *v) for k, v in totals.items()), key=str)
 
 
 def test_report_counts_whole_texts(spark, read, frame, odd_docs):
     rows = [(r.doc_id, r.text, r.lang, r.source) for r in read("documents")]
     rows += [(d, t, ("en", None, "fr")[i % 3], (None, "a", "b")[i % 3]) for i, (d, t) in enumerate(odd_docs)]
-    found = rollup_report(frame(rows, "doc_id long, text string, lang string, source string"), PATHS)
-    assert sorted((tuple(r) for r in found.collect()), key=str) == _brute(rows)
+    docs = frame(rows, "doc_id long, text string, lang string, source string")
+    assert sorted((tuple(r) for r in rollup_report(docs, PATHS, public_tokenizers.PATTERN).collect()), key=str) == _brute(rows)
