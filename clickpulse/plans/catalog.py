@@ -7,7 +7,8 @@ table's columns directly. Streaming queries stage the replayed records as
 files in the shared folder, one for each ``RECORDS_PER_TRIGGER`` records, run
 the real streaming job with ``availableNow``, remove the staged input and the
 checkpoint, and return what the job wrote. Queries over the stored speed view
-share one, written by the real speed layer once per session and table.
+share one, written by the real speed layer once per session and table, in
+micro-batches of ``RECORDS_PER_STORED_BATCH`` records.
 """
 
 from __future__ import annotations
@@ -71,6 +72,9 @@ from clickpulse.streaming.updates import read_update_view
 # topic, so the number of micro-batches grows with the table. A parameter, as the
 # Kafka source's maxOffsetsPerTrigger; tests set it low to get many micro-batches.
 RECORDS_PER_TRIGGER = int(os.environ.get("CLICKPULSE_RECORDS_PER_TRIGGER", 1_000_000))
+# Offsets per trigger of the stored speed view. Its rows are counts per micro-batch,
+# so this size is part of what the queries over the stored rows return.
+RECORDS_PER_STORED_BATCH = int(os.environ.get("CLICKPULSE_RECORDS_PER_TRIGGER", 5000))
 LATE_EVERY = 97  # every so many records of the watermark queries arrive last
 HOUR_WINDOW_SECONDS = 3600
 REPORT_DATE = "2022-08-27"
@@ -118,7 +122,8 @@ def _stored_view(spark: SparkSession, sf_dir: str) -> str:
     table = (spark.sparkContext.applicationId, sf_dir)
     if _STORED.get(table, (None,))[0] != files:
         forget_stored_view(spark, sf_dir)
-        _STORED[table] = (files, _run_partials_stream(spark, sf_dir, land=False).speed_path)
+        cfg = _run_partials_stream(spark, sf_dir, land=False, per_trigger=RECORDS_PER_STORED_BATCH)
+        _STORED[table] = (files, cfg.speed_path)
     return _STORED[table][1]
 
 
@@ -134,8 +139,8 @@ def _spend_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_spend(tx, policy="last", order_col="offset")
 
 
-def _per_trigger(offset: str = "offset") -> F.Column:
-    return F.expr(f"{offset} div {RECORDS_PER_TRIGGER}")
+def _per_trigger(size: int = RECORDS_PER_TRIGGER) -> F.Column:
+    return F.expr(f"offset div {size}")
 
 
 def _late() -> F.Column:
@@ -319,10 +324,11 @@ def stream_final_counts(spark, sf_dir):
     return flatten_window(read_speed_view(spark, out))
 
 
-def _run_partials_stream(spark, sf_dir, land: bool = True, max_files: int | None = None) -> LayerConfig:
+def _run_partials_stream(spark, sf_dir, land: bool = True, max_files: int | None = None,
+                         per_trigger: int = RECORDS_PER_TRIGGER) -> LayerConfig:
     cfg = LayerConfig(speed_path=fresh_dir(spark, "speed-view"), raw_path=fresh_dir(spark, "raw-clicks") if land else None,
                       speed_mode="partials", max_speed_files=max_files)
-    _replay(spark, click_records(_events(spark, sf_dir)), "speed", _per_trigger(),
+    _replay(spark, click_records(_events(spark, sf_dir)), "speed", _per_trigger(per_trigger),
             lambda source, checkpoint: start_speed_layer(source, cfg, checkpoint, available_now=True))
     return cfg
 
@@ -616,7 +622,7 @@ FROM clicks WHERE "timestamp" IS NOT NULL
 GROUP BY ALL"""
 
 
-_BATCH_SQL = f'"offset" // {RECORDS_PER_TRIGGER} AS batch_id, '
+_BATCH_SQL = f'"offset" // {RECORDS_PER_STORED_BATCH} AS batch_id, '
 
 _TOTALS_SQL = f"""WITH {_CLICKS_CTE}
 SELECT page, trafficSource, CAST(count(*) AS BIGINT) AS sum_count
