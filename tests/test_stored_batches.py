@@ -10,7 +10,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SIZE, ROWS = 5000, 10_007  # three micro-batches, the last one of seven records
-BY_BATCH = ("speed_partials",)
+BY_BATCH = ("speed_partials", "latest_partials")
 
 RUN = """
 import json, sys
@@ -58,3 +58,7 @@ def test_rows_are_per_micro_batch_of_5000(found, name):
 def test_stored_partials_of_every_micro_batch(found):
     assert found["speed_partials"]["batches"] == [0, 1, 2]
     assert found["speed_partials"]["rows"] > 2 * 60 * 12  # windows x (page, source), cut by each batch
+
+
+def test_newest_stored_rows_come_from_several_micro_batches(found):
+    assert found["latest_partials"]["batches"][:2] == [0, 1] and found["latest_partials"]["rows"] == 30
