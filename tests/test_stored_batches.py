@@ -10,7 +10,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SIZE, ROWS = 5000, 10_007  # three micro-batches, the last one of seven records
-BY_BATCH = ("speed_partials", "latest_partials")
+BY_BATCH = ("speed_partials", "latest_partials", "check_stored_rows")
 
 RUN = """
 import json, sys
@@ -60,5 +60,6 @@ def test_stored_partials_of_every_micro_batch(found):
     assert found["speed_partials"]["rows"] > 2 * 60 * 12  # windows x (page, source), cut by each batch
 
 
-def test_newest_stored_rows_come_from_several_micro_batches(found):
-    assert found["latest_partials"]["batches"][:2] == [0, 1] and found["latest_partials"]["rows"] == 30
+@pytest.mark.parametrize("name", ("latest_partials", "check_stored_rows"))
+def test_newest_stored_rows_come_from_several_micro_batches(found, name):
+    assert found[name]["batches"][:2] == [0, 1] and found[name]["rows"] == 30
