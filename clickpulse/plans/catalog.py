@@ -72,8 +72,8 @@ from clickpulse.streaming.updates import read_update_view
 # topic, so the number of micro-batches grows with the table. A parameter, as the
 # Kafka source's maxOffsetsPerTrigger; tests set it low to get many micro-batches.
 RECORDS_PER_TRIGGER = int(os.environ.get("CLICKPULSE_RECORDS_PER_TRIGGER", 1_000_000))
-# Offsets per trigger of the stored speed view. Its rows are counts per micro-batch,
-# so this size is part of what the queries over the stored rows return.
+# Offsets per trigger where rows or files of each micro-batch are returned (the stored
+# speed view, the file cap): the size is part of those queries' results.
 RECORDS_PER_STORED_BATCH = int(os.environ.get("CLICKPULSE_RECORDS_PER_TRIGGER", 5000))
 LATE_EVERY = 97  # every so many records of the watermark queries arrive last
 HOUR_WINDOW_SECONDS = 3600
@@ -351,7 +351,7 @@ def speed_files_capped(spark, sf_dir):
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    cfg = _run_partials_stream(own, sf_dir, land=False, max_files=1)
+    cfg = _run_partials_stream(own, sf_dir, land=False, max_files=1, per_trigger=RECORDS_PER_STORED_BATCH)
     rows = spark.read.parquet(cfg.speed_path).select("batch_id", "count", F.input_file_name().alias("file"))
     return rows.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
         F.countDistinct("file").alias("files"), F.sum("count").alias("clicks"))
@@ -719,7 +719,7 @@ FROM spend GROUP BY account_id""",
 counts AS ({_window_counts_sql(DEFAULT_WINDOW_SECONDS)})
 SELECT * FROM counts
 WHERE window_end <= (SELECT max("timestamp") FROM all_clicks) - INTERVAL '{DEFAULT_WATERMARK_SECONDS} seconds'""",
-    "speed_files_capped": f"""SELECT event_id // {RECORDS_PER_TRIGGER} AS batch_id, 1::BIGINT AS files, count(*)::BIGINT AS clicks
+    "speed_files_capped": f"""SELECT event_id // {RECORDS_PER_STORED_BATCH} AS batch_id, 1::BIGINT AS files, count(*)::BIGINT AS clicks
 FROM events GROUP BY ALL""",
     "report_incremental": f"""WITH {_CLICKS_CTE}, halves AS (SELECT count(*) // 2 AS half FROM events)
 SELECT page, trafficSource, count(*)::BIGINT AS sum_count, DATE '{PREVIOUS_REPORT_DATE}' AS report_date

@@ -10,7 +10,7 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SIZE, ROWS = 5000, 10_007  # three micro-batches, the last one of seven records
-BY_BATCH = ("speed_partials", "latest_partials", "check_stored_rows")
+BY_BATCH = ("speed_partials", "latest_partials", "check_stored_rows", "speed_files_capped")
 
 RUN = """
 import json, sys
@@ -63,3 +63,7 @@ def test_stored_partials_of_every_micro_batch(found):
 @pytest.mark.parametrize("name", ("latest_partials", "check_stored_rows"))
 def test_newest_stored_rows_come_from_several_micro_batches(found, name):
     assert found[name]["batches"][:2] == [0, 1] and found[name]["rows"] == 30
+
+
+def test_files_are_counted_for_every_micro_batch(found):
+    assert found["speed_files_capped"]["batches"] == [0, 1, 2] and found["speed_files_capped"]["rows"] == 3
