@@ -1,7 +1,8 @@
 """Batch writers used per micro-batch and by the batch layer.
 
-None of them funnels data through one task: file counts are bounded with
-``coalesce`` only when asked, and otherwise left to AQE's partition sizing.
+None of them funnels its work through one task: file counts are bounded only
+when asked, by a shuffle of the finished rows (``_capped``), and otherwise left
+to AQE's partition sizing.
 """
 
 from __future__ import annotations
@@ -12,6 +13,13 @@ from pyspark.sql import functions as F
 from clickpulse.sources.storage import exists
 
 
+def _capped(rows: DataFrame, max_files: int | None) -> DataFrame:
+    """Rows in at most ``max_files`` partitions, so files. They are shuffled
+    there: ``coalesce`` would draw the aggregation before it into those tasks,
+    where each of its partitions adds a hash map to the task's memory."""
+    return rows.repartition(max_files) if max_files else rows
+
+
 def append_rows(df: DataFrame, fmt: str = "parquet", path: str | None = None, options: dict | None = None) -> None:
     """Append rows to a table given by data source name and options.
 
@@ -66,9 +74,8 @@ def write_speed_batch(counts: DataFrame, speed_path: str, batch_id: int, max_fil
     Overwriting the batch's own folder makes a retried batch replace its
     earlier attempt instead of adding a second copy.
     """
-    out = counts.coalesce(max_files) if max_files else counts
     target = batch_folder(speed_path, batch_id, run)
-    out.write.mode("overwrite").parquet(target)
+    _capped(counts, max_files).write.mode("overwrite").parquet(target)
     return target
 
 
@@ -79,8 +86,7 @@ def write_report(report: DataFrame, base: str, fmt: str = "orc", overwrite_mode:
     ``dynamic`` replaces only the dates present in ``report`` (history is
     kept); ``static`` replaces the whole table.
     """
-    out = report.coalesce(max_files) if max_files else report
-    (out.write.mode("overwrite").option("partitionOverwriteMode", overwrite_mode)
+    (_capped(report, max_files).write.mode("overwrite").option("partitionOverwriteMode", overwrite_mode)
      .partitionBy("report_date").format(fmt).save(base))
 
 

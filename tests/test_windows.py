@@ -217,3 +217,24 @@ def test_cut_from_zones_that_overlap():
 
     zones = [Zone(10, 40, 3), Zone(30, 60, 3), Zone(50, 60, 2), Zone(0, 5, 2)]
     assert [newest_cut(zones, n) for n in (1, 2, 3, 4, 5, 6, 7, 8)] == [50, 50, 30, 10, 10, 0, 0, None]
+
+
+def test_file_cap_leaves_the_counts_their_tasks(spark, workdir):
+    """The capped files are written by few tasks, the counts before them by as
+    many as without a cap; also of a batch without rows."""
+    import glob
+    import re
+
+    from clickpulse.sources.sinks import _capped, write_speed_batch
+
+    rows = [(f"2024-01-01 00:{m:02d}:01", f"/p{m % 6}", "g") for m in range(60)]
+    counts = window_counts(clicks(spark, rows), 10)
+    for n in (1, 3):
+        capped = _capped(counts, n)
+        nodes = re.findall(r"Coalesce|Exchange \w+|HashAggregate", _plan(capped).split("== Physical Plan ==")[1])
+        assert "Coalesce" not in nodes and nodes.index("HashAggregate") > 0 and nodes[0].startswith("Exchange"), nodes
+        assert capped.rdd.getNumPartitions() <= n and sorted(_rows(capped)) == sorted(_rows(counts))
+    for b, batch in enumerate((rows, [])):
+        folder = write_speed_batch(window_counts(clicks(spark, batch), 10), f"{workdir}/speed", b, 1)
+        assert len(glob.glob(f"{folder}/*.parquet")) == 1
+        assert spark.read.parquet(folder).count() == len(batch)
