@@ -67,3 +67,29 @@ def test_newest_stored_rows_come_from_several_micro_batches(found, name):
 
 def test_files_are_counted_for_every_micro_batch(found):
     assert found["speed_files_capped"]["batches"] == [0, 1, 2] and found["speed_files_capped"]["rows"] == 3
+
+
+@pytest.fixture(scope="module")
+def found_with_large_triggers(tmp_path_factory):
+    """The two views of stored rows under a trigger that would take the whole table."""
+    import duckdb
+
+    folder = tmp_path_factory.mktemp("large-triggers")
+    # three copies of the same clicks under shifted ids, a micro-batch each
+    duckdb.sql(f"""COPY (SELECT k * {SIZE} + i AS event_id, TIMESTAMP '2024-01-01' + to_seconds(i) AS ts, i % 13 AS user_id,
+                         ['click', 'view', 'error'][i % 3 + 1] AS event_type, (i % 90)::DOUBLE AS value, '{{}}' AS props
+                         FROM range({SIZE}) t(i), range(3) c(k)) TO '{folder}/events.parquet' (FORMAT parquet)""")
+    names = ("latest_partials", "check_stored_rows")
+    env = os.environ | {"CLICKPULSE_RECORDS_PER_TRIGGER": "1000000", "PYTHONPATH": ROOT}
+    done = subprocess.run([sys.executable, "-c", RUN, str(folder), ",".join(names)], cwd=ROOT, env=env,
+                          capture_output=True, text=True, timeout=600)
+    lines = [x for x in done.stdout.splitlines() if x.startswith("FOUND ")]
+    assert lines, done.stderr[-3000:]
+    return json.loads(lines[0].removeprefix("FOUND "))
+
+
+@pytest.mark.parametrize("name", ("latest_partials", "check_stored_rows"))
+def test_large_triggers_leave_the_stored_rows_per_micro_batch_of_5000(found_with_large_triggers, name):
+    found = found_with_large_triggers[name]
+    assert f"// {SIZE} AS batch_id" in found["sql"] and found["same"]
+    assert found["batches"] == [0, 1, 2] and found["rows"] == 30
