@@ -70,6 +70,10 @@ class LayerConfig:
     # None lets AQE size the output partitions, so a large micro-batch is
     # not squeezed into a few tasks.
     max_speed_files: int | None = None
+    # Partials mode: offsets of a stored micro-batch, if a trigger takes several of
+    # them (a replay, one topic partition). Each is stored under its own id, offset
+    # div batch_offsets; none may be cut by two triggers. None: one per trigger.
+    batch_offsets: int | None = None
 
     def __post_init__(self):
         if not self.speed_path:
@@ -78,3 +82,5 @@ class LayerConfig:
             raise ValueError(f"speed_mode must be 'partials', 'final' or 'update', got {self.speed_mode!r}")
         if self.window_seconds <= 0 or self.watermark_seconds < 0:
             raise ValueError("window must be positive and watermark non-negative")
+        if self.batch_offsets is not None and (self.batch_offsets <= 0 or self.speed_mode != "partials"):
+            raise ValueError("batch_offsets must be positive and is for mode 'partials' only")

@@ -8,7 +8,8 @@ files in the shared folder, one for each ``RECORDS_PER_TRIGGER`` records, run
 the real streaming job with ``availableNow``, remove the staged input and the
 checkpoint, and return what the job wrote. Queries over the stored speed view
 share one, written by the real speed layer once per session and table, in
-micro-batches of ``RECORDS_PER_STORED_BATCH`` records.
+micro-batches of ``RECORDS_PER_STORED_BATCH`` records; a trigger takes as many of
+them as ``RECORDS_PER_TRIGGER`` records are and stores each on its own.
 """
 
 from __future__ import annotations
@@ -72,10 +73,11 @@ from clickpulse.streaming.updates import read_update_view
 # topic, so the number of micro-batches grows with the table. A parameter, as the
 # Kafka source's maxOffsetsPerTrigger; tests set it low to get many micro-batches.
 RECORDS_PER_TRIGGER = int(os.environ.get("CLICKPULSE_RECORDS_PER_TRIGGER", 1_000_000))
-# Offsets per trigger where rows or files of each micro-batch are returned (the stored
+# Offsets per micro-batch where rows or files of each one are returned (the stored
 # speed view, the file cap): the size is part of those queries' results and SQL, so a
-# larger trigger does not raise it.
+# larger trigger does not raise it: the trigger stores several.
 RECORDS_PER_STORED_BATCH = min(int(os.environ.get("CLICKPULSE_RECORDS_PER_TRIGGER", 5000)), 5000)
+FILES_PER_TRIGGER = 8  # splits of such a trigger, each of whole micro-batches
 LATE_EVERY = 97  # every so many records of the watermark queries arrive last
 HOUR_WINDOW_SECONDS = 3600
 REPORT_DATE = "2022-08-27"
@@ -123,7 +125,7 @@ def _stored_view(spark: SparkSession, sf_dir: str) -> str:
     table = (spark.sparkContext.applicationId, sf_dir)
     if _STORED.get(table, (None,))[0] != files:
         forget_stored_view(spark, sf_dir)
-        cfg = _run_partials_stream(spark, sf_dir, land=False, per_trigger=RECORDS_PER_STORED_BATCH)
+        cfg = _run_partials_stream(spark, sf_dir, land=False, stored=RECORDS_PER_STORED_BATCH)
         _STORED[table] = (files, cfg.speed_path)
     return _STORED[table][1]
 
@@ -140,8 +142,15 @@ def _spend_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_spend(tx, policy="last", order_col="offset")
 
 
-def _per_trigger(size: int = RECORDS_PER_TRIGGER) -> F.Column:
-    return F.expr(f"offset div {size}")
+def _per_trigger() -> F.Column:
+    return F.expr(f"offset div {RECORDS_PER_TRIGGER}")
+
+
+def _files_of_batches(stored: int) -> tuple[F.Column, int]:
+    """Staged files of whole micro-batches of ``stored`` offsets, and how many of
+    them a trigger takes: RECORDS_PER_TRIGGER offsets, but one file at least."""
+    size = stored * max(1, RECORDS_PER_TRIGGER // (FILES_PER_TRIGGER * stored))
+    return F.expr(f"offset div {size}"), max(1, RECORDS_PER_TRIGGER // size)
 
 
 def _late() -> F.Column:
@@ -149,13 +158,13 @@ def _late() -> F.Column:
 
 
 def _replay(spark: SparkSession, records: DataFrame, name: str, batch: F.Column,
-            start: Callable[[DataFrame, str], list]) -> None:
-    """Stage the records as micro-batches, run the queries that ``start``
-    makes from (source, checkpoint) to their end, and remove input and
-    checkpoint."""
+            start: Callable[[DataFrame, str], list], files_per_trigger: int = 1) -> None:
+    """Stage the records as files by ``batch``, run the queries that ``start``
+    makes from (source, checkpoint) to their end, so many files a trigger, and
+    remove input and checkpoint."""
     stage, checkpoint = fresh_dir(spark, f"{name}-input"), fresh_dir(spark, f"{name}-checkpoint")
     files = stage_micro_batches(records, batch, stage)
-    _await(start(read_record_files(spark, files, max_files_per_trigger=1), checkpoint))
+    _await(start(read_record_files(spark, files, max_files_per_trigger=files_per_trigger), checkpoint))
     for path in (stage, checkpoint):
         remove_folder(spark, path)
 
@@ -326,11 +335,14 @@ def stream_final_counts(spark, sf_dir):
 
 
 def _run_partials_stream(spark, sf_dir, land: bool = True, max_files: int | None = None,
-                         per_trigger: int = RECORDS_PER_TRIGGER) -> LayerConfig:
+                         stored: int | None = None) -> LayerConfig:
+    """The partials job over the replayed clicks. A trigger is one micro-batch, or
+    with ``stored`` holds several of so many offsets, each stored on its own."""
     cfg = LayerConfig(speed_path=fresh_dir(spark, "speed-view"), raw_path=fresh_dir(spark, "raw-clicks") if land else None,
-                      speed_mode="partials", max_speed_files=max_files)
-    _replay(spark, click_records(_events(spark, sf_dir)), "speed", _per_trigger(per_trigger),
-            lambda source, checkpoint: start_speed_layer(source, cfg, checkpoint, available_now=True))
+                      speed_mode="partials", max_speed_files=max_files, batch_offsets=stored)
+    batch, files = _files_of_batches(stored) if stored else (_per_trigger(), 1)
+    _replay(spark, click_records(_events(spark, sf_dir)), "speed", batch,
+            lambda source, checkpoint: start_speed_layer(source, cfg, checkpoint, available_now=True), files)
     return cfg
 
 
@@ -352,7 +364,7 @@ def speed_files_capped(spark, sf_dir):
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
         own.conf.set(key, spark.conf.get(key))
     own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    cfg = _run_partials_stream(own, sf_dir, land=False, max_files=1, per_trigger=RECORDS_PER_STORED_BATCH)
+    cfg = _run_partials_stream(own, sf_dir, land=False, max_files=1, stored=RECORDS_PER_STORED_BATCH)
     rows = spark.read.parquet(cfg.speed_path).select("batch_id", "count", F.input_file_name().alias("file"))
     return rows.groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(
         F.countDistinct("file").alias("files"), F.sum("count").alias("clicks"))

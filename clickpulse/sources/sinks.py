@@ -20,6 +20,17 @@ def _capped(rows: DataFrame, max_files: int | None) -> DataFrame:
     return rows.repartition(max_files) if max_files else rows
 
 
+def sized_batches(rows: DataFrame, max_files: int | None = None) -> DataFrame:
+    """Rows of several micro-batches (column ``batch_id``), the rows of each in at
+    most ``max_files`` partitions, so files. Without a cap AQE, where it may merge
+    partitions, sizes them around whole micro-batches."""
+    if max_files:
+        rest = [c for c in rows.columns if c != "batch_id"]
+        return rows.repartition("batch_id", F.pmod(F.hash(*rest), F.lit(max_files)))
+    merges = rows.sparkSession.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true") == "true"
+    return rows.hint("rebalance", "batch_id") if merges else rows
+
+
 def append_rows(df: DataFrame, fmt: str = "parquet", path: str | None = None, options: dict | None = None) -> None:
     """Append rows to a table given by data source name and options.
 
@@ -59,12 +70,20 @@ def append_new_rows(df: DataFrame, fmt: str = "parquet", path: str | None = None
         rows.unpersist()
 
 
+def run_folder(path: str, run: str | None = None) -> str:
+    return f"{path.rstrip('/')}/run={run}" if run else path.rstrip("/")
+
+
 def batch_folder(path: str, batch_id: int, run: str | None = None) -> str:
     """``<path>[/run=<query id>]/batch_id=<n>``: one folder per micro-batch."""
-    base = path.rstrip("/")
-    if run:
-        base = f"{base}/run={run}"
-    return f"{base}/batch_id={int(batch_id)}"
+    return f"{run_folder(path, run)}/batch_id={int(batch_id)}"
+
+
+def write_batch_folders(rows: DataFrame, path: str, run: str | None = None) -> None:
+    """Rows of several micro-batches to their folders, in one write that replaces
+    these folders and no other."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+     .parquet(run_folder(path, run)))
 
 
 def write_speed_batch(counts: DataFrame, speed_path: str, batch_id: int, max_files: int | None = None,

@@ -46,7 +46,7 @@ def _named(batches: dict[str, list[int]]) -> Column:
     """True for rows of these batches; ids from the first on as a range."""
     out = F.lit(False)
     for run, ids in batches.items():
-        last = max((n for n in range(len(ids)) if sorted(ids)[n] == n), default=-1)
+        last = max((n for n, i in enumerate(sorted(ids)) if i == n), default=-1)
         rest = [n for n in ids if n > last]
         inside = F.col("batch_id") <= F.lit(last)
         out = out | ((F.col("run") == F.lit(run)) & (inside | F.col("batch_id").isin(rest) if rest else inside))

@@ -5,7 +5,8 @@ JSON). Modes (see ``LayerConfig.speed_mode``):
 
 * ``partials`` — one query; ``foreachBatch`` lands raw clicks and writes the
   batch's window counts to ``run=<query id>/batch_id=<n>``. No row is dropped; a window cut
-  across micro-batches is stored once per batch and summed by readers.
+  across micro-batches is stored once per batch and summed by readers. With
+  ``batch_offsets`` a trigger's records are stored as several micro-batches.
 * ``final`` — watermark + window on the streaming frame, append mode to a
   Parquet file sink: each window once, after the watermark passes its end;
   rows behind the watermark are dropped (and counted in the progress
@@ -39,7 +40,8 @@ def start_speed_layer(records: DataFrame, cfg: LayerConfig, checkpoint: str | No
     checkpoint = (checkpoint or cfg.streaming_checkpoint
                   or stable_dir(records.sparkSession, f"checkpoints/speed-{cfg.topic}")).rstrip("/")
     require_checkpoint(checkpoint)
-    clicks = parse_clicks(records, cfg.time_pattern, keep=RECORD_KEY if cfg.raw_identity else ())
+    keep = RECORD_KEY if cfg.raw_identity else ("offset",) if cfg.batch_offsets else ()
+    clicks = parse_clicks(records, cfg.time_pattern, keep=keep)
     if cfg.speed_mode == "partials":
         tag = RunTag()
         w = (clicks.writeStream.foreachBatch(speed_batch_writer(cfg, tag=tag))
