@@ -20,7 +20,7 @@ from tests.test_catalog import _canon
 
 SIZE, PER_TRIGGER = catalog.RECORDS_PER_STORED_BATCH, 4
 ROWS = 10 * SIZE + 7  # eleven micro-batches
-QUERIES = ("all_time_totals",)
+QUERIES = ("all_time_totals", "speed_partials")
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +105,12 @@ def test_a_trigger_without_readable_times_leaves_an_empty_view(spark, workdir):
     plan.speed_batch(_batch(spark, 0, 25, unreadable=range(25)), 0, cfg, run="r")
     assert _stored(spark, cfg.speed_path) == ([], [])
     assert values(spark, f"{cfg.speed_path}/run=r", "batch_id") == ["2"]
+
+
+def test_ids_of_micro_batches_where_offsets_have_gaps(spark, tmp_path, triggers):
+    # offsets of micro-batches 0, 3, 4 and 9
+    duckdb.sql(f"""COPY (SELECT b * {SIZE} + i AS event_id, TIMESTAMP '2024-01-01' + to_seconds(i * 30) AS ts, i AS user_id,
+                         'click' AS event_type, 1.0::DOUBLE AS value, '{{}}' AS props
+                         FROM range(5) t(i), (VALUES (0), (3), (4), (9)) c(b)) TO '{tmp_path}/events.parquet' (FORMAT parquet)""")
+    rows = entry_mod.queries()["speed_partials"](spark, str(tmp_path)).groupBy("batch_id").agg(F.sum("count")).collect()
+    assert sorted(map(tuple, rows)) == [(0, 5), (3, 5), (4, 5), (9, 5)]
