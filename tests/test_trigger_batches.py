@@ -12,7 +12,7 @@ from clickpulse.plans import catalog
 from clickpulse.plans import speed as plan
 from clickpulse.plans.check import view_zones
 from clickpulse.sources.kafka import read_record_files
-from clickpulse.sources.storage import values
+from clickpulse.sources.storage import files_below, values
 from clickpulse.sources.tables import read_speed_view
 from clickpulse.streaming.speed import start_speed_layer
 from tests.helpers import click, records
@@ -20,7 +20,7 @@ from tests.test_catalog import _canon
 
 SIZE, PER_TRIGGER = catalog.RECORDS_PER_STORED_BATCH, 4
 ROWS = 10 * SIZE + 7  # eleven micro-batches
-QUERIES = ("all_time_totals", "speed_partials")
+QUERIES = ("all_time_totals", "speed_partials", "speed_files_capped")
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +114,25 @@ def test_ids_of_micro_batches_where_offsets_have_gaps(spark, tmp_path, triggers)
                          FROM range(5) t(i), (VALUES (0), (3), (4), (9)) c(b)) TO '{tmp_path}/events.parquet' (FORMAT parquet)""")
     rows = entry_mod.queries()["speed_partials"](spark, str(tmp_path)).groupBy("batch_id").agg(F.sum("count")).collect()
     assert sorted(map(tuple, rows)) == [(0, 5), (3, 5), (4, 5), (9, 5)]
+
+
+@pytest.mark.parametrize("cap", (1, 3, None))
+def test_files_of_each_micro_batch_under_a_cap(spark, workdir, cap):
+    own = spark.newSession()
+    for key, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.shuffle.partitions", "8"),
+                       ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+        own.conf.set(key, value)
+    cfg = LayerConfig(speed_path=f"{workdir}/view", batch_offsets=50, max_speed_files=cap)
+    plan.speed_batch(_batch(own, 0, 200), 0, cfg, run="r")
+    files = [len([f for f, _, _ in files_below(spark, f"{cfg.speed_path}/run=r/batch_id={n}") if f.endswith(".parquet")])
+             for n in range(4)]
+    # each shuffle partition leaves a file of each micro-batch, unless there is a cap
+    assert all(n > 3 for n in files) if cap is None else max(files) == cap
+    assert spark.read.parquet(cfg.speed_path).agg(F.sum("count")).first()[0] == 200
+
+
+def test_without_a_cap_merged_partitions_leave_one_file(spark, workdir):
+    cfg = LayerConfig(speed_path=f"{workdir}/view", batch_offsets=50)
+    plan.speed_batch(_batch(spark, 0, 200), 0, cfg, run="r")
+    for n in range(4):
+        assert len([f for f, _, _ in files_below(spark, f"{cfg.speed_path}/run=r/batch_id={n}") if f.endswith(".parquet")]) == 1
