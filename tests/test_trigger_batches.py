@@ -20,7 +20,8 @@ from tests.test_catalog import _canon
 
 SIZE, PER_TRIGGER = catalog.RECORDS_PER_STORED_BATCH, 4
 ROWS = 10 * SIZE + 7  # eleven micro-batches
-QUERIES = ("all_time_totals", "speed_partials", "speed_files_capped", "check_speed_view", "batch_report", "latest_partials")
+QUERIES = ("all_time_totals", "speed_partials", "speed_files_capped", "check_speed_view", "batch_report", "latest_partials",
+           "latest_windows")
 
 
 @pytest.fixture(scope="module")
