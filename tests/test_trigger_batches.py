@@ -21,7 +21,7 @@ from tests.test_catalog import _canon
 SIZE, PER_TRIGGER = catalog.RECORDS_PER_STORED_BATCH, 4
 ROWS = 10 * SIZE + 7  # eleven micro-batches
 QUERIES = ("all_time_totals", "speed_partials", "speed_files_capped", "check_speed_view", "batch_report", "latest_partials",
-           "latest_windows", "report_top", "report_static_overwrite", "report_history")
+           "latest_windows", "report_top", "report_static_overwrite", "report_history", "check_stored_rows")
 
 
 @pytest.fixture(scope="module")
