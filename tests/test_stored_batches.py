@@ -9,6 +9,7 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+PATH = os.pathsep.join(filter(None, (ROOT, os.environ.get("PYTHONPATH"))))
 SIZE, ROWS = 5000, 10_007  # three micro-batches, the last one of seven records
 BY_BATCH = ("speed_partials", "latest_partials", "check_stored_rows", "speed_files_capped")
 
@@ -41,7 +42,7 @@ def found(tmp_path_factory):
     duckdb.sql(f"""COPY (SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_seconds((i * 7) % 600) AS ts, i % 13 AS user_id,
                          ['click', 'view', 'error'][i % 3 + 1] AS event_type, (i % 90)::DOUBLE AS value, '{{}}' AS props
                          FROM range({ROWS}) t(i)) TO '{folder}/events.parquet' (FORMAT parquet)""")
-    env = {k: v for k, v in os.environ.items() if k != "CLICKPULSE_RECORDS_PER_TRIGGER"} | {"PYTHONPATH": ROOT}
+    env = {k: v for k, v in os.environ.items() if k != "CLICKPULSE_RECORDS_PER_TRIGGER"} | {"PYTHONPATH": PATH}
     done = subprocess.run([sys.executable, "-c", RUN, str(folder), ",".join(BY_BATCH)], cwd=ROOT, env=env,
                           capture_output=True, text=True, timeout=600)
     lines = [x for x in done.stdout.splitlines() if x.startswith("FOUND ")]
@@ -80,7 +81,7 @@ def found_with_large_triggers(tmp_path_factory):
                          ['click', 'view', 'error'][i % 3 + 1] AS event_type, (i % 90)::DOUBLE AS value, '{{}}' AS props
                          FROM range({SIZE}) t(i), range(3) c(k)) TO '{folder}/events.parquet' (FORMAT parquet)""")
     names = ("latest_partials", "check_stored_rows")
-    env = os.environ | {"CLICKPULSE_RECORDS_PER_TRIGGER": "1000000", "PYTHONPATH": ROOT}
+    env = os.environ | {"CLICKPULSE_RECORDS_PER_TRIGGER": "1000000", "PYTHONPATH": PATH}
     done = subprocess.run([sys.executable, "-c", RUN, str(folder), ",".join(names)], cwd=ROOT, env=env,
                           capture_output=True, text=True, timeout=600)
     lines = [x for x in done.stdout.splitlines() if x.startswith("FOUND ")]
